@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 from .common import WORD, ceil_div, cut
 
 SEED = 20_240_501
-#: A null text id, kept apart from every real key.
 _TREE = "rank int, bucket long, doc_id long, key long, size long, base int, p double"
 
 
@@ -81,7 +80,7 @@ def pivot(sizes: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.ndar
 def _round_groups(seed: int, level: int):
     def one(t: pa.Table) -> pa.Table:
         key, doc, size = (t.column(c).combine_chunks().fill_null(0).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "size"))
-        order = np.lexsort((size, doc, key))  # rows that tie here are the same rows
+        order = np.lexsort((doc, key, -size))  # small ones last: what stays undecided is small; rows that tie are the same
         p = t.column("p").to_numpy()
         rng = np.random.default_rng([seed, level, t.column("rank")[0].as_py(), t.column("bucket")[0].as_py()])
         done = np.empty_like(p)

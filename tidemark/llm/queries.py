@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import tokenize
 from .common import table
 from .mixing import mix
 from .sharding import shard
@@ -20,8 +21,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding}
+    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op7_bpe": op7_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
