@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import tokenize
 from .common import table
 from .mixing import mix
+from .neardup import classes
 from .sharding import shard
 
 
@@ -27,8 +28,17 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op1_mixing": op1_mixing, "op2_sharding": op2_sharding, "op7_bpe": op7_bpe}
+    return {
+        "op1_mixing": op1_mixing,
+        "op2_sharding": op2_sharding,
+        "op7_bpe": op7_bpe,
+        "op10_neardup": op10_neardup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
