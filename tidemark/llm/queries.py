@@ -9,6 +9,7 @@ from .bpe import tokenize
 from .common import table
 from .mixing import mix
 from .neardup import classes
+from .rules import judge
 from .sharding import shard
 
 
@@ -22,6 +23,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules")
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,6 +43,7 @@ def queries() -> dict:
     return {
         "op1_mixing": op1_mixing,
         "op2_sharding": op2_sharding,
+        "op3_rules": op3_rules,
         "op7_bpe": op7_bpe,
         "op10_neardup": op10_neardup,
     }
