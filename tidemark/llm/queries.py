@@ -9,6 +9,7 @@ from .bpe import tokenize
 from .common import table
 from .mixing import mix
 from .neardup import classes
+from .pii import report
 from .rules import judge
 from .sharding import shard
 
@@ -29,6 +30,10 @@ def op3_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -44,6 +49,7 @@ def queries() -> dict:
         "op1_mixing": op1_mixing,
         "op2_sharding": op2_sharding,
         "op3_rules": op3_rules,
+        "op4_pii": op4_pii,
         "op7_bpe": op7_bpe,
         "op10_neardup": op10_neardup,
     }
