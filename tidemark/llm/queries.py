@@ -10,6 +10,7 @@ from .common import table
 from .mixing import mix
 from .neardup import classes
 from .pii import report
+from .quality import score
 from .rules import judge
 from .sharding import shard
 
@@ -34,6 +35,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +55,7 @@ def queries() -> dict:
         "op2_sharding": op2_sharding,
         "op3_rules": op3_rules,
         "op4_pii": op4_pii,
+        "op6_quality": op6_quality,
         "op7_bpe": op7_bpe,
         "op10_neardup": op10_neardup,
     }
