@@ -9,6 +9,7 @@ from .bpe import tokenize
 from .common import table
 from .mixing import mix
 from .neardup import classes
+from .pages import extract
 from .pii import report
 from .quality import score
 from .rules import judge
@@ -35,6 +36,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
+def op5_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
@@ -55,6 +60,7 @@ def queries() -> dict:
         "op2_sharding": op2_sharding,
         "op3_rules": op3_rules,
         "op4_pii": op4_pii,
+        "op5_pages": op5_pages,
         "op6_quality": op6_quality,
         "op7_bpe": op7_bpe,
         "op10_neardup": op10_neardup,
