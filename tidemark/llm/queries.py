@@ -13,7 +13,9 @@ from .pages import extract
 from .pii import report
 from .quality import score
 from .rules import judge
+from .search import search
 from .sharding import shard
+from .urls import evaluate, host_of
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +52,51 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digests=True)
 
 
+#: A dated list for the hosts of `pages`: entry, date, change, action, list.
+URL_CHANGES = [
+    ("spam-farm.example.org", "2024-01-01", "add", "block", "spam"),
+    ("spam-farm.example.org", "2024-08-15", "remove", "block", "spam"),
+    ("spam-farm.example.org", "2024-10-01", "add", "block", "spam"),
+    ("example.net", "2024-03-01", "add", "block", "networks"),
+    ("example.net", "2024-05-01", "remove", "block", "networks"),
+    ("tionsh.example.net", "2024-04-01", "add", "allow", "exceptions"),
+    ("tionsh.example.net/fr", "2024-04-10", "add", "block", "paths"),
+    ("ththon.example.com", "2024-06-01", "add", "block", "spam"),
+    ("example.com", "2024-11-15", "add", "block", "networks"),
+    ("blog.tionble.example.com", "2024-11-20", "add", "allow", "exceptions"),
+    ("m.thther.example.org/en", "2024-02-01", "add", "block", "paths"),
+    ("m.thther.example.org/en", "2024-12-01", "remove", "block", "paths"),
+]
+#: `pages` has no fetch time; a hash of the URL stands for one: a day of 2024.
+_FETCHED = "CAST(date_add(DATE'2024-01-01', CAST(conv(substring(md5(url), 1, 4), 16, 10) AS INT) % 366) AS STRING)"
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", F.expr(_FETCHED).alias("fetched_at"))
+    changes = spark.createDataFrame(URL_CHANGES, "entry string, at string, change string, action string, list string")
+    return evaluate(captures, changes, "page_id").withColumn("host", host_of(F.col("url")))
+
+
+OP8_SQL = f"""
+WITH changes(entry, since, change, action, list) AS (VALUES {", ".join(map(str, URL_CHANGES))}),
+spans AS (SELECT * FROM (SELECT *, lead(since) OVER (PARTITION BY list, entry ORDER BY since) AS valid_to FROM changes) x WHERE change = 'add'),
+captures AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(CAST('0x' || substr(md5(url), 1, 4) AS INT) % 366 AS INT) AS VARCHAR) AS fetched_at,
+         lower(regexp_extract(url, '^[a-z]+://([^/?#:@]+)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*(/[^?#]*)?', 1) AS path FROM pages),
+met AS (
+  SELECT c.*, s.entry, s.list, s.action, row_number() OVER (PARTITION BY page_id, url ORDER BY contains(s.entry, '/') DESC, length(s.entry) DESC, s.action = 'allow' DESC) AS no
+  FROM captures c LEFT JOIN spans s ON c.fetched_at >= s.since AND (s.valid_to IS NULL OR c.fetched_at < s.valid_to)
+   AND (c.host = s.entry OR ends_with(c.host, '.' || s.entry) OR starts_with(rtrim(c.host || c.path, '/') || '/', s.entry || '/') AND contains(s.entry, '/')))
+SELECT page_id, url, fetched_at, coalesce(action, 'allow') AS decision, list, entry, host FROM met WHERE no = 1
+"""
+
+
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    queries = docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search(docs, queries).withColumn("score", F.round("score", 6))
+
+
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents"))
 
@@ -63,9 +110,11 @@ def queries() -> dict:
         "op5_pages": op5_pages,
         "op6_quality": op6_quality,
         "op7_bpe": op7_bpe,
+        "op8_urls": op8_urls,
+        "op9_search": op9_search,
         "op10_neardup": op10_neardup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_urls": OP8_SQL}
