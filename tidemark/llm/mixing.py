@@ -129,12 +129,13 @@ def mix(docs: DataFrame, *, weights=(3.0, 1.0, 2.0), share: float = 1.5, cap: fl
 
 def mixed_documents(docs: DataFrame, *, seed: int = SEED, **how) -> DataFrame:
     """docs, each row as often as the mix takes it. The mix decides over narrow rows; texts are
-    read again and joined by doc_id and content, so equal rows share their copies out in turn."""
+    read again and joined by doc_id and content. Rows equal in these share their copies out."""
     cols = docs.columns
-    same = W.partitionBy("m_id", "m_key").orderBy("m_copies")
-    plan = mix(docs, seed=seed, **how).select(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.col("copies").alias("m_copies"))
-    plan = plan.withColumn("m_no", F.row_number().over(same))
-    rows = docs.select(*cols, F.col("doc_id").cast("long").alias("r_id"), F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias("r_key"))
-    rows = rows.withColumn("r_no", F.row_number().over(W.partitionBy("r_id", "r_key").orderBy(F.lit(0))))
-    met = rows.join(plan.where("m_copies > 0"), F.expr("r_id <=> m_id AND r_key = m_key AND r_no = m_no"))
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("m_id")  # the key tells null from 0
+    plan = mix(docs, seed=seed, **how).groupBy(known, F.col("key").alias("m_key")).agg(F.sum("copies").alias("m_sum"), F.count(F.lit(1)).alias("m_rows"))
+    rows = docs.select(*cols, known, F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias("m_key"))
+    met = rows.join(plan.where("m_sum > 0"), ["m_id", "m_key"])
+    no = F.row_number().over(W.partitionBy("m_id", "m_key").orderBy(F.lit(0)))
+    copies = F.expr("m_sum DIV m_rows + CAST(m_no <= m_sum % m_rows AS INT)").cast("int")
+    met = met.withColumn("m_no", no).withColumn("m_copies", copies).where("m_copies > 0")
     return met.withColumn("m_copy", F.explode(F.sequence(F.lit(1), "m_copies"))).select(*cols)

@@ -264,16 +264,34 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set") -> DataFrame:
-    """(doc_id, class_id) for each row of docs(doc_id, text). A text goes by 64 bits of its digest."""
+    """(doc_id, class_id, text_key, class_key) for each row of docs(doc_id, text). A text goes by
+    64 bits of its digest, text_key; class_key is that of the class's first document, class_id."""
     all_rows = cut(signatures(docs, words=words, bands=bands, rows=rows, weighting=weighting))
     own = all_rows.where("keys IS NOT NULL")
-    named = cut(own.groupBy("id").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys")))
+    named = cut(own.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("keys").alias("keys")))
     no_id = F.lit(-(2**63))
     texts = docs.select(_text_id().alias("id"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("of"), F.col("text").cast("binary").alias("text"))
     copies = named.select("id", F.coalesce("least", no_id).alias("of"), "keys")
     found = components(links(copies, texts.where("text IS NOT NULL"), words=words, least=least, weighting=weighting))
     roots = named.select("id", "least").join(found, "id", "left").select("id", "least", F.coalesce("root", "id").alias("root"))
-    names = roots.groupBy("root").agg(F.min("least").alias("class_id"))
-    of_text = roots.join(names, "root").select("id", "class_id")
-    known = own.select("doc_id", "id").join(of_text, "id").select("doc_id", "class_id")
-    return known.unionByName(all_rows.where("keys IS NULL").select("doc_id", F.col("doc_id").alias("class_id")))
+    names = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "id")).alias("first"))
+    of_text = roots.join(names, "root").select("id", F.col("first.least").alias("class_id"), F.col("first.id").alias("class_key"))
+    known = own.select("doc_id", "id").join(of_text, "id").select("doc_id", "class_id", F.col("id").alias("text_key"), "class_key")
+    alone = all_rows.where("keys IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("text_key"), F.lit(None).cast("long").alias("class_key"))
+    return known.unionByName(alone)
+
+
+def keep_firsts(docs: DataFrame, **how) -> DataFrame:
+    """docs with one row of each class, its first document; all rows without words stay."""
+    cols = docs.columns
+    found = classes(docs, **how).where("text_key = class_key AND doc_id <=> class_id")
+    found = cut(found.groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias("k_id"), F.col("text_key").alias("k_key")).count())
+    firsts, n = found.select("k_id", "k_key"), found.count()
+    rows = docs.select(*cols, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k_id"), _text_id().alias("k_key"))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # Repeated rows (the same id and text) are rare; only these are numbered.
+    again = found.where("count > 1").select("k_id", "k_key")
+    met = rows.where(worded).join(F.broadcast(firsts) if n <= BROADCAST_IDS else firsts, ["k_id", "k_key"], "left_semi")
+    if not again.isEmpty():
+        met = met.join(again, ["k_id", "k_key"], "left_anti").unionByName(met.join(again, ["k_id", "k_key"], "left_semi").dropDuplicates(["k_id", "k_key"]))
+    return met.select(*cols).unionByName(rows.where(~worded).select(*cols))

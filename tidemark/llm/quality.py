@@ -194,3 +194,21 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THR
 
     kept = rows.drop("_text").schema
     return rows.mapInArrow(run, StructType([*kept, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that are scored `threshold` or more, with their columns."""
+    net = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        own = shared.value
+        tables = own.tables() if own else None
+        for b in batches:
+            if own:
+                x = np.array([pool(tables, t.as_py().encode() if t.is_valid else b"") for t in b.column(at)]).reshape(-1, 2 * FILTERS)
+                b = b.filter(pa.array(own.head(x) >= threshold))
+            yield b
+
+    return docs.mapInArrow(run, docs.schema)

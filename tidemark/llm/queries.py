@@ -98,11 +98,14 @@ def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classes(table(spark, sf_dir, "documents"))
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_mixing": op1_mixing,
         "op2_sharding": op2_sharding,
         "op3_rules": op3_rules,
