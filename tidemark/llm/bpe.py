@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import cut
 from .lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon, and the longest of them in bytes; the driver holds so many and no more.
 LEXICON_WORDS, LONGEST_WORD = 100_000, 40
-#: Words that a worker's cache holds.
-CACHE_WORDS = 200_000
+#: Words and pieces that a worker's caches hold.
+CACHE_WORDS, CACHE_PIECES = 500_000, 150_000
 #: White space of the Replace and Split patterns. str.split() takes four controls more.
 _BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _ODD = re.compile("[\x1c-\x1f]")
@@ -93,6 +94,8 @@ class WordBPE:
         self.merges: dict[int, tuple[int, int]] = {}  # left << 32 | right: (rank, merged)
         for rank, (a, b) in enumerate(model["merges"]):
             self.merges[vocab[a] << 32 | vocab[b]] = rank, vocab[a + b]
+        self.no_merge = len(model["merges"]), -1
+        self.known: dict[str, list[int]] = {}  # pieces met last
         letter, number = _class("L", more=_NEW_LETTERS), _class("N", more=_NEW_NUMBERS)
         self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{_BLANK}{letter}{number}]+")
 
@@ -102,16 +105,19 @@ class WordBPE:
         ids[-1] = self.last[piece[-1]]
         if len(ids) > 24:
             return self._merge_long(ids)
-        get = self.merges.get
-        while len(ids) > 1:
-            best = None
-            for i in range(len(ids) - 1):
-                m = get(ids[i] << 32 | ids[i + 1])
-                if m is not None and (best is None or m[0] < best[0]):
-                    best, at = m, i
-            if best is None:
+        get, none = self.merges.get, self.no_merge
+        pairs = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while pairs:
+            best = min(pairs)
+            if best is none:
                 break
+            at = pairs.index(best)
             ids[at : at + 2] = [best[1]]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = get(best[1] << 32 | ids[at + 1], none)
+            if at:
+                pairs[at - 1] = get(ids[at - 1] << 32 | best[1], none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -145,7 +151,14 @@ class WordBPE:
                 # letter by letter, so without a final sigma
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").translate(_NEW_LOWER)
             for piece in self.pieces.findall(part.lower()):
-                out += self.merge(piece.encode())
+                ids = self.known.get(piece)
+                if ids is None:
+                    ids = self.merge(piece.encode())
+                    if len(self.known) >= CACHE_PIECES:
+                        self.known.clear()
+                    if len(piece) <= LONGEST_WORD:
+                        self.known[piece] = ids
+                out += ids
         return out
 
     def decode(self, ids) -> str:
@@ -159,19 +172,23 @@ def load(spec: str) -> WordBPE:
 
 
 class _Cache(dict):
-    """word: (its ids as bytes, its tokens' names joined by spaces, or None without tokens)."""
+    """word: (its ids as bytes, its tokens' names joined by spaces, or None without tokens). When
+    it is full, it becomes the older half, from which words that are met again come back."""
 
     def __init__(self, bpe: WordBPE, lexicon: Lexicon, most: int):
-        self.bpe, self.lexicon, self.most = bpe, lexicon, most
+        self.bpe, self.lexicon, self.most, self.older = bpe, lexicon, most // 2, {}
 
     def __missing__(self, word: str):
-        if len(self) >= self.most:
-            self.clear()
-        ids = self.lexicon.get(word.encode()) if len(word) <= LONGEST_WORD else None
-        if ids is None:
-            ids = np.array(self.bpe.encode_word(word), "<u4")
-        out = ids.tobytes(), self.bpe.decode(ids.tolist()) if len(ids) else None
+        out = self.older.get(word)
+        if out is None:
+            ids = self.lexicon.get(word.encode()) if len(word) <= LONGEST_WORD else None
+            if ids is None:
+                ids = np.array(self.bpe.encode_word(word), "<u4")
+            out = ids.tobytes(), self.bpe.decode(ids.tolist()) if len(ids) else None
         if len(word) <= LONGEST_WORD:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
             self[word] = out
         return out
 
@@ -198,10 +215,19 @@ def encode_text(text: str, cache) -> tuple[bytes, str]:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words of all texts, at most so many, the smaller first among equals."""
+    """Words by their counts in all texts: those from the least count on, two or more, that at
+    most so many words reach."""
     word = F.explode(F.split(F.col(text), r"\s+")).alias("word")  # Java's: ASCII blanks; others stay inside words and are never found
     counts = docs.select(word).where((F.col("word") != "") & (F.octet_length("word") <= LONGEST_WORD)).groupBy("word").count()
-    return [x[0] for x in counts.orderBy(F.desc("count"), "word").limit(most).select("word").collect()]
+    counts = cut(counts.where("count > 1"))
+    step = F.when(F.col("count") < 1024, F.col("count")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("count"))).cast("long"))
+    least, words = None, 0
+    for at, n in sorted(counts.groupBy(step.alias("at")).agg(F.count(F.lit(1))).collect(), reverse=True):  # 1,100 rows at most
+        words += n
+        if words > most:
+            break
+        least = at
+    return [] if least is None else [x[0] for x in counts.where(F.col("count") >= least).select("word").collect()]
 
 
 def build_lexicon(bpe: WordBPE, words: list[str]) -> bytes:

@@ -69,8 +69,8 @@ def compile_lexicon(entries: Iterable[tuple[bytes, Sequence[int]]]) -> bytes:
     ends = np.zeros(len(ids) + 1, dtype=np.int32)
     ends[1:] = np.cumsum([len(x) for x in ids]) if ids else []
     parts = [
-        np.asarray(first, "<i4"), np.asarray(label, "<i4"), np.asarray(target, "<i4"), np.asarray(output, "<i4"),
-        np.asarray(final, "<i4"), np.asarray(ends, "<i4"), np.concatenate(ids) if ids else np.zeros(0, "<u4"),
+        np.asarray(first, "<i4"), np.asarray(target, "<i4"), np.asarray(output, "<i4"), np.asarray(final, "<i4"),
+        np.asarray(ends, "<i4"), np.concatenate(ids) if ids else np.zeros(0, "<u4"), np.asarray(label, "u1"),
     ]
     head = np.asarray([_MAGIC, root, *map(len, parts)], "<i4")
     return head.tobytes() + b"".join(x.tobytes() for x in parts)
@@ -89,10 +89,11 @@ class Lexicon:
         self.root, at = int(head[1]), head.nbytes
         arrays = []
         for n in head[2:]:
-            arrays.append(np.frombuffer(self._map, "<u4" if len(arrays) == 6 else "<i4", int(n), at))
+            arrays.append(np.frombuffer(self._map, ["<i4", "<u4", "u1"][max(0, len(arrays) - 4)], int(n), at))
+            self._labels = at
             at += arrays[-1].nbytes
-        self.first, self.label, self.target, self.output, self.final, self.ends, self.ids = arrays
-        self._first, self._label, self._target, self._output, self._final, self._ends = (memoryview(x) for x in arrays[:6])
+        self.first, self.target, self.output, self.final, self.ends, self.ids, self.label = arrays
+        self._first, self._target, self._output, self._final, self._ends = (memoryview(x) for x in arrays[:5])
 
     @property
     def n_states(self) -> int:
@@ -103,20 +104,14 @@ class Lexicon:
 
     def get(self, word: bytes) -> np.ndarray | None:
         """The ids of a word; None where the lexicon lacks it."""
-        first, label, target, output = self._first, self._label, self._target, self._output
+        first, target, output, find, labels = self._first, self._target, self._output, self._map.find, self._labels
         state, rank = self.root, 0
-        for byte in word:
-            lo, hi = first[state], first[state + 1]
-            while lo < hi:  # a state's arcs are in the order of their bytes
-                mid = (lo + hi) >> 1
-                if label[mid] < byte:
-                    lo = mid + 1
-                else:
-                    hi = mid
-            if lo == first[state + 1] or label[lo] != byte:
+        for i in range(len(word)):
+            arc = find(word[i : i + 1], labels + first[state], labels + first[state + 1]) - labels
+            if arc < 0:
                 return None
-            rank += output[lo]
-            state = target[lo]
+            rank += output[arc]
+            state = target[arc]
         if not self._final[state]:
             return None
         return self.ids[self._ends[rank] : self._ends[rank + 1]]
