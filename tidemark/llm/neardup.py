@@ -8,11 +8,10 @@ length, and keeps the earliest dart of each coordinate. A coordinate of two docu
 the chance of their weighted Jaccard similarity (after Christiani's DartMinHash).
 
 Equal texts are merged first, by their digest. Signatures are cut into bands; rows that agree in a
-band are joined to the band's leader, the row of least hash for this band, never pairwise. Those
-that also agree in the next band have a leader of their own, so a mixed group doesn't hide its
-parts. Each pair is verified over the whole texts. Where a row fails its leader, what is
-left of the group goes on with a new leader, until every row has met one that it matches or has
-led. Links are joined into classes by contraction to the least id, over checkpoints.
+band are joined to the group's leader, the row that agrees with most others over all bands, never
+pairwise. Those that also agree in the next band have a leader of their own, so a mixed group doesn't hide its
+parts. Each pair is verified over the whole texts. Rows that fail their leader and aren't in its
+class by other links go on with new leaders, a few times. Links are joined into classes by contraction to the least id, over checkpoints.
 
 Defined results: texts without words (null, empty, blank) are alone, each in its own class;
 repeated rows and equal texts share a class; a class is named by its least doc_id; rows with a
@@ -33,6 +32,9 @@ from .common import cut
 WORDS, SIMILARITY = 5, 0.8
 #: Bands x rows coordinates. A pair of similarity s shares a band with chance 1 - (1 - s^4)^16: 0.9998 at 0.8, 0.99999 at 0.85.
 BANDS, ROWS = 16, 4
+#: Times that rows which failed their leader get another. Where one text has thousands of near copies,
+#: links of just 0.8 between two copies that both miss the leader may stay unfound (README).
+MORE_LEADERS = 1
 #: So many ids may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -160,12 +162,12 @@ def _text_id():
 
 
 def signatures(docs: DataFrame, *, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, weighting: str = "set") -> DataFrame:
-    """(doc_id, id, keys array<long>) of docs(doc_id, text): a text's id and its bands; keys null
-    for texts without words."""
+    """(doc_id, id, keys array<long>, sig array<int>) of docs(doc_id, text): a text's id, its bands
+    and 32 bits of each coordinate; keys and sig null for texts without words."""
 
     def run(batches):
         for b in batches:
-            keys, sets, at, held = [None] * len(b), [], [], 0
+            keys, sigs, sets, at, held = [None] * len(b), [None] * len(b), [], [], 0
             for i, t in enumerate(b.column(2)):
                 x = weighted(shingles(t.as_buffer().to_pybytes() if t.is_valid else b"", words), weighting)
                 if len(x[0]):
@@ -173,13 +175,22 @@ def signatures(docs: DataFrame, *, words: int = WORDS, bands: int = BANDS, rows:
                     at.append(i)
                     held += len(x[0])
                 if held > 200_000 or (held and i == len(b) - 1):  # as many at once as memory is sure to hold
-                    for n, own in zip(at, band_keys(dart_minhash(sets, bands * rows), bands, rows)):
-                        keys[n] = own
+                    s = dart_minhash(sets, bands * rows)
+                    for n, own, sig in zip(at, band_keys(s, bands, rows), s.astype(np.uint32).view(np.int32)):
+                        keys[n], sigs[n] = own, sig
                     sets, at, held = [], [], 0
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "id", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int32()))], names=["doc_id", "id", "keys", "sig"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id().alias("id"), F.col("text").cast("binary").alias("text"))
-    return text.mapInArrow(run, "doc_id long, id long, keys array<long>")
+    return text.mapInArrow(run, "doc_id long, id long, keys array<long>, sig array<int>")
+
+
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, text), once for each of ids(id, of)."""
+    ids = ids.select("id", "of")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return texts.join(ids, ["id", "of"], "left_semi").groupBy("id").agg(F.first("text").alias("text"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame, *, words: int, least: float, weighting: str) -> DataFrame:
@@ -199,20 +210,19 @@ def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame, *, words: int
                 similar.append(bool(common >= least * (v.sum() + w.sum() - common)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar, pa.bool_())], names=["a", "b", "similar"])
 
-    ids = cut(named.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").select("id", "of"))
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = texts.join(ids, ["id", "of"], "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    ids = named.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").select("id", "of")
+    texts = _texts_of(cut(ids), texts)
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("s"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("t"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "s", "t").mapInArrow(run, "a long, b long, similar boolean")
 
 
 def _led(members: DataFrame, *group: str) -> DataFrame:
-    """members, those in groups of two or more, with `leader`: the row of least hash in the group."""
-    rank = F.struct(F.xxhash64("key", "id").alias("h"), "id")
-    leaders = members.groupBy(*group).agg(F.min(rank).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return members.join(leaders.select(*group, F.col("lead.id").alias("leader")), list(group)).select("key", "next", "id", "leader")
+    """members(key, next, id, central), those in groups of two or more, with `leader`, the most
+    central row of the group."""
+    leaders = members.groupBy(*group).agg(F.max(F.struct("central", "id")).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = members.join(leaders.select(*group, F.col("lead.id").alias("leader")), list(group))
+    return met.select("key", "next", "id", "central", "leader")
 
 
 def _pairs(led: DataFrame) -> DataFrame:
@@ -220,26 +230,45 @@ def _pairs(led: DataFrame) -> DataFrame:
     return led.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
 
 
+def _likely(pairs: DataFrame, named: DataFrame, least: float) -> DataFrame:
+    """pairs whose signatures agree in so many coordinates that their similarity may be `least`:
+    those five standard deviations below it and less can't be told from it but once in a million."""
+    k = F.size("s")
+    agree = F.size(F.filter(F.zip_with("s", "t", lambda x, y: x == y), lambda x: x))
+    left, right = named.select(F.col("id").alias("a"), F.col("sig").alias("s")), named.select(F.col("id").alias("b"), F.col("sig").alias("t"))
+    return pairs.join(left, "a").join(right, "b").where(agree >= k * least - 5 * F.sqrt(k * least * (1 - least))).select("a", "b")
+
+
 def links(named: DataFrame, texts: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, weighting: str = "set") -> DataFrame:
-    """(a, b): verified links between texts that share a band, from named(id, of, keys) and texts(id, of, text)."""
-    how = {"words": words, "least": least, "weighting": weighting}
+    """(a, b): verified links between texts that share a band, from named(id, of, keys, sig) and
+    texts(id, of, text)."""
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        likely = cut(_likely(pairs, named, least))
+        return cut(verified(likely, texts, named, words=words, least=least, weighting=weighting).where("similar").select("a", "b"))
+
     band = named.select("id", "keys", F.posexplode("keys").alias("band", "key"))
     members = band.select("key", F.element_at("keys", ((F.col("band") + 1) % F.size("keys") + 1).cast("int")).alias("next"), "id")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cut(members.join(sizes, "key"))
+    # The row that others are copies of shares a band with most of them in every band.
+    central = members.groupBy("id").agg(F.sum("n").alias("central"))
+    members = members.drop("n").join(central, "id").select("key", "next", "id", "central")
     wide = cut(_led(members, "key"))
-    pairs = cut(_pairs(wide.unionByName(_led(wide.drop("leader"), "key", "next"))))
-    seen = cut(verified(pairs, texts, named, **how))
-    found = [seen.where("similar").select("a", "b")]
-    while True:
-        # What failed its leader goes on without it; a leader has met its whole group.
-        ends = [F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")]
-        failed = wide.where("id <> leader").select("key", "next", "id", *ends).join(seen.where("NOT similar"), ["a", "b"], "left_semi")
-        wide = cut(_led(failed.select("key", "next", "id"), "key"))
+    linked = verify(cut(_pairs(wide.unionByName(_led(wide.drop("leader"), "key", "next")))))
+    found = [linked]
+    for _ in range(MORE_LEADERS):
+        # What failed its leader and isn't in its class goes on, with new leaders.
+        known = components(linked) if len(found) == 1 else known
+        of_id, of_leader = known.select("id", F.col("root").alias("r")), known.select(F.col("id").alias("leader"), F.col("root").alias("l"))
+        apart = wide.where("id <> leader").join(of_id, "id", "left").join(of_leader, "leader", "left").where("coalesce(r, id) <> coalesce(l, leader)")
+        failed = cut(apart.select("key", "next", "id", "central"))
+        wide = cut(_led(failed, "key"))
         if wide.isEmpty():
-            return reduce(DataFrame.unionByName, found).distinct()
-        new = cut(_pairs(wide).join(seen, ["a", "b"], "left_anti"))
-        more = cut(verified(new, texts, named, **how))
-        found.append(more.where("similar").select("a", "b"))
-        seen = seen.unionByName(more)
+            break
+        linked = verify(cut(_pairs(wide.unionByName(_led(failed, "key", "next")))))
+        found.append(linked)
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -268,10 +297,10 @@ def classes(docs: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, b
     64 bits of its digest, text_key; class_key is that of the class's first document, class_id."""
     all_rows = cut(signatures(docs, words=words, bands=bands, rows=rows, weighting=weighting))
     own = all_rows.where("keys IS NOT NULL")
-    named = cut(own.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("keys").alias("keys")))
+    named = cut(own.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("keys").alias("keys"), F.min("sig").alias("sig")))
     no_id = F.lit(-(2**63))
     texts = docs.select(_text_id().alias("id"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("of"), F.col("text").cast("binary").alias("text"))
-    copies = named.select("id", F.coalesce("least", no_id).alias("of"), "keys")
+    copies = named.select("id", F.coalesce("least", no_id).alias("of"), "keys", "sig")
     found = components(links(copies, texts.where("text IS NOT NULL"), words=words, least=least, weighting=weighting))
     roots = named.select("id", "least").join(found, "id", "left").select("id", "least", F.coalesce("root", "id").alias("root"))
     names = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "id")).alias("first"))
