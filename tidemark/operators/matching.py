@@ -20,7 +20,7 @@ def candidates(decisions: DataFrame, elements: DataFrame, glossary: list[tuple[s
     named = named.withColumns({"_n": keys_of("_n"), "_t": keys_of("_t")})
     seen = elements.select(*keys, F.col("id").alias("element_id"), "text", "box", "first_seen", "last_seen", "confidence", "occurrences", match_key(normalize_latin(F.col("text"))).alias("match_key"))
     met = overlap_join(named, seen, 60.0, keys, margin=c.time_margin)
-    fits = lambda c: F.coalesce(key_score(F.col(c)["key"], F.col(c)["tokens"], F.col("match_key")), F.lit(0.0))
+    fits = lambda c: F.when(F.col(c).isNull(), 0.0).otherwise(key_score(F.col(c)["key"], F.col(c)["tokens"], F.col("match_key")))
     score = F.greatest(fits("_n"), fits("_t"))
     met = met.withColumns({"score": score, "visible": visible_share(F.col("first_seen"), F.col("last_seen"), F.col("start"), F.col("end"))})
     return met.where("score > 0").drop("_n", "_t")
@@ -50,13 +50,15 @@ def judge(merged: DataFrame, positions: DataFrame, c: Matching = Matching(), key
     too brief, too small or large; accepted otherwise. The pointer may settle an ambiguity, nothing
     else. positions(keys, segment_id, positions)."""
     own = [*keys, "segment_id"]
-    met = merged.join(positions, own, "left")
-    met = met.withColumn("_dist", F.array_min(F.transform(F.coalesce("positions", F.array().cast("array<struct<timestamp:double,x:double,y:double>>")), lambda p: distance_to_box(p["x"], p["y"], F.col("box")))))
     w = W.partitionBy(*own)
+    met = merged.join(positions, own, "left")
     good = F.col("score") >= c.min_score
     met = met.withColumn("_top", F.max(F.when(good, F.col("score"))).over(w)).withColumn("_in", good & (F.col("score") >= F.col("_top") - c.ambiguity))
+    met = met.withColumn("_n_in", F.count_if("_in").over(w))
+    far = F.array_min(F.transform("positions", lambda p: distance_to_box(p["x"], p["y"], F.col("box"))))
+    met = met.withColumn("_dist", F.when(F.col("_in") & (F.col("_n_in") > 1), far))  # nothing else asks for it
     near = F.col("_in") & (F.col("_dist") <= c.cursor_distance) & F.lit(c.cursor_distance > 0)
-    met = met.withColumns({"_near": F.coalesce(near, F.lit(False)), "_n_near": F.count_if(F.coalesce(near, F.lit(False))).over(w), "_n_in": F.count_if("_in").over(w), "_n_good": F.count_if(good).over(w)})
+    met = met.withColumns({"_near": F.coalesce(near, F.lit(False)), "_n_near": F.count_if(F.coalesce(near, F.lit(False))).over(w), "_n_good": F.count_if(good).over(w)})
     settled = (F.col("_n_in") > 1) & (F.col("_n_near") == 1)
     met = met.withColumn("_no", F.row_number().over(w.orderBy(F.when(settled, (~F.col("_near")).cast("int")).otherwise(0), F.desc("score"), F.desc("visible"), "first_seen", "element_id")))
     rivals = F.slice(F.array_sort(F.collect_list(F.when(F.col("_in") & (F.col("_no") > 1), F.struct("_no", "text"))).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))), 1, c.max_rivals)
@@ -80,8 +82,8 @@ def match(decisions: DataFrame, elements: DataFrame, track: DataFrame, glossary:
     named = decisions.where("ui_reference.kind = 'named_control'").select(*keys, "id", F.col("source_start").alias("start"), F.col("source_end").alias("end"))
     positions = range_or_asof(named, track, 60.0, c.time_margin, cursor.hold, keys).select(*keys, F.col("id").alias("segment_id"), "positions")
     judged = judge(merge_same(candidates(decisions, elements, list(glossary), c, keys), c, keys), positions, c, keys)
-    none = named.withColumnRenamed("id", "segment_id").join(judged, [*keys, "segment_id"], "left_anti").select(*keys, "segment_id", F.lit("refused").alias("verdict"), F.lit("no_candidate").alias("reason_code"))
-    return judged.unionByName(none, allowMissingColumns=True)
+    every = named.select(*keys, F.col("id").alias("segment_id")).join(judged, [*keys, "segment_id"], "left")
+    return every.fillna({"verdict": "refused", "reason_code": "no_candidate"})
 
 
 def match_counts(verdicts: DataFrame, decisions: DataFrame, keys=KEY) -> DataFrame:

@@ -118,11 +118,11 @@ def piece_starts(spark, d):
 
 
 @query(f"""WITH {_SEG}, s AS (SELECT *, sum(d) OVER w0 AS total, count(*) OVER w0 AS k, coalesce(sum(d) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM seg WINDOW w0 AS (PARTITION BY conv_id)),
-f AS (SELECT *, least(6, CAST(round_even(total / 6, 0) AS INT)) AS parts FROM s), g AS (SELECT *, least(parts - 1, CAST(floor((b + d / 2) / total * parts) AS INT)) AS bucket FROM f WHERE parts >= 2 AND k >= 2 * parts)
+f AS (SELECT *, least(6, CAST(round_even(total / 35, 0) AS INT)) AS parts FROM s), g AS (SELECT *, least(parts - 1, CAST(floor((b + d / 2) / total * parts) AS INT)) AS bucket FROM f WHERE parts >= 2 AND k >= 2 * parts)
 SELECT conv_id, turn, dense_rank() OVER (PARTITION BY conv_id ORDER BY bucket) - 1 AS slice FROM g""")
 def duration_slices(spark, d):
     s = _segments(spark, d)
-    return timeline.duration_slices(s, F.col("d"), ["turn"], Layout(chapter_seconds=6.0), ["conv_id"]).select("conv_id", "turn", F.col("slice").cast("long").alias("slice"))
+    return timeline.duration_slices(s, F.col("d"), ["turn"], Layout(chapter_seconds=35.0), ["conv_id"]).select("conv_id", "turn", F.col("slice").cast("long").alias("slice"))
 
 
 @query("""WITH e AS (SELECT user_id, event_type, epoch_us(ts) / 1e6 AS s FROM events), f AS (SELECT user_id, event_type, min(s) AS a FROM e GROUP BY 1, 2), x AS (SELECT user_id, max(s) AS total FROM e GROUP BY 1),
