@@ -10,8 +10,8 @@ the chance of their weighted Jaccard similarity (after Christiani's DartMinHash)
 Equal texts are merged first, by their digest. Signatures are cut into bands; rows that agree in a
 band are joined to the group's leader, the row that agrees with most others over all bands, never
 pairwise. Those that also agree in the next band have a leader of their own, so a mixed group doesn't hide its
-parts. Each pair is verified over the whole texts. Rows that fail their leader and aren't in its
-class by other links go on with new leaders, a few times. Links are joined into classes by contraction to the least id, over checkpoints.
+parts. Each pair is verified over the whole texts. Where rows fail their leader and aren't in its
+class by other links, the rows of such groups are compared once more, all of them, in blocks. Links are joined into classes by contraction to the least id, over checkpoints.
 
 Defined results: texts without words (null, empty, blank) are alone, each in its own class;
 repeated rows and equal texts share a class; a class is named by its least doc_id; rows with a
@@ -27,14 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, use_worker
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands x rows coordinates. A pair of similarity s shares a band with chance 1 - (1 - s^4)^16: 0.9998 at 0.8, 0.99999 at 0.85.
 BANDS, ROWS = 16, 4
-#: Times that rows which failed their leader get another. Where one text has thousands of near copies,
-#: links of just 0.8 between two copies that both miss the leader may stay unfound (README).
-MORE_LEADERS = 1
+#: Rows of a block when what leaders left over is compared.
+BLOCK = 256
 #: So many ids may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -166,6 +165,7 @@ def signatures(docs: DataFrame, *, words: int = WORDS, bands: int = BANDS, rows:
     and 32 bits of each coordinate; keys and sig null for texts without words."""
 
     def run(batches):
+        use_worker("neardup")
         for b in batches:
             keys, sigs, sets, at, held = [None] * len(b), [None] * len(b), [], [], 0
             for i, t in enumerate(b.column(2)):
@@ -198,6 +198,7 @@ def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame, *, words: int
     texts(id, of, text), the copy whose doc_id is named(id, of)."""
 
     def run(batches):
+        use_worker("neardup")
         for batch in batches:
             last, cached = None, None
             similar = []
@@ -256,19 +257,65 @@ def links(named: DataFrame, texts: DataFrame, *, words: int = WORDS, least: floa
     members = members.drop("n").join(central, "id").select("key", "next", "id", "central")
     wide = cut(_led(members, "key"))
     linked = verify(cut(_pairs(wide.unionByName(_led(wide.drop("leader"), "key", "next")))))
-    found = [linked]
-    for _ in range(MORE_LEADERS):
-        # What failed its leader and isn't in its class goes on, with new leaders.
-        known = components(linked) if len(found) == 1 else known
-        of_id, of_leader = known.select("id", F.col("root").alias("r")), known.select(F.col("id").alias("leader"), F.col("root").alias("l"))
-        apart = wide.where("id <> leader").join(of_id, "id", "left").join(of_leader, "leader", "left").where("coalesce(r, id) <> coalesce(l, leader)")
-        failed = cut(apart.select("key", "next", "id", "central"))
-        wide = cut(_led(failed, "key"))
-        if wide.isEmpty():
-            break
-        linked = verify(cut(_pairs(wide.unionByName(_led(failed, "key", "next")))))
-        found.append(linked)
-    return reduce(DataFrame.unionByName, found).distinct()
+    # Where a row failed its leader and isn't in its class, other rows of the group may be linked.
+    known = cut(components(linked))
+    of_id, of_leader = known.select("id", F.col("root").alias("r")), known.select(F.col("id").alias("leader"), F.col("root").alias("l"))
+    rooted = cut(wide.join(of_id, "id", "left").join(of_leader, "leader", "left").select("key", "id", "leader", F.coalesce("r", "id").alias("r"), F.coalesce("l", "leader").alias("l")))
+    mixed = rooted.where("r <> l").select("key").distinct()
+    edges = cut(rooted.join(mixed, "key", "left_semi").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
+    left = components(edges).select("id", F.col("root").alias("grp")).join(known, "id", "left").select("id", "grp", F.coalesce("root", "id").alias("root"))
+    more = _linked_classes(cut(left), named, texts, words, least, weighting)
+    return linked.unionByName(more).distinct()
+
+
+def _linked_classes(left: DataFrame, named: DataFrame, texts: DataFrame, words: int, least: float, weighting: str) -> DataFrame:
+    """(a, b): a link for each two classes that have one, among the rows of each group of
+    left(id, grp, root). All rows of a group are compared, exactly: in blocks of some hundred, each
+    two of which meet in one task and are compared by a product of matrices. No pairs are emitted
+    but the links."""
+
+    def sets(batches):
+        use_worker("neardup")
+        for b in batches:
+            out = []
+            for t in b.column(1):
+                x, w = weighted(shingles(t.as_buffer().to_pybytes(), words), weighting)
+                again = [mix64(x[w > i] + np.uint64(i) * _M3) for i in range(1, int(w.max(initial=1)))]
+                out.append(np.concatenate((x, *again)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], names=["id", "x"])
+
+    def compare(t: pa.Table) -> pa.Table:
+        block, p, q = t.column("block").to_numpy(), t.column("p")[0].as_py(), t.column("q")[0].as_py()
+        ids, roots = t.column("id").to_numpy(), t.column("root").to_numpy()
+        xs = [v.values.to_numpy() for v in t.column("x")]
+        n = np.array([len(x) for x in xs])
+        left_, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
+        common = np.zeros((len(left_), len(right)), dtype=np.float32)
+        every, owner = np.concatenate(xs), np.repeat(np.arange(len(xs)), n)
+        _, col, times = np.unique(every, return_inverse=True, return_counts=True)
+        shared = times[col] > 1  # what only one row has is in no intersection
+        col, owner = np.unique(col[shared], return_inverse=True)[1], owner[shared]
+        order = np.argsort(col, kind="stable")
+        col, owner = col[order], owner[order]
+        width = int(col[-1]) + 1 if len(col) else 0
+        for at in range(0, width, 4096):
+            lo, hi = np.searchsorted(col, (at, at + 4096))
+            m = np.zeros((len(xs), min(4096, width - at)), dtype=np.float32)
+            m[owner[lo:hi], col[lo:hi] - at] = 1
+            common += m[left_] @ m[right].T
+        similar = common >= least * (n[left_][:, None] + n[right][None, :] - common) - 1e-3
+        i, j = np.nonzero(similar & (roots[left_][:, None] != roots[right][None, :]))
+        i, j = left_[i], right[j]
+        a, b = np.minimum(roots[i], roots[j]), np.maximum(roots[i], roots[j])
+        _, first = np.unique(np.stack((a, b), axis=1), axis=0, return_index=True) if len(i) else (None, np.zeros(0, int))
+        return pa.table({"a": np.minimum(ids[i[first]], ids[j[first]]), "b": np.maximum(ids[i[first]], ids[j[first]])})
+
+    sizes = left.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    left = left.join(sizes.select("grp", "blocks"), "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    left = cut(left.join(named.select("id", "of"), "id"))
+    rows = _texts_of(left, texts).mapInArrow(sets, "id long, x array<long>").join(left.drop("of"), "id")
+    met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("grp", F.least("block", "o").alias("p"), F.greatest("block", "o").alias("q"), "block", "id", "root", "x")
+    return cut(met.groupBy("grp", "p", "q").applyInArrow(compare, "a long, b long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
