@@ -25,15 +25,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, use_worker
 from .lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon, and the longest of them in bytes; the driver holds so many and no more.
 LEXICON_WORDS, LONGEST_WORD = 100_000, 40
 #: Words and pieces that a worker's caches hold.
 CACHE_WORDS, CACHE_PIECES = 500_000, 150_000
+#: Rows that a worker encodes before it hands them on.
+ROWS = 128
 #: White space of the Replace and Split patterns. str.split() takes four controls more.
-_BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+_BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD = re.compile("[\x1c-\x1f]")
 
 
@@ -198,6 +200,12 @@ _workers: dict[int, _Cache] = {}
 
 def _cache(spec, lexicon, most: int) -> _Cache:
     """One a process: a worker that serves another query starts anew."""
+
+    def release():
+        _workers.clear()
+        load.cache_clear()
+
+    use_worker("bpe", release)
     if id(spec) not in _workers:
         _workers.clear()
         _workers[id(spec)] = _Cache(load(spec.value), Lexicon(lexicon.value), most)
@@ -250,7 +258,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep:
 
     def run(batches):
         cache = _cache(spec_b, lexicon_b, CACHE_WORDS)
-        for b in batches:
+        for b in (x.slice(i, ROWS) for x in batches for i in range(0, len(x), ROWS)):
             n, ids, decoded = [], [], []
             for t in b.column(n_kept):
                 raw, back = encode_text(t.as_py() or "", cache)

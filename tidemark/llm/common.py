@@ -37,3 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 def ceil_div(a, b: int):
     return F.ceil(a / F.lit(b)).cast("long")
+
+
+_held: dict[str, object] = {}
+
+
+def use_worker(name: str, release=None) -> None:
+    """Called in a Python worker, which serves one stage after the other: what other operators keep
+    between their tasks (caches) is given back. release() is kept for the next one to call."""
+    for other in [k for k in _held if k != name]:
+        _held.pop(other)()
+    if release is not None:
+        _held[name] = release

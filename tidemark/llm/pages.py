@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import use_worker
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>?"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)",
@@ -320,6 +322,7 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", "html")
 
     def run(batches):
+        use_worker("pages")
         for b in batches:
             text = [main_text(h, crf.value) if (h := x.as_py()) else "" for x in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string()), pa.array(list(map(len, text)), pa.int64())], names=["page_id", "url", "text", "n_chars"])

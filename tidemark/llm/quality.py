@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import use_worker
+
 SAMPLE_ROWS, SAMPLE_TEXT = 2_400, 16_384
 THRESHOLD = 0.3
 FOLDS = 5
@@ -179,6 +181,7 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THR
     n_kept = len(keep) + 1
 
     def run(batches):
+        use_worker("quality")
         own = shared.value
         tables = own.tables() if own else None
         for b in batches:
@@ -203,6 +206,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     at = docs.columns.index("text")
 
     def run(batches):
+        use_worker("quality")
         own = shared.value
         tables = own.tables() if own else None
         for b in batches:
