@@ -19,13 +19,15 @@ the least text.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, use_worker
 from .neardup import mix64
 
 K1, B, TOP = 1.2, 0.75, 10
@@ -78,6 +80,7 @@ def build_index(docs: DataFrame, shard_docs: int = SHARD_DOCS, shard_bytes: int
     assert shard_docs <= 32_767
 
     def run(batches):
+        use_worker("search")
         ids, texts, held = [], [], 0
         for b in batches:
             for i, t in zip(b.column(0), b.column(1)):
@@ -98,6 +101,7 @@ def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, term, qtf) of queries(query_id, text)."""
 
     def run(batches):
+        use_worker("search")
         for b in batches:
             out = []
             for q, t in zip(b.column(0), b.column(1)):
@@ -119,7 +123,7 @@ class Shard:
     """A shard made ready for queries with the collection's mean length."""
 
     def __init__(self, row: dict, mean_length: float):
-        self.ids, self.terms, self.offsets = row["ids"], row["terms"], row["offsets"].astype(np.int64)
+        self.ids, self.no_id, self.terms, self.offsets = row["ids"], row["no_id"], row["terms"], row["offsets"].astype(np.int64)
         self.docs, tf = row["docs"].astype(np.int64), row["tfs"].astype(float)
         norm = K1 * (1 - B + B * row["lengths"] / mean_length)
         self.weights = tf * (K1 + 1) / (tf + norm[self.docs])
@@ -138,8 +142,8 @@ class Shard:
         places, which = _spread(starts, ends)
         return np.bincount(self.docs[places], self.weights[places] * weights[which], self.n)
 
-    def top(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """(score, place) of the best k, and of all that tie with the last; terms in hash order."""
+    def top(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: float = 0.0) -> list[tuple[float, bool, int]]:
+        """(-score, whether the id is null, id) of the best k that reach floor, the best first; terms in hash order."""
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         have = self.terms[at] == terms
         at, weights = at[have], weights[have]
@@ -151,17 +155,17 @@ class Shard:
         score = lambda chosen: self._scores(self.run[runs[chosen]], self.run_end[runs[chosen]], own[chosen])
         first = score(block == bound.argmax())
         found = np.sort(first[first > 0])
-        least = found[-k] if len(found) >= k else 0.0
+        least = max(floor, found[-k] if len(found) >= k else 0.0)
         open_ = (bound >= least) & (bound > 0)
         if open_.sum() > 1:
             whole = 2 * open_.sum() > self.n_blocks  # then by whole terms, which is the same and faster
             first = self._scores(self.offsets[at], self.offsets[at + 1], weights) if whole else score(open_[block])
         self.scored_blocks += int(open_.sum())
-        hit = np.flatnonzero(first > 0)
+        hit = np.flatnonzero((first > 0) & (first >= floor))
         if len(hit) > k:
-            least = np.partition(first[hit], len(hit) - k)[len(hit) - k]
-            hit = hit[first[hit] >= least]
-        return [(first[i], i) for i in hit]
+            hit = hit[first[hit] >= np.partition(first[hit], len(hit) - k)[len(hit) - k]]
+        order = hit[np.lexsort((self.ids[hit], self.no_id[hit], -first[hit]))][:k]
+        return [(-first[i], bool(self.no_id[i]), int(self.ids[i])) for i in order]
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
@@ -192,14 +196,22 @@ def _against(index: DataFrame, block: pa.Table, mean: float, k: int) -> DataFram
     shared = index.sparkSession.sparkContext.broadcast(qs)  # QUERY_BLOCK queries, QUERY_TERMS terms
 
     def run(batches):
+        use_worker("search")
+        best = [[] for _ in shared.value]  # of all shards of this task; its k-th score prunes the next shard
         for b in batches:
             for i in range(len(b)):
                 row = {c: b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("lengths", "terms", "offsets", "docs", "tfs")}
-                row["terms"], row["ids"] = row["terms"].view(np.uint64), b.column("ids")[i].values
+                ids = b.column("ids")[i].values
+                row |= {"terms": row["terms"].view(np.uint64), "ids": ids.fill_null(0).to_numpy(), "no_id": ids.is_null().to_numpy(zero_copy_only=False)}
                 shard = Shard(row, mean)
                 if not len(shard.terms):
                     continue
-                out = [(q, s, at) for q, t, w in shared.value for s, at in shard.top(t, w, k)]
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), shard.ids.take(pa.array([o[2] for o in out], pa.int64())), pa.array([o[1] for o in out], pa.float64())], names=["query_id", "doc_id", "score"])
+                for n, (_, t, w) in enumerate(shared.value):
+                    found = shard.top(t, w, k, -best[n][-1][0] if len(best[n]) == k else 0.0)
+                    if found:
+                        best[n] = heapq.nsmallest(k, best[n] + found)
+        for (q, _, _), found in zip(shared.value, best):
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([q] * len(found), pa.int64()), pa.array([None if no else i for _, no, i in found], pa.int64()), pa.array([-s for s, _, _ in found], pa.float64())], names=["query_id", "doc_id", "score"])
 
     return index.select("ids", "lengths", "terms", "offsets", "docs", "tfs").mapInArrow(run, "query_id long, doc_id long, score double")
