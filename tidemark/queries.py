@@ -412,3 +412,57 @@ def text_files(spark, d):
 SELECT user_id, event_id FROM e WHERE i % greatest(1, n // 10) = 0 AND i < greatest(1, n // 10) * 10""")
 def stride_sample(spark, d):
     return temporal.stride_sample(_events(spark, d), 10, ["s", "event_id"], ["user_id"]).select("user_id", "event_id")
+
+
+@query("""WITH s AS (SELECT p_partkey, 100.0 + p_size * 40 AS w, 100.0 + p_partkey % 40 * 30 AS h FROM part), f AS (SELECT *, least(1920 / w, 1080 / h) AS fit FROM s),
+r AS (SELECT *, CASE WHEN fit < 1 THEN fit ELSE least(fit, greatest(1.0, 906.0 / h)) END AS ratio FROM f),
+x AS (SELECT *, CASE WHEN abs(ratio - 1) < 1e-9 THEN CAST(w AS INT) ELSE CAST(trunc(w * ratio) AS INT) - CAST(trunc(w * ratio) AS INT) % 2 END AS width, CASE WHEN abs(ratio - 1) < 1e-9 THEN CAST(h AS INT) ELSE CAST(trunc(h * ratio) AS INT) - CAST(trunc(h * ratio) AS INT) % 2 END AS height FROM r)
+SELECT p_partkey, width, height, CASE WHEN 1080 - height >= 174 THEN 64 ELSE 0 END AS top, CASE WHEN 1080 - height >= 174 THEN 1080 - height - 64 WHEN 1080 - height >= 110 THEN 1080 - height ELSE 0 END AS bottom FROM x""")
+def layout_fit(spark, d):
+    from .operators.layout import compute_layout
+
+    p = _t(spark, d, "part").select("p_partkey", compute_layout(F.lit(100.0) + F.col("p_size") * 40, F.lit(100.0) + F.col("p_partkey") % 40 * 30).alias("l"))
+    return p.select("p_partkey", "l.width", "l.height", "l.top", "l.bottom")
+
+
+@query("""SELECT event_id, printf('%d:%02d:%02d.%02d', cs // 360000, cs // 6000 % 60, cs // 100 % 60, cs % 100) AS stamp, '&H00' || substr(h, 5, 2) || substr(h, 3, 2) || substr(h, 1, 2) AS color
+FROM (SELECT event_id, CAST(round_even(greatest(value, 0) * 100, 0) AS BIGINT) AS cs, upper(printf('%06x', event_id)) AS h FROM events)""")
+def ass_stamps(spark, d):
+    color = T.ass_color(F.concat(F.lit("#"), F.lower(F.lpad(F.hex("event_id"), 6, "0"))))
+    return _t(spark, d, "events").select("event_id", T.ass_time(F.col("value")).alias("stamp"), color.alias("color"))
+
+
+@query(f"""WITH {_SEG}, {_PLAN}, c AS (SELECT DISTINCT conv_id FROM seg)
+SELECT conv_id, 'error' AS severity, 'no_video' AS code, NULL AS detail FROM c WHERE conv_id % 7 = 0 UNION ALL SELECT conv_id, 'error', 'no_audio', NULL FROM c WHERE conv_id % 5 = 0
+UNION ALL SELECT conv_id, 'error', 'duration_gap', printf('%.3f', (conv_id % 11) * 0.05) FROM c WHERE conv_id % 11 > 4 UNION ALL SELECT conv_id, 'warning', 'level', 'too_quiet' FROM c WHERE conv_id % 3 = 0
+UNION ALL SELECT conv_id, 'warning', 'needs_review', CAST(turn AS VARCHAR) FROM planned WHERE outcome = 'extended' AND t / 1.08 / d > 1.2""")
+def output_checks(spark, d):
+    s = _segments(spark, d)
+    plan = timeline.plan_shot(F.col("d"), F.col("t"), Retiming())
+    rows = s.select("conv_id", F.col("turn").cast("string").alias("id"), "turn", plan.alias("p"))
+    start = temporal.exclusive_sum(F.col("p.planned"), ["conv_id"], "turn")
+    line = rows.select("conv_id", "id", start.alias("new_start"), (start + F.col("p.planned")).alias("new_end"), F.col("p.needs_review").alias("needs_review"))
+    v = F.col("conv_id")
+    log = F.when(v % 3 == 0, "mean_volume: -61.5 dB max_volume: -20.0 dB").otherwise("mean_volume: -20.0 dB max_volume: -3.0 dB")
+    outputs = s.select("conv_id").distinct().select("conv_id", (v % 7 != 0).alias("has_video"), (v % 5 != 0).alias("has_audio"), F.lit(0.0).alias("video_duration"), (v % 11 * 0.05).alias("audio_duration"), log.alias("volume_log"))
+    return checks.validate(outputs, line, keys=["conv_id"]).where("code <> 'overlap'")
+
+
+@query()
+def pointer_positions(spark, d):
+    e = _events(spark, d).select(F.col("user_id").alias("video_id"), F.col("s").alias("timestamp"), F.col("value").alias("x"), F.lit(0.0).alias("y"), "event_id", "event_type")
+    asks = e.where("event_type = 'purchase'").select("video_id", F.col("event_id").alias("id"), F.col("timestamp").alias("start"), (F.col("timestamp") + 3600).alias("end"))
+    out = temporal.range_or_asof(asks, e.select("video_id", "timestamp", "x", "y"), 86400.0, 600.0, 86400.0)
+    return out.select("video_id", "id", F.size("positions").alias("n"), F.round(F.aggregate("positions", F.lit(0.0), lambda a, p: a + p["x"]), 6).alias("total"))
+
+
+@query()
+def pointer_hovers(spark, d):
+    from .config import Cursor, Hover
+    from .operators import cursor
+
+    e = _events(spark, d).select((F.col("user_id") % 20).alias("video_id"), (F.col("event_id") % 300 * 0.5).alias("timestamp"), (F.abs("value") % 1).alias("x"), F.lit(0.21).alias("y"))
+    track = e.groupBy("video_id", "timestamp").agg(F.min("x").alias("x"), F.first("y").alias("y"))
+    box = G.make_box(F.col("p_size") / 60.0, F.lit(0.2), F.lit(0.15), F.lit(0.05))
+    elements = _t(spark, d, "part").select((F.col("p_partkey") % 20).alias("video_id"), F.col("p_partkey").cast("string").alias("id"), F.substring("p_name", 1, 20).alias("text"), box.alias("box"), F.lit(0.0).alias("first_seen"), F.lit(150.0).alias("last_seen"))
+    return cursor.hovers(track, elements, Cursor(), Hover()).select("video_id", "element_id", F.round("start", 3).alias("start_s"), F.round("end", 3).alias("end_s"))
