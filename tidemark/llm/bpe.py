@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, use_worker
+from .common import cut, small_batches, use_worker
 from .lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon, and the longest of them in bytes; the driver holds so many and no more.
@@ -246,6 +246,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep:
     """keep, n_tokens, ids array<int>, decoded of each row; with digests, SHA-256 of both in their
     place: ids_sha256, decoded_sha256. The tokenizer's file is read on the driver and broadcast
     (a file of some MB), as is the lexicon (LEXICON_WORDS words at most)."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()

@@ -39,6 +39,18 @@ def ceil_div(a, b: int):
     return F.ceil(a / F.lit(b)).cast("long")
 
 
+#: Rows of a batch of texts on its way to Python and back.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of BATCH_ROWS rows at most: Spark's default of 10,000 rows costs
+    each task some hundred MB in both processes. A smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 _held: dict[str, object] = {}
 
 

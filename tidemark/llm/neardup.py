@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, use_worker
+from .common import cut, small_batches, use_worker
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands x rows coordinates. A pair of similarity s shares a band with chance 1 - (1 - s^4)^16: 0.9998 at 0.8, 0.99999 at 0.85.
@@ -342,6 +342,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set") -> DataFrame:
     """(doc_id, class_id, text_key, class_key) for each row of docs(doc_id, text). A text goes by
     64 bits of its digest, text_key; class_key is that of the class's first document, class_id."""
+    small_batches(docs.sparkSession)
     all_rows = cut(signatures(docs, words=words, bands=bands, rows=rows, weighting=weighting))
     own = all_rows.where("keys IS NOT NULL")
     named = cut(own.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("keys").alias("keys"), F.min("sig").alias("sig")))

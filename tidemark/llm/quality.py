@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import use_worker
+from .common import small_batches, use_worker
 
 SAMPLE_ROWS, SAMPLE_TEXT = 2_400, 16_384
 THRESHOLD = 0.3
@@ -175,6 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network
 
 def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THRESHOLD) -> DataFrame:
     """keep, held_out, score, predicted of each row of docs(doc_id, text), by labels(doc_id, quality)."""
+    small_batches(docs.sparkSession)
     net = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # some 40 kB
     rows = docs.select(*keep, F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("_text"))
@@ -201,6 +202,7 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THR
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that are scored `threshold` or more, with their columns."""
+    small_batches(docs.sparkSession)
     net = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     at = docs.columns.index("text")
