@@ -94,6 +94,19 @@ def test_rules(docs, nothing):
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and not (r.base_failed and r.kept)
 
 
+def test_groups_of_different_spread_get_different_fences(spark):
+    def text(i, stutters):
+        return " ".join(f"w{i}x{j} w{i}x{j}" if j < stutters else f"w{i}x{j}" for j in range(100))
+
+    rows = [(i, text(i, i % (4 if source == "calm" else 9)), "en", source) for source in ("calm", "lively") for i in range(300)]
+    rows += [(900, text(900, 14), "en", source) for source in ("calm", "lively")]
+    got = rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("doc_id = 900").collect()
+    by = {r.source: r for r in got}
+    floor, ceiling = rules.RATIOS["stutter_ratio"][-2:]
+    assert floor < by["calm"].stutter_ratio_fence < by["lively"].stutter_ratio_fence < ceiling
+    assert by["calm"].failed_rules == ["stutter_ratio"] and by["lively"].failed_rules == [] and by["lively"].kept and not by["calm"].kept
+
+
 # personal data
 
 

@@ -3,9 +3,10 @@
 Every text gets counts (words, symbols, repeated lines, repeated words). Their ratios are
 summarised by one KLL sketch per language and source; sketches are merged per language, and over
 all, so that a small group borrows from a wider one. A ratio is out of line when it passes its
-group's upper fence, which comes from the sketch's quartiles; a fence never falls below a floor,
-so that groups without spread reject nothing, nor rises above a ceiling, so that a group full of
-junk can't make junk normal. Texts are then joined with their group's fences and filtered.
+group's upper fence: a high quantile of the sketch and some times its distance to the median. A
+fence never falls below a floor, which lies under the fences of groups with any spread, so that
+groups without spread reject nothing, nor rises above a ceiling, so that a group full of junk
+can't make junk normal. Texts are then joined with their group's fences and filtered.
 Everything runs in the JVM; lambdas see a text's words once.
 
 Defined results: a null or empty text has 0 in every count and fails the base rule; null
@@ -26,16 +27,18 @@ WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30  # of the base rule: words, percent
 #: Texts with fewer rows in their group than this use the sketch of the language, then of all.
 LEAST_ROWS = 200
-#: ratio: (floor, ceiling) of its fence.
+#: Of a sketch: the error of a quantile's rank is near 0.3 %.
+SKETCH_K = 1_024
+#: ratio: (quantile, spread, floor, ceiling). The fence is the quantile and spread times its
+#: distance to the median. Where most texts have 0, the quantile is one that the others reach;
+#: symbols are rarer than that but in junk, of which the quantile leaves out a tenth.
 RATIOS = {
-    "symbol_ratio": (0.05, 0.25),  # symbols to words
-    "dup_line_ratio": (0.5, 0.7),  # repeated lines to lines
-    "repeat_word_ratio": (0.3, 0.5),  # words in repeated windows to words
-    "stutter_ratio": (0.2, 0.4),  # words that repeat the word before to words
-    "capital_ratio": (0.3, 0.6),  # capitals to letters
+    "symbol_ratio": (0.9, 6.0, 0.05, 0.25),  # symbols to words
+    "dup_line_ratio": (0.99, 1.0, 0.2, 0.7),  # repeated lines to lines
+    "repeat_word_ratio": (0.99, 1.0, 0.05, 0.5),  # words in repeated windows to words
+    "stutter_ratio": (0.95, 6.0, 0.05, 0.4),  # words that repeat the word before to words
+    "capital_ratio": (0.95, 6.0, 0.05, 0.6),  # capitals to letters
 }
-#: The fence: the third quartile and so many times the distance to the median.
-SPREAD = 6.0
 
 
 def let(value: Column, then) -> Column:
@@ -109,18 +112,18 @@ def fences(rows: DataFrame) -> DataFrame:
     """(g_lang, g_source, a fence for each ratio): from rows(lang, source, ratios) that pass the
     base rule. Sketches of groups are merged into those of languages, and these into one."""
     names = list(RATIOS)
-    own = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r).alias(r) for r in names])
-    own = cut(own)  # one row a group, of some kB
-    merged = [F.kll_merge_agg_double(r).alias(f"{r}_up") for r in names]
+    own = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in names])
+    own = cut(own)  # one row a group, of some ten kB
+    merged = [F.kll_merge_agg_double(r, SKETCH_K).alias(f"{r}_up") for r in names]
     lang = own.groupBy(F.col("lang").alias("u_lang")).agg(F.sum("n").alias("n_up"), *merged)
-    total = own.agg(*[F.kll_merge_agg_double(r).alias(f"{r}_all") for r in names])
+    total = own.agg(*[F.kll_merge_agg_double(r, SKETCH_K).alias(f"{r}_all") for r in names])
     met = own.join(lang, own.lang.eqNullSafe(lang.u_lang)).join(F.broadcast(total))  # one row
 
     def fence(r: str) -> Column:
-        low, high = RATIOS[r]
+        high, spread, floor, ceiling = RATIOS[r]
         sketch = F.when(F.col("n") >= LEAST_ROWS, F.col(r)).when(F.col("n_up") >= LEAST_ROWS, F.col(f"{r}_up")).otherwise(F.col(f"{r}_all"))
         q = lambda p: F.kll_sketch_get_quantile_double(sketch, F.lit(p))
-        return F.least(F.greatest(q(0.75) + SPREAD * (q(0.75) - q(0.5)), F.lit(low)), F.lit(high)).alias(f"{r}_fence")
+        return F.least(F.greatest(q(high) + spread * (q(high) - q(0.5)), F.lit(floor)), F.lit(ceiling)).alias(f"{r}_fence")
 
     return met.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *[fence(r) for r in names])
 
@@ -132,7 +135,8 @@ def judge(docs: DataFrame) -> DataFrame:
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     rows = rows.withColumn("base_failed", base)
     limits = fences(rows.where("NOT base_failed"))
-    met = rows.join(limits, rows.lang.eqNullSafe(limits.g_lang) & rows.source.eqNullSafe(limits.g_source), "left")
+    # a few numbers a group; by a shuffle, all texts of a group would go to one task
+    met = rows.join(F.broadcast(limits), rows.lang.eqNullSafe(limits.g_lang) & rows.source.eqNullSafe(limits.g_source), "left")
     out = [F.when(F.col(r) > F.col(f"{r}_fence"), F.lit(r)) for r in RATIOS]
     failed = F.array_compact(F.array(*out))
     return met.withColumn("failed_rules", failed).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("g_lang", "g_source")
