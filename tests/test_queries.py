@@ -38,6 +38,19 @@ def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+def test_every_part_gets_a_verdict_and_every_event_is_a_sample(spark):
+    from tidemark import queries
+
+    at = f"{os.path.dirname(SF)}/sf0.01"
+    n = {t: spark.read.parquet(f"{at}/{t}.parquet").count() for t in ("part", "events")}
+    got = QUERIES["match_verdicts"](spark, at).select("segment_id", "reason_code").collect()
+    assert len(got) == len({r.segment_id for r in got}) == n["part"] and len({r.reason_code for r in got}) > 2
+    track = queries._track(spark, at, 0.2)
+    assert track.count() == track.select("video_id", "timestamp").distinct().count() == n["events"]
+    hovers = QUERIES["pointer_hovers"](spark, at).collect()
+    assert len({r.video_id for r in hovers}) > 20 and len({(r.video_id, r.start_s) for r in hovers}) > 20 * 300
+
+
 def test_entry(spark):
     import __spark_entry__
 

@@ -141,6 +141,17 @@ def _events(spark, d):
     return _t(spark, d, "events").select("user_id", "event_id", "event_type", "value", _seconds().alias("s"))
 
 
+def _track(spark, d, y: float):
+    """events as pointer tracks: a video for each user, a sample for each event, two a second in order of time."""
+    at = (F.row_number().over(W.partitionBy("user_id").orderBy("s", "event_id")) - 1) * 0.5
+    return _events(spark, d).select(F.col("user_id").cast("long").alias("video_id"), at.alias("timestamp"), F.abs(F.col("value") % 1).alias("x"), F.lit(y).alias("y"))
+
+
+def _part_video() -> Column:
+    """The video that shows a part: 16 parts each, so that videos grow with the table."""
+    return F.floor(F.col("p_partkey") / 16).cast("long").alias("video_id")
+
+
 @query("""WITH e AS (SELECT *, epoch_us(ts) / 1e6 AS s FROM events), v AS (SELECT user_id, s AS vs, value FROM e WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY user_id, s ORDER BY value DESC) = 1)
 SELECT p.user_id, p.event_id, CASE WHEN p.s - v.vs <= 86400 THEN v.value END AS held FROM (SELECT * FROM e WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON p.user_id = v.user_id AND p.s >= v.vs""")
 def asof_hold(spark, d):
@@ -364,13 +375,12 @@ def match_verdicts(spark, d):
     from .operators import matching
 
     p = _t(spark, d, "part")
-    video = (F.col("p_partkey") % 20).alias("video_id")
+    video, start = _part_video(), F.col("p_partkey") % 16 * 2.0
     ref = F.struct(F.lit("named_control").alias("kind"), F.col("p_name").alias("label"))
-    decisions = p.where("p_partkey % 5 = 0").select(video, F.col("p_partkey").cast("string").alias("id"), F.lit(0.0).alias("source_start"), F.lit(10.0).alias("source_end"), ref.alias("ui_reference"))
+    decisions = p.select(video, F.col("p_partkey").cast("string").alias("id"), start.alias("source_start"), (start + 10).alias("source_end"), ref.alias("ui_reference"))
     box = G.make_box(F.col("p_size") / 100.0, F.lit(0.2), F.lit(0.1), F.lit(0.05))
-    elements = p.select(video, F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("text"), box.alias("box"), (F.col("p_size") % 7).cast("double").alias("first_seen"), F.lit(9.0).alias("last_seen"), F.lit(0.9).alias("confidence"), F.lit(3).alias("occurrences"))
-    track = _events(spark, d).select((F.col("user_id") % 20).cast("long").alias("video_id"), (F.col("event_id") % 10).cast("double").alias("timestamp"), F.abs(F.col("value") % 1).alias("x"), F.lit(0.2).alias("y")).distinct()
-    return matching.match(decisions, elements, track, [("azure", "blue")], Matching()).select("video_id", "segment_id", "verdict", "reason_code", "score", F.array_join("rivals", "|").alias("rivals"))
+    elements = p.select(video, F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("text"), box.alias("box"), (start + F.col("p_size") % 7).alias("first_seen"), (start + 9).alias("last_seen"), F.lit(0.9).alias("confidence"), F.lit(3).alias("occurrences"))
+    return matching.match(decisions, elements, _track(spark, d, 0.2), [("azure", "blue")], Matching()).select("video_id", "segment_id", "verdict", "reason_code", "score", F.array_join("rivals", "|").alias("rivals"))
 
 
 @query("SELECT user_id, median(value) AS med, round(stddev_pop(value), 6) AS sd FROM events GROUP BY 1")
@@ -461,8 +471,9 @@ def pointer_hovers(spark, d):
     from .config import Cursor, Hover
     from .operators import cursor
 
-    e = _events(spark, d).select((F.col("user_id") % 20).alias("video_id"), (F.col("event_id") % 300 * 0.5).alias("timestamp"), (F.abs("value") % 1).alias("x"), F.lit(0.21).alias("y"))
-    track = e.groupBy("video_id", "timestamp").agg(F.min("x").alias("x"), F.first("y").alias("y"))
+    track = _track(spark, d, 0.21)
+    ends = track.groupBy("video_id").agg((F.max("timestamp") + Hover().max_hold).alias("last_seen"))
     box = G.make_box(F.col("p_size") / 60.0, F.lit(0.2), F.lit(0.15), F.lit(0.05))
-    elements = _t(spark, d, "part").select((F.col("p_partkey") % 20).alias("video_id"), F.col("p_partkey").cast("string").alias("id"), F.substring("p_name", 1, 20).alias("text"), box.alias("box"), F.lit(0.0).alias("first_seen"), F.lit(150.0).alias("last_seen"))
+    elements = _t(spark, d, "part").select(_part_video(), F.col("p_partkey").cast("string").alias("id"), F.substring("p_name", 1, 20).alias("text"), box.alias("box"), F.lit(0.0).alias("first_seen"))
+    elements = elements.join(ends, "video_id")  # shown for as long as the track goes
     return cursor.hovers(track, elements, Cursor(), Hover()).select("video_id", "element_id", F.round("start", 3).alias("start_s"), F.round("end", 3).alias("end_s"))
