@@ -161,6 +161,15 @@ def test_pages(spark):
     assert got[2].text == got[3].text == "" and len(got) == 5 and pages.extract(df.limit(0)).count() == 0
 
 
+def test_custom_elements_and_self_closed_svg_hide_nothing():
+    texts = lambda h: [b[0] for b in pages.blocks(h)]
+    for tag in ('<svg class="i"/>', "<svg/>", "<svg-icon></svg-icon>", "<template-x></template-x>", '<svg title="a>b" />'):
+        assert texts(f"<p>One</p>{tag}<p>Two</p>") == ["One", "Two"], tag
+    for tag in ("<svg><title>x</title><path/></svg>", "<SVG a='/>'><text>x</text></svg >", "<script>a<b</script>", "<style/>x</style>", "<template>x</template>"):
+        assert texts(f"<p>One</p>{tag}<p>Two</p>") == ["One", "Two"], tag
+    assert texts("<p>One</p><svg><p>x") == ["One"] and any("<svg-icon>" in h and "<svg class='i'/>" in h for h, _ in pages.labelled_pages(100, seed=123))
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
     f = pages.Field(rng.normal(size=(6, 2)), rng.normal(size=(2, 2)))

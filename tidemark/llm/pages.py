@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import use_worker
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>?"
+    r"<!--.*?(?:-->|\Z)|<svg(?=[\s/])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?<=/)>"
+    r"|<(script|style|noscript|template|svg|iframe)(?=[\s/>]|\Z).*?(?:</\1\s*>|\Z)|<[!?][^>]*>?"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|([^<]+|<)",
     re.S | re.I,
 )
@@ -246,7 +247,8 @@ def labelled_pages(n: int = 360, seed: int = 5) -> Iterator[tuple[str, list[str]
     def box(names, inner, tags=("div", "section", "aside")):
         return f'<{(t := pick(*tags))} {pick("class", "id")}="{pick(*names)}">{inner}</{t}>'
 
-    for _ in range(n):
+    for at in range(n):
+        icons = "<svg class='i'/><svg-icon></svg-icon>" if at % 3 == 0 else ""
         title, main = sentence(2, 9), []
         body = []
         odd = pick("", "", "", "", "symbols", "columns", "bare", "loud")
@@ -292,7 +294,7 @@ def labelled_pages(n: int = 360, seed: int = 5) -> Iterator[tuple[str, list[str]
             body.append(pick(f"<footer>&copy; {word()}.example &middot; {sentence()}</footer>", f'<div class="footer"><p>{sentence()}</p><p>&copy; {word()}</p></div>', f"<footer><p>{sentence()}</p><ul>{links(3)}</ul></footer>"))
         if chance(0.15):
             body.insert(0, body.pop(int(rng.integers(len(body)))) if chance(0.2) else "")
-        page = f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>" + "".join(body)
+        page = f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>" + icons.join(body)
         yield page + ("</body></html>" if chance(0.9) else ""), main
 
 
