@@ -61,6 +61,16 @@ def test_matrix_has_the_mean_of_a_uniform_shuffle():
     assert np.abs(mean - [[15, 15], [5, 5]]).max() < 0.3
 
 
+def test_large_populations_have_the_hypergeometric_law():
+    rng = np.random.default_rng(6)
+    draws = [sharding._hypergeometric(rng, 100_000_000, 2_900_000_000, 10) for _ in range(4000)]
+    assert abs(np.mean(np.array(draws) == 0) - (29 / 30) ** 10) < 0.03  # 0.71; a normal law has 0.62
+    big = np.array([sharding._hypergeometric(rng, 10**9, 10**10, 10**6) for _ in range(1000)])
+    assert abs(big.mean() - 10**6 / 11) < 40 and abs(big.std() / (10**6 * 10 / 121) ** 0.5 - 1) < 0.1
+    own, numpy_ = (np.bincount([f(7, 5, 6) for _ in range(6000)], minlength=7) / 6000 for f in (lambda *a: sharding._by_inversion(rng, *a), rng.hypergeometric))
+    assert np.abs(own - numpy_).max() < 0.04 and [sharding._by_inversion(rng, 3, 0, 2), sharding._by_inversion(rng, 3, 4, 7)] == [2, 3]
+
+
 def test_shard(docs, nothing):
     got = sharding.shard(docs, 5, part_rows=4, block_rows=2).collect()
     assert len(got) == docs.count() and sharding.shard(nothing).count() == 0

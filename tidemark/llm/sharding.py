@@ -52,10 +52,23 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -
         return 0
     if good + bad < 1_000_000_000:
         return rng.hypergeometric(good, bad, draws)
-    # Beyond numpy's range: the normal law with the same mean and variance, held to what can be.
+    return _by_inversion(rng, good, bad, draws)  # beyond numpy's range
+
+
+def _by_inversion(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """The same law at any size: its weights follow from the mode outward by the ratios of
+    neighbours; what lies 16 deviations and 64 away is less than a double can add to their sum."""
     n = good + bad
-    mean, var = draws * good / n, draws * (good / n) * (bad / n) * (n - draws) / (n - 1)
-    return min(max(round(rng.normal(mean, var**0.5)), draws - bad, 0), good, draws)
+    var = draws * (good / n) * (bad / n) * (n - draws) / max(n - 1, 1)
+    low, high, reach = max(draws - bad, 0), min(good, draws), int(16 * var**0.5) + 64
+    mode = min(max((draws + 1) * (good + 1) // (n + 2), low), high)
+    first, last = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    ratio = (good - k) * (draws - k) / ((k + 1) * (bad - draws + k + 1))  # of k + 1 to k
+    at = mode - first
+    weights = np.concatenate([np.cumprod(1 / ratio[:at][::-1])[::-1], [1.0], np.cumprod(ratio[at:])])
+    sums = weights.cumsum()
+    return first + min(int(np.searchsorted(sums, rng.random() * sums[-1], side="right")), len(sums) - 1)
 
 
 def shard(docs: DataFrame, shards: int = 24, *, seed: int = SEED, part_rows: int = PART_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
