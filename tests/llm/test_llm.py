@@ -251,6 +251,13 @@ def test_urls(spark):
     assert urls.evaluate(caps.limit(0), ch, "page_id").count() == 0 and urls.evaluate(caps, ch.limit(0), "page_id").where("decision = 'block'").count() == 0
 
 
+def test_paths_of_entries_keep_their_case(spark):
+    ch = spark.createDataFrame([("l", "Example.COM./Spam", "2024-01-01", "add", "block")], "list string, entry string, at string, change string, action string")
+    asks = ["http://example.com/Spam/x", "http://EXAMPLE.com/Spam", "http://example.com/spam", "http://example.com/"]
+    caps = spark.createDataFrame([(i, u, "2024-02-01") for i, u in enumerate(asks)], "page_id long, url string, fetched_at string")
+    assert [r.decision for r in urls.evaluate(caps, ch, "page_id").orderBy("page_id").collect()] == ["block", "block", "allow", "allow"]
+
+
 # search
 
 

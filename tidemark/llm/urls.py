@@ -12,8 +12,9 @@ so copies of a URL are evaluated once and no entry meets captures it can't match
 
 Defined results: a null or unparsable URL, a null time and a capture without an active entry are
 allowed, with a null entry; repeated captures keep their rows; repeated changes count once; of
-changes of one entry of a list at one time, the removal is last. Hosts and entries compare in
-lower case, without a trailing dot; ports, credentials, query and fragment don't count.
+changes of one entry of a list at one time, the removal is last. Hosts compare in lower case,
+without a trailing dot, also those of entries; paths keep their case on both sides, as servers
+tell them apart; ports, credentials, query and fragment don't count.
 """
 
 from __future__ import annotations
@@ -29,7 +30,10 @@ _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)?"
 def intervals(changes: DataFrame) -> DataFrame:
     """(list, entry, action, valid_from, valid_to) from changes(list, entry, at, change, action);
     valid_to is null where nothing followed."""
-    log = changes.select("list", F.regexp_replace(F.lower(F.trim("entry")), r"\.$", "").alias("entry"), "at", "change", "action")
+    entry = F.trim("entry")
+    host = F.substring_index(entry, "/", 1)
+    path = F.substring(entry, F.length(host) + 1, F.length(entry))
+    log = changes.select("list", F.concat(F.regexp_replace(F.lower(host), r"\.$", ""), path).alias("entry"), "at", "change", "action")
     log = log.where("entry IS NOT NULL AND at IS NOT NULL").distinct()
     each = W.partitionBy("list", "entry").orderBy("at", (F.col("change") == "remove").cast("int"), "action")
     spans = log.withColumn("valid_to", F.lead("at").over(each)).where("change = 'add' AND (valid_to IS NULL OR valid_to > at)")
