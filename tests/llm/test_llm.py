@@ -329,6 +329,32 @@ def test_similarity():
     assert neardup.similarity(a, a) == 1.0 and neardup.similarity(a, "") == 0.0 and neardup.similarity(a, a + " eight") == pytest.approx(3 / 4)
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    P, T = pytest.importorskip("public_tokenizers"), pytest.importorskip("tokenizers")
+    t = T.Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    rng = np.random.default_rng(11)
+    vocab = "the cat sat on a mat and looked at nine birds in one old tree by stone walls near calm water while children sang songs about summer rain".split()
+    good = {i: " ".join(rng.choice(vocab, 60)) + "." for i in range(40)}
+    junk = {100 + i: "### $$$ %%% buy!!! *** &&& " * 6 + f"{i} ### " + " ".join("".join(rng.choice(list("#$%&*!"), 4)) for _ in range(30)) for i in range(40)}
+    good[3] += " mail a.b@c.example.com or +1 (415) 555-2671 and come"
+    clean = dict(good) | {3: good[3].replace("a.b@c.example.com", "[EMAIL]").replace("+1 (415) 555-2671", "[PHONE]")}
+    copies = {200: good[5], 201: good[6] + " near"}
+    rows = [(i, x, "en", f"s{i % 2}", len(x)) for i, x in (good | junk | copies).items()]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i < 100), 0) for i in good | junk]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = spark.createDataFrame([(i, x, "en", f"s{i % 2}", len(x)) for i, x in clean.items()], schema)
+    want = Counter()
+    for r in mixing.mix(kept).collect():
+        ids = t.encode(clean[r.doc_id], add_special_tokens=False).ids
+        want[r.doc_id, "en", r.source, len(ids), tuple(ids), t.decode(ids, skip_special_tokens=False)] += r.copies
+    got = Counter((r.doc_id, r.lang, r.source, r.n_tokens, tuple(r.ids), r.decoded) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert max(want.values()) > 1 and got == +want
+
+
 def test_pipeline_stages_keep_their_columns(spark, tmp_path):
     import corpus_pipeline
 
