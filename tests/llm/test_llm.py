@@ -293,6 +293,55 @@ def test_dart_minhash_estimates_weighted_jaccard():
     assert abs(np.mean(errors)) < 0.02
 
 
+def least_of_class(texts):
+    """{id: the least id of its class}: every pair of (id, text) is compared by five-word shingles."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for _, t in texts for w in [WORD.findall(t)]]
+    parent = list(range(len(texts)))
+    find = lambda i: i if parent[i] == i else find(parent[i])
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(texts):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return {d: least[find(i)] for i, (d, _) in enumerate(texts)}
+
+
+def test_no_link_is_lost_in_a_large_group(spark):
+    """Copies of one text around the threshold, and copies of such copies: many fail the leader and
+    are linked by others only."""
+    rng = np.random.default_rng(12)
+    base, rows = list(rng.choice([f"v{i}" for i in range(3000)], 150)), []
+
+    def changed(words, n):
+        out = list(words)
+        for at in rng.choice(len(out), n, replace=False):
+            out[at] = f"u{rng.integers(10**9)}"
+        return out[: len(out) - int(rng.integers(0, 12))]
+
+    for _ in range(250):
+        copy = changed(base, int(rng.integers(1, 12)))
+        rows.append(copy)
+        if rng.random() < 0.4:
+            rows.append(changed(copy, int(rng.integers(1, 4))))
+    texts = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    want = least_of_class(texts)
+    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == want and 20 < len(set(want.values())) < len(want) - 100
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(13)
+    times = rng.integers(0, 5, 256)
+    for _ in range(400):
+        x = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 80)), dtype=np.uint64))
+        y = np.unique(np.concatenate((x[rng.random(len(x)) < rng.choice([0.8, 0.9, 1])], rng.integers(0, 2**63, int(rng.integers(0, 9)), dtype=np.uint64))))
+        if len(y) and 5 * len(np.intersect1d(x, y)) >= 4 * len(np.union1d(x, y)):
+            a, b = dict(neardup.prefix(x, times, 0.8)), dict(neardup.prefix(y, times, 0.8))
+            assert len(np.intersect1d(a[neardup.size_class(len(y))], b[neardup.size_class(len(x))]))
+
+
 def test_near_duplicates(spark, docs, nothing):
     rng = np.random.default_rng(8)
     vocab = [f"v{i}" for i in range(3000)]
@@ -306,18 +355,8 @@ def test_near_duplicates(spark, docs, nothing):
             rows.append((5000 + len(rows), " ".join(copy)))
     all_docs = docs.select("doc_id", "text", "id", "key").unionByName(spark.createDataFrame([(*r, "x", "x") for r in rows], "doc_id long, text string, id string, key string"))
     got = {r.doc_id: r.class_id for r in neardup.classes(all_docs).collect()}
-    texts = [(r.doc_id, r.text) for r in all_docs.collect() if r.doc_id is not None and WORD.search(r.text or "")]
-    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for _, t in texts for w in [WORD.findall(t)]]
-    parent = list(range(len(texts)))
-    find = lambda i: i if parent[i] == i else find(parent[i])
-    for i in range(len(texts)):
-        for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                parent[find(i)] = find(j)
-    least = {}
-    for i, (d, _) in enumerate(texts):
-        least[find(i)] = min(d, least.get(find(i), d))
-    assert all(got[d] == least[find(i)] for i, (d, _) in enumerate(texts))
+    least = least_of_class([(r.doc_id, r.text) for r in all_docs.collect() if r.doc_id is not None and WORD.search(r.text or "")])
+    assert all(got[d] == least[d] for d in least)
     assert got[100] == 100 and got[101] == 101 and got[None] is None and neardup.classes(nothing).count() == 0
     kept = neardup.keep_firsts(docs)
     ids = [r.doc_id for r in kept.collect()]

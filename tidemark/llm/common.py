@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,53 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Tables of one call in the shared folder: as cut(), but compressed, and each can be dropped
+    when nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.at, self.n = spark, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}", 0
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        path = f"{self.at}/{self.n}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        out._scratch = path
+        return out
+
+    def renamed(self, table: DataFrame, **names: str) -> DataFrame:
+        """The same table with these columns, under new names."""
+        out = table.select(*[F.col(a).alias(b) for a, b in names.items()])
+        out._scratch = table._scratch
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            remove(self.spark, t._scratch)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store its path names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ceil_div(a, b: int):
     return F.ceil(a / F.lit(b)).cast("long")
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with underscores in front until no column is called so in any case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 #: Rows of a batch of texts on its way to Python and back.
 BATCH_ROWS = 1_000
 

@@ -9,9 +9,11 @@ the chance of their weighted Jaccard similarity (after Christiani's DartMinHash)
 
 Equal texts are merged first, by their digest. Signatures are cut into bands; rows that agree in a
 band are joined to the group's leader, the row that agrees with most others over all bands, never
-pairwise. Those that also agree in the next band have a leader of their own, so a mixed group doesn't hide its
-parts. Each pair is verified over the whole texts. Where rows fail their leader and aren't in its
-class by other links, the rows of such groups are compared once more, all of them, in blocks. Links are joined into classes by contraction to the least id, over checkpoints.
+pairwise. Those that also agree in the next band have a leader of their own, so a mixed group
+doesn't hide its parts. Each such pair is verified over the whole texts, and links are joined into
+classes by contraction to the least id. Where a band's rows are of two classes still, the classes
+may be linked by other rows than the leader: an exact join on rare shingles finds every link of
+such rows to rows of other classes.
 
 Defined results: texts without words (null, empty, blank) are alone, each in its own class;
 repeated rows and equal texts share a class; a class is named by its least doc_id; rows with a
@@ -20,20 +22,22 @@ null doc_id and equal texts to none have class null; extra columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, use_worker
+from .common import Scratch, cut, free_names, small_batches, use_worker
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands x rows coordinates. A pair of similarity s shares a band with chance 1 - (1 - s^4)^16: 0.9998 at 0.8, 0.99999 at 0.85.
 BANDS, ROWS = 16, 4
-#: Rows of a block when what leaders left over is compared.
-BLOCK = 256
+#: Counters that put shingles in an order from rare to common.
+SKETCH = 1 << 18
+#: Ids with many neighbours whose least neighbour is broadcast, at most.
+LOUD_IDS = 100_000
 #: So many ids may be broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 _M1, _M2, _M3 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -179,23 +183,26 @@ def signatures(docs: DataFrame, *, words: int = WORDS, bands: int = BANDS, rows:
                     for n, own, sig in zip(at, band_keys(s, bands, rows), s.astype(np.uint32).view(np.int32)):
                         keys[n], sigs[n] = own, sig
                     sets, at, held = [], [], 0
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int32()))], names=["doc_id", "id", "keys", "sig"])
+            out = [b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "id", "keys", "sig"])
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_id().alias("id"), F.col("text").cast("binary").alias("text"))
     return text.mapInArrow(run, "doc_id long, id long, keys array<long>, sig array<int>")
 
 
-def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, text), once for each of ids(id, of)."""
-    ids = ids.select("id", "of")
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """ids(id, of, ...) with their texts, from docs(of, text); a repeated row counts once. Texts
+    are hashed only where a row has a wanted doc_id."""
+    wanted = ids.withColumnRenamed("id", "wanted")
     if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return texts.join(ids, ["id", "of"], "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+        wanted = F.broadcast(wanted)
+    met = docs.join(wanted, "of").where(_text_id() == F.col("wanted"))
+    firsts = [F.first(c).alias(c) for c in ids.columns if c not in ("id", "of")]
+    return met.groupBy(F.col("wanted").alias("id")).agg(*firsts, F.first("text").alias("text"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame, *, words: int, least: float, weighting: str) -> DataFrame:
-    """(a, b, similar) for pairs(a, b); a pair's texts are compared whole. They are read from
-    texts(id, of, text), the copy whose doc_id is named(id, of)."""
+def verified(pairs: DataFrame, texts: DataFrame, *, words: int, least: float, weighting: str) -> DataFrame:
+    """Those of pairs(a, b) that are similar; their texts(id, text) are compared whole."""
 
     def run(batches):
         use_worker("neardup")
@@ -209,13 +216,12 @@ def verified(pairs: DataFrame, texts: DataFrame, named: DataFrame, *, words: int
                 _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
                 common = np.minimum(v[i], w[j]).sum()
                 similar.append(bool(common >= least * (v.sum() + w.sum() - common)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar, pa.bool_())], names=["a", "b", "similar"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
-    ids = named.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").select("id", "of")
-    texts = _texts_of(cut(ids), texts)
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("s"))
+    first = texts.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_semi")
+    left = first.select(F.col("id").alias("a"), F.col("text").alias("s"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("t"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "s", "t").mapInArrow(run, "a long, b long, similar boolean")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
 
 
 def _led(members: DataFrame, *group: str) -> DataFrame:
@@ -227,148 +233,214 @@ def _led(members: DataFrame, *group: str) -> DataFrame:
 
 
 def _pairs(led: DataFrame) -> DataFrame:
-    """Distinct (a, b), a < b."""
-    return led.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    """Distinct (a, b): leader and row, either of two rows that lead each other once."""
+    both = led.where("id <> leader").groupBy(F.least("id", "leader").alias("x"), F.greatest("id", "leader").alias("y")).agg(F.max("leader").alias("a"))
+    return both.select("a", (F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x"))).alias("b"))
 
 
 def _likely(pairs: DataFrame, named: DataFrame, least: float) -> DataFrame:
-    """pairs whose signatures agree in so many coordinates that their similarity may be `least`:
-    those five standard deviations below it and less can't be told from it but once in a million."""
+    """pairs whose signatures agree in so many coordinates that their similarity may be `least`.
+    The others' texts aren't read here; as rows that aren't in one class, they stay in a mixed
+    group, whose links are all found by `candidates`."""
     k = F.size("s")
     agree = F.size(F.filter(F.zip_with("s", "t", lambda x, y: x == y), lambda x: x))
-    left, right = named.select(F.col("id").alias("a"), F.col("sig").alias("s")), named.select(F.col("id").alias("b"), F.col("sig").alias("t"))
-    return pairs.join(left, "a").join(right, "b").where(agree >= k * least - 5 * F.sqrt(k * least * (1 - least))).select("a", "b")
+    sig = lambda id_, name: named.select(F.col("id").alias(id_), F.col("sig").alias(name))
+    met = pairs.join(sig("b", "t"), "b").join(sig("a", "s"), "a")
+    return met.where(agree >= k * least - 5 * F.sqrt(k * least * (1 - least))).select("a", "b")
+
+
+def size_class(n: int) -> int:
+    """Eight classes from a size to its double."""
+    return int(np.floor(8 * np.log2(n)))
+
+
+@lru_cache(4096)
+def _first_size(c: int) -> int:
+    n = max(1, int(2 ** (c / 8)) - 1)
+    while size_class(n) < c:
+        n += 1
+    return n
+
+
+def prefix(x: np.ndarray, times: np.ndarray, least: float) -> list[tuple[int, np.ndarray]]:
+    """Of a set, for each size class that a similar set can have: (class, the elements that count).
+    Elements stand in one order of all sets, the rare ones first, by times[hash]. Of two sets at
+    least `least` similar, x lacks (|x| - least * |y|) / (1 + least) elements of y at most, so the
+    first common element comes after no more of them than that."""
+    n = len(x)
+    order = x[np.lexsort((x, times[(x & np.uint64(len(times) - 1)).astype(np.int64)]))]
+    low, high = int(np.ceil(n * least - 1e-9)), int(n / least + 1e-9)
+    out = []
+    for c in range(size_class(max(low, 1)), size_class(high) + 1):
+        lacks = (n - least * max(low, _first_size(c))) / (1 + least)
+        if lacks > -1e-9:
+            out.append((c, order[: int(lacks + 1e-9) + 1]))
+    return out
 
 
-def links(named: DataFrame, texts: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, weighting: str = "set") -> DataFrame:
-    """(a, b): verified links between texts that share a band, from named(id, of, keys, sig) and
-    texts(id, of, text)."""
+def candidates(rest: DataFrame, *, words: int, least: float, weighting: str) -> DataFrame:
+    """(a, b): every pair of rest(id, root, stray, text) of two roots, a stray, that can be similar
+    by the rule of `prefix`: an exact join on rare shingles. A count of shingles by SKETCH hashes,
+    over all of rest, puts them in order; any order is right, this one keeps common ones out."""
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        likely = cut(_likely(pairs, named, least))
-        return cut(verified(likely, texts, named, words=words, least=least, weighting=weighting).where("similar").select("a", "b"))
+    def elements(t: pa.Scalar) -> np.ndarray:
+        x, w = weighted(shingles(t.as_buffer().to_pybytes(), words), weighting)
+        again = [mix64(x[w > i] + np.uint64(i) * _M3) for i in range(1, int(w.max(initial=1)))]
+        return np.concatenate((x, *again)) if again else x
 
-    band = named.select("id", "keys", F.posexplode("keys").alias("band", "key"))
-    members = band.select("key", F.element_at("keys", ((F.col("band") + 1) % F.size("keys") + 1).cast("int")).alias("next"), "id")
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = cut(members.join(sizes, "key"))
-    # The row that others are copies of shares a band with most of them in every band.
-    central = members.groupBy("id").agg(F.sum("n").alias("central"))
-    members = members.drop("n").join(central, "id").select("key", "next", "id", "central")
-    wide = cut(_led(members, "key"))
-    linked = verify(cut(_pairs(wide.unionByName(_led(wide.drop("leader"), "key", "next")))))
-    # Where a row failed its leader and isn't in its class, other rows of the group may be linked.
-    known = cut(components(linked))
-    of_id, of_leader = known.select("id", F.col("root").alias("r")), known.select(F.col("id").alias("leader"), F.col("root").alias("l"))
-    rooted = cut(wide.join(of_id, "id", "left").join(of_leader, "leader", "left").select("key", "id", "leader", F.coalesce("r", "id").alias("r"), F.coalesce("l", "leader").alias("l")))
-    mixed = rooted.where("r <> l").select("key").distinct()
-    edges = cut(rooted.join(mixed, "key", "left_semi").where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
-    left = components(edges).select("id", F.col("root").alias("grp")).join(known, "id", "left").select("id", "grp", F.coalesce("root", "id").alias("root"))
-    more = _linked_classes(cut(left), named, texts, words, least, weighting)
-    return linked.unionByName(more).distinct()
-
-
-def _linked_classes(left: DataFrame, named: DataFrame, texts: DataFrame, words: int, least: float, weighting: str) -> DataFrame:
-    """(a, b): a link for each two classes that have one, among the rows of each group of
-    left(id, grp, root). All rows of a group are compared, exactly: in blocks of some hundred, each
-    two of which meet in one task and are compared by a product of matrices. No pairs are emitted
-    but the links."""
-
-    def sets(batches):
+    def count(batches):
+        use_worker("neardup")
+        n = np.zeros(SKETCH, dtype=np.int64)
+        for b in batches:
+            for t in b.column(0):
+                np.add.at(n, (elements(t) & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["at", "n"])
+
+    counted = rest.select("text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # SKETCH rows
+    times = np.zeros(SKETCH, dtype=np.int64)
+    times[counted["at"].to_numpy()] = counted["n"].to_numpy()
+    shared = rest.sparkSession.sparkContext.broadcast(times)  # 8 bytes each
+
+    def emit(batches):
         use_worker("neardup")
         for b in batches:
             out = []
-            for t in b.column(1):
-                x, w = weighted(shingles(t.as_buffer().to_pybytes(), words), weighting)
-                again = [mix64(x[w > i] + np.uint64(i) * _M3) for i in range(1, int(w.max(initial=1)))]
-                out.append(np.concatenate((x, *again)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int64()))], names=["id", "x"])
-
-    def compare(t: pa.Table) -> pa.Table:
-        block, p, q = t.column("block").to_numpy(), t.column("p")[0].as_py(), t.column("q")[0].as_py()
-        ids, roots = t.column("id").to_numpy(), t.column("root").to_numpy()
-        xs = [v.values.to_numpy() for v in t.column("x")]
-        n = np.array([len(x) for x in xs])
-        left_, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        common = np.zeros((len(left_), len(right)), dtype=np.float32)
-        every, owner = np.concatenate(xs), np.repeat(np.arange(len(xs)), n)
-        _, col, times = np.unique(every, return_inverse=True, return_counts=True)
-        shared = times[col] > 1  # what only one row has is in no intersection
-        col, owner = np.unique(col[shared], return_inverse=True)[1], owner[shared]
-        order = np.argsort(col, kind="stable")
-        col, owner = col[order], owner[order]
-        width = int(col[-1]) + 1 if len(col) else 0
-        for at in range(0, width, 4096):
-            lo, hi = np.searchsorted(col, (at, at + 4096))
-            m = np.zeros((len(xs), min(4096, width - at)), dtype=np.float32)
-            m[owner[lo:hi], col[lo:hi] - at] = 1
-            common += m[left_] @ m[right].T
-        similar = common >= least * (n[left_][:, None] + n[right][None, :] - common) - 1e-3
-        i, j = np.nonzero(similar & (roots[left_][:, None] != roots[right][None, :]))
-        i, j = left_[i], right[j]
-        a, b = np.minimum(roots[i], roots[j]), np.maximum(roots[i], roots[j])
-        _, first = np.unique(np.stack((a, b), axis=1), axis=0, return_index=True) if len(i) else (None, np.zeros(0, int))
-        return pa.table({"a": np.minimum(ids[i[first]], ids[j[first]]), "b": np.maximum(ids[i[first]], ids[j[first]])})
-
-    sizes = left.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    left = left.join(sizes.select("grp", "blocks"), "grp").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    left = cut(left.join(named.select("id", "of"), "id"))
-    rows = _texts_of(left, texts).mapInArrow(sets, "id long, x array<long>").join(left.drop("of"), "id")
-    met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("grp", F.least("block", "o").alias("p"), F.greatest("block", "o").alias("q"), "block", "id", "root", "x")
-    return cut(met.groupBy("grp", "p", "q").applyInArrow(compare, "a long, b long"))
-
-
-def components(edges: DataFrame) -> DataFrame:
+            for i, (stray, t) in enumerate(zip(b.column(2).to_pylist(), b.column(3))):
+                x = elements(t)
+                own = size_class(len(x))
+                for c, first in prefix(x, shared.value, least):
+                    for side in (0, 1)[: 1 + stray]:  # 1: as the stray row of a pair
+                        met = (own << 12 | c) if side else (c << 12 | own)
+                        out.append((i, side, len(x), mix64(first + mix64(np.array([met], dtype=np.uint64)))))
+                if out and (len(out) > 20_000 or i == len(b) - 1):
+                    at = np.repeat([o[0] for o in out], [len(o[3]) for o in out])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.concatenate([o[3] for o in out]).view(np.int64)),
+                            b.column(0).take(pa.array(at)),
+                            b.column(1).take(pa.array(at)),
+                            pa.array(np.repeat([o[1] for o in out], [len(o[3]) for o in out]).astype(np.int32)),
+                            pa.array(np.repeat([o[2] for o in out], [len(o[3]) for o in out]).astype(np.int32)),
+                            pa.array(np.concatenate([np.arange(len(o[3])) for o in out]).astype(np.int32)),
+                        ],
+                        names=["key", "id", "root", "side", "n", "place"],
+                    )
+                    out = []
+
+    rows = rest.select("id", "root", "stray", "text").mapInArrow(emit, "key long, id long, root long, side int, n int, place int")
+    name = lambda side, p: rows.where(F.col("side") == side).select("key", *[F.col(c).alias(p + c) for c in ("id", "root", "n", "place")])
+    lacks = lambda x, y: (F.col(x) - least * F.col(y)) / (1 + least) + 1e-9
+    met = name(1, "a_").join(name(0, "b_"), "key").where("a_root <> b_root")
+    met = met.where((F.col("a_place") <= lacks("a_n", "b_n")) & (F.col("b_place") <= lacks("b_n", "a_n")))
+    return met.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct()
+
+
+def roots(named: DataFrame, docs: DataFrame, scratch: Scratch, *, words: int = WORDS, least: float = SIMILARITY, weighting: str = "set") -> DataFrame:
+    """(id, root) of each of named(id, of, keys, sig): texts of one root are joined by links."""
+    compare = {"words": words, "least": least, "weighting": weighting}
+    band = named.select("id", "keys", F.posexplode("keys").alias("band", "key"))
+    nexts = F.element_at("keys", ((F.col("band") + 1) % F.size("keys") + 1).cast("int")).alias("next")
+    sizes = band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = scratch.cut(band.select("key", nexts, "id").join(sizes, "key"))
+    # The row that others are copies of shares a band with most of them in every band.
+    central = members.groupBy("id").agg(F.sum("n").alias("central"))
+    wide = scratch.cut(_led(members.drop("n").join(central, "id"), "key"))
+    pairs = scratch.cut(_pairs(wide.unionByName(_led(wide.drop("leader"), "key", "next"))))
+    likely = scratch.cut(_likely(pairs, named, least))
+    both = named.select("id", "of").join(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+    both = scratch.cut(both)
+    linked = scratch.cut(verified(likely, _texts_of(both, docs), **compare))
+    known = components(linked, scratch)
+    scratch.drop(members, pairs, likely, both, linked)
+    # Where a group has rows of two roots, other rows than its leader may link them.
+    rooted = wide.join(known, "id", "left").select("key", "id", "leader", F.coalesce("root", "id").alias("root"))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max(F.when(F.col("id") == F.col("leader"), F.col("root"))).alias("lead"))
+    mixed = mixed.where("low <> high").select("key", "lead")
+    rest = rooted.join(mixed, "key").groupBy("id").agg(F.max("root").alias("root"), F.max((F.col("root") != F.col("lead")).cast("int")).alias("stray"))
+    rest = scratch.cut(named.select("id", "of").join(rest, "id"))
+    texts = scratch.cut(_texts_of(rest, docs))
+    pairs = scratch.cut(candidates(texts, **compare))
+    more = verified(pairs, texts.select("id", "text"), **compare)
+    of = texts.select("id", "root")
+    joined = more.join(of.select(F.col("id").alias("a"), F.col("root").alias("x")), "a").join(of.select(F.col("id").alias("b"), F.col("root").alias("y")), "b")
+    top = components(joined.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch)
+    top = scratch.renamed(top, id="r", root="top")
+    out = named.select("id").join(known, "id", "left").select("id", F.coalesce("root", "id").alias("r")).join(top, "r", "left")
+    out = scratch.cut(out.select("id", F.coalesce("top", "r").alias("root")))
+    scratch.drop(wide, known, rest, texts, pairs, top)
+    return out
+
+
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, root): the least id that links reach, of each id in edges(a, b). Each round links every
-    id with the least of its neighbours (larger ones, then smaller ones), until nothing moves."""
+    id with the least of its neighbours (larger ones, then smaller ones), until nothing moves. An
+    id with very many neighbours doesn't gather them in one task: what it is told is broadcast."""
 
     def mark(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
 
-    e = cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    def told(rows: DataFrame, what: DataFrame, key: str, value: str) -> DataFrame:
+        """rows with `value` of what(key, value, n), n its rows: 2 * LOUD_IDS ids at most have so many."""
+        many = F.col("n") >= loud
+        hot = F.broadcast(what.where(many).select(key, F.col(value).alias("hot")))
+        met = rows.join(hot, key, "left")
+        rest = met.where("hot IS NULL").drop("hot").join(what.where(~many).select(key, value), key)
+        return rest.unionByName(met.where("hot IS NOT NULL").withColumnRenamed("hot", value))
+
+    e = scratch.cut(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     now = mark(e)
     while True:
+        loud = max(500, now[0] // LOUD_IDS)
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct()
-        low = large.groupBy("b").agg(F.min("a").alias("p"))
-        small = large.join(low, "b")
-        e = cut(small.select(F.col("p").alias("a"), "b").unionByName(small.where("a <> p").select(F.col("p").alias("a"), F.col("a").alias("b"))).distinct())
-        before, now = now, mark(e)
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = scratch.cut(told(both.where("v > u"), low, "u", "m").select(F.col("m").alias("a"), F.col("v").alias("b")).distinct())
+        low = large.groupBy("b").agg(F.min("a").alias("p"), F.count(F.lit(1)).alias("n"))
+        small = told(large, low, "b", "p")
+        last, before = e, now
+        e = scratch.cut(small.select(F.col("p").alias("a"), "b").unionByName(small.where("a <> p").select(F.col("p").alias("a"), F.col("a").alias("b"))).distinct())
+        now = mark(e)
+        scratch.drop(last, large)
         if now == before:
-            return e.select(F.col("b").alias("id"), F.col("a").alias("root"))
+            return scratch.renamed(e, b="id", a="root")
 
 
 def classes(docs: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set") -> DataFrame:
     """(doc_id, class_id, text_key, class_key) for each row of docs(doc_id, text). A text goes by
     64 bits of its digest, text_key; class_key is that of the class's first document, class_id."""
     small_batches(docs.sparkSession)
-    all_rows = cut(signatures(docs, words=words, bands=bands, rows=rows, weighting=weighting))
+    scratch = Scratch(docs.sparkSession)
+    all_rows = scratch.cut(signatures(docs, words=words, bands=bands, rows=rows, weighting=weighting))
     own = all_rows.where("keys IS NOT NULL")
-    named = cut(own.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("keys").alias("keys"), F.min("sig").alias("sig")))
     no_id = F.lit(-(2**63))
-    texts = docs.select(_text_id().alias("id"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("of"), F.col("text").cast("binary").alias("text"))
-    copies = named.select("id", F.coalesce("least", no_id).alias("of"), "keys", "sig")
-    found = components(links(copies, texts.where("text IS NOT NULL"), words=words, least=least, weighting=weighting))
-    roots = named.select("id", "least").join(found, "id", "left").select("id", "least", F.coalesce("root", "id").alias("root"))
-    names = roots.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "id")).alias("first"))
-    of_text = roots.join(names, "root").select("id", F.col("first.least").alias("class_id"), F.col("first.id").alias("class_key"))
-    known = own.select("doc_id", "id").join(of_text, "id").select("doc_id", "class_id", F.col("id").alias("text_key"), "class_key")
-    alone = all_rows.where("keys IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("text_key"), F.lit(None).cast("long").alias("class_key"))
+    by_text = own.groupBy("id").agg(F.min("doc_id").alias("least"), F.min("keys").alias("keys"), F.min("sig").alias("sig"))
+    named = scratch.cut(by_text.withColumn("of", F.coalesce("least", no_id)))
+    texts = docs.where("text IS NOT NULL").select(F.coalesce(F.col("doc_id").cast("long"), no_id).alias("of"), F.col("text").cast("binary").alias("text"))
+    found = roots(named, texts, scratch, words=words, least=least, weighting=weighting)
+    met = named.select("id", "least").join(found, "id")
+    names = met.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "id")).alias("first"))
+    of_text = scratch.cut(met.join(names, "root").select("id", F.col("first.least").alias("class_id"), F.col("first.id").alias("class_key")))
+    narrow = scratch.cut(all_rows.select("doc_id", "id", F.col("keys").isNotNull().alias("worded")))
+    scratch.drop(all_rows, named, found)
+    known = narrow.where("worded").select("doc_id", "id").join(of_text, "id").select("doc_id", "class_id", F.col("id").alias("text_key"), "class_key")
+    none = F.lit(None).cast("long")
+    alone = narrow.where("NOT worded").select("doc_id", F.col("doc_id").alias("class_id"), none.alias("text_key"), none.alias("class_key"))
     return known.unionByName(alone)
 
 
 def keep_firsts(docs: DataFrame, **how) -> DataFrame:
     """docs with one row of each class, its first document; all rows without words stay."""
     cols = docs.columns
+    k_id, k_key = free_names(cols, "k_id", "k_key")
     found = classes(docs, **how).where("text_key = class_key AND doc_id <=> class_id")
-    found = cut(found.groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias("k_id"), F.col("text_key").alias("k_key")).count())
-    firsts, n = found.select("k_id", "k_key"), found.count()
-    rows = docs.select(*cols, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k_id"), _text_id().alias("k_key"))
+    found = cut(found.groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias(k_id), F.col("text_key").alias(k_key)).count())
+    firsts, n = found.select(k_id, k_key), found.count()
+    rows = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias(k_id), _text_id().alias(k_key))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # Repeated rows (the same id and text) are rare; only these are numbered.
-    again = found.where("count > 1").select("k_id", "k_key")
-    met = rows.where(worded).join(F.broadcast(firsts) if n <= BROADCAST_IDS else firsts, ["k_id", "k_key"], "left_semi")
+    again = found.where("count > 1").select(k_id, k_key)
+    met = rows.where(worded).join(F.broadcast(firsts) if n <= BROADCAST_IDS else firsts, [k_id, k_key], "left_semi")
     if not again.isEmpty():
-        met = met.join(again, ["k_id", "k_key"], "left_anti").unionByName(met.join(again, ["k_id", "k_key"], "left_semi").dropDuplicates(["k_id", "k_key"]))
+        repeated = met.join(again, [k_id, k_key], "left_semi").dropDuplicates([k_id, k_key])
+        met = met.join(again, [k_id, k_key], "left_anti").unionByName(repeated)
     return met.select(*cols).unionByName(rows.where(~worded).select(*cols))
