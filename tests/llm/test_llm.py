@@ -132,6 +132,19 @@ def test_pii(docs, nothing):
     assert red[106] == 'mail [EMAIL] or [PHONE] card [CARD] ip [IP] and 999.1.1.1 token = "[SECRET]" end' and red[100] is None and red[103] == {r.doc_id: r.text for r in docs.collect()}[103]
 
 
+def test_columns_named_as_temporary_ones_stay(spark):
+    names = ["base", "_t", "added", "proposed", "row", "k_id", "m_id", "m_key", "m_no", "best", "_text", "Held"]
+    df = spark.createDataFrame([(1, "mail a.b@c.example.com now", "en", "s", *names)], ", ".join(["doc_id long, text string, lang string, source string", *(f"{n} string" for n in names)]))
+    for out in (pii.redact(df), neardup.keep_firsts(df), mixing.mixed_documents(df), quality.keep_good(df, spark.createDataFrame([], "doc_id long, quality int"))):
+        assert out.columns == df.columns and [out.first()[n] for n in names] == names
+    caps = df.withColumns({"url": F.lit("http://a.b/c"), "fetched_at": F.lit("2024-01-01")})
+    changes = spark.createDataFrame([("l", "a.b", "2024-01-01", "add", "block")], "list string, entry string, at string, change string, action string")
+    got = urls.evaluate(caps, changes, "best", "doc_id").first()
+    assert (got["best"], got.decision) == ("best", "block")
+    kept = quality.score(df, spark.createDataFrame([], "doc_id long, quality int"), "_text", "base").first()
+    assert (kept["_text"], kept["base"], kept.score) == ("_text", "base", 0.5)
+
+
 def test_pii_patterns_find_what_the_plain_ones_find(spark):
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
     rng = np.random.default_rng(3)

@@ -1,13 +1,16 @@
 """BPE encoding and decoding with a transducer lexicon of frequent words.
 
 A text is cut at white space; tokens never cross it. The most frequent words of all texts are
-encoded once, on the driver, and compiled with their ids into a minimal acyclic transducer
+encoded once, in one task, and compiled with their ids into a minimal acyclic transducer
 (`lexicon`), which every worker maps into memory. A word that it lacks is split by the
 tokenizer's pattern and merged exactly, pair by pair in the order of rank. A bounded cache holds
 what a worker met last.
 
 Defined results: a null or empty text has no tokens and decodes to the empty text; the strings of
-special tokens in a text become these tokens, as the tokenizers library has it.
+special tokens in a text become these tokens, as the tokenizers library has it; a very long text
+is encoded whole; equal texts and repeated rows get equal tokens, row by row; an empty table gives
+no rows; columns that aren't kept are ignored, and a kept one may have any name but those of the
+tokens' own columns, which raise an error.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, use_worker
+from .common import free_names, small_batches, use_worker
 from .lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon, and the longest of them in bytes; the driver holds so many and no more.
@@ -222,39 +225,48 @@ def encode_text(text: str, cache) -> tuple[bytes, str]:
     return b"".join([x for x, _ in got]), " ".join([y for _, y in got if y is not None])
 
 
-def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """Words by their counts in all texts: those from the least count on, two or more, that at
-    most so many words reach."""
+def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
+    """(word): the `most` words of the highest counts, two or more, in all texts; words of one
+    count by a hash."""
     word = F.explode(F.split(F.col(text), r"\s+")).alias("word")  # Java's: ASCII blanks; others stay inside words and are never found
     counts = docs.select(word).where((F.col("word") != "") & (F.octet_length("word") <= LONGEST_WORD)).groupBy("word").count()
-    counts = cut(counts.where("count > 1"))
-    step = F.when(F.col("count") < 1024, F.col("count")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("count"))).cast("long"))
-    least, words = None, 0
-    for at, n in sorted(counts.groupBy(step.alias("at")).agg(F.count(F.lit(1))).collect(), reverse=True):  # 1,100 rows at most
-        words += n
-        if words > most:
-            break
-        least = at
-    return [] if least is None else [x[0] for x in counts.where(F.col("count") >= least).select("word").collect()]
+    return counts.where("count > 1").orderBy(F.desc("count"), F.xxhash64("word"), "word").limit(most).select("word")
 
 
 def build_lexicon(bpe: WordBPE, words: list[str]) -> bytes:
     return compile_lexicon((w.encode(), bpe.encode_word(w)) for w in words if words_of(w) == [w])
 
 
+def _lexicon_of(words: DataFrame, spec) -> bytes:
+    """Compiled in one task, from LEXICON_WORDS words at most: some MB."""
+
+    def run(batches):
+        use_worker("bpe_lexicon")
+        own = [w for b in batches for w in b.column(0).to_pylist()]
+        out = build_lexicon(WordBPE(json.loads(spec.value)), own)
+        yield pa.RecordBatch.from_arrays([pa.array([out], pa.binary())], names=["lexicon"])
+
+    got = words.coalesce(1).mapInArrow(run, "lexicon binary").first()
+    return got[0] if got else compile_lexicon([])
+
+
 def tokenize(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep: tuple[str, ...] = ("doc_id",), digests: bool = False, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """keep, n_tokens, ids array<int>, decoded of each row; with digests, SHA-256 of both in their
     place: ids_sha256, decoded_sha256. The tokenizer's file is read on the driver and broadcast
     (a file of some MB), as is the lexicon (LEXICON_WORDS words at most)."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
+    own = {"n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"} & {k.lower() for k in keep}
+    if own:
+        raise ValueError(f"kept columns are named as the tokens' own: {sorted(own)}")
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
-    lexicon = build_lexicon(load(spec), frequent_words(docs, text, lexicon_words))
-    spec_b, lexicon_b = spark.sparkContext.broadcast(spec), spark.sparkContext.broadcast(lexicon)
+    spec_b = spark.sparkContext.broadcast(spec)
+    lexicon_b = spark.sparkContext.broadcast(_lexicon_of(frequent_words(docs, text, lexicon_words), spec_b))
     tail = "n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded string")
-    rows = docs.select(*keep, F.col(text).alias("_text"))
-    kept = rows.drop("_text").schema
+    (hidden,) = free_names(list(keep), "_text")
+    rows = docs.select(*keep, F.col(text).alias(hidden))
+    kept = rows.drop(hidden).schema
     n_kept = len(kept)
 
     def run(batches):

@@ -10,7 +10,8 @@ one undecided document at most, and these meet again, group by group, in a reduc
 
 Defined results: a null or empty text has size 0 and takes 0 words; null is a source like any
 other and comes last; repeated rows count each for itself; an empty table gives no rows; a source
-without words has target 0. Random draws follow from the rows and the seed alone, so reruns and
+without words has target 0; a very long text counts all its words; extra columns are ignored by
+mix and handed on by mixed_documents, whatever they are called. Random draws follow from the rows and the seed alone, so reruns and
 retried tasks agree.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, ceil_div, cut
+from .common import WORD, ceil_div, cut, free_names
 
 SEED = 20_240_501
 _TREE = "rank int, bucket long, doc_id long, key long, size long, base int, p double"
@@ -131,11 +132,12 @@ def mixed_documents(docs: DataFrame, *, seed: int = SEED, **how) -> DataFrame:
     """docs, each row as often as the mix takes it. The mix decides over narrow rows; texts are
     read again and joined by doc_id and content. Rows equal in these share their copies out."""
     cols = docs.columns
-    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("m_id")  # the key tells null from 0
-    plan = mix(docs, seed=seed, **how).groupBy(known, F.col("key").alias("m_key")).agg(F.sum("copies").alias("m_sum"), F.count(F.lit(1)).alias("m_rows"))
-    rows = docs.select(*cols, known, F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias("m_key"))
-    met = rows.join(plan.where("m_sum > 0"), ["m_id", "m_key"])
-    no = F.row_number().over(W.partitionBy("m_id", "m_key").orderBy(F.lit(0)))
-    copies = F.expr("m_sum DIV m_rows + CAST(m_no <= m_sum % m_rows AS INT)").cast("int")
-    met = met.withColumn("m_no", no).withColumn("m_copies", copies).where("m_copies > 0")
-    return met.withColumn("m_copy", F.explode(F.sequence(F.lit(1), "m_copies"))).select(*cols)
+    m_id, m_key, m_sum, m_rows, m_no, m_copies = free_names(cols, "m_id", "m_key", "m_sum", "m_rows", "m_no", "m_copies")
+    known = F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias(m_id)  # the key tells null from 0
+    plan = mix(docs, seed=seed, **how).groupBy(known, F.col("key").alias(m_key)).agg(F.sum("copies").alias(m_sum), F.count(F.lit(1)).alias(m_rows))
+    rows = docs.select("*", known, F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias(m_key))
+    met = rows.join(plan.where(F.col(m_sum) > 0), [m_id, m_key])
+    met = met.withColumn(m_no, F.row_number().over(W.partitionBy(m_id, m_key).orderBy(F.lit(0))))
+    met = met.withColumn(m_copies, F.expr(f"`{m_sum}` DIV `{m_rows}` + CAST(`{m_no}` <= `{m_sum}` % `{m_rows}` AS INT)").cast("int"))
+    copied = met.where(F.col(m_copies) > 0).withColumn(m_no, F.explode(F.sequence(F.lit(1), F.col(m_copies))))
+    return copied.select(*[F.col(f"`{c}`") for c in cols])

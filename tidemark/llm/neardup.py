@@ -17,7 +17,8 @@ such rows to rows of other classes.
 
 Defined results: texts without words (null, empty, blank) are alone, each in its own class;
 repeated rows and equal texts share a class; a class is named by its least doc_id; rows with a
-null doc_id and equal texts to none have class null; extra columns are ignored.
+null doc_id and equal texts to none have class null; a very long text is read whole; an empty table
+gives no rows; extra columns are ignored, and keep_firsts hands them on, whatever they are called.
 """
 
 from __future__ import annotations

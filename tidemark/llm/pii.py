@@ -11,7 +11,8 @@ Patterns are written so that each text is scanned in linear time: a run is enter
 only, and repeats are possessive. Offsets count code points and end exclusively.
 
 Defined results: a null or empty text has no spans; ties and repeated rows give equal results;
-an empty table gives no rows; extra columns are ignored.
+an empty table gives no rows; a very long text is searched whole; extra columns are ignored by
+report and handed on by redact, whatever they are called.
 """
 
 from __future__ import annotations
@@ -257,17 +258,18 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span of the text replaced by its kind in brackets, as [EMAIL]; where spans
     overlap, they go as one, by the kind of the first. A null text stays null."""
     cols = docs.columns
-    found = with_spans(docs, *cols, text=text)
+    found = with_spans(docs.select(F.struct(*[docs[c] for c in cols]).alias("row"), docs[text].alias("text")), "row")
+    body_of = F.col("row").getField(text)
     spans = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
-        body = F.substring(F.col(text), (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
+        body = F.substring(body_of, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int"))
         more = F.concat(s["out"], F.array(F.concat(body, F.lit("["), F.upper(x["kind"]), F.lit("]"))))
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(x["start"] >= s["at"], more).otherwise(s["out"]).alias("out"))
 
     def finish(s: Column) -> Column:
-        return F.concat(F.array_join(s["out"], ""), F.substring(F.col(text), (s["at"] + 1).cast("int"), F.lit(2**31 - 1)))
+        return F.concat(F.array_join(s["out"], ""), F.substring(body_of, (s["at"] + 1).cast("int"), F.lit(2**31 - 1)))
 
-    new = F.when(F.size("base") + F.size("added") == 0, F.col(text)).otherwise(F.aggregate(spans, zero, step, finish))
-    return found.select(*[new.alias(c) if c == text else F.col(c) for c in cols])
+    new = F.when(F.size("base") + F.size("added") == 0, body_of).otherwise(F.aggregate(spans, zero, step, finish))
+    return found.select(*[new.alias(c) if c == text else F.col("row").getField(c).alias(c) for c in cols])

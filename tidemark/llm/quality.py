@@ -5,17 +5,20 @@ six bytes slide over every position; each chunk keeps a filter's maximum. The la
 of a filter's maxima over all chunks go through one hidden layer to one probability. For scoring,
 the filters are folded into tables by pairs of bytes, so a position costs three look-ups.
 
-It is trained on the driver, on a bounded sample of labelled rows (SAMPLE_ROWS rows, the least by
-a hash of the doc_id; of a text longer than SAMPLE_TEXT characters, evenly spaced windows of so
-many in all). Rows whose crc32(doc_id as text) mod 5 is 0 are held out. Scoring reads whole texts.
+It is trained in one task, on a bounded sample of labelled rows (SAMPLE_ROWS rows, the least by a
+hash of the doc_id) and their whole texts. Rows whose crc32(doc_id as text) mod 5 is 0 are held
+out. Training and scoring read texts chunk by chunk, so a very long text takes little memory.
 
 Defined results: null and empty texts are scored like a text of zero bytes; without labelled rows
-every score is 0.5; a doc_id with several labels counts by its least one; null labels are ignored;
-repeated rows get equal scores; rows with a null doc_id are held out of training, held_out false.
+every score is 0.5; a doc_id with several labels counts by its least one, with several texts by
+the least text; null labels are ignored; repeated rows get equal scores; rows with a null doc_id
+are held out of training, held_out false; an empty table gives no rows; extra columns are ignored,
+whatever they are called, and keep_good hands them on.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, use_worker
+from .common import free_names, small_batches, use_worker
 
-SAMPLE_ROWS, SAMPLE_TEXT = 2_400, 16_384
+SAMPLE_ROWS = 2_400
 THRESHOLD = 0.3
 FOLDS = 5
 #: Bytes of a chunk, filters, bytes of a filter, numbers that stand for a byte, hidden units.
@@ -100,6 +103,18 @@ def pool(tables: list[np.ndarray], text: bytes) -> np.ndarray:
     return np.concatenate((np.maximum(most, 0), total / n))
 
 
+def _tops(tables: list[np.ndarray], raw: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each chunk's maximum of each filter, and the place in raw where it is."""
+    top, place = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.int64)
+    for i in range(0, n, 64):
+        k = min(64, n - i)
+        y = responses(tables, raw[i * CHUNK : (i + k) * CHUNK + WIDTH - 1], k).reshape(k, CHUNK, FILTERS)
+        at = y.argmax(axis=1)
+        top[i : i + k] = np.take_along_axis(y, at[:, None, :], axis=1)[:, 0, :]
+        place[i : i + k] = at + np.arange(i, i + k)[:, None] * CHUNK
+    return top, place
+
+
 def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, rate: float = 0.01, batch: int = 48, decay: float = 1e-4, seed: int = 6) -> Network:
     """Adam on the log loss; a maximum passes its gradient to the place where it was."""
     net = Network.fresh(seed)
@@ -116,15 +131,12 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, rate: float =
             tables, x, windows, owners, tops, firsts = net.tables(), [], [], [], [], []
             for j, i in enumerate(own):
                 raw, n = padded[i]
-                y = responses(tables, raw, n).reshape(n, CHUNK, FILTERS)
-                arg = y.argmax(axis=1)
-                top = np.take_along_axis(y, arg[:, None, :], axis=1)[:, 0, :]
-                start = arg + np.arange(n)[:, None] * CHUNK
-                windows.append(raw[start[:, :, None] + places])
+                top, place = _tops(tables, raw, n)
+                windows.append(raw[place[:, :, None] + places])
                 owners.append(np.full(n, j))
                 tops.append(top)
-                first = np.zeros((n, FILTERS))
-                first[top.argmax(axis=0), np.arange(FILTERS)] = 1
+                first = np.zeros((n, FILTERS), dtype=bool)
+                first[top.argmax(axis=0), np.arange(FILTERS)] = True
                 firsts.append(first)
                 x.append(np.concatenate((np.maximum(top.max(axis=0), 0), np.maximum(top, 0).mean(axis=0))))
             x, windows, owners, tops, firsts = np.array(x), np.concatenate(windows), np.concatenate(owners), np.concatenate(tops), np.concatenate(firsts)
@@ -135,12 +147,13 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, rate: float =
             dx = dh @ net.hidden.T
             sizes = np.bincount(owners, minlength=len(own))
             g = (dx[owners, :FILTERS] * firsts + dx[owners, FILTERS:] / sizes[owners][:, None]) * (tops > 0)  # chunk, filter
-            chosen = net.embed[windows]  # chunk, filter, place, number
-            d_filters = np.einsum("cf,cfpe->pef", g, chosen)
-            d_embed = np.zeros_like(net.embed)
-            back = np.einsum("cf,pef->cfpe", g, net.filters).reshape(-1, EMBED)
-            for e in range(EMBED):
-                d_embed[:, e] = np.bincount(windows.ravel(), back[:, e], 256)
+            d_filters, d_embed = np.zeros_like(net.filters), np.zeros_like(net.embed)
+            for i in range(0, len(g), 1_024):
+                part, own_g = windows[i : i + 1_024], g[i : i + 1_024]
+                d_filters += np.einsum("cf,cfpe->pef", own_g, net.embed[part])  # chunk, filter, place, number
+                back = np.einsum("cf,pef->cfpe", own_g, net.filters).reshape(-1, EMBED)
+                for e in range(EMBED):
+                    d_embed[:, e] += np.bincount(part.ravel(), back[:, e], 256)
             grads = [d_embed, d_filters, g.sum(axis=0), x.T @ dh, dh.sum(axis=0), h.T @ dz, np.array([dz.sum()])]
             step += 1
             for q, d, (m, v) in zip(net.parameters(), grads, state):
@@ -159,18 +172,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     """(doc_id, text, quality) of so many labelled rows, not held out."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(~held_out()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    n, step = F.char_length("text"), SAMPLE_TEXT // 8
-    window = [F.substring(F.col("text"), (F.lit(1) + F.floor((n - step) * i / 7)).cast("int"), F.lit(step)) for i in range(8)]
-    text = F.when(n <= SAMPLE_TEXT, F.col("text")).otherwise(F.concat(*window))
     met = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(some), "doc_id")  # `rows` rows
-    return met.groupBy("doc_id").agg(F.min(text).alias("text"), F.min("quality").alias("quality"))
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network | None:
-    sample = sorted(labelled_sample(docs, labels, rows).collect())  # `rows` rows of SAMPLE_TEXT characters at most
-    if not sample:
-        return None
-    return train([(r["text"] or "").encode() for r in sample], np.array([float(r["quality"]) for r in sample]))
+    """The network, trained in one task; None without labelled rows."""
+
+    def run(batches):
+        use_worker("quality")
+        sample = sorted((d, t or "", q) for b in batches for d, t, q in zip(*(c.to_pylist() for c in b.columns)))
+        if sample:
+            net = train([t.encode() for _, t, _ in sample], np.array([float(q) for *_, q in sample]))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)], pa.binary())], names=["net"])
+
+    sample = labelled_sample(docs, labels, rows).select("doc_id", "text", F.col("quality").cast("double"))
+    got = sample.coalesce(1).mapInArrow(run, "net binary").first()  # some 40 kB
+    return pickle.loads(got[0]) if got else None
 
 
 def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THRESHOLD) -> DataFrame:
@@ -178,7 +196,8 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THR
     small_batches(docs.sparkSession)
     net = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # some 40 kB
-    rows = docs.select(*keep, F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias("_text"))
+    (hidden,) = free_names([*keep, "held_out"], "_text")
+    rows = docs.select(*keep, F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("text").cast("binary").alias(hidden))
     n_kept = len(keep) + 1
 
     def run(batches):
@@ -196,7 +215,7 @@ def score(docs: DataFrame, labels: DataFrame, *keep: str, threshold: float = THR
 
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-    kept = rows.drop("_text").schema
+    kept = rows.drop(hidden).schema
     return rows.mapInArrow(run, StructType([*kept, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
 
 

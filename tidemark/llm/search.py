@@ -13,7 +13,8 @@ is indexed, every query is run whole.
 
 Defined results: a null or empty text is a document of length 0 and no query; a document without
 a query's terms has no score and isn't listed; ties go to the smaller doc_id, null last; repeated
-rows are documents of their own; queries are known by their id, and repeated ids run once, with
+rows are documents of their own; a very long text is indexed and asked whole; an empty table gives
+no rows; extra columns are ignored; queries are known by their id, and repeated ids run once, with
 the least text.
 """
 

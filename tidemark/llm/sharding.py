@@ -7,7 +7,8 @@ exchange brings the pieces to their shards, where they are permuted again. Shard
 row at most, and every permutation of the rows is as likely as any other.
 
 Defined results: a null text counts 0 bytes plus 8 and has the CRC of no bytes, 0; equal rows are
-dealt one by one and may land apart; an empty table gives no rows. Permutations order by hashes
+dealt one by one and may land apart; an empty table gives no rows; a very long text is one row as
+any other; extra columns are ignored. Permutations order by hashes
 of the rows, not by their arrival, so a retried task deals alike.
 """
 

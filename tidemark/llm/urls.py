@@ -14,7 +14,8 @@ Defined results: a null or unparsable URL, a null time and a capture without an
 allowed, with a null entry; repeated captures keep their rows; repeated changes count once; of
 changes of one entry of a list at one time, the removal is last. Hosts compare in lower case,
 without a trailing dot, also those of entries; paths keep their case on both sides, as servers
-tell them apart; ports, credentials, query and fragment don't count.
+tell them apart; ports, credentials, query and fragment don't count. An empty table gives no rows, a
+very long URL is read whole, columns that aren't kept are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import free_names
+
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)?"
 
@@ -62,6 +65,7 @@ def evaluate(captures: DataFrame, changes: DataFrame, *keep: str) -> DataFrame:
     spans = intervals(changes)
     active = keyed.join(spans, "entry").where("fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)")
     rank = F.struct(F.contains("entry", F.lit("/")).cast("int").alias("path"), F.length("entry").alias("n"), (F.col("action") == "allow").cast("int").alias("allow"), F.col("list").alias("list"), F.col("entry").alias("entry"), F.col("action").alias("action"))
-    best = active.groupBy("url", "fetched_at").agg(F.max(rank).alias("best"))
+    (won,) = free_names(list(keep), "best")
+    best = active.groupBy("url", "fetched_at").agg(F.max(rank).alias(won))
     met = captures.select(*keep, "url", "fetched_at").join(best, ["url", "fetched_at"], "left")
-    return met.select(*keep, "url", "fetched_at", F.coalesce("best.action", F.lit("allow")).alias("decision"), F.col("best.list").alias("list"), F.col("best.entry").alias("entry"))
+    return met.select(*keep, "url", "fetched_at", F.coalesce(F.col(won).getField("action"), F.lit("allow")).alias("decision"), F.col(won).getField("list").alias("list"), F.col(won).getField("entry").alias("entry"))
