@@ -1,6 +1,7 @@
 """The training-data operators against brute force and defined edge cases."""
 
 import hashlib
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -293,6 +294,35 @@ def test_search_is_exact(spark, docs, nothing):
     assert set(got) == set(asked) and search.search(nothing, nothing.select(F.col("doc_id").alias("query_id"), "text")).count() == 0
 
 
+def test_wand_reads_fewer_postings_and_loses_none(spark):
+    at = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(at):
+        pytest.skip("no test tables")
+    docs = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(at).select("doc_id", "text").collect()]
+    terms = [search.terms_of(t) for _, t in docs]
+    mean, shards, df = np.mean([len(t) for t in terms]), [], Counter()
+    for i in range(0, len(docs), 4000):
+        b = search._shard([d for d, _ in docs[i : i + 4000]], terms[i : i + 4000])
+        row = {c: b.column(c)[0].values.to_numpy(zero_copy_only=False) for c in ("ids", "lengths", "terms", "offsets", "docs", "tfs")}
+        row |= {"terms": row["terms"].view(np.uint64), "no_id": np.zeros(len(row["lengths"]), dtype=bool)}
+        shards.append(search.Shard(row, mean))
+        df.update(dict(zip(row["terms"].tolist(), shards[-1].df.tolist())))
+    for t in terms[::97]:
+        term, n = np.unique(t, return_counts=True)
+        d = np.array([df[x] for x in term.tolist()])
+        w = np.log(1 + (len(docs) - d + 0.5) / (d + 0.5)) * n
+        best, want = [], []
+        for s in shards:
+            best = sorted(best + s.top(term, w, 10, -best[-1][0] if len(best) == 10 else 0.0))[:10]
+            at = np.minimum(np.searchsorted(s.terms, term), len(s.terms) - 1)
+            s.asked[at[s.terms[at] == term]] = w[s.terms[at] == term]
+            before, full = s.scored, s._full(np.arange(s.n))
+            s.asked[:], s.scored = 0, before
+            want += [(-x, False, int(i)) for x, i in zip(full, s.ids) if x > 0]
+        assert best == sorted(want)[:10]
+    assert sum(s.scored for s in shards) < 0.6 * sum(s.postings for s in shards)
+
+
 # near-duplicates
 
 

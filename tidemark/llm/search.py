@@ -1,12 +1,17 @@
-"""Exact top-k search: BM25 over an inverted index in shards, with block-max dynamic pruning.
+"""Exact top-k search: BM25 over an inverted index in shards, with block-max WAND pruning.
 
 Terms are runs of ASCII letters, digits and non-ASCII bytes, ASCII letters in lower case. Each
 partition becomes shards of some thousand documents; a shard holds its postings by term, then
-document, and is written once. Document counts, lengths and document frequencies are gathered
-over all shards, so every shard scores with the same global statistics and merging the shards'
-best k is exact. In a shard, documents come in blocks; a block's upper bound for a query is the
-sum, over the query's terms, of the largest weight that a term has in the block. The block with
-the largest bound is scored first; then only blocks whose bounds reach the k-th best score are.
+document, and is written once. Its documents stand by kind (clusters of their common terms), then
+length, so that documents of a block are alike. Document counts, lengths and document frequencies
+are gathered over all shards, so every shard scores with the same global statistics and merging
+the shards' best k is exact.
+
+A query reads a shard's lists from the rarest term on, some at a time and for all documents at
+once. A document is a pivot while its score in the lists read so far and its block's maxima in
+those unread may reach the k-th best score; blocks without a pivot are skipped from then on. That
+threshold starts at what earlier shards gave, or the whole scores of the best documents by the
+rarest terms, and rises with the scores.
 
 Queries go in blocks of bounded size, each against all shards. Nothing is capped: every document
 is indexed, every query is run whole.
@@ -21,6 +26,7 @@ the least text.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +34,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, use_worker
+from .common import Scratch, use_worker
 from .neardup import mix64
 
 K1, B, TOP = 1.2, 0.75, 10
 #: Documents and bytes of text of a shard, at most one text more; documents of a block.
-SHARD_DOCS, SHARD_BYTES, BLOCK = 8_192, 32_000_000, 256
+SHARD_DOCS, SHARD_BYTES, BLOCK = 8_192, 32_000_000, 16
+#: Kinds of documents in a shard, and the common terms that tell them apart.
+KINDS, KIND_TERMS = 12, 256
+#: Lists are read by LISTS, then by as many more as a GROWTH-th of those read.
+LISTS, GROWTH = 12, 2
+#: Lists of a shard's documents / SHORT postings are read whole. A threshold starts from the best of
+#: SEEDS * k documents by these lists and HOPE of what their blocks may add.
+SHORT, SEEDS, HOPE = 16, 3, 0.2
 #: Queries, and terms of all of them, of a query block: what is sent to every shard at once.
-QUERY_BLOCK, QUERY_TERMS = 4_096, 2_000_000
+QUERY_BLOCK, QUERY_TERMS = 4_096, 1_000_000
 _FOLD = np.zeros(256, dtype=np.uint8)  # 0: between terms
 _FOLD[list(b"abcdefghijklmnopqrstuvwxyz0123456789") + list(range(128, 256))] = list(b"abcdefghijklmnopqrstuvwxyz0123456789") + list(range(128, 256))
 _FOLD[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")] = list(b"abcdefghijklmnopqrstuvwxyz")
@@ -59,20 +72,51 @@ def terms_of(text: bytes) -> np.ndarray:
 _INDEX = "n_docs long, ids array<long>, lengths array<int>, terms array<long>, offsets array<int>, docs array<short>, tfs array<int>"
 
 
+def _kinds(at: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """A cluster of each document, from distinct pairs of a term's place and a document: some rounds of means over the most
+    common terms, from documents far apart."""
+    df = np.bincount(at)
+    column = np.full(len(df), -1)
+    column[np.argsort(-df, kind="stable")[:KIND_TERMS]] = np.arange(min(KIND_TERMS, len(df)))
+    at = column[at]
+    x = np.zeros((n, KIND_TERMS), dtype=np.float32)
+    x[doc[at >= 0], at[at >= 0]] = 1
+    x /= np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-9)
+    means, near = [x.mean(axis=0)], x @ x.mean(axis=0)
+    for _ in range(KINDS):
+        means.append(x[near.argmin()])
+        near = np.maximum(near, x @ means[-1])
+    means = np.array(means)
+    for _ in range(4):
+        kind = (x @ means.T).argmax(axis=1)
+        for k in np.unique(kind):
+            means[k] = x[kind == k].mean(axis=0)
+            means[k] /= max(np.sqrt((means[k] ** 2).sum()), 1e-9)
+    return (x @ means.T).argmax(axis=1)
+
+
 def _shard(ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
     lengths = np.array([len(t) for t in texts], dtype=np.int32)
-    every = np.concatenate(texts)
-    doc = np.repeat(np.arange(len(texts)), lengths)
-    order = np.lexsort((doc, every))
-    every, doc = every[order], doc[order]
-    first = np.flatnonzero(np.concatenate(([True], (every[1:] != every[:-1]) | (doc[1:] != doc[:-1])))) if len(every) else np.zeros(0, int)
-    tf = np.diff(np.append(first, len(every)))
-    every, doc = every[first], doc[first]
-    start = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, int)
+    n = max(1, len(texts))
+    terms, at = np.unique(np.concatenate(texts), return_inverse=True)
+    pair, tf = np.unique(at * n + np.repeat(np.arange(len(texts)), lengths), return_counts=True)
+    at, doc = pair // n, pair % n
+    if len(pair):
+        rows = np.lexsort((lengths, _kinds(at, doc, len(texts))))
+        lengths, ids = lengths[rows], [ids[i] for i in rows]
+        pair = at * n + np.argsort(rows)[doc]
+        order = np.argsort(pair)
+        doc, tf = pair[order] % n, tf[order]
+    start = np.searchsorted(at, np.arange(len(terms)))
     row = [
-        pa.array([len(ids)], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([lengths], pa.list_(pa.int32())), pa.array([every[start].view(np.int64)], pa.list_(pa.int64())),
-        pa.array([np.append(start, len(every)).astype(np.int32)], pa.list_(pa.int32())), pa.array([doc.astype(np.int16)], pa.list_(pa.int16())), pa.array([tf.astype(np.int32)], pa.list_(pa.int32())),
-    ]
+        pa.array([len(ids)], pa.int64()),
+        pa.array([ids], pa.list_(pa.int64())),
+        pa.array([lengths], pa.list_(pa.int32())),
+        pa.array([terms.view(np.int64)], pa.list_(pa.int64())),
+        pa.array([np.append(start, len(at)).astype(np.int32)], pa.list_(pa.int32())),
+        pa.array([doc.astype(np.int16)], pa.list_(pa.int16())),
+        pa.array([tf.astype(np.int32)], pa.list_(pa.int32())),
+    ]
     return pa.RecordBatch.from_arrays(row, names=["n_docs", "ids", "lengths", "terms", "offsets", "docs", "tfs"])
 
 
@@ -128,20 +172,41 @@ class Shard:
         self.docs, tf = row["docs"].astype(np.int64), row["tfs"].astype(float)
         norm = K1 * (1 - B + B * row["lengths"] / mean_length)
         self.weights = tf * (K1 + 1) / (tf + norm[self.docs])
-        self.n, self.n_blocks = len(row["lengths"]), -(-len(row["lengths"]) // BLOCK)
-        # runs of postings of one term and block
-        term = np.repeat(np.arange(len(self.terms)), np.diff(self.offsets))
-        key = term * self.n_blocks + self.docs // BLOCK
-        self.run = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-        self.run_end = np.append(self.run[1:], len(key))
-        self.run_block = self.docs[self.run] // BLOCK
-        self.run_most = np.maximum.reduceat(self.weights, self.run) if len(key) else self.weights
-        self.term_runs = np.searchsorted(self.run, self.offsets)
-        self.scored_blocks = 0
-
-    def _scores(self, starts, ends, weights) -> np.ndarray:
+        self.n, self.df = len(row["lengths"]), np.diff(self.offsets)
+        self.block, n_blocks = np.arange(self.n) // BLOCK, -(-self.n // BLOCK)
+        # by document: the terms and weights of each
+        by_doc = np.argsort(self.docs, kind="stable")
+        self.doc_terms = np.repeat(np.arange(len(self.terms)), self.df)[by_doc]
+        self.doc_weights = self.weights[by_doc]
+        self.doc_at = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=self.n))))
+        # by block, of the longer lists: maxima, and where the block's postings start; others are read whole
+        common = np.flatnonzero(self.df > self.n // SHORT)
+        self.row_of = np.full(len(self.terms), -1)
+        self.row_of[common] = np.arange(len(common))
+        self.most = np.zeros((len(common), n_blocks), dtype=np.float32)
+        sizes = np.zeros((len(common), n_blocks), dtype=np.int64)
+        if len(common):
+            places, which = _spread(self.offsets[common], self.offsets[common + 1])
+            run = which * n_blocks + self.docs[places] // BLOCK
+            first = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+            self.most.ravel()[run[first]] = np.maximum.reduceat(self.weights[places], first)
+            sizes.ravel()[run[first]] = np.diff(np.append(first, len(run)))
+        self.starts = self.offsets[common][:, None] + np.concatenate((np.zeros((len(common), 1), np.int64), sizes.cumsum(axis=1)), axis=1)
+        self.asked = np.zeros(len(self.terms))
+        self.postings = self.scored = 0  # of all queries' terms; read or scored
+
+    def _read(self, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What these runs of postings give to each document."""
         places, which = _spread(starts, ends)
-        return np.bincount(self.docs[places], self.weights[places] * weights[which], self.n)
+        self.scored += len(places)
+        return np.bincount(self.docs[places], self.weights[places] * weights[which], self.n).astype(float)
+
+    def _full(self, docs: np.ndarray) -> np.ndarray:
+        """Whole scores; a document's terms are always added in the same order."""
+        places, which = _spread(self.doc_at[docs], self.doc_at[docs + 1])
+        asked = self.asked[self.doc_terms[places]]
+        self.scored += int(np.count_nonzero(asked))
+        return np.bincount(which, asked * self.doc_weights[places], len(docs))
 
     def top(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: float = 0.0) -> list[tuple[float, bool, int]]:
         """(-score, whether the id is null, id) of the best k that reach floor, the best first; terms in hash order."""
@@ -150,49 +215,78 @@ class Shard:
         at, weights = at[have], weights[have]
         if not len(at):
             return []
-        runs, which = _spread(self.term_runs[at], self.term_runs[at + 1])
-        block, own = self.run_block[runs], weights[which]
-        bound = np.bincount(block, self.run_most[runs] * own, self.n_blocks) * (1 + 1e-9)  # sums round
-        score = lambda chosen: self._scores(self.run[runs[chosen]], self.run_end[runs[chosen]], own[chosen])
-        first = score(block == bound.argmax())
-        found = np.sort(first[first > 0])
-        least = max(floor, found[-k] if len(found) >= k else 0.0)
-        open_ = (bound >= least) & (bound > 0)
-        if open_.sum() > 1:
-            whole = 2 * open_.sum() > self.n_blocks  # then by whole terms, which is the same and faster
-            first = self._scores(self.offsets[at], self.offsets[at + 1], weights) if whole else score(open_[block])
-        self.scored_blocks += int(open_.sum())
-        hit = np.flatnonzero((first > 0) & (first >= floor))
-        if len(hit) > k:
-            hit = hit[first[hit] >= np.partition(first[hit], len(hit) - k)[len(hit) - k]]
-        order = hit[np.lexsort((self.ids[hit], self.no_id[hit], -first[hit]))][:k]
-        return [(-first[i], bool(self.no_id[i]), int(self.ids[i])) for i in order]
+        self.asked[at] = weights
+        asked = at
+        self.postings += int(self.df[at].sum())
+        order = np.argsort(self.df[at], kind="stable")
+        at, weights = at[order], weights[order]
+        rare = self.row_of[at] < 0
+        score = self._read(self.offsets[at[rare]], self.offsets[at[rare] + 1], weights[rare])
+        rows, weights = self.row_of[at[~rare]], weights[~rare]
+        parts = [0]  # of the lists, in the order in which they are read: LISTS, then half as many more as are read
+        while parts[-1] < len(rows):
+            parts.append(min(len(rows), parts[-1] + parts[-1] // GROWTH + LISTS))
+        own = np.zeros((len(parts), len(rows)), dtype=np.float32)
+        for i, (start, end) in enumerate(zip(parts, parts[1:])):
+            own[i, start:end] = weights[start:end]
+        rest = np.cumsum((own @ self.most[rows])[::-1], axis=0)[::-1]  # the block maxima of the lists from each part on
+        least, first, firsts = floor, np.zeros(0, np.int64), np.zeros(0)
+        if not floor:
+            hope = score + rest[0][self.block] * HOPE  # of each: the rarest terms, and a part of what its block may add
+            first = np.sort(np.argpartition(hope, max(self.n - SEEDS * k, 0))[-SEEDS * k :])
+            firsts = self._full(first)
+            least = np.partition(firsts, len(firsts) - k)[len(firsts) - k] if len(firsts) >= k else 0.0
+        for i, (start, end) in enumerate(zip(parts, [*parts[1:], None])):
+            bound = (score + rest[i][self.block]) * (1 + 1e-4)  # maxima are rounded
+            pivots = np.flatnonzero(bound >= max(least, 1e-300))
+            if end is None or not len(pivots):
+                break
+            live = np.bincount(self.block[pivots], minlength=len(rest[0])) > 0
+            edge = np.flatnonzero(np.diff(live, prepend=False, append=False))  # live blocks side by side are one run
+            runs = self.starts[rows[start:end]][:, edge]
+            score += self._read(runs[:, ::2].ravel(), runs[:, 1::2].ravel(), np.repeat(weights[start:end], len(edge) // 2))
+            if len(pivots) > k:
+                reached = score[pivots]
+                least = max(least, np.partition(reached, len(reached) - k)[len(reached) - k])
+        other = pivots[~np.isin(pivots, first)]
+        pivots, full = np.append(first, other), np.append(firsts, self._full(other))
+        self.asked[asked] = 0
+        good = (full > 0) & (full >= floor)
+        hit, full = pivots[good], full[good]
+        order = np.lexsort((self.ids[hit], self.no_id[hit], -full))[:k]
+        return [(-full[i], bool(self.no_id[hit[i]]), int(self.ids[hit[i]])) for i in order]
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, doc_id, score): for each of queries(query_id, text) the best k of
     docs(doc_id, text). Null doc_ids come out as null."""
-    index = cut(build_index(docs))
+    scratch = Scratch(docs.sparkSession)
+    index = scratch.cut(build_index(docs))
     n, total = index.select(F.sum("n_docs"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()
     n, total = n or 0, total or 0
-    df = index.select(F.explode(F.arrays_zip("terms", F.transform("terms", lambda _, i: (F.col("offsets")[i + 1] - F.col("offsets")[i]).cast("long")).alias("df"))).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.df").alias("df"))
+    dfs = F.transform("terms", lambda t, i: F.struct(t.alias("term"), (F.col("offsets")[i + 1] - F.col("offsets")[i]).cast("long").alias("df")))
+    df = index.select(F.inline(dfs)).groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = query_terms(queries).join(df, "term").select("query_id", F.struct("term", (idf * F.col("qtf")).alias("w")).alias("tw"))
-    asked = cut(weighted.groupBy("query_id").agg(F.array_sort(F.collect_list("tw")).alias("tw")))
+    asked = scratch.cut(weighted.groupBy("query_id").agg(F.array_sort(F.collect_list("tw")).alias("tw")))
     n_queries, n_terms = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("tw")), F.lit(0))).first()
     n_blocks = max(1, -(-n_queries // QUERY_BLOCK), -(-n_terms // QUERY_TERMS))
     mean = max(total / n, 1e-9) if n else 1.0
-    found = None
-    for i in range(n_blocks):
+    found = []
+    for i in range(n_blocks):  # a pass over the index for each block; what it was sent is given back
         block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).select("query_id", "tw.term", "tw.w").toArrow()
-        part = _against(index, block, mean, k)
-        found = part if found is None else found.unionByName(part)
+        part, sent = _against(index, block, mean, k)
+        found.append(scratch.cut(part))
+        sent.destroy()
     order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+    ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
-def _against(index: DataFrame, block: pa.Table, mean: float, k: int) -> DataFrame:
-    qs = [(q, np.asarray(t, dtype=np.int64).view(np.uint64), np.asarray(w)) for q, t, w in zip(block["query_id"].to_pylist(), (x.values.to_numpy() for x in block["term"]), (x.values.to_numpy() for x in block["w"]))]
+def _against(index: DataFrame, block: pa.Table, mean: float, k: int):
+    """(query_id, doc_id, score): the best k of each task's shards for each query; and the broadcast."""
+    lists = lambda name: (x.values.to_numpy() for x in block[name])
+    qs = [(q, t.view(np.uint64), w) for q, t, w in zip(block["query_id"].to_pylist(), lists("term"), lists("w"))]
     qs = [(q, t[o], w[o]) for q, t, w in qs for o in [np.argsort(t)]]
     shared = index.sparkSession.sparkContext.broadcast(qs)  # QUERY_BLOCK queries, QUERY_TERMS terms
 
@@ -215,4 +309,5 @@ def _against(index: DataFrame, block: pa.Table, mean: float, k: int) -> DataFram
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array([q] * len(found), pa.int64()), pa.array([None if no else i for _, no, i in found], pa.int64()), pa.array([-s for s, _, _ in found], pa.float64())], names=["query_id", "doc_id", "score"])
 
-    return index.select("ids", "lengths", "terms", "offsets", "docs", "tfs").mapInArrow(run, "query_id long, doc_id long, score double")
+    columns = index.select("ids", "lengths", "terms", "offsets", "docs", "tfs")
+    return columns.mapInArrow(run, "query_id long, doc_id long, score double"), shared
