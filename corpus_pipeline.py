@@ -1,8 +1,10 @@
 """A corpus from raw documents to tokens, by five of the training-data operators.
 
 Each stage is (spark, docs, sf_dir) -> DataFrame; its result is written as Parquet and read again
-as the next one's docs. All but the last return the columns of documents. Rows with null or empty
-texts pass every stage that their score passes.
+as the next one's docs. All but the last return the columns of documents, also when there are more
+of them or named as operators' own. Rows with null or empty texts pass every stage that their score
+passes; equal rows are near-duplicates of each other; very long texts are read whole; of an empty
+table nothing comes out.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import tokenize
 from tidemark.llm.common import shared_dir, table
@@ -30,8 +33,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with personal data replaced by its kind."""
-    return redact(docs)
+    """Texts with personal data replaced by its kind, and n_chars, where there is one, counted anew."""
+    out = redact(docs)
+    if "n_chars" not in docs.columns:
+        return out
+    n = F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return out.withColumn("n_chars", n)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

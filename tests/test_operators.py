@@ -1,9 +1,10 @@
 """Hand fixtures for the operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.config import Config, Cursor, Hover, Matching, Retiming, ScreenText, Segmentation, load_config
+from tidemark.config import Config, Cursor, Hover, Matching, Retiming, ScreenText, Segmentation, hardware_tier, load_config
 from tidemark.functions import geometry as G
 from tidemark.functions import text as T
 from tidemark.operators import checks, cursor, layout, matching, segmentation, subtitles, temporal, timeline, tracking, vision
@@ -110,15 +111,26 @@ def test_text(spark):
     lit = lambda s: F.lit(s)
     assert value(spark, T.normalize_latin(lit("  Prévisions   À jour "))) == "previsions a jour"
     score = lambda a, b: value(spark, T.label_score(T.normalize_latin(lit(a)), T.normalize_latin(lit(b))))
-    assert score("Prévisions de ventes", "previsionsdeventes") == 1.0 and score("le bouton", "le bouton") == 0.0 and score("revenue growth", "revenue") == 0.25
+    assert score("Prévisions de ventes", "previsionsdeventes") == 1.0 and score("Menu", "Menu") == 1.0 and score("le bouton", "la zone") == 0.0 and score("revenue growth", "revenue") == 0.25
     assert value(spark, T.missing_numbers(lit("1 234 et 56"), lit("1,234"))) == ["56"]
     assert value(spark, T.srt_time(F.lit(3723.456))) == "01:02:03,456" and value(spark, T.srt_time(F.lit(9.9999))) == "00:00:10,000"
     assert value(spark, T.ass_time(F.lit(-1.0))) == "0:00:00.00" and value(spark, T.ass_color(lit("#112233"))) == "&H00332211" and value(spark, T.ass_color(lit("yellow"))) == "&H0000FFFF"
-    assert value(spark, T.proper_names(lit("Hier Marie Curie et SAP. Ensuite Paul"))) == ["Marie Curie", "SAP", "Paul"]
+    names = lambda s: value(spark, T.proper_names(lit(s)))
+    assert names("Hier Marie Curie et SAP. Ensuite Paul") == ["Marie Curie", "SAP", "Paul"] and names("Chez SAP. APAC suit") == ["SAP APAC"]
+    assert names("(la fin.) Nordic Tech et [Nordic] puis Nordic Tech") == ["Nordic Tech", "Nordic Tech"] and names("") == []
+    assert value(spark, T.missing_names(F.array(lit("A B"), lit("A B"), lit("C")), lit("only c"))) == ["A B"]
     assert value(spark, T.translate_terms(lit("les revenus du mois"), [("revenu", "Revenue")])) == "les revenue du mois"
     assert value(spark, T.translate_terms(lit("rien"), [("revenu", "Revenue")])) is None
     assert value(spark, T.repeated_passage(lit("x a b c d e f y"), lit("a b c d e f"))) == "a b c d e f"
-    assert value(spark, T.shorten(lit("  hello   world - "), 32)) == "hello world" and value(spark, T.shorten(lit("aaaa bbbb cccc"), 10)) == "aaaa bbbb"
+    assert value(spark, T.shorten(lit("  hello   world - "), 32)) == "hello world" and [value(spark, T.shorten(lit("aaaa bbbb cccc"), n)) for n in (10, 9, 3)] == ["aaaa bbbb", "aaaa", "aaa"]
+    assert value(spark, T.repeated_passage(lit("so it's a b c d e, f"), lit("It's a b c d e g"))) == "it's a b c d e"
+    assert value(spark, T.escape_path(lit("C:\\a\\b"))) == "C\\:/a/b" and value(spark, T.translate_terms(lit("le mot"), [("mot", "a\\b$c")])) == "le a\\b$c"
+    num = lambda x: F.lit(x).cast("double")
+    assert [value(spark, T.enable_clause(num(a), num(b))) for a, b in ((0, None), (1, None), (1, 2.5))] == ["", ":enable='gte(t,1.000)'", ":enable='between(t,1.000,2.500)'"]
+    assert value(spark, T.text_alpha(num(1), num(3), num(0.25), num(0.9))) == "'if(lt(t,1.250),0.900*(t-1.000)/0.250,if(lt(t,2.750),0.900,0.900*(3.000-t)/0.250))'"
+    assert value(spark, T.text_alpha(num(1), num(None), num(0.25), num(0.9))) == "0.900"
+    assert value(spark, T.audio_clause(num(2), num(150), num(1.05))) == "atempo=1.0500,adelay=delays=2150:all=1"
+    assert value(spark, G.always_on(num(0), num(None), num(None))) and not value(spark, G.always_on(num(0), num(3), num(None))) and value(spark, G.fade_span(num(0.3), num(0), num(None))) == 0.0
     assert value(spark, T.frame_rate(lit("30000/1001"))) == pytest.approx(29.97, abs=0.01) and value(spark, T.frame_rate(lit("25"))) == 25.0
     assert value(spark, T.resolve_ui_reference(lit("named_control"), lit("le menu"))).kind == "spatial"
 
@@ -138,7 +150,14 @@ def test_segmentation(spark):
     w = spark.createDataFrame(words, "video_id string, pos int, text string, start double, end double")
     got = segmentation.segments(w, Segmentation(max_seconds=2.5, min_seconds=0.5)).orderBy("ord").collect()
     assert [r.text for r in got] == ["one two three.", "four five six seven eight."] and got[0].id == "seg-001"
-    assert len(segmentation.fit([(w, i * 0.4, i * 0.4 + 0.32) for i, w in enumerate(["a"] * 50)], Segmentation(max_seconds=6.0))) > 2
+    at = np.arange(50) * 0.4
+    cuts = segmentation.fit(at, at + 0.32, np.arange(50) == 20, Segmentation(max_seconds=6.0))
+    assert len(cuts) > 2 and cuts[0][0] == 0 and cuts[-1][1] == 50 and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:])) and 21 in [b for _, b in cuts]
+    assert segmentation.packed([(0, 5), (5, 10), (10, 30), (30, 32)], at, at + 0.32, Segmentation(max_seconds=4.0)) == [(0, 10), (10, 30), (30, 32)]
+    whole = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(float(i)).alias("start"), F.lit(i + 1.0).alias("end")) for i, t in enumerate(["so ", " it goes.  ", "On", "and on"])])
+    assert [r.text for r in value(spark, segmentation.merge_into_sentences(whole, 10.0))] == ["so it goes.  ", "On and on"]
+    late = spark.createDataFrame([("v", 1, 0.0, [("b", 0.0, 1.0)]), ("v", 0, 5.0, [("a", 5.0, 6.0)])], "video_id string, ord int, start double, words array<struct<text:string,start:double,end:double>>")
+    assert [r.text for r in segmentation.word_table(late).orderBy("pos").collect()] == ["b", "a"]
 
 
 def detections(spark, rows):
@@ -204,11 +223,18 @@ def test_vision(spark):
     assert len(capped.kept) <= 10 and capped.threshold > 0.05
     var = spark.createDataFrame([("v", r, 0.0 if r < 80 else 5.0) for r in range(400)], "video_id string, row int, variation double")
     assert vision.variation_height(var, 400).first().height == 80
+    assert vision.variation_height(var.withColumn("variation", F.lit(0.0)), 400).isEmpty()
+    band = spark.createDataFrame([("v", f, c, r, float(r >= at)) for f in range(2) for c, at in (("blue", 30), ("green", 12)) for r in range(50)], "video_id string, frame int, color string, row int, coverage double")
+    assert vision.anchor_height(band).first().height == 12
 
 
 def test_layout_checks_plans(spark):
     got = value(spark, layout.compute_layout(F.lit(1920), F.lit(1080)))
     assert (got.width, got.height, got.top, got.bottom) == (1920, 1080, 0, 0)
+    shape = lambda top, bottom: F.struct(F.lit(top).alias("top"), F.lit(bottom).alias("bottom"))
+    assert value(spark, layout.progress_y(shape(0, 0))) is None and value(spark, layout.progress_y(shape(0, 90))) == Config().layout.height - Config().layout.progress
+    assert value(spark, layout.subtitle_font_size(shape(0, 60))) == 21 and value(spark, layout.subtitle_font_size(shape(0, 0))) == Config().layout.subtitle_size
+    assert [hardware_tier(v) for v in (0, 8, 12)] == ["cpu-16gb", "gpu-8vram", "gpu-12vram-plus"]
     assert value(spark, checks.audio_levels(F.lit("mean_volume: -60.0 dB max_volume: -3.0 dB"))).warning == "too_quiet"
     assert stages.plan_steps("match") == ["match"] and stages.plan_steps(start_from="render") == ["render", "validate"]
     with pytest.raises(ValueError):

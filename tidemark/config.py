@@ -167,6 +167,6 @@ def load_config(path: str | Path) -> Config:
     return Config(**{name: kinds[name](**(values or {})) for name, values in raw.items()})
 
 
-def hardware_tier(ram_gb: float, vram_gb: float) -> str:
-    """A profile from memory sizes."""
-    return "high" if vram_gb >= 8 and ram_gb >= 16 else "medium" if ram_gb >= 16 else "low"
+def hardware_tier(vram_gb: float) -> str:
+    """A profile by the graphics memory: none, under 12 GB, more."""
+    return "cpu-16gb" if vram_gb <= 0 else "gpu-8vram" if vram_gb < 12 else "gpu-12vram-plus"

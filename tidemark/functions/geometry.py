@@ -66,12 +66,13 @@ def resolve_window(start: Column, end: Column, duration: Column, strict: bool =
 
 
 def always_on(start: Column, end: Column, duration: Column) -> Column:
-    return (start <= 0) & (end >= duration)
+    """An open end lasts; an end needs a known duration to reach."""
+    return (start <= 0) & (end.isNull() | F.coalesce(end >= duration, F.lit(False)))
 
 
 def fade_span(fade: Column, start: Column, end: Column) -> Column:
-    """Half the window at most."""
-    return F.least(fade, (end - start) / 2)
+    """Half the window at most; none with an open end."""
+    return F.when(end.isNull() | (fade <= 0), 0.0).otherwise(F.least(fade, (end - start) / 2))
 
 
 def even(v: Column) -> Column:

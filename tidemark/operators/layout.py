@@ -25,11 +25,12 @@ def compute_layout(w: Column, h: Column, c: Layout = Layout()) -> Column:
 
 
 def progress_y(layout: Column, c: Layout = Layout()) -> Column:
-    """Under the top band, else along the lower edge."""
-    return F.when(layout["top"] > 0, layout["top"] - c.progress).otherwise(F.lit(c.height - c.progress))
+    """Under the top band, else along the lower edge of the bottom band; null without bands."""
+    return F.when(layout["top"] > 0, layout["top"] - c.progress).when(layout["bottom"] > 0, F.lit(c.height - c.progress))
 
 
 def subtitle_font_size(layout: Column, lines: int = 2, c: Layout = Layout()) -> Column:
-    """Smaller where the band is low, 12 at least."""
-    room = F.floor((layout["bottom"] - 2 * 4) / (lines * 1.25)).cast("int")
-    return F.when(layout["bottom"] > 0, F.greatest(F.lit(12), F.least(F.lit(c.subtitle_size), room))).otherwise(F.lit(c.subtitle_size))
+    """Smaller where 85 % of the band can't hold the lines at 1.2 of the size each; 12 at least."""
+    fitting = F.floor(layout["bottom"] * 0.85 / (lines * 1.2)).cast("int")
+    size = F.when(layout["bottom"] > 0, F.least(F.lit(c.subtitle_size), fitting)).otherwise(F.lit(c.subtitle_size))
+    return F.greatest(F.lit(12), size)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,9 +17,11 @@ STRONG, SOFT = (".", "!", "?", "…"), (",", ";", ":")
 
 
 def word_table(transcript: DataFrame, keys=KEY) -> DataFrame:
-    """(keys, pos, text, start, end): the words of all segments in order, without blank ones."""
-    w = transcript.select(*keys, "ord", F.posexplode("words").alias("_i", "w")).where(F.trim("w.text") != "")
-    no = F.row_number().over(W.partitionBy(*keys).orderBy("ord", "_i"))
+    """(keys, pos, text, start, end): the words of all segments, by their start where they have one,
+    else by ord, without blank ones (G04)."""
+    first = [F.col("start").alias("_at")] if "start" in transcript.columns else [F.lit(0.0).alias("_at")]
+    w = transcript.select(*keys, *first, "ord", F.posexplode("words").alias("_i", "w")).where(F.trim("w.text") != "")
+    no = F.row_number().over(W.partitionBy(*keys).orderBy("_at", "ord", "_i"))
     return w.select(*keys, no.alias("pos"), F.trim("w.text").alias("text"), "w.start", "w.end")
 
 
@@ -29,18 +32,23 @@ def sentence_ids(words: DataFrame, keys=KEY, order: str = "pos") -> DataFrame:
     return words.withColumn("sentence", F.coalesce(F.sum(F.lag(ends).over(w).cast("int")).over(w.rowsBetween(W.unboundedPreceding, 0)), F.lit(0)))
 
 
-def glue(parts: Column, joins, first: Column | None = None) -> Column:
-    """Of an ordered array of structs (text, start, end): runs in which joins(previous, next) holds
-    for each step are one part (Q05, Q06, Q07)."""
-    kind = "array<struct<text:string,start:double,end:double>>"
+def glue(parts: Column, joins, trim: bool = False) -> Column:
+    """Of an ordered array of structs (text, start, end): runs in which joins(run so far, next) holds
+    are one part (Q05, Q06, Q07). What is done is carried apart, so a step costs no more than a part."""
+    kind = "struct<text:string,start:double,end:double>"
+    left = (lambda c: F.regexp_replace(c, r"(?U)\s+$", "")) if trim else (lambda c: c)
+    right = (lambda c: F.regexp_replace(c, r"(?U)^\s+", "")) if trim else (lambda c: c)
 
     def step(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        both = F.struct(F.concat_ws(" ", last["text"], x["text"]).alias("text"), last["start"].alias("start"), x["end"].alias("end"))
-        head = F.when(F.size(acc) > 0, F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(acc)
-        return F.when((F.size(acc) > 0) & joins(last, x), F.concat(head, F.array(both))).otherwise(F.concat(acc, F.array(x)))
+        run = acc["run"]
+        both = F.struct(F.concat_ws(" ", left(run["text"]), right(x["text"])).alias("text"), run["start"].alias("start"), x["end"].alias("end"))
+        on = run.isNotNull() & joins(run, x)
+        done = F.when(on | run.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(run)))
+        return F.struct(done.alias("done"), F.when(on, both).otherwise(x).alias("run"))
 
-    return F.aggregate(parts, F.array().cast(kind), step)
+    plain = F.transform(parts, lambda x: F.struct(x["text"].alias("text"), x["start"].cast("double").alias("start"), x["end"].cast("double").alias("end")).cast(kind))
+    zero = F.struct(F.array().cast(f"array<{kind}>").alias("done"), F.lit(None).cast(kind).alias("run"))
+    return F.aggregate(plain, zero, step, lambda acc: F.when(acc["run"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["run"]))))
 
 
 def pack(parts: Column, longest: float) -> Column:
@@ -63,35 +71,41 @@ def merge_short(parts: Column, shortest: float, longest: float) -> Column:
 
 
 def merge_into_sentences(parts: Column, longest: float) -> Column:
-    """For transcripts without words: a segment goes on while the text before doesn't end a sentence (Q05)."""
-    return glue(parts, lambda a, b: ~a["text"].rlike(r"[.!?…:]$") & (b["end"] - a["start"] <= longest))
-
-
-def fit(words: list[tuple[str, float, float]], c: Segmentation) -> list[list[tuple[str, float, float]]]:
-    """A sentence cut where a pause or soft mark is best, until its parts fit; a part that has no
-    valid cut stays long (Q08, A10)."""
-    total = words[-1][2] - words[0][1]
-    if total <= c.max_seconds or len(words) < 2:
-        return [words]
-    best, at = None, 0
-    for i in range(1, len(words)):
-        left, right = words[i - 1][2] - words[0][1], words[-1][2] - words[i][1]
-        if min(left, right) < c.min_seconds / 2:
+    """For transcripts without words: a segment goes on while the text before doesn't end a sentence;
+    spaces where two meet don't count (Q05)."""
+    return glue(parts, lambda a, b: ~a["text"].rlike(r"(?U)[.!?…:]\s*$") & (b["end"] - a["start"] <= longest), trim=True)
+
+
+def fit(start: np.ndarray, end: np.ndarray, soft: np.ndarray, c: Segmentation) -> list[tuple[int, int]]:
+    """Ranges of a sentence's words: it is cut where a pause or soft mark is best, until its parts fit;
+    a part that has no valid cut stays long (Q08, A10)."""
+    open_, out = [(0, len(start))], []
+    while open_:
+        lo, hi = open_.pop()
+        length = end[hi - 1] - start[lo]
+        if length <= c.max_seconds or hi - lo < 2:
+            out.append((lo, hi))
             continue
-        score = max(0.0, words[i][1] - words[i - 1][2]) + c.soft_bonus * words[i - 1][0].endswith(SOFT) - c.balance * abs(left - right) / total
-        if best is None or score > best:
-            best, at = score, i
-    return [words] if best is None else fit(words[:at], c) + fit(words[at:], c)
-
-
-def packed(parts: list[list[tuple[str, float, float]]], c: Segmentation) -> list[list[tuple[str, float, float]]]:
-    """Consecutive parts of a sentence glued while they last no longer (Q06)."""
-    out: list[list[tuple[str, float, float]]] = []
-    for p in parts:
-        if out and p[-1][2] - out[-1][0][1] <= c.max_seconds:
-            out[-1] = out[-1] + p
+        left, right = end[lo : hi - 1] - start[lo], end[hi - 1] - start[lo + 1 : hi]
+        pause = np.maximum(start[lo + 1 : hi] - end[lo : hi - 1], 0.0)
+        score = pause + c.soft_bonus * soft[lo : hi - 1] - c.balance * np.abs(left - right) / max(length, 1e-6)
+        score[np.minimum(left, right) < c.min_seconds / 2] = -np.inf
+        at = lo + 1 + int(score.argmax())
+        if np.isneginf(score.max()):
+            out.append((lo, hi))
         else:
-            out.append(p)
+            open_ += [(at, hi), (lo, at)]
+    return out
+
+
+def packed(parts: list[tuple[int, int]], start: np.ndarray, end: np.ndarray, c: Segmentation) -> list[tuple[int, int]]:
+    """Neighbouring ranges joined up to the first that would make them too long (Q06)."""
+    first, last, at, out = np.array([p[0] for p in parts]), np.array([p[1] for p in parts]), 0, []
+    while at < len(parts):
+        over = np.flatnonzero(end[last[at:] - 1] - start[first[at]] > c.max_seconds)
+        n = max(1, int(over[0])) if len(over) else len(parts) - at
+        out.append((int(first[at]), int(last[at + n - 1])))
+        at += n
     return out
 
 
@@ -109,15 +123,17 @@ def segments(words: DataFrame, c: Segmentation = Segmentation(), keys=KEY) -> Da
         for f in frames:
             rows = []
             for own, sentence, ws in zip(f[list(keys)].to_dict("records"), f.sentence, f.ws):
-                for i, p in enumerate(packed(fit([(w["text"], w["start"], w["end"]) for w in ws], c), c)):
-                    rows.append(own | {"sentence": sentence, "part": i, "text": " ".join(w[0] for w in p), "start": p[0][1], "end": max(p[-1][2], p[0][1] + 0.05)})
+                text, start, end = [w["text"] for w in ws], np.array([w["start"] for w in ws], float), np.array([w["end"] for w in ws], float)
+                soft = np.array([t.endswith(SOFT) for t in text])
+                for i, (lo, hi) in enumerate(packed(fit(start, end, soft, c), start, end, c)):
+                    rows.append(own | {"sentence": sentence, "part": i, "text": " ".join(text[lo:hi]), "start": start[lo], "end": end[hi - 1]})
             yield pd.DataFrame(rows, columns=[*keys, "sentence", "part", "text", "start", "end"])
 
     parts = sentences.mapInPandas(cut, schema)
     item = F.struct("sentence", "part", F.struct("text", "start", "end").alias("p"))
     ordered = parts.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["p"]).alias("ps"))
     out = ordered.select(*keys, F.posexplode(merge_short(F.col("ps"), c.min_seconds, c.max_seconds)).alias("_i", "p"))
-    return out.select(*keys, F.col("_i").cast("long").alias("ord"), F.format_string("seg-%03d", F.col("_i") + 1).alias("id"), "p.start", "p.end", "p.text")
+    return out.select(*keys, F.col("_i").cast("long").alias("ord"), F.format_string("seg-%03d", F.col("_i") + 1).alias("id"), "p.start", F.greatest("p.end", F.col("p.start") + 0.05).alias("end"), "p.text")
 
 
 def split_transcript(transcript: DataFrame, c: Segmentation = Segmentation(), keys=KEY) -> DataFrame:

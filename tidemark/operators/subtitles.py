@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,44 +18,37 @@ from .temporal import KEY
 
 
 def wrap_lines(words: Column, most: int) -> Column:
-    """Greedy lines of at most so many characters; a longer word has a line of its own (Q03)."""
+    """Greedy lines of at most so many characters; a longer word has a line of its own (Q03). The line
+    that grows is carried apart from those that are done."""
 
     def step(acc: Column, w: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        fits = (F.size(acc) > 0) & (F.length(last) + 1 + F.length(w) <= most)
-        head = F.when(F.size(acc) > 0, F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(acc)
-        return F.when(fits, F.concat(head, F.array(F.concat(last, F.lit(" "), w)))).otherwise(F.concat(acc, F.array(w)))
+        line = acc["line"]
+        fits = F.length(line) + 1 + F.length(w) <= most
+        done = F.when(line.isNull() | fits, acc["done"]).otherwise(F.concat(acc["done"], F.array(line)))
+        return F.struct(done.alias("done"), F.when(fits, F.concat(line, F.lit(" "), w)).otherwise(w).alias("line"))
 
-    return F.aggregate(words, F.array().cast("array<string>"), step)
-
-
-def lines_of(words: list[str], most: int) -> list[str]:
-    out: list[str] = []
-    for w in words:
-        if out and len(out[-1]) + 1 + len(w) <= most:
-            out[-1] += " " + w
-        else:
-            out.append(w)
-    return out
+    zero = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("line"))
+    return F.aggregate(words, zero, step, lambda acc: F.when(acc["line"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["line"]))))
 
 
 def split_cues(text: str, c: Subtitles = Subtitles()) -> list[list[str]]:
-    """The lines of each cue: as many words as fit, back to the last strong, else soft mark that
-    leaves half of them (Q04)."""
-    words, start, out = (text or "").split(), 0, []
-    while start < len(words):
-        end = start + 1
-        while end < len(words) and len(lines_of(words[start : end + 1], c.max_chars)) <= c.max_lines:
-            end += 1
-        if end < len(words):
-            need = start + max(1, int((end - start) * c.min_fill))
-            for marks in (STRONG, SOFT):
-                at = next((i for i in range(end, need - 1, -1) if words[i - 1].endswith(marks)), None)
-                if at:
-                    end = at
-                    break
-        out.append(lines_of(words[start:end], c.max_chars))
-        start = end
+    """The lines of each cue (Q04). Lines end where the sums of the words' widths pass the width; a cue
+    that is full goes back to its last strong, else soft mark, if half of its words stay."""
+    words = (text or "").split()
+    ends = list(accumulate((len(w) + 1 for w in words), initial=0))  # of the first i words, each with a space
+    mark = [2 if w.endswith(STRONG) else int(w.endswith(SOFT)) for w in words]
+    at, out = 0, []
+    while at < len(words):
+        breaks = [at]
+        while breaks[-1] < len(words) and len(breaks) <= c.max_lines:
+            breaks.append(max(breaks[-1] + 1, bisect_right(ends, ends[breaks[-1]] + c.max_chars + 1) - 1))
+        stop = breaks[-1]
+        if stop < len(words):
+            need = at + max(1, int((stop - at) * c.min_fill))
+            strength, last = max((mark[i - 1], i) for i in range(need, stop + 1))
+            stop = last if strength else stop
+        out.append([" ".join(words[a : min(b, stop)]) for a, b in pairwise(breaks) if a < stop])
+        at = stop
     return out
 
 

@@ -51,18 +51,22 @@ def row_coverage(frames: DataFrame, rgb: tuple[int, int, int], tolerance: int, k
 
 
 def anchor_height(coverage: DataFrame, c: Crop = Crop(), keys=KEY) -> DataFrame:
-    """(keys, height, spread): the median start of the coloured band, if enough frames have one."""
-    starts = first_run(coverage, F.col("coverage") >= c.anchor_coverage, "row", c.anchor_min_rows, (*keys, "frame"))
+    """(keys, height, spread): the median start of the coloured band, if enough frames have one. With
+    a column `color`, a frame's band is the topmost of its colours (W09, A05)."""
+    each = (*keys, "frame", *(["color"] if "color" in coverage.columns else []))
+    starts = first_run(coverage, F.col("coverage") >= c.anchor_coverage, "row", c.anchor_min_rows, each)
+    starts = starts.groupBy(*keys, "frame").agg(F.min("start").alias("start"))
     n = coverage.groupBy(*keys).agg(F.countDistinct("frame").alias("n"))
     met = starts.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), F.percentile("start", 0.5).cast("int").alias("height"), (F.max("start") - F.min("start")).alias("spread"))
     return met.join(n, list(keys)).where(F.col("k") >= F.greatest(F.lit(1), F.rint(F.col("n") * c.anchor_min_frames))).select(*keys, "height", "spread")
 
 
 def variation_height(variation: DataFrame, height: int, c: Crop = Crop(), keys=KEY) -> DataFrame:
-    """(keys, height): the first run of rows that vary half as much as the lower two thirds do."""
+    """(keys, height): the first run of rows that vary half as much as the lower two thirds do, or
+    more; none where these don't vary (A06, W09)."""
     least = variation.where(F.col("row") >= height // 3).groupBy(*keys).agg((F.avg("variation") / 2).alias("_least"))
     met = variation.join(least, list(keys))
-    return first_run(met, F.col("variation") > F.col("_least"), "row", c.run_rows, keys).select(*keys, F.col("start").alias("height"))
+    return first_run(met, (F.col("_least") > 0) & (F.col("variation") >= F.col("_least")), "row", c.run_rows, keys).select(*keys, F.col("start").alias("height"))
 
 
 def crop_height(videos: DataFrame, anchor: DataFrame, variation: DataFrame, c: Crop = Crop(), keys=KEY) -> DataFrame:

@@ -66,8 +66,12 @@ def retime_segments(spark, d):
 
 @query("SELECT DISTINCT conv_id FROM conversations c WHERE NOT EXISTS (SELECT 1 FROM conversations a WHERE a.conv_id = c.conv_id AND a.role = 'assistant')")
 def retime_missing_narration(spark, d):
-    c = _t(spark, d, "conversations")
-    return c.select("conv_id").distinct().join(c.where("role = 'assistant'").select("conv_id"), "conv_id", "left_anti")
+    c = _t(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), "role")
+    decisions = c.select("video_id", F.lit("answer").alias("id")).distinct()
+    said = c.where("role = 'assistant'").select("video_id", F.lit("answer").alias("segment_id")).distinct()
+    timeline_ = said.select("video_id", F.col("segment_id").alias("id"), F.lit("kept").alias("outcome"))
+    warned = timeline.retime_warnings(decisions, said, timeline_)
+    return warned.where("code = 'no_narration'").select(F.col("video_id").alias("conv_id"))
 
 
 _IV = "iv AS (SELECT l_suppkey, l_orderkey, l_linenumber, epoch_us(l_shipdate) / 86400e6 AS s, epoch_us(l_shipdate) / 86400e6 + l_quantity AS e FROM lineitem)"
@@ -248,7 +252,9 @@ def greedy_change_select(spark, d):
     return kept.select("user_id", F.size("k").cast("long").alias("kept"), F.round(F.aggregate("k", F.lit(0.0), lambda a, x: a + x["v"]), 6).alias("total"))
 
 
-@query()
+@query("""WITH v AS (SELECT user_id, list({'last': value / 1000, 'k': 1} ORDER BY ts, event_id) AS vs FROM events GROUP BY 1), t AS (SELECT unnest(range(8)) AS i),
+tried AS (SELECT user_id, i, 0.01 * 2.0 ** i AS threshold, list_reduce(vs, lambda a, x: CASE WHEN abs(x.last - a.last) >= 0.01 * 2.0 ** i THEN {'last': x.last, 'k': a.k + 1} ELSE a END).k AS k FROM v, t)
+SELECT user_id, coalesce(min(threshold) FILTER (k <= 20), max(threshold)) AS threshold, least(20, coalesce(max(k) FILTER (k <= 20), min(k))) AS kept FROM tried GROUP BY 1""")
 def capped_select(spark, d):
     e = _events(spark, d).select("user_id", F.struct("s", "event_id").alias("ts"), (F.col("value") / 1000).alias("v"))
     s = vision.select_frames(e, ScreenText(change_ratio=0.01, max_frames=20), ["user_id"])
@@ -272,7 +278,9 @@ def split_segments(spark, d):
     return segmentation.split_transcript(c)
 
 
-@query()
+@query(r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(trim(text), '\s+'), lambda x: x <> '') AS ws FROM documents),
+l AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN '' ELSE list_reduce(ws, lambda a, x: a || CASE WHEN length(split_part(a, chr(10), -1)) + 1 + length(x) <= 42 THEN ' ' ELSE chr(10) END || x) END AS t FROM w)
+SELECT doc_id, CASE WHEN t = '' THEN 0 ELSE length(t) - length(replace(t, chr(10), '')) + 1 END AS n_lines, md5(t) AS digest FROM l""")
 def wrap_lines(spark, d):
     out = _t(spark, d, "documents").select("doc_id", subtitles.wrap_lines(T.tokens(F.col("text")), 42).alias("lines"))
     return out.select("doc_id", F.size("lines").alias("n_lines"), F.md5(F.array_join("lines", "\n").cast("binary")).alias("digest"))
@@ -289,7 +297,22 @@ def cue_timing(spark, d):
     return t.select("conv_id", F.col("id").alias("turn"), F.col("lines")[0].cast("int").alias("cue"), F.round("start", 6).alias("start_s"), F.round("end", 6).alias("end_s"), T.srt_time(F.col("start")).alias("stamp"))
 
 
-@query()
+@query(r"""WITH RECURSIVE w AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(trim(text), '\s+'), lambda x: x <> '') AS ws FROM conversations),
+sums AS (SELECT *, len(ws) AS n, list_transform(range(len(ws) + 1), lambda i: i + coalesce(list_sum(list_transform(ws[:i], lambda x: length(x))), 0)) AS ends,
+  list_transform(ws, lambda x: CASE WHEN right(x, 1) IN ('.', '!', '?', '…') THEN 2 WHEN right(x, 1) IN (',', ';', ':') THEN 1 ELSE 0 END) AS marks FROM w),
+cue AS (
+  SELECT conv_id, turn, 0 AS no, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS stop, CAST([] AS VARCHAR[]) AS lines FROM sums WHERE n > 0
+  UNION ALL
+  SELECT conv_id, turn, no, start, stop, list_filter([array_to_string(ws[start + 1 : least(one, stop)], ' '), array_to_string(ws[one + 1 : stop], ' ')], lambda x: x <> '')
+  FROM (SELECT *, CASE WHEN two < n AND best // 1000000 > 0 THEN best % 1000000 ELSE two END AS stop
+    FROM (SELECT *, list_max(list_transform(range(start + greatest(1, CAST(trunc((two - start) * 0.5) AS BIGINT)), two + 1), lambda i: marks[i] * 1000000 + i)) AS best
+      FROM (SELECT *, CASE WHEN one < n THEN greatest(one + 1, len(list_filter(ends, lambda x: x <= ends[one + 1] + 43)) - 1) ELSE one END AS two
+        FROM (SELECT s.*, c.no + 1 AS no, c.stop AS start, greatest(c.stop + 1, len(list_filter(s.ends, lambda x: x <= s.ends[c.stop + 1] + 43)) - 1) AS one
+          FROM cue c JOIN sums s USING (conv_id, turn) WHERE c.stop < s.n))))),
+timed AS (SELECT c.conv_id, c.turn, c.no, c.lines, turn * 20.0 + 20.0 * c.start / s.n AS a, turn * 20.0 + 20.0 * c.stop / s.n AS b FROM cue c JOIN sums s USING (conv_id, turn) WHERE c.no > 0),
+ms AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, no) AS idx, CAST(round_even(a * 1000, 0) AS BIGINT) AS x, CAST(round_even(b * 1000, 0) AS BIGINT) AS y FROM timed)
+SELECT conv_id AS video_id, idx AS "index", round(a, 6) AS start_s, round(b, 6) AS end_s, printf('%d' || chr(10) || '%02d:%02d:%02d,%03d --> %02d:%02d:%02d,%03d', idx, x // 3600000, x // 60000 % 60, x // 1000 % 60, x % 1000,
+  y // 3600000, y // 60000 % 60, y // 1000 % 60, y % 1000) || chr(10) || array_to_string(lines, chr(10)) AS block FROM ms""")
 def split_cues(spark, d):
     c = _t(spark, d, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").cast("string").alias("id"), F.col("text").alias("text_en"), (F.col("turn") * 20.0).alias("new_start"), (F.col("turn") * 20.0 + 20).alias("new_end"))
     out = subtitles.srt_blocks(subtitles.cues(c.select("video_id", "id", "text_en"), c.select("video_id", "id", "new_start", "new_end")))
@@ -317,7 +340,9 @@ def glossary_terms(spark, d):
     return _t(spark, d, "documents").select("doc_id", has("les").alias("has_les"), has("mentoi").alias("has_mentoi"))
 
 
-@query()
+@query(r"""WITH n AS (SELECT doc_id, regexp_replace(lower(strip_accents(trim(text))), '\s+', ' ', 'g') AS t FROM documents),
+r AS (SELECT doc_id, t, regexp_replace(regexp_replace(regexp_replace(t, '\bla\s+tion[sx]?\b', 'the tion', 'g'), '\bmentoi[sx]?\b', 'mention', 'g'), '\bles[sx]?\b', 'the', 'g') AS u FROM n)
+SELECT doc_id, md5(nullif(u, t)) AS digest FROM r""")
 def term_translate(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.md5(T.translate_terms(T.normalize_latin(F.col("text")), _TERMS).cast("binary")).alias("digest"))
 
@@ -385,7 +410,10 @@ def match_verdicts(spark, d):
 
 @query("SELECT user_id, median(value) AS med, round(stddev_pop(value), 6) AS sd FROM events GROUP BY 1")
 def median_and_variation(spark, d):
-    return _t(spark, d, "events").groupBy("user_id").agg(F.percentile("value", 0.5).alias("med"), F.round(F.stddev_pop("value"), 6).alias("sd"))
+    e = _t(spark, d, "events").select("user_id", "event_id", "value")
+    frames = e.select("user_id", F.col("event_id").alias("frame"), F.lit(0).alias("row"), F.lit(0).alias("col"), "value")
+    sd = vision.row_variation(frames, ["user_id"]).select("user_id", F.round("variation", 6).alias("sd"))
+    return e.groupBy("user_id").agg(F.percentile("value", 0.5).alias("med")).join(sd, "user_id")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'new' ELSE c_name END AS c_name FROM customer")
@@ -477,3 +505,35 @@ def pointer_hovers(spark, d):
     elements = _t(spark, d, "part").select(_part_video(), F.col("p_partkey").cast("string").alias("id"), F.substring("p_name", 1, 20).alias("text"), box.alias("box"), F.lit(0.0).alias("first_seen"))
     elements = elements.join(ends, "video_id")  # shown for as long as the track goes
     return cursor.hovers(track, elements, Cursor(), Hover()).select("video_id", "element_id", F.round("start", 3).alias("start_s"), F.round("end", 3).alias("end_s"))
+
+
+@query(r"""WITH c AS (SELECT p_partkey, trim(regexp_replace(p_name, '\s+', ' ', 'g'), ' .:;"''-') AS c FROM part)
+SELECT p_partkey, CASE WHEN length(c) <= 12 THEN c ELSE trim(regexp_replace(left(c, 12), ' [^ ]*$', ''), ' .:;-') END AS title FROM c""")
+def short_titles(spark, d):
+    return _t(spark, d, "part").select("p_partkey", T.shorten(F.col("p_name"), 12).alias("title"))
+
+
+@query(r"""WITH e AS (SELECT event_id, event_id % 7 - 1.0 AS a, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 7 + 1.5 END AS b, CASE WHEN event_id % 2 = 0 THEN 1.0 ELSE 1.0625 END AS speed FROM events)
+SELECT event_id, CASE WHEN b IS NULL THEN CASE WHEN a > 0 THEN printf(':enable=''gte(t,%.3f)''', a) ELSE '' END ELSE printf(':enable=''between(t,%.3f,%.3f)''', a, b) END AS gate,
+ CASE WHEN b IS NULL THEN '0.500' ELSE printf('''if(lt(t,%.3f),0.500*(t-%.3f)/0.250,if(lt(t,%.3f),0.500,0.500*(%.3f-t)/0.250))''', a + 0.25, a, b - 0.25, b) END AS alpha,
+ CASE WHEN speed = 1 THEN '' ELSE 'atempo=1.0625,' END || 'adelay=delays=' || CAST((event_id % 100) * 1000 + 150 AS VARCHAR) || ':all=1' AS audio, replace(replace('C:\clips\' || event_id || '.wav', '\', '/'), ':', '\:') AS path FROM e""")
+def render_clauses(spark, d):
+    e = _t(spark, d, "events").select("event_id")
+    a = (F.col("event_id") % 7 - 1).cast("double")
+    b = F.when(F.col("event_id") % 3 != 0, a + 2.5)
+    fade = G.fade_span(F.lit(0.25), a, b)
+    speed = F.when(F.col("event_id") % 2 == 0, 1.0).otherwise(1.0625)
+    audio = T.audio_clause((F.col("event_id") % 100).cast("double"), F.lit(150), speed)
+    path = T.escape_path(F.concat(F.lit("C:\\clips\\"), F.col("event_id").cast("string"), F.lit(".wav")))
+    return e.select("event_id", T.enable_clause(a, b).alias("gate"), T.text_alpha(a, b, fade, F.lit(0.5)).alias("alpha"), audio.alias("audio"), path.alias("path"))
+
+
+@query("""WITH b AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 64 ELSE 0 END AS top, CASE WHEN p_partkey % 4 = 0 THEN 0 ELSE 20 + p_size * 3 END AS bottom FROM part)
+SELECT p_partkey, CASE WHEN top > 0 THEN top - 4 WHEN bottom > 0 THEN 1080 - 4 END AS progress, greatest(12, CASE WHEN bottom > 0 THEN least(40, CAST(floor(bottom * 0.85 / 2.4) AS INT)) ELSE 40 END) AS font FROM b""")
+def band_marks(spark, d):
+    from .operators.layout import progress_y, subtitle_font_size
+
+    top, bottom = F.when(F.col("p_partkey") % 3 == 0, 64).otherwise(0), F.when(F.col("p_partkey") % 4 == 0, 0).otherwise(20 + F.col("p_size") * 3)
+    c = Layout(progress=4, subtitle_size=40)
+    p = _t(spark, d, "part").select("p_partkey", F.struct(top.alias("top"), bottom.alias("bottom")).alias("l"))
+    return p.select("p_partkey", progress_y(F.col("l"), c).alias("progress"), subtitle_font_size(F.col("l"), 2, c).alias("font"))

@@ -20,11 +20,14 @@ def save_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def save_decisions_yaml(df: DataFrame, path: str) -> None:
-    """One video's decision list, in order, on the driver."""
+def save_decisions_yaml(df: DataFrame, path: str, video_id=None) -> None:
+    """One video's decision list, in order, on the driver; several videos raise."""
     import yaml
 
-    rows = [r.asDict(recursive=True) for r in df.orderBy("ord").drop("video_id", "ord").collect()]  # one video's segments
+    own = df if video_id is None else df.where(F.col("video_id") == F.lit(video_id))
+    if own.select("video_id").distinct().limit(2).count() > 1:
+        raise ValueError("several videos: name the one to save")
+    rows = [r.asDict(recursive=True) for r in own.orderBy("ord").drop("video_id", "ord").collect()]  # one video's segments
     Path(path).write_text(yaml.safe_dump(rows, allow_unicode=True, sort_keys=False), encoding="utf-8")
 
 
