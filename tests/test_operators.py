@@ -191,6 +191,9 @@ def test_match(spark):
     assert r.reason_code == "ambiguous" and len(r.rivals) == 1 and r.element_id is None
     r = run(twice, at(0.62))
     assert r.verdict == "accepted" and r.element_id == "e2" and r.evidence == ["ocr", "cursor"] and r.rivals == ["Revenue"]
+    assert r.cursor_distance == 0.0 and r.label == "Revenue" and run(twice).cursor_distance is None
+    many = [(f"e{i}", "Revenue", 0.1 * i, 5, 40) for i in range(1, 8)]
+    assert len(run(many).rivals) == 4 and len(run(many, at(0.42)).rivals) == 6 and run([("e1", "Revenue", 0.2, 10, 11)]).rivals == []
     assert run([("e1", "Revenue", 0.2, 10, 11)]).reason_code == "too_brief"
     assert run([("e1", "Else", 0.2, 5, 40)]).reason_code == "no_candidate"
     r = run([("e1", "Revenue", 0.2, 10, 14), ("e2", "Revenue", 0.201, 15, 20)])

@@ -47,7 +47,8 @@ def merge_same(cands: DataFrame, c: Matching = Matching(), keys=KEY) -> DataFram
 
 def judge(merged: DataFrame, positions: DataFrame, c: Matching = Matching(), keys=KEY) -> DataFrame:
     """One verdict a segment, by the first rule that fails (P17, W15, J14): no candidate, ambiguous,
-    too brief, too small or large; accepted otherwise. The pointer may settle an ambiguity, nothing
+    too brief, too small or large; accepted otherwise. An ambiguous one names max_rivals rivals at
+    most, an accepted one all that it beat, and how far off the pointer was if it asked. The pointer may settle an ambiguity, nothing
     else. positions(keys, segment_id, positions)."""
     own = [*keys, "segment_id"]
     w = W.partitionBy(*own)
@@ -61,7 +62,8 @@ def judge(merged: DataFrame, positions: DataFrame, c: Matching = Matching(), key
     met = met.withColumns({"_near": F.coalesce(near, F.lit(False)), "_n_near": F.count_if(F.coalesce(near, F.lit(False))).over(w), "_n_good": F.count_if(good).over(w)})
     settled = (F.col("_n_in") > 1) & (F.col("_n_near") == 1)
     met = met.withColumn("_no", F.row_number().over(w.orderBy(F.when(settled, (~F.col("_near")).cast("int")).otherwise(0), F.desc("score"), F.desc("visible"), "first_seen", "element_id")))
-    rivals = F.slice(F.array_sort(F.collect_list(F.when(F.col("_in") & (F.col("_no") > 1), F.struct("_no", "text"))).over(w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))), 1, c.max_rivals)
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rivals = F.array_sort(F.collect_list(F.when(F.col("_in") & (F.col("_no") > 1), F.struct("_no", "text"))).over(whole))
     met = met.withColumn("rivals", F.transform(rivals, lambda r: r["text"])).where("_no = 1")
     size = area(F.col("box"))
     code = (
@@ -69,10 +71,12 @@ def judge(merged: DataFrame, positions: DataFrame, c: Matching = Matching(), key
         .when(~size.between(c.min_area, c.max_area), "bad_size").otherwise("accepted")
     )
     known = ~F.col("reason_code").isin("no_candidate", "ambiguous")
+    none = F.array().cast("array<string>")
+    named = F.when(F.col("reason_code") == "ambiguous", F.slice("rivals", 1, c.max_rivals)).when(F.col("reason_code") == "accepted", F.col("rivals")).otherwise(none)
     win = display_window(F.col("first_seen"), F.col("last_seen"), F.col("start"), F.col("end"))
     return met.withColumn("reason_code", code).select(
-        *own, F.when(F.col("reason_code") == "accepted", "accepted").otherwise("refused").alias("verdict"), "reason_code", "score", "visible", "text",
-        F.when(known, F.col("element_id")).alias("element_id"), F.when(F.col("reason_code") == "no_candidate", F.array().cast("array<string>")).otherwise(F.col("rivals")).alias("rivals"),
+        *own, F.when(F.col("reason_code") == "accepted", "accepted").otherwise("refused").alias("verdict"), "reason_code", "score", "visible", "text", "label",
+        F.when(known, F.col("element_id")).alias("element_id"), named.alias("rivals"), F.when(settled & known, F.col("_dist")).alias("cursor_distance"),
         F.when(settled & known, F.array(F.lit("ocr"), F.lit("cursor"))).otherwise(F.array(F.lit("ocr"))).alias("evidence"), F.when(F.col("reason_code") == "accepted", win).alias("window"), F.when(known, F.col("box")).alias("box"),
     )
 
