@@ -2,7 +2,7 @@
 
 Terms are runs of ASCII letters, digits and non-ASCII bytes, ASCII letters in lower case. Each
 partition becomes shards of some thousand documents; a shard holds its postings by term, then
-document, and is written once. Its documents stand by kind (clusters of their common terms), then
+document, and is written once. Its documents stand by kind (clusters by their terms), then
 length, so that documents of a block are alike. Document counts, lengths and document frequencies
 are gathered over all shards, so every shard scores with the same global statistics and merging
 the shards' best k is exact.
@@ -40,20 +40,20 @@ from .neardup import mix64
 K1, B, TOP = 1.2, 0.75, 10
 #: Documents and bytes of text of a shard, at most one text more; documents of a block.
 SHARD_DOCS, SHARD_BYTES, BLOCK = 8_192, 32_000_000, 16
-#: Kinds of documents in a shard, and the common terms that tell them apart.
+#: Kinds of documents in a shard, and the classes of terms that tell them apart.
 KINDS, KIND_TERMS = 12, 256
 #: Lists are read by LISTS, then by as many more as a GROWTH-th of those read.
-LISTS, GROWTH = 12, 2
+LISTS, GROWTH = 16, 2
 #: Lists of a shard's documents / SHORT postings are read whole. A threshold starts from the best of
 #: SEEDS * k documents by these lists and HOPE of what their blocks may add.
-SHORT, SEEDS, HOPE = 16, 3, 0.2
+SHORT, SEEDS, HOPE = 8, 2, 0.2
 #: Queries, and terms of all of them, of a query block: what is sent to every shard at once.
 QUERY_BLOCK, QUERY_TERMS = 4_096, 1_000_000
 _FOLD = np.zeros(256, dtype=np.uint8)  # 0: between terms
 _FOLD[list(b"abcdefghijklmnopqrstuvwxyz0123456789") + list(range(128, 256))] = list(b"abcdefghijklmnopqrstuvwxyz0123456789") + list(range(128, 256))
 _FOLD[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")] = list(b"abcdefghijklmnopqrstuvwxyz")
 _LETTER = np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = np.cumprod(np.full(256, np.uint64(0x9E3779B97F4A7C15)), dtype=np.uint64)
 
 
 def terms_of(text: bytes) -> np.ndarray:
@@ -65,22 +65,22 @@ def terms_of(text: bytes) -> np.ndarray:
         return np.zeros(0, dtype=np.uint64)
     at = np.arange(len(raw), dtype=np.int64)
     at[start[0] :] -= np.repeat(start, np.diff(np.append(start, len(raw))))
-    letters = np.where(raw != 0, mix64(_LETTER[raw] + at.astype(np.uint64) * _STEP), np.uint64(0))
+    letters = _LETTER[raw]
+    if (end - start).max() > 256:  # places repeat; the block of a place is mixed in
+        letters = np.where(at < 256, letters, mix64(letters ^ (at >> 8).astype(np.uint64)))
+    letters = letters * _PLACE[at & 255]
+    letters[raw == 0] = 0
     return mix64(np.add.reduceat(letters, start) + (end - start).astype(np.uint64))
 
 
 _INDEX = "n_docs long, ids array<long>, lengths array<int>, terms array<long>, offsets array<int>, docs array<short>, tfs array<int>"
 
 
-def _kinds(at: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """A cluster of each document, from distinct pairs of a term's place and a document: some rounds of means over the most
-    common terms, from documents far apart."""
-    df = np.bincount(at)
-    column = np.full(len(df), -1)
-    column[np.argsort(-df, kind="stable")[:KIND_TERMS]] = np.arange(min(KIND_TERMS, len(df)))
-    at = column[at]
-    x = np.zeros((n, KIND_TERMS), dtype=np.float32)
-    x[doc[at >= 0], at[at >= 0]] = 1
+def _kinds(terms: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """A cluster of each document, by how often its terms fall into KIND_TERMS classes of hashes: some
+    rounds of means, from documents far apart."""
+    at = doc * KIND_TERMS + (terms & np.uint64(KIND_TERMS - 1)).astype(np.int64)
+    x = np.log1p(np.bincount(at, minlength=n * KIND_TERMS).reshape(n, KIND_TERMS)).astype(np.float32)
     x /= np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-9)
     means, near = [x.mean(axis=0)], x @ x.mean(axis=0)
     for _ in range(KINDS):
@@ -97,16 +97,12 @@ def _kinds(at: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
 
 def _shard(ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
     lengths = np.array([len(t) for t in texts], dtype=np.int32)
-    n = max(1, len(texts))
-    terms, at = np.unique(np.concatenate(texts), return_inverse=True)
-    pair, tf = np.unique(at * n + np.repeat(np.arange(len(texts)), lengths), return_counts=True)
+    n, every, doc = len(texts), np.concatenate(texts), np.repeat(np.arange(len(texts)), lengths)
+    rows = np.lexsort((lengths, _kinds(every, doc, n)))
+    lengths, ids = lengths[rows], [ids[i] for i in rows]
+    terms, at = np.unique(every, return_inverse=True)
+    pair, tf = np.unique(at * n + np.argsort(rows)[doc], return_counts=True)
     at, doc = pair // n, pair % n
-    if len(pair):
-        rows = np.lexsort((lengths, _kinds(at, doc, len(texts))))
-        lengths, ids = lengths[rows], [ids[i] for i in rows]
-        pair = at * n + np.argsort(rows)[doc]
-        order = np.argsort(pair)
-        doc, tf = pair[order] % n, tf[order]
     start = np.searchsorted(at, np.arange(len(terms)))
     row = [
         pa.array([len(ids)], pa.int64()),
@@ -173,7 +169,7 @@ class Shard:
         norm = K1 * (1 - B + B * row["lengths"] / mean_length)
         self.weights = tf * (K1 + 1) / (tf + norm[self.docs])
         self.n, self.df = len(row["lengths"]), np.diff(self.offsets)
-        self.block, n_blocks = np.arange(self.n) // BLOCK, -(-self.n // BLOCK)
+        n_blocks = -(-self.n // BLOCK)
         # by document: the terms and weights of each
         by_doc = np.argsort(self.docs, kind="stable")
         self.doc_terms = np.repeat(np.arange(len(self.terms)), self.df)[by_doc]
@@ -196,10 +192,11 @@ class Shard:
         self.postings = self.scored = 0  # of all queries' terms; read or scored
 
     def _read(self, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What these runs of postings give to each document."""
-        places, which = _spread(starts, ends)
+        """What these runs of postings give to each document, with the last block filled up."""
+        n = ends - starts
+        places = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
         self.scored += len(places)
-        return np.bincount(self.docs[places], self.weights[places] * weights[which], self.n).astype(float)
+        return np.bincount(self.docs[places], self.weights[places] * np.repeat(weights, n), self.most.shape[1] * BLOCK).astype(float)
 
     def _full(self, docs: np.ndarray) -> np.ndarray:
         """Whole scores; a document's terms are always added in the same order."""
@@ -232,23 +229,25 @@ class Shard:
         rest = np.cumsum((own @ self.most[rows])[::-1], axis=0)[::-1]  # the block maxima of the lists from each part on
         least, first, firsts = floor, np.zeros(0, np.int64), np.zeros(0)
         if not floor:
-            hope = score + rest[0][self.block] * HOPE  # of each: the rarest terms, and a part of what its block may add
+            hope = (score.reshape(-1, BLOCK) + rest[0][:, None] * HOPE).ravel()[: self.n]
             first = np.sort(np.argpartition(hope, max(self.n - SEEDS * k, 0))[-SEEDS * k :])
             firsts = self._full(first)
             least = np.partition(firsts, len(firsts) - k)[len(firsts) - k] if len(firsts) >= k else 0.0
         for i, (start, end) in enumerate(zip(parts, [*parts[1:], None])):
-            bound = (score + rest[i][self.block]) * (1 + 1e-4)  # maxima are rounded
-            pivots = np.flatnonzero(bound >= max(least, 1e-300))
-            if end is None or not len(pivots):
+            bound = score.reshape(-1, BLOCK) + rest[i][:, None]
+            pivot = bound >= max(least, 1e-300) * (1 - 1e-4)  # maxima are rounded
+            live = pivot.any(axis=1)
+            if end is None or not live.any():
                 break
-            live = np.bincount(self.block[pivots], minlength=len(rest[0])) > 0
-            edge = np.flatnonzero(np.diff(live, prepend=False, append=False))  # live blocks side by side are one run
+            edge = np.flatnonzero(live[1:] != live[:-1]) + 1  # live blocks side by side are one run
+            edge = np.concatenate(([0] if live[0] else [], edge, [len(live)] if live[-1] else [])).astype(np.int64)
             runs = self.starts[rows[start:end]][:, edge]
             score += self._read(runs[:, ::2].ravel(), runs[:, 1::2].ravel(), np.repeat(weights[start:end], len(edge) // 2))
-            if len(pivots) > k:
-                reached = score[pivots]
+            reached = score.reshape(-1, BLOCK)[pivot]
+            if len(reached) > k:
                 least = max(least, np.partition(reached, len(reached) - k)[len(reached) - k])
-        other = pivots[~np.isin(pivots, first)]
+        pivot.ravel()[first] = False  # these are known
+        other = np.flatnonzero(pivot)
         pivots, full = np.append(first, other), np.append(firsts, self._full(other))
         self.asked[asked] = 0
         good = (full > 0) & (full >= floor)
