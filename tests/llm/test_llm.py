@@ -118,6 +118,26 @@ def test_groups_of_different_spread_get_different_fences(spark):
     assert by["calm"].failed_rules == ["stutter_ratio"] and by["lively"].failed_rules == [] and by["lively"].kept and not by["calm"].kept
 
 
+def test_counts_and_verdicts_of_whole_documents(spark):
+    """The query op3 against counts by hand; its verdicts against the fences that it states."""
+    at = "/root/testdata/sf0.01"
+    if not os.path.exists(f"{at}/documents.parquet"):
+        pytest.skip("no test tables")
+    from tidemark.llm.queries import op3_rules
+
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    fences = {r.doc_id: r for r in rules.judge(docs).collect()}
+    got = op3_rules(spark, at).collect()
+    assert len(got) == len(text) and 0 < sum(r.kept for r in got) < len(got)
+    for r in got:
+        want = base_rule(text[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
+        over = [x for x in rules.RATIOS if fences[r.doc_id][f"{x}_fence"] is not None and fences[r.doc_id][x] > fences[r.doc_id][f"{x}_fence"]]
+        assert r.kept == (not r.base_failed and not over) and r.failed_rules == ",".join(over)
+
+
 # personal data
 
 
@@ -172,6 +192,36 @@ def test_pii_model_separates_held_out_examples():
     assert y[said].mean() > 0.95 and said[y == 1].mean() > 0.8
 
 
+def digits_pass_luhn(digits):
+    odd, even = digits[::-1][::2], digits[::-1][1::2]
+    return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
+
+
+def test_base_spans_of_whole_documents(spark):
+    """The query op4, against plain patterns over every whole text."""
+    at = "/root/testdata/sf0.01"
+    if not os.path.exists(f"{at}/documents.parquet"):
+        pytest.skip("no test tables")
+    from tidemark.llm.queries import op4_pii
+
+    count = lambda m: len(re.sub("[^0-9]", "", m))
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= count(m) <= 19 and digits_pass_luhn(re.sub("[^0-9]", "", m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= count(m) <= 15),
+    }
+    text = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text").collect()}
+    got = op4_pii(spark, at).collect()
+    assert len(got) == len(text)
+    for r in got:
+        found = {k: [m.span() for m in re.finditer(p, text[r.doc_id]) if keep(m.group())] for k, (p, keep) in kinds.items()}
+        base = [f"{k}:{a}:{b}" for k, spans in found.items() for a, b in spans]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(map(len, found.values()))
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(r.spans.split(",")) | ({""} if not base else set())
+
+
 # pages
 
 
@@ -224,6 +274,54 @@ def test_network_folds_and_learns(spark, docs, nothing):
     assert quality.keep_good(docs, labels.limit(0)).count() == docs.count()
 
 
+def test_quality_of_held_out_labels(spark):
+    """The query itself, on rows that training never sees."""
+    at = "/root/testdata/sf0.1"
+    if not os.path.exists(f"{at}/labels.parquet"):
+        pytest.skip("no test tables")
+    from tidemark.llm.queries import op6_quality
+
+    labels = spark.read.parquet(f"{at}/labels.parquet").where("quality IS NOT NULL").select("doc_id", "quality")
+    got = op6_quality(spark, at).where("held_out").join(labels, "doc_id").select("score", "predicted", "quality").toPandas()
+    ranks = got.score.rank().to_numpy()
+    n1 = int((got.quality == 1).sum())
+    auc = (ranks[(got.quality == 1).to_numpy()].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(got) - n1))
+    accuracy = (got.predicted == got.quality).mean()
+    print(len(got), auc, accuracy)
+    assert len(got) > 500 and auc > 0.98 and accuracy > 0.97
+
+
+def test_mix_targets_fill_by_weight(spark):
+    """The targets of the query op1, against pouring by hand."""
+    at = "/root/testdata/sf0.01"
+    if not os.path.exists(f"{at}/documents.parquet"):
+        pytest.skip("no test tables")
+    from tidemark.llm.queries import op1_mixing
+
+    got = op1_mixing(spark, at).toPandas()
+    docs = spark.read.parquet(f"{at}/documents.parquet").select("doc_id", "text", "source").collect()
+    size = {r.doc_id: len(WORD.findall(r.text or "")) for r in docs}
+    of = defaultdict(int)
+    for r in docs:
+        of[r.source] += size[r.doc_id]
+    sources = sorted(of, key=lambda x: (x is None, x or ""))
+    weight = {x: (3, 1, 2)[i % 3] for i, x in enumerate(sources)}
+    full, target = set(), {}
+    while True:
+        left = 1.5 * sum(of.values()) - sum(2 * of[x] for x in full)
+        total = sum(weight[x] for x in sources if x not in full)
+        target = {x: 2.0 * of[x] if x in full else left * weight[x] / total for x in sources}
+        over = {x for x in sources if target[x] > 2 * of[x] + 1e-9}
+        if not over:
+            break
+        full |= over
+    assert len(got) == len(docs) and dict(zip(got.doc_id, got["size"])) == size
+    for source, own in got.groupby(got.source.fillna("")):
+        x = source or None if None in of else source
+        assert own.target.iloc[0] == pytest.approx(target[x]) and own.source_size.iloc[0] == of[x]
+        assert abs(own.taken.sum() - target[x]) <= own["size"].max() and (own.taken <= 2 * own["size"]).all()
+
+
 # BPE
 
 
