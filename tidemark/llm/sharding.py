@@ -23,7 +23,7 @@ from .common import cut
 
 SEED = 20_240_502
 #: Parts: one for so many rows, and so many at most; the matrix has parts x shards numbers.
-PART_ROWS, MOST_PARTS = 16_384, 4_096
+PART_ROWS, MOST_PARTS = 4_096, 65_536
 #: Rows of a shard that one task puts in order.
 BLOCK_ROWS = 65_536
 
