@@ -342,6 +342,7 @@ def test_bpe_equals_the_library(docs, nothing):
     cache = bpe._Cache(own, lexicon.Lexicon(bpe.build_lexicon(own, ["the", "cat", "it's"])), 50)
     odd = ["a\x1cb", "ΑΣ ΟΔΟΣ Σ", "x<|endoftext|>'s <|startoftext|>", "é ́a", "İI ﬁ", "don't'll!!!", "b" * 3000, "\U00010d50\U00013460 1²½"]
     odd += ["".join(rng.choice(list("aB'st1 é²_-!Σ\n<|>日😀 "), 30)) for _ in range(300)]
+    odd += ["".join(rng.choice([*"aZ'éÉΣσ.,;9² \x85\u0301\u2000\x1cﬁ한Å", "the", "<|endoftext|>", " cat, "], 30)) for _ in range(300)]
     for text in odd + [r.text or "" for r in docs.collect()]:
         raw, back = bpe.encode_text(text, cache)
         want = t.encode(text, add_special_tokens=False).ids

@@ -1,10 +1,11 @@
 """BPE encoding and decoding with a transducer lexicon of frequent words.
 
-A text is cut at white space; tokens never cross it. The most frequent words of all texts are
-encoded once, in one task, and compiled with their ids into a minimal acyclic transducer
-(`lexicon`), which every worker maps into memory. A word that it lacks is split by the
-tokenizer's pattern and merged exactly, pair by pair in the order of rank. A bounded cache holds
-what a worker met last.
+A text is put in the tokenizer's normal form and cut at white space; tokens never cross it. A word
+is split into pieces by the tokenizer's pattern: mostly its letters and a mark behind them. The most
+frequent words of all texts, lower-case and without such marks, are encoded once, in one task, and
+compiled with their ids into a minimal acyclic transducer (`lexicon`), which every worker maps into
+memory. A piece that it lacks is merged exactly, pair by pair in the order of rank. Bounded caches
+hold what a worker met last.
 
 Defined results: a null or empty text has no tokens and decodes to the empty text; the strings of
 special tokens in a text become these tokens, as the tokenizers library has it; a very long text
@@ -21,6 +22,7 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -33,6 +35,8 @@ from .lexicon import Lexicon, compile_lexicon
 
 #: Words of the lexicon, and the longest of them in bytes; the driver holds so many and no more.
 LEXICON_WORDS, LONGEST_WORD = 100_000, 40
+#: Marks that a word is counted without where they end it.
+_MARKS = ".,;:!?"
 #: Words and pieces that a worker's caches hold.
 CACHE_WORDS, CACHE_PIECES = 500_000, 150_000
 #: Rows that a worker encodes before it hands them on.
@@ -96,75 +100,66 @@ class WordBPE:
         letters = _byte_letters()
         self.inner = [vocab[x] for x in letters]
         self.last = [vocab[x + self.end] for x in letters]
-        self.merges: dict[int, tuple[int, int]] = {}  # left << 32 | right: (rank, merged)
+        self.merges: dict[int, int] = {}  # left << 32 | right: rank << 32 | merged
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[vocab[a] << 32 | vocab[b]] = rank, vocab[a + b]
-        self.no_merge = len(model["merges"]), -1
-        self.known: dict[str, list[int]] = {}  # pieces met last
+            self.merges[vocab[a] << 32 | vocab[b]] = rank << 32 | vocab[a + b]
+        self.no_merge = len(model["merges"]) << 32
         letter, number = _class("L", more=_NEW_LETTERS), _class("N", more=_NEW_NUMBERS)
         self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{_BLANK}{letter}{number}]+")
 
     def merge(self, piece: bytes) -> list[int]:
         """Exact merges: always the pair of least rank, the leftmost of these first."""
-        ids = [self.inner[b] for b in piece]
+        ids = [*map(self.inner.__getitem__, piece)]
         ids[-1] = self.last[piece[-1]]
         if len(ids) > 24:
             return self._merge_long(ids)
         get, none = self.merges.get, self.no_merge
         pairs = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
-        while pairs:
-            best = min(pairs)
-            if best is none:
-                break
-            at = pairs.index(best)
-            ids[at : at + 2] = [best[1]]
-            del pairs[at]
+        while pairs and (best := min(pairs)) != none:
+            at, new = pairs.index(best), best & 0xFFFFFFFF
+            ids[at] = new
+            del ids[at + 1], pairs[at]
             if at < len(pairs):
-                pairs[at] = get(best[1] << 32 | ids[at + 1], none)
+                pairs[at] = get(new << 32 | ids[at + 1], none)
             if at:
-                pairs[at - 1] = get(ids[at - 1] << 32 | best[1], none)
+                pairs[at - 1] = get(ids[at - 1] << 32 | new, none)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap, so a piece of n bytes takes n log n steps."""
         n, get = len(ids), self.merges.get
         after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), [False] * n
-        heap = [(m[0], i, m[1], ids[i], ids[i + 1]) for i in range(n - 1) if (m := get(ids[i] << 32 | ids[i + 1]))]
+        heap = [(m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := get(ids[i] << 32 | ids[i + 1]))]
         heapq.heapify(heap)
         while heap:
-            _, i, merged, a, b = heapq.heappop(heap)
-            j = after[i]
+            merge, i, a, b = heapq.heappop(heap)
+            j, merged = after[i], merge & 0xFFFFFFFF
             if gone[i] or j >= n or ids[i] != a or ids[j] != b:
                 continue
             ids[i], gone[j], after[i] = merged, True, after[j]
             if after[i] < n:
                 before[after[i]] = i
                 if m := get(merged << 32 | ids[after[i]]):
-                    heapq.heappush(heap, (m[0], i, m[1], merged, ids[after[i]]))
+                    heapq.heappush(heap, (m, i, merged, ids[after[i]]))
             if (k := before[i]) >= 0 and (m := get(ids[k] << 32 | merged)):
-                heapq.heappush(heap, (m[0], k, m[1], ids[k], merged))
+                heapq.heappush(heap, (m, k, ids[k], merged))
         return [x for x, out in zip(ids, gone) if not out]
 
-    def encode_word(self, word: str) -> list[int]:
-        """Of a text without white space."""
-        out = []
-        for part in self.special_split.split(word) if "<|" in word else (word,):
-            if part in self.special:
-                out.append(self.special[part])
-                continue
-            if not part.isascii():
-                # letter by letter, so without a final sigma
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").translate(_NEW_LOWER)
-            for piece in self.pieces.findall(part.lower()):
-                ids = self.known.get(piece)
-                if ids is None:
-                    ids = self.merge(piece.encode())
-                    if len(self.known) >= CACHE_PIECES:
-                        self.known.clear()
-                    if len(piece) <= LONGEST_WORD:
-                        self.known[piece] = ids
-                out += ids
-        return out
+    def normal(self, text: str) -> str:
+        """The normal form of a text without special tokens."""
+        if not text.isascii():
+            # letter by letter, so without a final sigma
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(_NEW_LOWER)
+        return text.lower()
+
+    def pieces_of(self, word: str) -> list[str]:
+        """Of a word in normal form. Most are letters, or letters and one ASCII mark: these need no
+        pattern."""
+        if word.isalpha():
+            return [word]
+        if word[:-1].isalpha() and word[-1].isascii():
+            return [word[:-1], word[-1]]
+        return self.pieces.findall(word)
 
     def decode(self, ids) -> str:
         """Without a decoder in the file, the tokens' names joined by spaces."""
@@ -176,28 +171,55 @@ def load(spec: str) -> WordBPE:
     return WordBPE(json.loads(spec))
 
 
-class _Cache(dict):
-    """word: (its ids as bytes, its tokens' names joined by spaces, or None without tokens). When
-    it is full, it becomes the older half, from which words that are met again come back."""
+class _Recent(dict):
+    """What make(key) gave, of the keys met last. When it is full, it becomes the older half, from
+    which keys that are met again come back. Keys longer than LONGEST_WORD aren't held."""
 
-    def __init__(self, bpe: WordBPE, lexicon: Lexicon, most: int):
-        self.bpe, self.lexicon, self.most, self.older = bpe, lexicon, most // 2, {}
+    def __init__(self, make, most: int):
+        self.make, self.most, self.older = make, most // 2, {}
 
-    def __missing__(self, word: str):
-        out = self.older.get(word)
+    def __missing__(self, key: str):
+        out = self.older.get(key)
         if out is None:
-            ids = self.lexicon.get(word.encode()) if len(word) <= LONGEST_WORD else None
-            if ids is None:
-                ids = np.array(self.bpe.encode_word(word), "<u4")
-            out = ids.tobytes(), self.bpe.decode(ids.tolist()) if len(ids) else None
-        if len(word) <= LONGEST_WORD:
+            out = self.make(key)
+        if len(key) <= LONGEST_WORD:
             if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
-            self[word] = out
+            self[key] = out
         return out
 
 
+class _Cache:
+    """A tokenizer, a lexicon, and what was met last of words and pieces: their ids as bytes, and
+    their tokens' names joined by spaces."""
+
+    def __init__(self, bpe: WordBPE, lexicon: Lexicon, most: int):
+        self.bpe, self.lexicon = bpe, lexicon
+        self.words = _Recent(self._word, most)
+        self.known = _Recent(self._piece, CACHE_PIECES)
+
+    def _piece(self, piece: str) -> tuple[bytes, str]:
+        raw = piece.encode()
+        ids = self.lexicon.get(raw) if len(raw) <= LONGEST_WORD else None
+        ids = self.bpe.merge(raw) if ids is None else ids.tolist()
+        return _bytes(ids), self.bpe.decode(ids)
+
+    def _word(self, word: str) -> tuple[bytes, str]:
+        pieces = self.bpe.pieces_of(word)
+        if len(pieces) == 1:
+            return self.known[pieces[0]]
+        got = [self.known[p] for p in pieces]
+        return b"".join([x for x, _ in got]), " ".join([y for _, y in got])
+
+
+def _bytes(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 _workers: dict[int, _Cache] = {}
 
 
@@ -219,22 +241,31 @@ def words_of(text: str) -> list[str]:
     return [x for x in re.split(f"[{_BLANK}]+", text) if x] if _ODD.search(text) else text.split()
 
 
-def encode_text(text: str, cache) -> tuple[bytes, str]:
+def encode_text(text: str, cache: _Cache) -> tuple[bytes, str]:
     """The ids as little-endian 32-bit integers, and the decoded text."""
-    got = list(map(cache.__getitem__, words_of(text)))
-    return b"".join([x for x, _ in got]), " ".join([y for _, y in got if y is not None])
+    bpe, word, got = cache.bpe, cache.words.__getitem__, []
+    for part in bpe.special_split.split(text) if "<|" in text else (text,):
+        if part in bpe.special:
+            got.append((_bytes([bpe.special[part]]), part))
+        else:
+            got += map(word, words_of(bpe.normal(part)))
+    return b"".join([x for x, _ in got]), " ".join([y for _, y in got])
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
-    """(word): the `most` words of the highest counts, two or more, in all texts; words of one
-    count by a hash."""
-    word = F.explode(F.split(F.col(text), r"\s+")).alias("word")  # Java's: ASCII blanks; others stay inside words and are never found
-    counts = docs.select(word).where((F.col("word") != "") & (F.octet_length("word") <= LONGEST_WORD)).groupBy("word").count()
+    """(word): the `most` words of the highest counts, two or more, in all texts, lower-case and
+    without marks at their ends; words of one count by a hash."""
+    words = F.split(F.lower(F.col(text)), r"\s+")  # Java's: ASCII blanks; others stay inside words and are never found
+    word = F.rtrim(F.col("word"), F.lit(_MARKS)).alias("word")
+    counts = docs.select(F.explode(words).alias("word")).select(word).where((F.col("word") != "") & (F.octet_length("word") <= LONGEST_WORD))
+    counts = counts.groupBy("word").count()
     return counts.where("count > 1").orderBy(F.desc("count"), F.xxhash64("word"), "word").limit(most).select("word")
 
 
 def build_lexicon(bpe: WordBPE, words: list[str]) -> bytes:
-    return compile_lexicon((w.encode(), bpe.encode_word(w)) for w in words if words_of(w) == [w])
+    """Of the words that are one piece in normal form: the others are never looked up."""
+    own = (w for w in words if bpe.normal(w) == w and words_of(w) == [w] and bpe.pieces_of(w) == [w])
+    return compile_lexicon((w.encode(), bpe.merge(w.encode())) for w in own)
 
 
 def _lexicon_of(words: DataFrame, spec) -> bytes:
