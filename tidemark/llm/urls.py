@@ -8,7 +8,8 @@ prefix of its path, each as it stood at fetch time. The most specific one decide
 a domain, the longer before the shorter); at equal entries of several lists, allow before block.
 
 The join is an equi-join on the entry with a range condition on time, over distinct (url, time),
-so copies of a URL are evaluated once and no entry meets captures it can't match.
+so copies of a URL are evaluated once and no entry meets captures it can't match. Keys that most
+captures share, as `com`, are dealt over SALTS parts; the list, the smaller side, is in each.
 
 Defined results: a null or unparsable URL, a null time and a capture without an active entry are
 allowed, with a null entry; repeated captures keep their rows; repeated changes count once; of
@@ -26,6 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import free_names
 
+#: Parts that the captures of one key are dealt over.
+SALTS = 16
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)?"
 
@@ -61,9 +64,10 @@ def keys_of(url: Column) -> Column:
 def evaluate(captures: DataFrame, changes: DataFrame, *keep: str) -> DataFrame:
     """keep, url, fetched_at, decision, list, entry of each row of captures(url, fetched_at)."""
     asked = captures.where("url IS NOT NULL AND fetched_at IS NOT NULL").select("url", "fetched_at").distinct()
-    keyed = asked.select("url", "fetched_at", F.explode(keys_of(F.col("url"))).alias("entry"))
-    spans = intervals(changes)
-    active = keyed.join(spans, "entry").where("fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)")
+    salt = F.pmod(F.xxhash64("url", "fetched_at"), F.lit(SALTS)).cast("int")
+    keyed = asked.select("url", "fetched_at", salt.alias("salt"), F.explode(keys_of(F.col("url"))).alias("entry"))
+    spans = intervals(changes).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    active = keyed.join(spans, ["entry", "salt"]).where("fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)")
     rank = F.struct(F.contains("entry", F.lit("/")).cast("int").alias("path"), F.length("entry").alias("n"), (F.col("action") == "allow").cast("int").alias("allow"), F.col("list").alias("list"), F.col("entry").alias("entry"), F.col("action").alias("action"))
     (won,) = free_names(list(keep), "best")
     best = active.groupBy("url", "fetched_at").agg(F.max(rank).alias(won))
