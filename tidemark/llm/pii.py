@@ -245,13 +245,15 @@ def _joined(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of docs(doc_id, text); counts
-    and digest of the base spans, spans of all."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added and the counts of the
+    other kinds) of docs(doc_id, text); the first counts and the digest are of the base spans, spans
+    are all of them, n_added counts those that the trees added, of whatever kind."""
     found = with_spans(docs, "doc_id")
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    count = lambda kind, of="base": F.size(F.filter(of, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    more = [count(k, "added") for k in KINDS if k not in BASE_KINDS]
     order = F.array(*[F.lit(k) for k in KINDS])
     ranked = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(F.array_position(order, s["kind"]).alias("k"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(ranked).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), _joined(ranked).alias("spans"), F.size("added").cast("long").alias("n_added"), *more)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
