@@ -486,10 +486,14 @@ def output_checks(spark, d):
     return checks.validate(outputs, line, keys=["conv_id"]).where("code <> 'overlap'")
 
 
-@query()
+@query("""WITH e AS (SELECT *, epoch_us(ts) / 1e6 AS s FROM events), v AS (SELECT user_id, s, value FROM e QUALIFY row_number() OVER (PARTITION BY user_id, s ORDER BY value DESC) = 1),
+asks AS (SELECT user_id, event_id, s + 1800 AS a, s + 2400 AS b FROM e WHERE event_type = 'purchase'),
+inside AS (SELECT k.event_id, count(*) AS n, sum(e.value) AS total FROM asks k JOIN e ON k.user_id = e.user_id AND e.s BETWEEN k.a - 600 AND k.b + 600 GROUP BY 1),
+held AS (SELECT k.user_id, k.event_id, CASE WHEN k.a - v.s <= 86400 THEN v.value END AS x FROM asks k ASOF LEFT JOIN v ON k.user_id = v.user_id AND k.a >= v.s)
+SELECT h.user_id AS video_id, h.event_id AS id, CAST(coalesce(n, CASE WHEN x IS NULL THEN 0 ELSE 1 END) AS INT) AS n, round(coalesce(total, x, 0.0), 6) AS total FROM held h LEFT JOIN inside i ON h.event_id = i.event_id""")
 def pointer_positions(spark, d):
     e = _events(spark, d).select(F.col("user_id").alias("video_id"), F.col("s").alias("timestamp"), F.col("value").alias("x"), F.lit(0.0).alias("y"), "event_id", "event_type")
-    asks = e.where("event_type = 'purchase'").select("video_id", F.col("event_id").alias("id"), F.col("timestamp").alias("start"), (F.col("timestamp") + 3600).alias("end"))
+    asks = e.where("event_type = 'purchase'").select("video_id", F.col("event_id").alias("id"), (F.col("timestamp") + 1800).alias("start"), (F.col("timestamp") + 2400).alias("end"))
     out = temporal.range_or_asof(asks, e.select("video_id", "timestamp", "x", "y"), 86400.0, 600.0, 86400.0)
     return out.select("video_id", "id", F.size("positions").alias("n"), F.round(F.aggregate("positions", F.lit(0.0), lambda a, p: a + p["x"]), 6).alias("total"))
 
@@ -502,7 +506,7 @@ def pointer_hovers(spark, d):
     track = _track(spark, d, 0.21)
     ends = track.groupBy("video_id").agg((F.max("timestamp") + Hover().max_hold).alias("last_seen"))
     box = G.make_box(F.col("p_size") / 60.0, F.lit(0.2), F.lit(0.15), F.lit(0.05))
-    elements = _t(spark, d, "part").select(_part_video(), F.col("p_partkey").cast("string").alias("id"), F.substring("p_name", 1, 20).alias("text"), box.alias("box"), F.lit(0.0).alias("first_seen"))
+    elements = _t(spark, d, "part").select(_part_video(), F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("text"), box.alias("box"), F.lit(0.0).alias("first_seen"))
     elements = elements.join(ends, "video_id")  # shown for as long as the track goes
     return cursor.hovers(track, elements, Cursor(), Hover()).select("video_id", "element_id", F.round("start", 3).alias("start_s"), F.round("end", 3).alias("end_s"))
 
