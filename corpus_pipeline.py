@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import tokenize
-from tidemark.llm.common import shared_dir, table
+from tidemark.llm.common import remove, shared_dir, table
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.neardup import keep_firsts
 from tidemark.llm.pii import redact
@@ -65,10 +65,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over `documents`. A stage's table goes when the next one's is written; the last
+    table stays, as the result reads it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     at = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{name}")
         docs = spark.read.parquet(f"{at}/{name}")
+        if before:
+            remove(spark, before)
+        before = f"{at}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
