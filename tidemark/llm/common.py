@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A word: a run of anything but ASCII white space.
@@ -68,6 +69,34 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def numbered(scratch: Scratch, df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """df with idx (0, 1, ... within its group, by order), n (rows of the group) and, where there
+    are group columns, g (number of the group, by its columns) and n_g (number of groups). Nulls come
+    first and are one group; rows that tie in all of `order` get their numbers as they come.
+
+    Rows are dealt by ranges of (group, order), so a large group spreads over many tasks. A row's
+    place in its range is kept in a table; what lies before it is a sum over the ranges of its group,
+    of which there are no more than tasks. df should be narrow: its rows are shuffled and written."""
+    by = [F.col(c).asc_nulls_first() for c in [*group, *order]]
+    at = scratch.cut(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id()))
+    ranges = at.groupBy(F.shiftright("at", 33).alias("r"), *[F.col(c).alias(f"r_{c}") for c in group]).agg(F.min("at").alias("r_from"), F.count(F.lit(1)).alias("r_rows"))
+    same = W.partitionBy(*[f"r_{c}" for c in group])
+    ranges = ranges.withColumns(
+        {
+            "r_before": F.coalesce(F.sum("r_rows").over(same.orderBy("r").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
+            "n": F.sum("r_rows").over(same),
+        }
+    )
+    made = []
+    if group:
+        groups = numbered(scratch, ranges.select(*[F.col(f"r_{c}").alias(f"g_{c}") for c in group]).distinct(), [], [f"g_{c}" for c in group])
+        groups = groups.withColumnsRenamed({"idx": "g", "n": "n_g"})
+        met = [F.col(f"r_{c}").eqNullSafe(F.col(f"g_{c}")) for c in group]
+        ranges, made = ranges.join(groups, met), ["g", "n_g"]
+    met = [F.shiftright("at", 33) == F.col("r"), *[F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in group]]
+    return at.join(ranges, met).select(*df.columns, (F.col("r_before") + F.col("at") - F.col("r_from")).alias("idx"), "n", *made)
+
+
 def ceil_div(a, b: int):
     return F.ceil(a / F.lit(b)).cast("long")
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .bpe import tokenize
 from .common import table
+from .manifest import SQL as OP11_SQL
+from .manifest import verify
 from .mixing import mix
 from .neardup import classes
 from .pages import extract
@@ -101,6 +103,10 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
@@ -116,8 +122,9 @@ def queries() -> dict:
         "op8_urls": op8_urls,
         "op9_search": op9_search,
         "op10_neardup": op10_neardup,
+        "op11_manifest": op11_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_urls": OP8_SQL}
+    return {"op8_urls": OP8_SQL, "op11_manifest": OP11_SQL}
