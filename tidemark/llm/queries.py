@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .bpe import tokenize
 from .common import table
+from .fingerprints import SQL as OP13_SQL
+from .fingerprints import fingerprints
 from .manifest import SQL as OP11_SQL
 from .manifest import verify
 from .mixing import mix
@@ -107,6 +109,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(table(spark, sf_dir, "documents"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     import corpus_pipeline
 
@@ -123,8 +129,9 @@ def queries() -> dict:
         "op9_search": op9_search,
         "op10_neardup": op10_neardup,
         "op11_manifest": op11_manifest,
+        "op13_fingerprints": op13_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_urls": OP8_SQL, "op11_manifest": OP11_SQL}
+    return {"op8_urls": OP8_SQL, "op11_manifest": OP11_SQL, "op13_fingerprints": OP13_SQL}
