@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import tokenize
+from .collocations import SQL as OP12_SQL
+from .collocations import collocations
 from .common import table
 from .fingerprints import SQL as OP13_SQL
 from .fingerprints import fingerprints
@@ -109,6 +111,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -129,9 +135,10 @@ def queries() -> dict:
         "op9_search": op9_search,
         "op10_neardup": op10_neardup,
         "op11_manifest": op11_manifest,
+        "op12_collocations": op12_collocations,
         "op13_fingerprints": op13_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_urls": OP8_SQL, "op11_manifest": OP11_SQL, "op13_fingerprints": OP13_SQL}
+    return {"op8_urls": OP8_SQL, "op11_manifest": OP11_SQL, "op12_collocations": OP12_SQL, "op13_fingerprints": OP13_SQL}
