@@ -261,6 +261,28 @@ def capped_select(spark, d):
     return s.select("user_id", "threshold", F.size("kept").alias("kept"))
 
 
+@query("""WITH RECURSIVE e AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS no,
+  list_transform(range(32), lambda j: CAST(floor(abs(value) / (j + 1)) AS BIGINT) * 37 % 256) AS px FROM events),
+steps(threshold) AS (VALUES (0.0625), (0.125), (0.25), (0.5), (1.0)),
+r AS (
+  SELECT user_id, threshold, no, px AS ref, true AS hit FROM e, steps WHERE no = 0
+  UNION ALL
+  SELECT user_id, threshold, no, CASE WHEN hit THEN px ELSE ref END, hit FROM (
+    SELECT e.user_id, r.threshold, e.no, e.px, r.ref, list_sum(list_transform(range(32), lambda j: CASE WHEN abs(e.px[j + 1] - r.ref[j + 1]) > 25 THEN 1 ELSE 0 END)) / 32.0 >= r.threshold AS hit
+    FROM r JOIN e ON e.user_id = r.user_id AND e.no = r.no + 1)),
+k AS (SELECT user_id, threshold, list(no ORDER BY no) FILTER (hit) AS kept FROM r GROUP BY 1, 2)
+SELECT user_id, CAST(threshold AS DOUBLE) AS threshold, array_to_string(kept[1:20], ',') AS kept FROM k
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY len(kept) > 20, CASE WHEN len(kept) > 20 THEN -threshold ELSE threshold END) = 1""")
+def pixel_select(spark, d):
+    from .operators import frames
+
+    shade = lambda j: F.floor(F.abs("value") / (j + 1)).cast("long") * 37 % 256
+    no = F.row_number().over(W.partitionBy("user_id").orderBy("s", "event_id")) - 1
+    shown = _events(spark, d).select("user_id", no.alias("frame"), frames.pack(F.transform(F.sequence(F.lit(0), F.lit(31)), shade)).alias("pixels"))
+    out = frames.choose(shown, ScreenText(change_ratio=0.0625, max_frames=20), ["user_id"], block=16)
+    return out.select("user_id", "threshold", F.array_join("kept", ",").alias("kept"))
+
+
 @query(r"""WITH w AS (SELECT conv_id, turn, unnest(regexp_split_to_array(trim(text), '\s+')) AS word, generate_subscripts(regexp_split_to_array(trim(text), '\s+'), 1) AS i FROM conversations),
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i) AS pos FROM w WHERE word <> ''), s AS (SELECT *, coalesce(sum(CAST(regexp_matches(lag_word, '[.!?…]$') AS INT)) OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS sentence
  FROM (SELECT *, lag(word) OVER (PARTITION BY conv_id ORDER BY pos) AS lag_word FROM n)) SELECT conv_id, CAST(sentence AS BIGINT) AS sentence, count(*) AS n_words, min(pos) AS first_pos FROM s GROUP BY 1, 2""")
