@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from .common import Scratch, small_batches
 
 LEAST, LONGEST, TOP, FACTOR = 100, 5, 2_000, 1_000
-#: Words that a mapper gathers before it looks at them; also the size of a stream's piece.
-GATHER = 1 << 20
+#: Words that a mapper gathers before it looks at them, and words of a stream's row, which ends between
+#: pieces: readers hold thousands of rows at a time.
+GATHER, ROW_WORDS = 1 << 20, 1 << 12
 #: Counters that rule out: one for so many words, between these powers of two.
 WORDS_A_COUNTER, LEAST_BITS, MOST_BITS = 32, 12, 24
 #: Counters of an array that travel together, and arrays that a node of the tree sums.
@@ -171,9 +172,25 @@ def _windows(ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _streams(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Some GATHER words at a time."""
+    held, size = [], 0
     for batch in batches:
-        for piece in batch.column("ids"):
-            yield np.frombuffer(piece.as_buffer(), np.int32)
+        for row in batch.column("ids"):
+            held.append(np.frombuffer(row.as_buffer(), np.int32).copy())
+            size += len(held[-1])
+            if size >= GATHER:
+                yield np.concatenate(held)
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _row_ids(ids: np.ndarray) -> pa.Array:
+    """A stream as rows that end with a gap."""
+    ids = np.append(ids, -1).astype(np.int32)
+    gaps = np.flatnonzero(ids < 0) + 1
+    ends = gaps[np.unique(np.searchsorted(gaps, np.arange(ROW_WORDS, len(ids) + ROW_WORDS, ROW_WORDS)).clip(max=len(gaps) - 1))]
+    return pa.array([x.tobytes() for x in np.split(ids, ends[:-1])], pa.binary())
 
 
 def _chunks(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -216,7 +233,7 @@ def _tree_sum(arrays: DataFrame, size: int) -> np.ndarray:
 
 
 _STREAM = f"ids binary, {_COUNTS}"
-_NO_IDS, _NO_COUNTS = pa.nulls(1, pa.binary()), [pa.nulls(1, pa.int32())] * 3 + [pa.nulls(1, pa.binary())]
+_NO_IDS = pa.nulls(1, pa.binary())
 
 
 class Counters:
@@ -242,7 +259,9 @@ def _stream_rows(streams: Iterator[np.ndarray], k: int, bits: int) -> Iterator[p
     for ids in streams:
         if len(ids):
             counters.add(ids)
-            yield pa.record_batch([pa.array([ids.astype(np.int32).tobytes()], pa.binary()), *_NO_COUNTS], names)
+            rows = _row_ids(ids)
+            none = [pa.nulls(len(rows), pa.int32())] * 3 + [pa.nulls(len(rows), pa.binary())]
+            yield pa.record_batch([rows, *none], names)
     for chunk in _chunks(counters.counts):
         yield pa.record_batch([_NO_IDS, *chunk.columns], names)
 
