@@ -113,11 +113,22 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     given = texts.join(asked, F.col("key") == F.col("giver")).select("taker", F.substring("text", F.lit(1), F.col("quarter")).alias("given"))
     times = classes.select(F.col("key").alias("of"), "times")
     met = texts.join(given, F.col("key") == F.col("taker")).join(times, F.col("key") == F.col("of"))
-    side = lambda name, t: F.struct(F.lit(name).alias("side"), t.alias("text"))
-    own, last, self_ = side("text", F.col("text")), side("last", edited(F.col("text"), F.col("given"))), side("self", edited(F.col("text"), F.col("text")))
-    sides = met.select("key", F.explode(F.when(F.col("times") > 1, F.array(own, last, self_)).otherwise(F.array(own, last))).alias("s"))
-    sides = sides.select("key", "s.side", "s.text", F.sha2("s.text", 256).alias("sha"))
+    # the paragraphs before the edit are hashed once: what both texts share, and the rest of each
+    split = F.substring(F.col("text"), F.lit(1), F.char_length("text") - F.floor(F.char_length("text") / 4).cast("int"))
+    met = met.withColumn("split", split).withColumn("open", F.substring_index("split", "\n", -1))
+    met = met.withColumn("shared", F.char_length("split") - F.char_length("open"))
+    rest = lambda t: F.substring(t, F.col("shared") + 1, F.char_length(t))
+    whole = F.when(F.col("shared") > 0, F.substring(F.col("text"), F.lit(1), F.col("shared") - 1))
+    made = met.select("key", "times", "shared", "text", whole.alias("whole"), edited(F.col("text"), F.col("given")).alias("last"), edited(F.col("text"), F.col("text")).alias("self"))
+    side = lambda name, t, of=None: F.struct(F.lit(name).alias("side"), t.alias("text"), (F.lit("") if of is None else F.sha2(of, 256)).alias("sha"))
+    sides = [
+        F.when(F.col("whole").isNotNull(), side("both", F.col("whole"))), side("text", rest(F.col("text"))), side("last", rest(F.col("last")), F.col("last")),
+        F.when(F.col("times") > 1, side("self", rest(F.col("self")), F.col("self"))),
+    ]
+    sides = made.select("key", F.explode(F.array_compact(F.array(*sides))).alias("s")).select("key", "s.*")
     found = scratch.cut(vectors(sides, ["key", "side", "sha"]))
+    both = found.where("side = 'both'").select(F.col("key").alias("of_both"), F.col("v").alias("both"))
+    found = found.where("side != 'both'").join(both, F.col("key") == F.col("of_both"), "left").withColumn("v", F.when(F.col("both").isNull(), F.col("v")).otherwise(plus(F.col("v"), F.col("both"))))
     mine = found.where("side = 'text'").select(F.col("key").alias("of"), F.col("v").alias("mine"))
     theirs = mine.select(F.col("of").alias("next_of"), F.col("mine").alias("theirs"))
     other = found.where("side != 'text'").select("key", "side", F.col("sha").alias("edited_sha256"), F.col("v").alias("changed"))
