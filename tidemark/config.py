@@ -76,6 +76,7 @@ class Hover:
     max_hold: float = 6.0
     step: float = 0.125
     distance: float = 0.012
+    cell: float = 0.05  # of the grid that finds elements near the pointer
     max_area: float = 0.05
     max_width: float = 0.22
     max_chars: int = 30

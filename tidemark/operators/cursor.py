@@ -7,8 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import Cursor, Hover
-from ..functions.geometry import area, distance_to_box, interpolate
-from .temporal import KEY, islands, nearest, overlap_join, point_join
+from ..functions.geometry import area, interpolate
+from .space import near_boxes
+from .temporal import KEY, islands, nearest, overlap_join
 
 
 def spans(track: DataFrame, cursor: Cursor = Cursor(), c: Hover = Hover(), keys=KEY) -> DataFrame:
@@ -35,7 +36,7 @@ def hovers(track: DataFrame, elements: DataFrame, cursor: Cursor = Cursor(), c:
     small = elements.where((area(F.col("box")) <= c.max_area) & (F.col("box.width") <= c.max_width) & (F.length("text") <= c.max_chars))
     small = small.select(*keys, F.col("id").alias("element_id"), "box", "first_seen", "last_seen")
     points = held_positions(spans(track, cursor, c, keys), c.step).select(*keys, "ts", "x", "y")
-    met = point_join(points, small, 60.0, keys, "ts", ("first_seen", "last_seen")).withColumn("dist", distance_to_box(F.col("x"), F.col("y"), F.col("box")))
+    met = near_boxes(points, small, c.distance, keys, c.cell, ts="ts")
     hits = nearest(met, "dist", c.distance, [*keys, "ts"], ["element_id"])
     runs = islands(hits, "element_id", "ts", c.join_seconds, keys).groupBy(*keys, "element_id", "island").agg(F.min("ts").alias("start"), F.max("ts").alias("last"), F.first("box").alias("box"))
     return runs.where(F.col("last") - F.col("start") >= c.min_seconds).select(*keys, "element_id", "start", (F.col("last") + c.tail).alias("end"), "box")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..config import ScreenText
 from ..functions.text import is_usable_label, match_key, normalize_latin
-from .temporal import KEY, asof_join, frame_grid
+from ..storage import kept
+from .temporal import KEY, asof_join, exclusive_sum, frame_grid, islands
 
 
 def usable_detections(d: DataFrame, c: ScreenText = ScreenText()) -> DataFrame:
@@ -33,13 +34,19 @@ def _iou(a, b) -> float:
     return 0.0 if w <= 0 or h <= 0 else w * h / (a[2] * a[3] + b[2] * b[3] - w * h)
 
 
-def track(d: DataFrame, c: ScreenText = ScreenText(), keys=KEY) -> DataFrame:
+def track(d: DataFrame, c: ScreenText = ScreenText(), keys=KEY, spread: bool = False) -> DataFrame:
     """detections(keys, ts, det_ord, text, x, y, width, height, confidence) with `match_key` and
-    `track`, numbered in each key from 0 (Q10). A track's key never changes, so (video, key) groups
-    are independent; within one, a detection goes to the open track of the largest overlap with its
-    most confident box, once a frame; a track closes max_gap after its last sighting."""
+    `track`, numbered in each key from 0 (Q10, J17). A track's key never changes, so (video, key) groups
+    are independent. Where a key isn't seen for more than max_gap, all its tracks end, so a key's
+    sightings fall into sessions that are independent too, and a label that is always about is many
+    groups. Within one, a detection goes to the open track of the largest overlap with its most
+    confident box, once a frame; a track closes max_gap after its last sighting.
+
+    spread: for keys with so many sightings that no task should sort them to find the sessions."""
+    by = [*keys, "match_key"]
     keyed = d.withColumn("match_key", match_key(normalize_latin(F.col("text"))))
-    schema = keyed.schema.simpleString()[7:-1] + ",track:bigint"
+    seen = islands(keyed, "match_key", "ts", c.max_gap, by, ("det_ord",), spread).withColumnRenamed("island", "session")
+    schema = seen.schema.simpleString()[7:-1] + ",track:bigint"
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["ts", "det_ord"], kind="stable").reset_index(drop=True)
@@ -65,7 +72,12 @@ def track(d: DataFrame, c: ScreenText = ScreenText(), keys=KEY) -> DataFrame:
             out.append(at)
         return g.assign(track=out)
 
-    return keyed.groupBy(*keys, "match_key").applyInPandas(one, schema)
+    # dealt by sessions, so that those of one key go to many tasks
+    tracked = kept(seen.repartition(*by, "session").groupBy(*by, "session").applyInPandas(one, schema))
+    counts = tracked.groupBy(*[F.col(k).alias(f"_{k}") for k in (*by, "session")]).agg((F.max("track") + 1).alias("_n"))
+    counts = counts.withColumn("_before", exclusive_sum(F.col("_n"), [f"_{k}" for k in by], "_session").cast("long"))
+    met = tracked.join(counts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in (*by, "session")])
+    return met.select(*keyed.columns, (F.col("track") + F.col("_before")).alias("track"))
 
 
 def elements(tracked: DataFrame, interval: float, keys=KEY) -> DataFrame:

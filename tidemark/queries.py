@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .config import Layout, Retiming, ScreenText
 from .functions import geometry as G
 from .functions import text as T
-from .operators import checks, segmentation, subtitles, temporal, timeline, tracking, vision
+from .operators import checks, segmentation, space, subtitles, temporal, timeline, tracking, vision
 from .schemas import violations
 
 QUERIES: dict = {}
@@ -175,6 +175,51 @@ def asof_fill_grid(spark, d):
     return temporal.asof_join(grid, facts, ["latest"], ["user_id"], slack=1e-9).select("user_id", "frame", "latest")
 
 
+_HOT = "CASE WHEN user_id % 10 = 0 THEN user_id ELSE 0 END"
+
+
+def _hot_events(spark, d):
+    """events with one key for nine tenths of them."""
+    return _events(spark, d).withColumn("hot", F.expr(_HOT).cast("long"))
+
+
+@query(f"""WITH e AS (SELECT *, {_HOT} AS hot, epoch_us(ts) / 1e6 AS s FROM events), v AS (SELECT hot, s AS vs, value FROM e WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY hot, s ORDER BY value DESC) = 1)
+SELECT p.hot, p.event_id, CASE WHEN p.s - v.vs <= 60 THEN v.value END AS held FROM (SELECT * FROM e WHERE event_type = 'purchase') p ASOF LEFT JOIN v ON p.hot = v.hot AND p.s >= v.vs""")
+def hot_hold(spark, d):
+    e = _hot_events(spark, d)
+    views = e.where("event_type = 'view'").select("hot", F.col("s").alias("timestamp"), F.col("value").alias("held"))
+    asks = e.where("event_type = 'purchase'").select("hot", "event_id", "s")
+    return temporal.asof_join(asks, views, ["held"], ["hot"], "s", hold=60.0, spread=True).select("hot", "event_id", "held")
+
+
+@query(f"""WITH e AS (SELECT {_HOT} AS hot, event_id, event_type, epoch_us(ts) / 1e6 AS s FROM events), f AS (SELECT *, CASE WHEN lag(event_type) OVER w IS DISTINCT FROM event_type OR s - lag(s) OVER w > 600 OR lag(s) OVER w IS NULL THEN 1 ELSE 0 END AS n FROM e WINDOW w AS (PARTITION BY hot ORDER BY s, event_id)),
+i AS (SELECT *, sum(n) OVER (PARTITION BY hot ORDER BY s, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM f)
+SELECT hot, event_type, min(s) AS start_s, max(s) AS end_s, count(*) AS n FROM i GROUP BY hot, event_type, island""")
+def hot_islands(spark, d):
+    i = temporal.islands(_hot_events(spark, d), "event_type", "s", 600.0, ["hot"], ["event_id"], spread=True)
+    return i.groupBy("hot", "event_type", "island").agg(F.min("s").alias("start_s"), F.max("s").alias("end_s"), F.count(F.lit(1)).alias("n")).drop("island")
+
+
+_LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query(f"""WITH iv AS (SELECT l_returnflag, {", ".join(_LINE)}, epoch_us(l_shipdate) / 86400e6 AS s, epoch_us(l_shipdate) / 86400e6 + l_quantity AS e FROM lineitem),
+p AS (SELECT *, lag(e) OVER (PARTITION BY l_returnflag ORDER BY s, {", ".join(_LINE)}, e) AS pe FROM iv)
+SELECT l_returnflag, l_orderkey, l_linenumber, round(pe - s, 6) AS days FROM p WHERE s < pe""")
+def hot_overlaps(spark, d):
+    s = _seconds("l_shipdate") / 86400
+    iv = _t(spark, d, "lineitem").select("l_returnflag", *_LINE, s.alias("s"), (s + F.col("l_quantity")).alias("e"))
+    o = temporal.overlaps(iv, "s", "e", ["l_returnflag"], [*_LINE, "e"], spread=True)
+    return o.select("l_returnflag", "l_orderkey", "l_linenumber", F.round(F.col("previous_end") - F.col("s"), 6).alias("days"))
+
+
+@query(f"""SELECT l_returnflag, l_orderkey, l_linenumber, CAST(coalesce(sum(l_quantity) OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, {", ".join(_LINE)}, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS starts FROM lineitem""")
+def hot_starts(spark, d):
+    li = _t(spark, d, "lineitem").select("l_returnflag", "l_shipdate", *_LINE, "l_quantity")
+    out = temporal.running_sum(li, F.col("l_quantity").cast("double"), "starts", ["l_returnflag"], ["l_shipdate", *_LINE, "l_quantity"])
+    return out.select("l_returnflag", "l_orderkey", "l_linenumber", "starts")
+
+
 @query(f"""WITH {_IV}, o AS (SELECT o_orderkey, epoch_us(o_orderdate) / 86400e6 AS a FROM orders)
 SELECT l.l_suppkey, l.l_orderkey, l.l_linenumber, r.l_linenumber AS other, round(greatest(least(r.e, l.e) - greatest(r.s, l.s), 0) / (l.e - l.s), 6) AS visible
 FROM iv l JOIN iv r ON l.l_orderkey = r.l_orderkey AND l.l_linenumber <> r.l_linenumber AND r.e > l.s - 1 AND r.s < l.e + 1""")
@@ -199,7 +244,7 @@ SELECT c_custkey, s_suppkey, round(sqrt(dx * dx), 6) AS dist FROM p WHERE sqrt(d
 def nearest_in_radius(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n"), G.make_box(F.col("c_acctbal") / 10000, F.lit(0.0), F.lit(0.05), F.lit(1.0)).alias("box"))
     s = _t(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n"), (F.col("s_acctbal") / 10000).alias("x"), F.lit(0.5).alias("y"))
-    pairs = c.join(s, "n").withColumn("dist", G.distance_to_box(F.col("x"), F.col("y"), F.col("box")))
+    pairs = space.near_boxes(s, c, 0.2, ["n"])
     return temporal.nearest(pairs, "dist", 0.2, ["c_custkey"], ["s_suppkey"]).select("c_custkey", "s_suppkey", F.round("dist", 6).alias("dist"))
 
 
@@ -409,9 +454,27 @@ def box_iou_pairs(spark, d):
     return a.join(b, "l_orderkey").where("l_linenumber < other").select("l_orderkey", "l_linenumber", "other", F.round(G.iou(F.col("box"), F.col("box2")), 6).alias("iou"))
 
 
-@query()
+@query("""WITH RECURSIVE b AS (
+  SELECT l_orderkey // 256 AS video_id, epoch_us(l_shipdate) / 1e6 AS ts, l_orderkey * 10 + l_linenumber AS det_ord, 'label ' || l_returnflag AS text,
+         (l_partkey % 50) / 100.0::DOUBLE AS x, (l_suppkey % 10) / 20.0::DOUBLE AS y, (l_quantity / 100)::DOUBLE AS w, (0.1 + l_discount)::DOUBLE AS h, (1 - l_tax)::DOUBLE AS c FROM lineitem),
+d AS (SELECT *, row_number() OVER (PARTITION BY video_id, text ORDER BY ts, det_ord) AS no FROM b),
+s AS (
+  SELECT video_id, text, no, [{'last': ts, 'x': x, 'y': y, 'w': w, 'h': h, 'c': c}] AS tracks, 1::BIGINT AS track FROM d WHERE no = 1
+  UNION ALL
+  SELECT video_id, text, no, CASE WHEN pick IS NULL THEN tracks || [now] ELSE tracks[: pick - 1] || [CASE WHEN c > tracks[pick].c THEN now ELSE {'last': ts, 'x': tracks[pick].x, 'y': tracks[pick].y, 'w': tracks[pick].w, 'h': tracks[pick].h, 'c': tracks[pick].c} END] || tracks[pick + 1 :] END,
+         coalesce(pick, len(tracks) + 1)
+  FROM (SELECT *, CASE WHEN list_max(ious) >= 0.3 THEN list_position(ious, list_max(ious)) END AS pick, {'last': ts, 'x': x, 'y': y, 'w': w, 'h': h, 'c': c} AS now
+    FROM (SELECT *, list_transform(sides, lambda z: CASE WHEN z.iw <= -1 THEN -1.0::DOUBLE WHEN z.iw <= 0 OR z.ih <= 0 THEN 0.0::DOUBLE ELSE z.iw * z.ih / (z.areas - z.iw * z.ih) END) AS ious
+      FROM (SELECT d.*, s.tracks, list_transform(s.tracks, lambda t: {'iw': CASE WHEN t.last < d.ts AND d.ts - t.last <= 2592000.0 THEN least(t.x + t.w, d.x + d.w) - greatest(t.x, d.x) ELSE -2.0::DOUBLE END,
+          'ih': least(t.y + t.h, d.y + d.h) - greatest(t.y, d.y), 'areas': t.w * t.h + d.w * d.h}) AS sides
+        FROM s JOIN d ON d.video_id = s.video_id AND d.text = s.text AND d.no = s.no + 1)))),
+e AS (
+  SELECT video_id, text, track, min(ts) AS first_seen, greatest(max(ts), min(ts) + 0.5) AS last_seen, round(least(1.0, avg(c)), 4) AS confidence, CAST(count(*) AS INT) AS occurrences,
+         arg_max({'y': y, 'x': x}, {'c': c, 't': -ts, 'o': -det_ord}) AS best FROM s JOIN d USING (video_id, text, no) GROUP BY ALL)
+SELECT video_id, 'scr-' || printf('%04d', row_number() OVER (PARTITION BY video_id ORDER BY first_seen, best.y, best.x, text, track)) AS id, text, first_seen, last_seen, confidence, occurrences FROM e""")
 def track_boxes(spark, d):
-    b = _boxes(spark, d).select((F.col("l_orderkey") % 200).alias("video_id"), _seconds("l_shipdate").alias("ts"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("det_ord"), F.concat(F.lit("label "), "l_returnflag").alias("text"), "box.*", (1 - F.col("l_tax")).alias("confidence"))
+    video = F.floor(F.col("l_orderkey") / 256).cast("long")  # videos grow with the table
+    b = _boxes(spark, d).select(video.alias("video_id"), _seconds("l_shipdate").alias("ts"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("det_ord"), F.concat(F.lit("label "), "l_returnflag").alias("text"), "box.*", (1 - F.col("l_tax")).alias("confidence"))
     c = ScreenText(max_gap=30 * 86400.0, merge_iou=0.3)
     return tracking.elements(tracking.track(b, c), 0.5).select("video_id", "id", "text", "first_seen", "last_seen", "confidence", "occurrences")
 
@@ -520,7 +583,16 @@ def pointer_positions(spark, d):
     return out.select("video_id", "id", F.size("positions").alias("n"), F.round(F.aggregate("positions", F.lit(0.0), lambda a, p: a + p["x"]), 6).alias("total"))
 
 
-@query()
+@query("""WITH t AS (SELECT CAST(user_id AS BIGINT) AS video_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) * 0.5::DOUBLE AS s, abs(value % 1) AS x FROM events),
+n AS (SELECT *, least(coalesce(lead(s) OVER (PARTITION BY video_id ORDER BY s), s + 6), s + 6) AS e FROM t),
+points AS (SELECT video_id, s + i * 0.125::DOUBLE AS ts, x FROM (SELECT *, unnest(range(greatest(1, CAST(trunc((e - s) / 0.125) AS BIGINT)))) AS i FROM n)),
+boxes AS (SELECT p_partkey // 16 AS video_id, CAST(p_partkey AS VARCHAR) AS element_id, p_size / 60.0::DOUBLE AS bx FROM part WHERE length(p_name) <= 30),
+hits AS (
+  SELECT video_id, ts, element_id FROM (SELECT *, greatest(bx - x, 0, x - bx - 0.15::DOUBLE) AS dx FROM points JOIN boxes USING (video_id)) WHERE sqrt(dx * dx) <= 0.012
+  QUALIFY row_number() OVER (PARTITION BY video_id, ts ORDER BY sqrt(dx * dx), element_id) = 1),
+marked AS (SELECT *, CASE WHEN lag(element_id) OVER w IS DISTINCT FROM element_id OR ts - lag(ts) OVER w > 0.5 THEN 1 ELSE 0 END AS new FROM hits WINDOW w AS (PARTITION BY video_id ORDER BY ts)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY video_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM marked)
+SELECT video_id, element_id, round(min(ts), 3) AS start_s, round(max(ts) + 0.4, 3) AS end_s FROM runs GROUP BY video_id, element_id, island HAVING max(ts) - min(ts) >= 0.35""")
 def pointer_hovers(spark, d):
     from .config import Cursor, Hover
     from .operators import cursor
