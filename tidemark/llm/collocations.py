@@ -305,33 +305,45 @@ def _shorten(slots, least: int, k: int, bits: int) -> Callable:
     return lambda batches: _stream_rows(streams(batches), k + 1, bits)
 
 
-def _candidates(heavy, k: int, bits: int) -> Callable:
-    """The phrases of k words in a partition that no counter rules out."""
-
-    def once(phrases: np.ndarray) -> np.ndarray:
-        """Without repeats, but for those that a hash shared by two phrases keeps apart."""
-        order = np.argsort(phrase_hash(list(phrases.T), 0), kind="stable")
-        phrases = phrases[order]
-        new = np.ones(len(phrases), bool)
-        new[1:] = (phrases[1:] != phrases[:-1]).any(axis=1)
-        return phrases[new]
+def _merged(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each phrase once, with the sum of its counts."""
+    if not len(phrases):
+        return phrases, counts
+    hashes = phrase_hash(list(phrases.T), 0)
+    order = np.argsort(hashes, kind="stable")
+    differ = lambda x: np.concatenate([[True], (x[1:] != x[:-1]).reshape(len(x) - 1, -1).any(axis=1)])
+    new = differ(phrases[order])
+    if (new != differ(hashes[order])).any():  # two phrases of one hash
+        order = np.lexsort(phrases.T)
+        new = differ(phrases[order])
+    return phrases[order][new], np.add.reduceat(counts[order], np.flatnonzero(new))
+
+
+def _candidates(heavy, k: int, bits: int, least: int, tasks: int) -> Callable:
+    """The phrases of k words in a partition that no counter rules out. What occurs `least` times in all does
+    so least / tasks times in one of the tasks: that one names it."""
+    share = -(-least // tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        if TaskContext.get().partitionId() >= tasks:
+            raise RuntimeError("more tasks than were planned")
+        phrases, counts, held, size, needed = np.zeros((0, k), np.int32), np.zeros(0, np.int64), [], 0, share
         for ids in _streams(batches):
             at = _windows(ids, k)
-            phrases = [ids[at + i] for i in range(k)]
-            kept = heavy.value[Counters.places(phrases, bits)]
-            held.append(once(np.stack([w[kept] for w in phrases], axis=1)))
+            words = [ids[at + i] for i in range(k)]
+            kept = heavy.value[Counters.places(words, bits)]
+            held.append(np.stack([w[kept] for w in words], axis=1))
             size += len(held[-1])
-            if size > GATHER:
-                held = [once(np.concatenate(held))]
-                size = len(held[0])
-                if size > GATHER // 2:
-                    yield _columns(held[0])
-                    held, size = [], 0
-        if held:
-            yield _columns(once(np.concatenate(held)))
+            if size < GATHER:
+                continue
+            phrases, counts = _merged(np.concatenate([phrases, *held]), np.concatenate([counts, np.ones(size, np.int64)]))
+            held, size = [], 0
+            if len(phrases) > 4 * GATHER:  # too many to hold: from here on all are named
+                needed = 1
+                yield _columns(phrases)
+                phrases, counts = phrases[:0], counts[:0]
+        phrases, counts = _merged(np.concatenate([phrases, *held]), np.concatenate([counts, np.ones(size, np.int64)]))
+        yield _columns(phrases[counts >= needed])
 
     return run
 
@@ -433,7 +445,8 @@ def collocations(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST,
     for k in range(2, longest + 1):
         heavy = sc.broadcast(_tree_sum(made.where("ids IS NULL").drop("ids"), 1 << bits) >= least)
         streams = made.where("ids IS NOT NULL").select("ids")
-        found[k] = scratch.cut(streams.mapInArrow(_candidates(heavy, k, bits), _phrase_schema(k)).distinct())
+        tasks = max(streams.rdd.getNumPartitions(), 1)
+        found[k] = scratch.cut(streams.mapInArrow(_candidates(heavy, k, bits, least, tasks), _phrase_schema(k)).distinct())
         slots = Slots(np.stack([c.to_numpy() for c in found[k].toArrow().columns], axis=1).astype(np.int32))
         sent = sc.broadcast(slots)
         counts = _tree_sum(streams.mapInArrow(_count(sent, k), _COUNTS), len(slots.stored))
