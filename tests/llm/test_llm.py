@@ -113,11 +113,41 @@ def test_groups_of_different_spread_get_different_fences(spark):
     rows += [(900, text(900, 14), "en", source) for source in ("calm", "lively")]
     got = rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).where("doc_id = 900").collect()
     by = {r.source: r for r in got}
-    floor, ceiling = rules.RATIOS["stutter_ratio"][-2:]
-    assert floor < by["calm"].stutter_ratio_fence < by["lively"].stutter_ratio_fence < ceiling
+    least, ceiling = rules.RATIOS["stutter_ratio"][-2:]
+    assert least / 100 < by["calm"].stutter_ratio_fence < by["lively"].stutter_ratio_fence < ceiling
     assert by["calm"].failed_rules == ["stutter_ratio"] and by["lively"].failed_rules == [] and by["lively"].kept and not by["calm"].kept
 
 
+def test_sketches_merge_and_tell_quantiles(spark):
+    """Quantiles within a hundredth, alike for parts that are merged; the mixture leans on the language."""
+    rng = np.random.default_rng(1)
+    values = [(lang, source, float(x)) for lang, source, n in (("en", "a", 400), ("en", "b", 29), (None, "a", 291)) for x in np.concatenate([np.zeros(n // 10), rng.lognormal(-3, 1, n - n // 10)]) * (3 if source == "b" else 1)]
+    rows = spark.createDataFrame(values, "lang string, source string, x double")
+    plain = rules.quantiles(rules.sketches(rows, ["x"]), [50, 90])
+    for r in plain.collect():
+        mine = sorted(x for lang, source, x in values if (lang, source) == (r.lang, r.source))
+        for p, got in ((50, r.q50), (90, r.q90)):
+            assert got == pytest.approx(mine[-(-len(mine) * p // 100) - 1], rel=0.0101)
+    halves = rows.where("x < 0.05"), rows.where("x >= 0.05")
+    merged = rules.sketches(halves[0], ["x"]).unionByName(rules.sketches(halves[1], ["x"])).groupBy("lang", "source", "measure", "b").agg(F.sum("c").alias("c"))
+    assert sorted(map(str, merged.collect())) == sorted(map(str, rules.sketches(rows, ["x"]).collect()))
+    mix = {(r.lang, r.source): r.q50 for r in rules.quantiles(rules.mixed(rules.sketches(rows, ["x"])), [50]).collect()}
+    own = {(r.lang, r.source): r.q50 for r in plain.collect()}
+    assert own["en", "a"] < mix["en", "b"] < own["en", "b"] and mix["en", "a"] == pytest.approx(own["en", "a"], rel=0.05)
+
+
+def test_runs_and_partitionings_agree(spark):
+    at = "/root/testdata/sf0.01"
+    if not os.path.exists(f"{at}/documents.parquet"):
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    columns = ["doc_id", "kept", *[f"{r}_fence" for r in rules.RATIOS]]
+    runs = [sorted(map(str, rules.judge(d).select(columns).collect())) for d in (docs, docs, docs.repartition(13))]
+    assert runs[0] == runs[1] == runs[2]
+    fences = rules.judge(docs).where("NOT base_failed").groupBy("lang", "source").agg(*[F.first(f"{r}_fence").alias(r) for r in rules.RATIOS]).collect()
+    assert len({(r.lang, r.symbol_ratio) for r in fences}) > len({r.lang for r in fences})  # sources of a language differ
+
+
 def test_counts_and_verdicts_of_whole_documents(spark):
     """The query op3 against counts by hand; its verdicts against the fences that it states."""
     at = "/root/testdata/sf0.01"

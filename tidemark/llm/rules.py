@@ -1,22 +1,29 @@
 """Quality rules with adaptive thresholds from mergeable quantile sketches.
 
 Every text gets counts (words, symbols, repeated lines, repeated words). Their ratios are
-summarised by one KLL sketch per language and source; sketches are merged per language, and over
-all, so that a small group borrows from a wider one. A ratio is out of line when it passes its
-group's upper fence: a high quantile of the sketch and some times its distance to the median. A
-fence never falls below a floor, which lies under the fences of groups with any spread, so that
-groups without spread reject nothing, nor rises above a ceiling, so that a group full of junk
-can't make junk normal. Texts are then joined with their group's fences and filtered.
-Everything runs in the JVM; lambdas see a text's words once.
+summarised by one sketch per language and source: counts of values in buckets whose borders grow by
+a constant factor, so that a quantile is right within a hundredth of its value. Such sketches are
+merged by adding counts: those of a language's sources make the language's, those of languages make
+the whole. A group is judged by its own sketch and PRIOR rows' worth of its language's, which
+has as many of the whole: a small group leans on its language, and a large one stands for itself,
+without a size at which that turns. All counts are whole numbers, so reruns agree.
+
+A ratio is out of line when it passes its group's upper fence: a high quantile and some times its
+distance to the median. Where the values have no spread, a fence is still as wide as a few of what is
+counted in a text of the group's median length. A fence doesn't rise above a ceiling, so that a
+group full of junk can't make junk normal. Texts are then joined with their group's fences and
+filtered. Everything runs in the JVM; lambdas see a text's words once.
 
 Defined results: a null or empty text has 0 in every count and fails the base rule; null
-languages and sources are groups of their own; repeated rows count each for itself; an empty
-table gives no rows; extra columns are ignored.
+languages and sources are groups of their own; repeated rows count each for itself; values that
+tie with a fence pass; a very long text is read whole; an empty table gives no rows; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import SPACE, cut
@@ -25,19 +32,19 @@ WORD_START = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 LEAST_WORDS, MOST_REPEATED = 20, 30  # of the base rule: words, percent
-#: Texts with fewer rows in their group than this use the sketch of the language, then of all.
-LEAST_ROWS = 200
-#: Of a sketch: the error of a quantile's rank is near 0.3 %.
-SKETCH_K = 1_024
-#: ratio: (quantile, spread, floor, ceiling). The fence is the quantile and spread times its
-#: distance to the median. Where most texts have 0, the quantile is one that the others reach;
-#: symbols are rarer than that but in junk, of which the quantile leaves out a tenth.
+#: Rows of the language's sketch that a group's own is mixed with.
+PRIOR = 20
+#: Borders of buckets grow by this factor.
+GROWTH = 1.02
+#: ratio: (what it is a share of, percent, spread, least, ceiling). The fence is the value under which so
+#: many percent lie, and spread times its distance to the median, but room for `least` of what is
+#: counted in a text of median length. Symbols are in few texts but junk, which the percentage leaves out.
 RATIOS = {
-    "symbol_ratio": (0.9, 6.0, 0.05, 0.25),  # symbols to words
-    "dup_line_ratio": (0.99, 1.0, 0.2, 0.7),  # repeated lines to lines
-    "repeat_word_ratio": (0.99, 1.0, 0.05, 0.5),  # words in repeated windows to words
-    "stutter_ratio": (0.95, 6.0, 0.05, 0.4),  # words that repeat the word before to words
-    "capital_ratio": (0.95, 6.0, 0.05, 0.6),  # capitals to letters
+    "symbol_ratio": ("n_words", 90, 6.0, 3, 0.25),  # symbols to words
+    "dup_line_ratio": ("n_lines", 99, 1.5, 2, 0.7),  # repeated lines to lines
+    "repeat_word_ratio": ("n_words", 99, 1.5, 16, 0.5),  # words in repeated windows to words
+    "stutter_ratio": ("n_words", 95, 6.0, 3, 0.4),  # words that repeat the word before to words
+    "capital_ratio": ("n_letters", 95, 6.0, 20, 0.6),  # capitals to letters
 }
 
 
@@ -108,24 +115,60 @@ def ratios(c: DataFrame) -> DataFrame:
     )
 
 
+def bucket(value: Column) -> Column:
+    """Of a value from 0; 0 has its own, the lowest one."""
+    return F.when(value > 0, F.ceil(F.log(value) / F.log(F.lit(GROWTH))).cast("int")).otherwise(F.lit(-(2**31)))
+
+
+def middle(at: Column) -> Column:
+    """The value that stands for a bucket."""
+    return F.when(at == -(2**31), 0.0).otherwise(F.pow(F.lit(GROWTH), at) * 2 / (GROWTH + 1))
+
+
+def sketches(rows: DataFrame, measures: list[str]) -> DataFrame:
+    """(lang, source, measure, b, c): of each group's values, how many are in a bucket."""
+    one = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("b")) for m in measures])).alias("m")
+    return rows.select("lang", "source", one).groupBy("lang", "source", "m.measure", "m.b").agg(F.count(F.lit(1)).alias("c"))
+
+
+def mixed(own: DataFrame) -> DataFrame:
+    """own with each group's sketch mixed with its language's, and that with the whole's. c then counts
+    in fine units, in whole numbers, so that no order of summing changes it."""
+    unit = 1 << 20
+    sizes = own.groupBy("lang", "source", "measure").agg(F.sum("c").alias("n"))
+    langs = sizes.groupBy(F.col("lang").alias("l"), F.col("measure").alias("m")).agg(F.sum("n").alias("n_lang"))
+    whole = own.groupBy(F.col("measure").alias("m"), "b").agg(F.sum("c").alias("c")).join(langs.groupBy("m").agg(F.sum("n_lang").alias("n_all")), "m")
+    lent = whole.select("m", "b", F.expr(f"c * {PRIOR * unit} DIV n_all").alias("w")).join(langs.select("m", "l"), "m")
+    lang = own.select(F.col("lang").alias("l"), F.col("measure").alias("m"), "b", (F.col("c") * unit).alias("w")).unionByName(lent.select("l", "m", "b", "w"))
+    lang = lang.groupBy("l", "m", "b").agg(F.sum("w").alias("w")).join(langs.select(F.col("l").alias("l2"), F.col("m").alias("m2"), "n_lang"), (F.col("m") == F.col("m2")) & F.col("l").eqNullSafe(F.col("l2")))
+    lang = lang.select("l", "m", "b", F.expr(f"w * {PRIOR} DIV (n_lang + {PRIOR})").alias("w"))
+    lent = sizes.join(lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m"))).select("lang", "source", "measure", "b", "w")
+    mine = own.select("lang", "source", "measure", "b", (F.col("c") * unit).alias("w"))
+    return mine.unionByName(lent).groupBy("lang", "source", "measure", "b").agg(F.sum("w").alias("c"))
+
+
+def quantiles(sketch: DataFrame, percents: list[int]) -> DataFrame:
+    """(lang, source, measure, q50, ...) of sketches."""
+    group = W.partitionBy("lang", "source", "measure")
+    ranked = sketch.withColumns({"upto": F.sum("c").over(group.orderBy("b").rowsBetween(W.unboundedPreceding, 0)), "all": F.sum("c").over(group)})
+    return ranked.groupBy("lang", "source", "measure").agg(*[middle(F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("b")))).alias(f"q{p}") for p in percents])
+
+
 def fences(rows: DataFrame) -> DataFrame:
-    """(g_lang, g_source, a fence for each ratio): from rows(lang, source, ratios) that pass the
-    base rule. Sketches of groups are merged into those of languages, and these into one."""
-    names = list(RATIOS)
-    own = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(r, SKETCH_K).alias(r) for r in names])
-    own = cut(own)  # one row a group, of some ten kB
-    merged = [F.kll_merge_agg_double(r, SKETCH_K).alias(f"{r}_up") for r in names]
-    lang = own.groupBy(F.col("lang").alias("u_lang")).agg(F.sum("n").alias("n_up"), *merged)
-    total = own.agg(*[F.kll_merge_agg_double(r, SKETCH_K).alias(f"{r}_all") for r in names])
-    met = own.join(lang, own.lang.eqNullSafe(lang.u_lang)).join(F.broadcast(total))  # one row
+    """(g_lang, g_source, a fence for each ratio): from rows(lang, source, ratios and counts) that pass
+    the base rule."""
+    percents = sorted({50, *(p for _, p, *_ in RATIOS.values())})
+    measures = [*RATIOS, *sorted({of for of, *_ in RATIOS.values()})]
+    q = quantiles(mixed(cut(sketches(rows, measures))), percents)
+    flat = q.groupBy("lang", "source").agg(*[F.max(F.when(F.col("measure") == m, F.struct(*[f"q{p}" for p in percents]))).alias(m) for m in measures])
 
     def fence(r: str) -> Column:
-        high, spread, floor, ceiling = RATIOS[r]
-        sketch = F.when(F.col("n") >= LEAST_ROWS, F.col(r)).when(F.col("n_up") >= LEAST_ROWS, F.col(f"{r}_up")).otherwise(F.col(f"{r}_all"))
-        q = lambda p: F.kll_sketch_get_quantile_double(sketch, F.lit(p))
-        return F.least(F.greatest(q(high) + spread * (q(high) - q(0.5)), F.lit(floor)), F.lit(ceiling)).alias(f"{r}_fence")
+        of, percent, spread, least, ceiling = RATIOS[r]
+        high, half = F.col(r)[f"q{percent}"], F.col(r)["q50"]
+        room = least / F.greatest(F.col(of)["q50"], F.lit(1.0))
+        return F.least(F.greatest(high + spread * (high - half), room), F.lit(ceiling)).alias(f"{r}_fence")
 
-    return met.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *[fence(r) for r in names])
+    return flat.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *[fence(r) for r in RATIOS])
 
 
 def judge(docs: DataFrame) -> DataFrame:
