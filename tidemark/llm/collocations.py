@@ -40,6 +40,8 @@ GATHER, ROW_WORDS = 1 << 20, 1 << 12
 WORDS_A_COUNTER, LEAST_BITS, MOST_BITS = 32, 12, 24
 #: Counters of an array that travel together, and arrays that a node of the tree sums.
 CHUNK, FAN_IN = 1 << 16, 32
+#: Each wave of tasks that name candidates is so many times the one before.
+WAVES = 8
 _BYTES = np.arange(256, dtype=np.uint8)
 _BYTES[65:91] += 32  # A-Z in lower case
 _BYTES[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 10  # ends of pieces
@@ -260,8 +262,8 @@ def _stream_rows(streams: Iterator[np.ndarray], k: int, bits: int) -> Iterator[p
         if len(ids):
             counters.add(ids)
             rows = _row_ids(ids)
-            none = [pa.nulls(len(rows), pa.int32())] * 3 + [pa.nulls(len(rows), pa.binary())]
-            yield pa.record_batch([rows, *none], names)
+            none, task = pa.nulls(len(rows), pa.int32()), pa.array(np.full(len(rows), TaskContext.get().partitionId(), np.int32))
+            yield pa.record_batch([rows, none, task, none, pa.nulls(len(rows), pa.binary())], names)
     for chunk in _chunks(counters.counts):
         yield pa.record_batch([_NO_IDS, *chunk.columns], names)
 
@@ -319,10 +321,12 @@ def _merged(phrases: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return phrases[order][new], np.add.reduceat(counts[order], np.flatnonzero(new))
 
 
-def _candidates(heavy, k: int, bits: int, least: int, tasks: int) -> Callable:
-    """The phrases of k words in a partition that no counter rules out. What occurs `least` times in all does
-    so least / tasks times in one of the tasks: that one names it."""
-    share = -(-least // tasks)
+def _candidates(heavy, named, k: int, bits: int, share: int, tasks: int) -> Callable:
+    """The phrases of k words that occur `share` times in a partition, that no counter rules out, and that
+    weren't named before."""
+
+    def new(phrases: np.ndarray) -> pa.RecordBatch:
+        return _columns(phrases[named.value.find(list(phrases.T)) < 0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if TaskContext.get().partitionId() >= tasks:
@@ -340,14 +344,43 @@ def _candidates(heavy, k: int, bits: int, least: int, tasks: int) -> Callable:
             held, size = [], 0
             if len(phrases) > 4 * GATHER:  # too many to hold: from here on all are named
                 needed = 1
-                yield _columns(phrases)
+                yield new(phrases)
                 phrases, counts = phrases[:0], counts[:0]
         phrases, counts = _merged(np.concatenate([phrases, *held]), np.concatenate([counts, np.ones(size, np.int64)]))
-        yield _columns(phrases[counts >= needed])
+        yield new(phrases[counts >= needed])
 
     return run
 
 
+def _named(scratch: Scratch, streams: DataFrame, heavy, k: int, bits: int, least: int) -> DataFrame:
+    """(w0, w1, ...): the candidates of k words.
+
+    What occurs `least` times in all does so least / tasks times in one of the tasks, and that one names
+    it. Frequent phrases occur in most tasks; so that not all name them, a few tasks go first and the
+    others, WAVES times as many at a time, name only what is still missing."""
+    sc = streams.sparkSession.sparkContext
+    writers = (streams.agg(F.max("task")).first()[0] or 0) + 1
+    edges = [0, writers]
+    while edges[1] > 1:
+        edges.insert(1, -(-edges[1] // WAVES))
+    parts = [streams.where(F.col("task").between(a, b - 1)).select("ids") for a, b in zip(edges, edges[1:], strict=False)]
+    tasks = [p.rdd.getNumPartitions() for p in parts]
+    share = -(-least // max(sum(tasks), 1))
+    every, phrases = None, np.zeros((0, k), np.int32)
+    for part, n in zip(parts, tasks, strict=True):
+        named = sc.broadcast(Slots(phrases))
+        one = scratch.cut(part.mapInArrow(_candidates(heavy, named, k, bits, share, n), _phrase_schema(k)).distinct())
+        every = one if every is None else every.unionByName(one)
+        phrases = np.concatenate([phrases, _collected(one)])
+        named.unpersist()
+    return every
+
+
+def _collected(phrases: DataFrame) -> np.ndarray:
+    """A table of candidates: fewer than its words / 100, and what counters let pass."""
+    return np.stack([c.to_numpy() for c in phrases.toArrow().columns], axis=1).astype(np.int32)
+
+
 def _columns(phrases: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch({f"w{i}": pa.array(phrases[:, i], pa.int32()) for i in range(phrases.shape[1])})
 
@@ -445,9 +478,8 @@ def collocations(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST,
     for k in range(2, longest + 1):
         heavy = sc.broadcast(_tree_sum(made.where("ids IS NULL").drop("ids"), 1 << bits) >= least)
         streams = made.where("ids IS NOT NULL").select("ids")
-        tasks = max(streams.rdd.getNumPartitions(), 1)
-        found[k] = scratch.cut(streams.mapInArrow(_candidates(heavy, k, bits, least, tasks), _phrase_schema(k)).distinct())
-        slots = Slots(np.stack([c.to_numpy() for c in found[k].toArrow().columns], axis=1).astype(np.int32))
+        found[k] = _named(scratch, made.where("ids IS NOT NULL").select("task", "ids"), heavy, k, bits, least)
+        slots = Slots(_collected(found[k]))
         sent = sc.broadcast(slots)
         counts = _tree_sum(streams.mapInArrow(_count(sent, k), _COUNTS), len(slots.stored))
         tables[k] = Slots(slots.stored[counts >= least])
