@@ -363,6 +363,19 @@ def test_lexicon_is_minimal_and_exact():
     assert lexicon.Lexicon(lexicon.compile_lexicon([])).get(b"a") is None
 
 
+def test_composition_equals_the_library():
+    """Every code point alone, among letters, and before and after marks of several classes."""
+    T, rng = pytest.importorskip("tokenizers"), np.random.default_rng(3)
+    plain = T.normalizers.NFC().normalize_str
+    for c in [*range(0xD800), *range(0xE000, 0x110000)]:
+        text = "{0}b e\u0301{0} a{0}\u0301 \u00e1{0} \u1ea1{0}\u0323 a\u0345{0} {0}\u0323\u0301".format(chr(c))
+        assert bpe.composed(text) == plain(text), hex(c)
+    marks = [chr(c) for a, b in bpe._STARTERS for c in range(a, b + 1)] + [*"abe\u0301\u0323\u0345\u00e9\u1100\u1161\u11a8"] * 8
+    for _ in range(20_000):
+        text = "".join(rng.choice(marks, 7))
+        assert bpe.composed(text) == plain(text)
+
+
 def test_bpe_equals_the_library(docs, nothing):
     P, T = pytest.importorskip("public_tokenizers"), pytest.importorskip("tokenizers")
     path = P.path("word_bpe_49k.json")
@@ -535,6 +548,16 @@ def test_near_duplicates(spark, docs, nothing):
     assert kept.columns == docs.columns and 103 in ids and 104 not in ids and {100, 101, 102, None} <= set(ids) and len(ids) == len(set(ids))
 
 
+def test_which_of_equal_rows_stays_follows_from_the_rows(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "en", f"s{i}", i) for i in range(5)] + [(2, text, "en", "s0", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for n in (1, 3, 5):
+        assert [tuple(r) for r in neardup.keep_firsts(df.orderBy(F.desc("n_chars")).repartition(n)).collect()] == [rows[0]]
+    same = df.withColumn("source", F.lit("s0"))
+    assert len({str(sorted(map(str, mixing.mixed_documents(same.repartition(n)).collect()))) for n in (1, 3, 5)}) == 1
+
+
 def test_similarity():
     a = "one two three four five six seven"
     assert neardup.similarity(a, a) == 1.0 and neardup.similarity(a, "") == 0.0 and neardup.similarity(a, a + " eight") == pytest.approx(3 / 4)

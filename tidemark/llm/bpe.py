@@ -56,6 +56,16 @@ _NEW_LETTERS = [
 _NEW_NUMBERS = [
     (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 ]
+#: Combining marks that the library's composition takes for letters: nothing is put in
+#: order or composed across them.
+_STARTERS = [
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA), (0x1715, 0x1715), (0x1ABF, 0x1ACE),
+    (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC), (0x10EFD, 0x10EFF), (0x10F46, 0x10F50), (0x10F82, 0x10F85),
+    (0x11070, 0x11070), (0x1133B, 0x1133B), (0x1145E, 0x1145E), (0x11839, 0x1183A), (0x1193D, 0x1193E), (0x11943, 0x11943), (0x119E0, 0x119E0),
+    (0x11A34, 0x11A34), (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42), (0x11D44, 0x11D45), (0x11D97, 0x11D97), (0x11F41, 0x11F42),
+    (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F), (0x1E130, 0x1E136), (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF),
+]
+_AT_STARTERS = re.compile("([" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in _STARTERS) + "])")
 #: Lower cases that Python's tables lack.
 _NEW_LOWER = str.maketrans(
     {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
@@ -64,6 +74,16 @@ _NEW_LOWER = str.maketrans(
 )
 
 
+def composed(text: str) -> str:
+    """NFC as the library has it."""
+    try:
+        text.encode("latin-1")
+        return text  # Latin-1 stays as it is
+    except UnicodeEncodeError:
+        pass
+    return "".join([unicodedata.normalize("NFC", x) for x in _AT_STARTERS.split(text)])
+
+
 def _class(*kinds: str, more: list[tuple[int, int]]) -> str:
     """A character class of Unicode's general categories that start so, and of more."""
     out, start = [f"\\U{a:08x}-\\U{b:08x}" for a, b in more], None
@@ -149,7 +169,7 @@ class WordBPE:
         """The normal form of a text without special tokens."""
         if not text.isascii():
             # letter by letter, so without a final sigma
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(_NEW_LOWER)
+            text = composed(text).replace("Σ", "σ").translate(_NEW_LOWER)
         return text.lower()
 
     def pieces_of(self, word: str) -> list[str]:

@@ -112,6 +112,13 @@ def free_names(taken: list[str], *names: str) -> list[str]:
     return out
 
 
+def ordering(df: DataFrame, *but: str) -> list:
+    """What puts rows in order that are alike in some columns: all the others, in a form that sorts."""
+    skip = {c.lower() for c in but}
+    plain = lambda f: not any(x in f.dataType.simpleString() for x in ("map<", "variant", "interval", "geo"))
+    return [F.col(f"`{f.name}`") if plain(f) else F.to_json(F.struct(F.col(f"`{f.name}`").alias("v"))) for f in df.schema if f.name.lower() not in skip] or [F.lit(0)]
+
+
 #: Rows of a batch of texts on its way to Python and back.
 BATCH_ROWS = 1_000
 

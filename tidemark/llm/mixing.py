@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, ceil_div, cut, free_names
+from .common import WORD, ceil_div, cut, free_names, ordering
 
 SEED = 20_240_501
 _TREE = "rank int, bucket long, doc_id long, key long, size long, base int, p double"
@@ -137,7 +137,7 @@ def mixed_documents(docs: DataFrame, *, seed: int = SEED, **how) -> DataFrame:
     plan = mix(docs, seed=seed, **how).groupBy(known, F.col("key").alias(m_key)).agg(F.sum("copies").alias(m_sum), F.count(F.lit(1)).alias(m_rows))
     rows = docs.select("*", known, F.xxhash64(F.lit(seed), "doc_id", "text", "source").alias(m_key))
     met = rows.join(plan.where(F.col(m_sum) > 0), [m_id, m_key])
-    met = met.withColumn(m_no, F.row_number().over(W.partitionBy(m_id, m_key).orderBy(F.lit(0))))
+    met = met.withColumn(m_no, F.row_number().over(W.partitionBy(m_id, m_key).orderBy(*ordering(docs, "doc_id", "text", "source"))))
     met = met.withColumn(m_copies, F.expr(f"`{m_sum}` DIV `{m_rows}` + CAST(`{m_no}` <= `{m_sum}` % `{m_rows}` AS INT)").cast("int"))
     copied = met.where(F.col(m_copies) > 0).withColumn(m_no, F.explode(F.sequence(F.lit(1), F.col(m_copies))))
     return copied.select(*[F.col(f"`{c}`") for c in cols])

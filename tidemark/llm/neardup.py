@@ -28,9 +28,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, cut, free_names, small_batches, use_worker
+from .common import Scratch, cut, free_names, ordering, small_batches, use_worker
 
 WORDS, SIMILARITY = 5, 0.8
 #: Bands x rows coordinates. A pair of similarity s shares a band with chance 1 - (1 - s^4)^16: 0.9998 at 0.8, 0.99999 at 0.85.
@@ -430,7 +431,8 @@ def classes(docs: DataFrame, *, words: int = WORDS, least: float = SIMILARITY, b
 
 
 def keep_firsts(docs: DataFrame, **how) -> DataFrame:
-    """docs with one row of each class, its first document; all rows without words stay."""
+    """docs with one row of each class, its first document; all rows without words stay. Of rows with
+    that document's id and text, the one whose other columns come first stays."""
     cols = docs.columns
     k_id, k_key = free_names(cols, "k_id", "k_key")
     found = classes(docs, **how).where("text_key = class_key AND doc_id <=> class_id")
@@ -442,6 +444,8 @@ def keep_firsts(docs: DataFrame, **how) -> DataFrame:
     again = found.where("count > 1").select(k_id, k_key)
     met = rows.where(worded).join(F.broadcast(firsts) if n <= BROADCAST_IDS else firsts, [k_id, k_key], "left_semi")
     if not again.isEmpty():
-        repeated = met.join(again, [k_id, k_key], "left_semi").dropDuplicates([k_id, k_key])
+        (k_no,) = free_names(met.columns, "k_no")
+        same = W.partitionBy(k_id, k_key).orderBy(*ordering(docs, "doc_id", "text"))
+        repeated = met.join(again, [k_id, k_key], "left_semi").withColumn(k_no, F.row_number().over(same)).where(F.col(k_no) == 1).drop(k_no)
         met = met.join(again, [k_id, k_key], "left_anti").unionByName(repeated)
     return met.select(*cols).unionByName(rows.where(~worded).select(*cols))
