@@ -35,7 +35,7 @@ from .common import Scratch, small_batches
 LEAST, LONGEST, TOP, FACTOR = 100, 5, 2_000, 1_000
 #: Words that a mapper gathers before it looks at them, and words of a stream's row, which ends between
 #: pieces: readers hold thousands of rows at a time.
-GATHER, ROW_WORDS = 1 << 20, 1 << 12
+GATHER, ROW_WORDS = 1 << 18, 1 << 12
 #: Counters that rule out: one for so many words, between these powers of two.
 WORDS_A_COUNTER, LEAST_BITS, MOST_BITS = 32, 12, 24
 #: Counters of an array that travel together, and arrays that a node of the tree sums.
@@ -88,7 +88,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array
                 sizes[lang] = sizes.get(lang, 0) + len(words)
                 if sizes[lang] >= GATHER:
                     yield flush(lang)
-        while sum(sizes.values()) >= 4 * GATHER:  # many languages
+        while sum(sizes.values()) >= 8 * GATHER:  # many languages
             yield flush(max(sizes, key=sizes.get))
     for lang in list(held):
         yield flush(lang)
@@ -244,15 +244,24 @@ class Counters:
     SEED = 1 << 20
 
     def __init__(self, k: int, bits: int):
-        self.k, self.bits, self.counts = k, bits, np.zeros(1 << bits, np.int64)
+        self.k, self.bits, self.counts, self.held, self.size = k, bits, np.zeros(1 << bits, np.uint32), [], 0
 
     @classmethod
     def places(cls, phrases: list[np.ndarray], bits: int) -> np.ndarray:
-        return (phrase_hash(phrases, cls.SEED) >> np.uint64(64 - bits)).astype(np.int64)
+        return (phrase_hash(phrases, cls.SEED) >> np.uint64(64 - bits)).astype(np.int32)
 
     def add(self, ids: np.ndarray) -> None:
         at = _windows(ids, self.k)
-        self.counts += np.bincount(self.places([ids[at + i] for i in range(self.k)], self.bits), minlength=1 << self.bits)
+        self.held.append(self.places([ids[at + i] for i in range(self.k)], self.bits))
+        self.size += len(at)
+        if self.size >= 4 * GATHER:
+            self.total()
+
+    def total(self) -> np.ndarray:
+        if self.held:
+            self.counts += np.bincount(np.concatenate(self.held), minlength=1 << self.bits).astype(np.uint32)
+            self.held, self.size = [], 0
+        return self.counts
 
 
 def _stream_rows(streams: Iterator[np.ndarray], k: int, bits: int) -> Iterator[pa.RecordBatch]:
@@ -264,7 +273,7 @@ def _stream_rows(streams: Iterator[np.ndarray], k: int, bits: int) -> Iterator[p
             rows = _row_ids(ids)
             none, task = pa.nulls(len(rows), pa.int32()), pa.array(np.full(len(rows), TaskContext.get().partitionId(), np.int32))
             yield pa.record_batch([rows, none, task, none, pa.nulls(len(rows), pa.binary())], names)
-    for chunk in _chunks(counters.counts):
+    for chunk in _chunks(counters.total()):
         yield pa.record_batch([_NO_IDS, *chunk.columns], names)
 
 
@@ -338,11 +347,11 @@ def _candidates(heavy, named, k: int, bits: int, share: int, tasks: int) -> Call
             kept = heavy.value[Counters.places(words, bits)]
             held.append(np.stack([w[kept] for w in words], axis=1))
             size += len(held[-1])
-            if size < GATHER:
+            if size < 4 * GATHER:
                 continue
             phrases, counts = _merged(np.concatenate([phrases, *held]), np.concatenate([counts, np.ones(size, np.int64)]))
             held, size = [], 0
-            if len(phrases) > 4 * GATHER:  # too many to hold: from here on all are named
+            if len(phrases) > 16 * GATHER:  # too many to hold: from here on all are named
                 needed = 1
                 yield new(phrases)
                 phrases, counts = phrases[:0], counts[:0]
@@ -472,7 +481,7 @@ def collocations(docs: DataFrame, *, least: int = LEAST, longest: int = LONGEST,
     ones = Slots(np.arange(len(counts), dtype=np.int32)[:, None])
     ones.counts[ones.find([np.arange(len(counts), dtype=np.int32)])] = counts
     known, tables = sc.broadcast(vocabulary), {1: ones}
-    bits = int(np.clip(np.ceil(np.log2(max(sum(sizes.values()) // words_a_counter, 1))), LEAST_BITS, MOST_BITS))
+    bits = int(np.clip(np.floor(np.log2(max(sum(sizes.values()) // words_a_counter, 1))), LEAST_BITS, MOST_BITS))
     made = scratch.cut(rows.mapInArrow(_encode(known, bits), _STREAM))
     found = {}
     for k in range(2, longest + 1):
