@@ -1,6 +1,9 @@
 """Hand fixtures for the operators."""
 
+import sys
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,3 +255,19 @@ def test_constraints(spark):
     rows = spark.createDataFrame([("v", 0.0, 0.5, 0.5), ("v", -1.0, 2.0, 0.5)], schema("cursor"))
     good, bad = split_valid(rows, constraints()["cursor"])
     assert good.count() == 1 and bad.first().violated == ["ts_not_negative", "inside"]
+
+
+def test_plain_form_of_every_character(spark):
+    """Alone and among letters, as Python has it; short and long way agree."""
+    rows = [(c, f" {chr(c)}", f"a\u00c9{chr(c)}\u0301 b\t\n") for c in range(sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["c", "x", "y"])).repartition(4)
+    got = df.select("c", T.normalize(F.col("x")).alias("x"), T.normalize(F.col("y")).alias("y")).toPandas().sort_values("c")
+    want = [(c, T._normalize(x), T._normalize(y)) for c, x, y in rows]
+    wrong = [(hex(c), g, w) for (c, *w), g in zip(want, got[["x", "y"]].values.tolist()) if w != g]
+    assert not wrong, (len(wrong), wrong[:5])
+
+
+def test_plain_form_of_texts(spark):
+    texts = [None, "", " \u00a0 ", "\u039f\u0394\u039f\u03a3 \u03a3\u0391\u03a3. \u03a3", "\u0391\u03a3'\u0391 \u0391\u03a3'", "\ufb01n \u2460 \uac00\uac01", "e\u0301\u0323 \u1e9e \u0130I", "\U0001d54f\U0001f600 a\x1cb\x85c", "Pr\u00e9visions  \u00c0\tjour"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(T.normalize(F.col("t"))).collect()] == [T._normalize(t) for t in texts]

@@ -64,7 +64,32 @@ def test_subtitle_files(spark, tmp_path):
     assert text == "1\n00:00:00,000 --> 00:00:01,000\none\nmore\n\n2\n00:00:01,000 --> 00:00:02,000\ntwo\n\n"
     sinks.save_ass(cues, str(tmp_path / "ass"))
     text = next((tmp_path / "ass/video_id=v").glob("*.txt")).read_text()
-    assert text.startswith("[Script Info]") and text.index("one\\Nmore") < text.index("two")
+    assert text.startswith("[Script Info]") and text.index("one\\Nmore") < text.index("two") and ",2,0,2,32,32,54,1\n" in text and "pos(" not in text
+
+
+def test_a_whole_subtitle_file(spark, tmp_path):
+    """In a band of 110 rows below the picture two lines of 40 don't fit, so the letters are smaller."""
+    cues = spark.createDataFrame([("v", 1, "a", 0.0, 1.5, ["one", "{more}"])], "video_id string, index int, id string, start double, end double, lines array<string>")
+    layouts = spark.createDataFrame([("v", (64, 110)), ("w", (0, 0))], "video_id string, layout struct<top:int,bottom:int>")
+    sinks.save_ass(cues, str(tmp_path / "ass"), layouts, color="yellow")
+    text = next((tmp_path / "ass/video_id=v").glob("*.txt")).read_text()
+    want = """[Script Info]
+ScriptType: v4.00+
+PlayResX: 1920
+PlayResY: 1080
+WrapStyle: 2
+ScaledBorderAndShadow: yes
+
+[V4+ Styles]
+Format: Name, Fontname, Fontsize, PrimaryColour, SecondaryColour, OutlineColour, BackColour, Bold, Italic, Underline, StrikeOut, ScaleX, ScaleY, Spacing, Angle, BorderStyle, Outline, Shadow, Alignment, MarginL, MarginR, MarginV, Encoding
+Style: Default,Arial,38,&H0000FFFF,&H000000FF,&H00000000,&H80000000,0,0,0,0,100,100,0,0,1,0,0,5,32,32,0,1
+
+[Events]
+Format: Layer, Start, End, Style, Name, MarginL, MarginR, MarginV, Effect, Text
+"""
+    assert text.startswith(want)
+    event = text[len(want) :]
+    assert event.startswith("Dialogue: 0,0:00:00.00,0:00:01.50,Default,,0,0,0,,{\\an5\\pos(960,1025)}one\\N") and event.count("\n") == 1
 
 
 def test_upsert(spark):

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 from ..config import Cursor, Matching
 from ..functions.geometry import area, center, display_window, distance, distance_to_box, visible_share
-from ..functions.text import identifying_tokens, key_score, match_key, normalize_latin, translate_terms
+from ..functions.text import identifying_tokens, key_score, match_key, normalize, translate_terms
 from .temporal import KEY, overlap_join, range_or_asof
 
 
 def candidates(decisions: DataFrame, elements: DataFrame, glossary: list[tuple[str, str]], c: Matching = Matching(), keys=KEY) -> DataFrame:
     """Elements that are there near a named segment and fit its label, or its translation."""
     named = decisions.where("ui_reference.kind = 'named_control'").select(*keys, F.col("id").alias("segment_id"), F.col("source_start").alias("start"), F.col("source_end").alias("end"), F.col("ui_reference.label").alias("label"))
-    named = named.withColumn("_n", normalize_latin(F.col("label"))).withColumn("_t", translate_terms(F.col("_n"), glossary))
+    named = named.withColumn("_n", normalize(F.col("label"))).withColumn("_t", translate_terms(F.col("_n"), glossary))
     keys_of = lambda c: F.when(F.col(c).isNotNull(), F.struct(match_key(F.col(c)).alias("key"), identifying_tokens(F.col(c)).alias("tokens")))
     named = named.withColumns({"_n": keys_of("_n"), "_t": keys_of("_t")})
-    seen = elements.select(*keys, F.col("id").alias("element_id"), "text", "box", "first_seen", "last_seen", "confidence", "occurrences", match_key(normalize_latin(F.col("text"))).alias("match_key"))
+    seen = elements.select(*keys, F.col("id").alias("element_id"), "text", "box", "first_seen", "last_seen", "confidence", "occurrences", match_key(normalize(F.col("text"))).alias("match_key"))
     met = overlap_join(named, seen, 60.0, keys, margin=c.time_margin)
     fits = lambda c: F.when(F.col(c).isNull(), 0.0).otherwise(key_score(F.col(c)["key"], F.col(c)["tokens"], F.col("match_key")))
     score = F.greatest(fits("_n"), fits("_t"))
@@ -37,7 +37,7 @@ def merge_same(cands: DataFrame, c: Matching = Matching(), keys=KEY) -> DataFram
     met = cands.join(cands.groupBy(*own).agg(heads.alias("_heads")), own)
     mine = center(F.col("box"))
     met = met.withColumn("_head", F.get(F.filter("_heads", lambda h: distance(h["x"], h["y"], mine["x"], mine["y"]) <= c.same_control), F.lit(0))["id"])
-    best = F.max_by(F.struct("element_id", "text", "box"), F.struct("visible", -F.col("first_seen")))
+    best = F.min_by(F.struct("element_id", "text", "box"), F.struct(-F.col("visible"), "first_seen", "element_id"))  # of equals, the first
     out = met.groupBy(*own, "_head", "start", "end", "label").agg(
         F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.sum("occurrences").alias("occurrences"), F.max("confidence").alias("confidence"),
         F.max("score").alias("score"), F.least(F.lit(1.0), F.sum("visible")).alias("visible"), best.alias("_best"),
@@ -70,24 +70,29 @@ def judge(merged: DataFrame, positions: DataFrame, c: Matching = Matching(), key
         F.when(F.col("_n_good") == 0, "no_candidate").when((F.col("_n_in") > 1) & ~settled, "ambiguous").when(F.col("visible") < c.min_visible, "too_brief")
         .when(~size.between(c.min_area, c.max_area), "bad_size").otherwise("accepted")
     )
-    known = ~F.col("reason_code").isin("no_candidate", "ambiguous")
+    chosen = ~F.col("reason_code").isin("no_candidate", "ambiguous")
+    accepted, code_ = F.col("reason_code") == "accepted", F.col("reason_code")
     none = F.array().cast("array<string>")
-    named = F.when(F.col("reason_code") == "ambiguous", F.slice("rivals", 1, c.max_rivals)).when(F.col("reason_code") == "accepted", F.col("rivals")).otherwise(none)
+    named = F.when(code_ == "ambiguous", F.slice("rivals", 1, c.max_rivals)).when(accepted, F.col("rivals")).otherwise(none)
+    evidence = F.when(code_ == "no_candidate", none).when(settled & chosen, F.array(F.lit("ocr"), F.lit("cursor"))).otherwise(F.array(F.lit("ocr")))
     win = display_window(F.col("first_seen"), F.col("last_seen"), F.col("start"), F.col("end"))
     return met.withColumn("reason_code", code).select(
-        *own, F.when(F.col("reason_code") == "accepted", "accepted").otherwise("refused").alias("verdict"), "reason_code", "score", "visible", "text", "label",
-        F.when(known, F.col("element_id")).alias("element_id"), named.alias("rivals"), F.when(settled & known, F.col("_dist")).alias("cursor_distance"),
-        F.when(settled & known, F.array(F.lit("ocr"), F.lit("cursor"))).otherwise(F.array(F.lit("ocr"))).alias("evidence"), F.when(F.col("reason_code") == "accepted", win).alias("window"), F.when(known, F.col("box")).alias("box"),
+        *own, F.when(accepted, "accepted").otherwise("refused").alias("verdict"), "reason_code", "score", F.when(chosen, F.col("visible")).otherwise(0.0).alias("visible"), "text",
+        F.when(chosen, F.col("element_id")).alias("element_id"), named.alias("rivals"), F.when(settled & accepted, F.round("_dist", 4)).alias("cursor_distance"),
+        evidence.alias("evidence"), F.when(accepted, win).alias("window"), F.when(accepted, F.col("box")).alias("box"),
     )
 
 
 def match(decisions: DataFrame, elements: DataFrame, track: DataFrame, glossary: list[tuple[str, str]] = (), c: Matching = Matching(), cursor: Cursor = Cursor(), keys=KEY) -> DataFrame:
-    """A verdict for each named segment."""
+    """A verdict for each named segment (M01). Without any candidate: refused, with score and share 0, no
+    evidence and no rivals."""
     named = decisions.where("ui_reference.kind = 'named_control'").select(*keys, "id", F.col("source_start").alias("start"), F.col("source_end").alias("end"))
     positions = range_or_asof(named, track, 60.0, c.time_margin, cursor.hold, keys).select(*keys, F.col("id").alias("segment_id"), "positions")
     judged = judge(merge_same(candidates(decisions, elements, list(glossary), c, keys), c, keys), positions, c, keys)
-    every = named.select(*keys, F.col("id").alias("segment_id")).join(judged, [*keys, "segment_id"], "left")
-    return every.fillna({"verdict": "refused", "reason_code": "no_candidate"})
+    labels = decisions.where("ui_reference.kind = 'named_control'").select(*keys, F.col("id").alias("segment_id"), F.col("ui_reference.label").alias("label"))
+    every = labels.join(judged, [*keys, "segment_id"], "left").fillna({"verdict": "refused", "reason_code": "no_candidate", "score": 0.0, "visible": 0.0})
+    nothing = F.array().cast("array<string>")
+    return every.withColumns({x: F.coalesce(x, nothing) for x in ("rivals", "evidence")})
 
 
 def match_counts(verdicts: DataFrame, decisions: DataFrame, keys=KEY) -> DataFrame:

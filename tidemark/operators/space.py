@@ -21,16 +21,16 @@ def candidates(points: DataFrame, boxes: DataFrame, radius: float, cell: float,
     """Pairs of a point (x, y) and a rectangle (box) that may lie within the radius, each once: a point is in
     one cell of the grid, and a rectangle, widened by the radius, in those that it touches. With ts,
     also of a point's time and an interval that holds it, by buckets of `width`."""
-    b = boxes.withColumn("_x", F.explode(_cells(F.col("box.x") - radius - EDGE, F.col("box.x") + F.col("box.width") + radius + EDGE, cell)))
-    b = b.withColumn("_y", F.explode(_cells(F.col("box.y") - radius - EDGE, F.col("box.y") + F.col("box.height") + radius + EDGE, cell)))
+    b = boxes.withColumn("_cell_x", F.explode(_cells(F.col("box.x") - radius - EDGE, F.col("box.x") + F.col("box.width") + radius + EDGE, cell)))
+    b = b.withColumn("_cell_y", F.explode(_cells(F.col("box.y") - radius - EDGE, F.col("box.y") + F.col("box.height") + radius + EDGE, cell)))
     place = lambda c: F.floor(F.col(c) / cell).cast("long")
-    a, on = points.withColumns({"_x": place("x"), "_y": place("y")}), [*keys, "_x", "_y"]
+    a, on = points.withColumns({"_cell_x": place("x"), "_cell_y": place("y")}), [*keys, "_cell_x", "_cell_y"]
     if ts is not None:
         whole = cover(F.col(shown[0]), F.col(shown[1]), width)
-        levels = cover_levels(boxes.where(F.col(shown[1]) >= F.col(shown[0])).select(whole.alias("_own")))
-        b = b.where(F.col(shown[1]) >= F.col(shown[0])).withColumn("_n", F.explode(whole))
-        a, on = a.withColumn("_n", F.explode(holding(F.col(ts), width, levels))), [*on, "_n"]
-    met = a.join(b, on).drop("_x", "_y", "_n")
+        levels = cover_levels(boxes.where(F.col(shown[1]) >= F.col(shown[0])).select(whole.alias("_iv_own")))
+        b = b.where(F.col(shown[1]) >= F.col(shown[0])).withColumn("_iv_n", F.explode(whole))
+        a, on = a.withColumn("_iv_n", F.explode(holding(F.col(ts), width, levels))), [*on, "_iv_n"]
+    met = a.join(b, on).drop("_cell_x", "_cell_y", "_iv_n")
     return met if ts is None else met.where(F.col(ts).between(F.col(shown[0]), F.col(shown[1])))
 
 

@@ -73,8 +73,8 @@ def holding(ts: Column, width: float, levels: list[int]) -> Column:
 
 
 def cover_levels(covered: DataFrame) -> list[int]:
-    """The levels that the covers _own have: some small numbers."""
-    return list(covered.select(F.explode("_own").alias("n")).agg(F.sort_array(F.collect_set("n.level"))).first()[0])
+    """The levels that the covers _iv_own have: some small numbers."""
+    return list(covered.select(F.explode("_iv_own").alias("n")).agg(F.sort_array(F.collect_set("n.level"))).first()[0])
 
 
 def overlap_join(left: DataFrame, right: DataFrame, width: float, keys=KEY, l=("start", "end"), r=("first_seen", "last_seen"), margin: float = 0.0) -> DataFrame:
@@ -87,15 +87,15 @@ def overlap_join(left: DataFrame, right: DataFrame, width: float, keys=KEY, l=("
     that holds its first common bucket, which is in one of the two joins, once."""
     _sides(left, right, keys)
     lo, hi = F.col(l[0]) - margin, F.col(l[1]) + margin
-    a = left.where(hi > lo).withColumns({"_a": _bucket(lo, width), "_z": _bucket(hi, width)}).withColumn("_own", _cover(F.col("_a"), F.col("_z")))
-    b = right.where(F.col(r[1]) >= F.col(r[0])).withColumns({"_c": _bucket(F.col(r[0]), width), "_y": _bucket(F.col(r[1]), width)})
-    b = b.withColumn("_own", _cover(F.col("_c"), F.col("_y")))
-    at = lambda df, nodes: df.withColumn("_n", F.explode(nodes)).drop("_own")
-    above_a, above_b = _above("_own", F.col("_a"), F.col("_z"), cover_levels(b)), _above("_own", F.col("_c"), F.col("_y"), cover_levels(a))
-    met = at(a, F.col("_own")).join(at(b, F.array_union("_own", above_b)), [*keys, "_n"])
-    met = met.unionByName(at(a, above_a).join(at(b, F.col("_own")), [*keys, "_n"]))
-    here = _shift(F.greatest("_a", "_c"), F.col("_n.level")) == F.col("_n.no")
-    return met.where((F.col(r[1]) > lo) & (F.col(r[0]) < hi) & here).drop("_n", "_a", "_z", "_c", "_y")
+    a = left.where(hi > lo).withColumns({"_iv_a": _bucket(lo, width), "_iv_z": _bucket(hi, width)}).withColumn("_iv_own", _cover(F.col("_iv_a"), F.col("_iv_z")))
+    b = right.where(F.col(r[1]) >= F.col(r[0])).withColumns({"_iv_c": _bucket(F.col(r[0]), width), "_iv_y": _bucket(F.col(r[1]), width)})
+    b = b.withColumn("_iv_own", _cover(F.col("_iv_c"), F.col("_iv_y")))
+    at = lambda df, nodes: df.withColumn("_iv_n", F.explode(nodes)).drop("_iv_own")
+    above_a, above_b = _above("_iv_own", F.col("_iv_a"), F.col("_iv_z"), cover_levels(b)), _above("_iv_own", F.col("_iv_c"), F.col("_iv_y"), cover_levels(a))
+    met = at(a, F.col("_iv_own")).join(at(b, F.array_union("_iv_own", above_b)), [*keys, "_iv_n"])
+    met = met.unionByName(at(a, above_a).join(at(b, F.col("_iv_own")), [*keys, "_iv_n"]))
+    here = _shift(F.greatest("_iv_a", "_iv_c"), F.col("_iv_n.level")) == F.col("_iv_n.no")
+    return met.where((F.col(r[1]) > lo) & (F.col(r[0]) < hi) & here).drop("_iv_n", "_iv_a", "_iv_z", "_iv_c", "_iv_y")
 
 
 def point_join(points: DataFrame, intervals: DataFrame, width: float, keys=KEY, ts: str = "timestamp", iv=("start", "end"), margin: float = 0.0) -> DataFrame:
@@ -103,9 +103,9 @@ def point_join(points: DataFrame, intervals: DataFrame, width: float, keys=KEY,
     the interval's cover meet those that hold the point, one of each level that covers have."""
     _sides(points, intervals, keys)
     lo, hi = F.col(iv[0]) - margin, F.col(iv[1]) + margin
-    b = intervals.where(hi >= lo).withColumn("_own", cover(lo, hi, width))
-    met = points.withColumn("_n", F.explode(holding(F.col(ts), width, cover_levels(b)))).join(b.withColumn("_n", F.explode("_own")).drop("_own"), [*keys, "_n"])
-    return met.where(F.col(ts).between(lo, hi)).drop("_n")
+    b = intervals.where(hi >= lo).withColumn("_iv_own", cover(lo, hi, width))
+    met = points.withColumn("_iv_n", F.explode(holding(F.col(ts), width, cover_levels(b)))).join(b.withColumn("_iv_n", F.explode("_iv_own")).drop("_iv_own"), [*keys, "_iv_n"])
+    return met.where(F.col(ts).between(lo, hi)).drop("_iv_n")
 
 
 def asof_join(probes: DataFrame, facts: DataFrame, values: list[str], keys=KEY, probe_ts: str = "ts", fact_ts: str = "timestamp", hold: float | None = None, slack: float = 0.0, spread: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import ScreenText
-from ..functions.text import is_usable_label, match_key, normalize_latin
+from ..functions.text import is_usable_label, match_key, normalize
 from ..storage import kept
 from .temporal import KEY, asof_join, exclusive_sum, frame_grid, islands
 
@@ -44,7 +44,7 @@ def track(d: DataFrame, c: ScreenText = ScreenText(), keys=KEY, spread: bool = F
 
     spread: for keys with so many sightings that no task should sort them to find the sessions."""
     by = [*keys, "match_key"]
-    keyed = d.withColumn("match_key", match_key(normalize_latin(F.col("text"))))
+    keyed = d.withColumn("match_key", match_key(normalize(F.col("text"))))
     seen = islands(keyed, "match_key", "ts", c.max_gap, by, ("det_ord",), spread).withColumnRenamed("island", "session")
     schema = seen.schema.simpleString()[7:-1] + ",track:bigint"
 

@@ -388,12 +388,12 @@ def split_cues(spark, d):
 
 @query(r"""SELECT doc_id, md5(regexp_replace(lower(strip_accents(trim(text))), '\s+', ' ', 'g')) AS norm FROM documents""")
 def normalize_keys(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.md5(T.normalize_latin(F.col("text")).cast("binary")).alias("norm"))
+    return _t(spark, d, "documents").select("doc_id", F.md5(T.normalize(F.col("text")).cast("binary")).alias("norm"))
 
 
 @query("""SELECT p_partkey, CASE WHEN replace(n, ' ', '') = 'azure' THEN 1.0 WHEN contains(replace(n, ' ', ''), 'azure') THEN round(0.5 + 0.5 * least(1.0, 5.0 / length(replace(n, ' ', ''))), 4) ELSE 0.0 END AS score FROM (SELECT p_partkey, lower(trim(p_name)) AS n FROM part)""")
 def label_score(spark, d):
-    return _t(spark, d, "part").select("p_partkey", T.label_score(F.lit("azure"), T.normalize_latin(F.col("p_name"))).alias("score"))
+    return _t(spark, d, "part").select("p_partkey", T.label_score(F.lit("azure"), T.normalize(F.col("p_name"))).alias("score"))
 
 
 _TERMS = [("les", "the"), ("la tion", "the tion"), ("mentoi", "mention")]
@@ -411,7 +411,25 @@ def glossary_terms(spark, d):
 r AS (SELECT doc_id, t, regexp_replace(regexp_replace(regexp_replace(t, '\bla\s+tion[sx]?\b', 'the tion', 'g'), '\bmentoi[sx]?\b', 'mention', 'g'), '\bles[sx]?\b', 'the', 'g') AS u FROM n)
 SELECT doc_id, md5(nullif(u, t)) AS digest FROM r""")
 def term_translate(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.md5(T.translate_terms(T.normalize_latin(F.col("text")), _TERMS).cast("binary")).alias("digest"))
+    return _t(spark, d, "documents").select("doc_id", F.md5(T.translate_terms(T.normalize(F.col("text")), _TERMS).cast("binary")).alias("digest"))
+
+
+def _glossary(spark, d):
+    """A glossary from the tables: words of conversations as terms of one to three words."""
+    ws = F.filter(F.split(F.trim(F.regexp_replace(T.normalize(F.col("text")), "[^a-z0-9]+", " ")), " "), lambda x: x != "")
+    w = _t(spark, d, "conversations").where("turn < 2").select(ws.alias("ws"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n")).where("size(ws) >= 2 * n")
+    return w.select(F.array_join(F.slice("ws", F.col("n") + 1, F.col("n")), " ").alias("fr")).distinct().select("fr", F.upper("fr").alias("en"))
+
+
+@query()
+def glossary_join(spark, d):
+    from .operators import glossary
+
+    c = _t(spark, d, "conversations").select("conv_id", "turn", "text")
+    found = glossary.relevant(c, _glossary(spark, d), ["conv_id", "turn"])
+    names = F.transform("terms", lambda t: t["fr"])
+    long = F.size(F.filter(names, lambda x: F.contains(x, F.lit(" "))))
+    return found.select("conv_id", "turn", F.size("terms").cast("long").alias("n_terms"), long.cast("long").alias("n_long"), F.md5(F.array_join(names, "|").cast("binary")).alias("digest"))
 
 
 @query(r"""WITH n AS (SELECT doc_id, list_distinct(list_transform(regexp_extract_all(text, '[0-9](?:[0-9\s.,  ]*[0-9])?'), lambda x: regexp_replace(x, '[^0-9]', '', 'g'))) AS ns FROM documents),
@@ -479,7 +497,38 @@ def track_boxes(spark, d):
     return tracking.elements(tracking.track(b, c), 0.5).select("video_id", "id", "text", "first_seen", "last_seen", "confidence", "occurrences")
 
 
-@query()
+_STOP = "[" + ", ".join(f"'{w}'" for w in T.STOP_WORDS) + "]"
+
+
+@query(rf"""WITH p AS (SELECT p_partkey // 16 AS video_id, CAST(p_partkey AS VARCHAR) AS id, p_partkey % 16 * 2.0::DOUBLE AS s, p_partkey % 16 * 2.0::DOUBLE + 10 AS e, p_name AS text, lower(trim(p_name)) AS n, p_size FROM part),
+forms AS (SELECT video_id, id, s, e, unnest(list_distinct([n, regexp_replace(n, '\bsmall[sx]?\b', 'hot', 'g')])) AS n FROM p),
+labels AS (SELECT *, replace(n, ' ', '') AS k, list_filter(regexp_extract_all(n, '[a-z0-9]+'), lambda w: NOT list_contains({_STOP}, w)) AS ws FROM forms),
+shown AS (SELECT video_id, id AS element_id, text, replace(n, ' ', '') AS o, p_size / 100.0::DOUBLE AS bx, s + p_size % 7 AS f, s + 9 AS z FROM p),
+met AS (
+  SELECT l.video_id, l.id, l.s, l.e, element_id, text, o, bx, f, z, greatest(least(z, l.e) - greatest(f, l.s), 0) / (l.e - l.s) AS visible,
+    max(CASE WHEN length(k) = 0 OR length(o) = 0 THEN 0 WHEN k = o THEN 1 WHEN len(ws) = 0 THEN 0 WHEN len(list_filter(ws, lambda w: contains(o, w))) < len(ws) THEN round(0.5 * len(list_filter(ws, lambda w: contains(o, w))) / len(ws), 4)
+      ELSE round(0.5 + 0.5 * least(1.0, length(k) / length(o)), 4) END::DOUBLE) AS score
+  FROM labels l JOIN shown x ON x.video_id = l.video_id AND z > l.s - 1 AND f < l.e + 1 GROUP BY ALL HAVING score > 0),
+heads AS (
+  SELECT video_id, id, o, list_reduce(list([bx + 0.05::DOUBLE] ORDER BY f, element_id), lambda acc, i: CASE WHEN len(list_filter(acc, lambda h: sqrt((h - i[1]) * (h - i[1])) <= 0.015)) > 0 THEN acc ELSE acc || i END) AS hs FROM met GROUP BY ALL),
+merged AS (
+  SELECT video_id, id, s, e, o, list_filter(hs, lambda h: sqrt((h - bx - 0.05::DOUBLE) * (h - bx - 0.05::DOUBLE)) <= 0.015)[1] AS head, min(f) AS f, max(score) AS score, least(1.0, sum(visible)) AS visible,
+    arg_min({{'element_id': element_id, 'text': text, 'bx': bx}}, {{'v': -visible, 'f': f, 'i': element_id}}) AS best FROM met JOIN heads USING (video_id, id, o) GROUP BY ALL),
+pool AS (SELECT *, score >= 0.75 AS good, max(score) FILTER (score >= 0.75) OVER (PARTITION BY video_id, id) AS top FROM merged),
+contend AS (SELECT *, good AND score >= top - 0.1 AS inside, count(*) FILTER (good AND score >= top - 0.1) OVER (PARTITION BY video_id, id) AS n_in, count(*) FILTER (good) OVER (PARTITION BY video_id, id) AS n_good FROM pool),
+track AS (SELECT CAST(user_id AS BIGINT) AS video_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) * 0.5::DOUBLE AS ts, abs(value % 1) AS x FROM events),
+within AS (SELECT p.video_id, p.id, t.x FROM p JOIN track t ON t.video_id = p.video_id AND t.ts BETWEEN p.s - 1 AND p.e + 1),
+held AS (SELECT p.video_id, p.id, t.x FROM p ASOF JOIN track t ON t.video_id = p.video_id AND p.s >= t.ts WHERE p.s - t.ts <= 2 AND (p.video_id, p.id) NOT IN (SELECT (video_id, id) FROM within)),
+points AS (SELECT * FROM within UNION ALL SELECT * FROM held),
+far AS (SELECT c.video_id, c.id, best.element_id AS element_id, min(sqrt(pow(greatest(best.bx - x, 0, x - best.bx - 0.1::DOUBLE), 2))) AS dist FROM contend c JOIN points USING (video_id, id) WHERE inside AND n_in > 1 GROUP BY ALL),
+near AS (SELECT c.*, coalesce(inside AND dist <= 0.02, false) AS near, count(*) FILTER (coalesce(inside AND dist <= 0.02, false)) OVER (PARTITION BY c.video_id, c.id) AS n_near
+  FROM contend c LEFT JOIN far ON far.video_id = c.video_id AND far.id = c.id AND far.element_id = c.best.element_id),
+ranked AS (SELECT *, n_in > 1 AND n_near = 1 AS settled, row_number() OVER (PARTITION BY video_id, id ORDER BY CASE WHEN n_in > 1 AND n_near = 1 AND NOT near THEN 1 ELSE 0 END, score DESC, visible DESC, f, best.element_id) AS no FROM near),
+rivals AS (SELECT video_id, id, list(best.text ORDER BY no) FILTER (inside AND no > 1) AS rivals FROM ranked GROUP BY ALL),
+coded AS (SELECT r.*, rivals, CASE WHEN n_good = 0 THEN 'no_candidate' WHEN n_in > 1 AND NOT settled THEN 'ambiguous' WHEN visible < 0.5 THEN 'too_brief' ELSE 'accepted' END AS code FROM ranked r JOIN rivals USING (video_id, id) WHERE no = 1)
+SELECT p.video_id, p.id AS segment_id, CASE WHEN code = 'accepted' THEN 'accepted' ELSE 'refused' END AS verdict, coalesce(code, 'no_candidate') AS reason_code, coalesce(score, 0.0) AS score,
+  coalesce(array_to_string(CASE code WHEN 'ambiguous' THEN rivals[1:4] WHEN 'accepted' THEN rivals ELSE [] END, '|'), '') AS rivals,
+  round(CASE WHEN code IN ('too_brief', 'accepted') THEN visible ELSE 0 END, 6) AS visible FROM p LEFT JOIN coded USING (video_id, id)""")
 def match_verdicts(spark, d):
     from .config import Matching
     from .operators import matching
@@ -490,7 +539,7 @@ def match_verdicts(spark, d):
     decisions = p.select(video, F.col("p_partkey").cast("string").alias("id"), start.alias("source_start"), (start + 10).alias("source_end"), ref.alias("ui_reference"))
     box = G.make_box(F.col("p_size") / 100.0, F.lit(0.2), F.lit(0.1), F.lit(0.05))
     elements = p.select(video, F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("text"), box.alias("box"), (start + F.col("p_size") % 7).alias("first_seen"), (start + 9).alias("last_seen"), F.lit(0.9).alias("confidence"), F.lit(3).alias("occurrences"))
-    return matching.match(decisions, elements, _track(spark, d, 0.2), [("azure", "blue")], Matching()).select("video_id", "segment_id", "verdict", "reason_code", "score", F.array_join("rivals", "|").alias("rivals"))
+    return matching.match(decisions, elements, _track(spark, d, 0.2), [("small", "hot")], Matching()).select("video_id", "segment_id", "verdict", "reason_code", "score", F.array_join("rivals", "|").alias("rivals"), F.round("visible", 6).alias("visible"))
 
 
 @query("SELECT user_id, median(value) AS med, round(stddev_pop(value), 6) AS sd FROM events GROUP BY 1")

@@ -7,7 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.subtitles import ass_events, ass_style, srt_blocks
+from ..config import Layout
+from ..operators.subtitles import ass_events, ass_header, ass_position, srt_blocks
 from ..operators.temporal import upsert
 
 
@@ -41,10 +42,14 @@ def save_srt(cues: DataFrame, path: str) -> None:
     _write_lines(srt_blocks(cues), "block", path, "\n\n")
 
 
-def save_ass(cues: DataFrame, path: str) -> None:
-    """A header, then events."""
-    events = ass_events(cues).select("video_id", "index", "event")
-    head = events.select("video_id").distinct().select("video_id", F.lit(0).alias("index"), F.concat(F.lit("[Script Info]\nScriptType: v4.00+\nWrapStyle: 2\n\n[V4+ Styles]\n"), ass_style(), F.lit("\n\n[Events]")).alias("event"))
+def save_ass(cues: DataFrame, path: str, layouts: DataFrame | None = None, c: Layout = Layout(), **style) -> None:
+    """A header, then events, for each video, as its layout(video_id, layout) has it; without layouts, below
+    the picture (K06)."""
+    videos = cues.select("video_id").distinct()
+    met = videos.join(layouts, "video_id", "left") if layouts is not None else videos.withColumn("layout", F.lit(None).cast("struct<top:int,bottom:int>"))
+    met = met.select("video_id", F.coalesce(F.col("layout.bottom"), F.lit(0)).alias("bottom")).select("video_id", F.struct("bottom").alias("l"))
+    events = ass_events(cues.join(met, "video_id"), ass_position(F.col("l"), c)).select("video_id", "index", "event")
+    head = met.select("video_id", F.lit(0).alias("index"), ass_header(F.col("l"), c, **style).alias("event"))
     _write_lines(head.unionByName(events), "event", path, "\n")
 
 
