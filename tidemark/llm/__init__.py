@@ -1,2 +1,2 @@
 """Training-data operators: mixing, sharding, quality rules, PII, HTML text, quality model,
-BPE, URL lists, exact search and near-duplicates. Nothing outside this folder imports it."""
+BPE, URL lists, exact search, near-duplicates, manifests, collocations and fingerprints. Nothing outside this folder imports it."""
