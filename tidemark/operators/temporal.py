@@ -47,7 +47,9 @@ def _cover(lo: Column, hi: Column) -> Column:
         return F.when(k < TOP_LEVEL, F.array_compact(F.array(first, last))).otherwise(F.coalesce(top, F.array().cast("array<struct<level:int,no:bigint>>")))
 
     highest = F.least(F.lit(TOP_LEVEL), F.floor(F.log2((hi - lo + 1).cast("double"))).cast("int") + 1)
-    return F.flatten(F.transform(F.sequence(F.lit(0), highest), whole))
+    short = F.when(lo == hi, F.array(_node(0, lo)))  # most intervals, without lambdas
+    short = short.when((hi == lo + 1) & ~odd(lo), F.array(_node(1, F.shiftright(lo, 1)))).when(hi == lo + 1, F.array(_node(0, lo), _node(0, hi)))
+    return short.otherwise(F.flatten(F.transform(F.sequence(F.lit(0), highest), whole)))
 
 
 def _above(cover: str, lo: Column, hi: Column, levels: list[int]) -> Column:
