@@ -222,6 +222,34 @@ def test_pii_model_separates_held_out_examples():
     assert y[said].mean() > 0.95 and said[y == 1].mean() > 0.8
 
 
+def test_pii_needs_no_marks_but_a_cue(spark):
+    """Phones without separators or with a closing bracket only, secrets without digits; the same things without
+    a cue, names in code and long words are none."""
+    said = {
+        "tel 4155552671": "phone:4:14", "Tel: 03012345678": "phone:5:16", "call (415)555-2671 now": "phone:5:18",
+        "token: kXqPzRtWvBnMhGfDsLqK": "secret:7:27", 'secret = "qwzxkvbnmtrplkjhgfdswq"': "secret:10:32",
+    }
+    other = [
+        "the sum 4155552671 of", "order 03012345678", "in (415)555-2671", "the Donaudampfschifffahrtsgesellschaft is", "see getUserAccountSettingsByName",
+        "token = get_user_account_settings", "-" * 40, "x" * 5000,
+    ]
+    df = spark.createDataFrame(list(enumerate([*said, *other])), "doc_id long, text string")
+    got = [r.spans for r in pii.report(df).orderBy("doc_id").collect()]
+    assert got == [*said.values(), *[""] * len(other)]
+
+
+def test_pii_finds_every_kind_of_held_out_examples():
+    rows, y = pii.training_set(seed=77, n=3000)
+    m = pii.model()
+    score = m.trees.score(np.array([pii._features(*r) for r in rows]))
+    kinds = np.array([r[0] for r in rows])
+    said = score >= np.array([m.thresholds[k] for k in kinds])
+    for k in pii.GENERATORS:
+        own = kinds == k
+        assert y[own & said].mean() > 0.95 and said[own & (y == 1)].mean() > 0.95, k
+        assert all(re.search(pii.GENERATORS[k], left[-1:] + match) for (_, match, left), o in zip(rows, own & (y == 1)) if o), k
+
+
 def digits_pass_luhn(digits):
     odd, even = digits[::-1][::2], digits[::-1][1::2]
     return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0

@@ -42,7 +42,7 @@ BASE = {
 #: kind: pattern of the candidates.
 GENERATORS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[({]?\x20?(?i:at)\x20?[\])}]?\x20?[A-Za-z0-9-]{2,63}+\x20?[\[({]?\x20?(?i:dot)\x20?[\])}]?\x20?[A-Za-z]{2,10}(?![A-Za-z0-9])",
-    "phone": r"(?<![A-Za-z0-9+.-])\(?[0-9]{2,4}+\)?[\x20./-]{1,2}+[0-9]{2,4}+[\x20./-]?[0-9]{2,5}+(?:[\x20./-][0-9]{2,4}+)?+(?![0-9A-Za-z])",
+    "phone": r"(?<![A-Za-z0-9+.-])(?:\(?[0-9]{2,4}+(?:\)?[\x20./-]{1,2}+|\))[0-9]{2,4}+[\x20./-]?[0-9]{2,5}+(?:[\x20./-][0-9]{2,4}+)?+|[0-9]{9,12}+)(?![0-9A-Za-z])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+",
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}[\x20-][0-9]{2}[\x20-][0-9]{4}(?![0-9A-Za-z-])",
@@ -54,6 +54,7 @@ _COUNTS = {
     "digits": (r"[0-9]", "m"), "upper": (r"[A-Z]", "m"), "lower": (r"[a-z]", "m"), "hex": (r"[0-9a-fA-F]", "m"),
     "blanks": (r"\x20", "m"), "marks": (r"[./_+=()\[\]{}-]", "m"), "turns": (r"[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])", "m"),
     "parts": (r"[^A-Za-z0-9]+", "m"), "cased_turns": (r"[a-z](?=[A-Z])", "m"), "brackets": (r"[\[({]", "m"),
+    "vowels": (r"[aeiouAEIOU]", "m"), "clusters": (r"[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{4,}+", "m"),
 }
 _CUES = {
     "cue_secret": r"(?i)token|secret|passw|pwd|api.?key|access.?key|bearer|auth|credential",
@@ -82,7 +83,7 @@ def _features(kind: str, match: str, left: str) -> list[float]:
     return out + [float(kind == k) for k in GENERATORS]
 
 
-def training_set(seed: int = 4, n: int = 6000) -> tuple[list[tuple[str, str, str]], np.ndarray]:
+def training_set(seed: int = 4, n: int = 9000) -> tuple[list[tuple[str, str, str]], np.ndarray]:
     """(kind, candidate, left context) and 1 or 0: candidates as the generators propose them,
     written from the formats that personal data and its look-alikes have."""
     rng = np.random.default_rng(seed)
@@ -94,10 +95,24 @@ def training_set(seed: int = 4, n: int = 6000) -> tuple[list[tuple[str, str, str
     prose = lambda: " ".join(word() for _ in range(5))[-CONTEXT:] + " "
 
     def phone():
-        return pick([lambda: f"({chars(digits, 3)}) {chars(digits, 3)}-{chars(digits, 4)}", lambda: f"{chars(digits, 3)}-{chars(digits, 3)}-{chars(digits, 4)}", lambda: f"{chars(digits, 3)}.{chars(digits, 3)}.{chars(digits, 4)}", lambda: f"0{chars(digits, 2)} {chars(digits, 3)} {chars(digits, 4)}", lambda: f"0{chars(digits, 3)}/{chars(digits, 4)}{chars(digits, 2)}"])()
+        return pick([
+            lambda: f"({chars(digits, 3)}) {chars(digits, 3)}-{chars(digits, 4)}", lambda: f"{chars(digits, 3)}-{chars(digits, 3)}-{chars(digits, 4)}",
+            lambda: f"{chars(digits, 3)}.{chars(digits, 3)}.{chars(digits, 4)}", lambda: f"0{chars(digits, 2)} {chars(digits, 3)} {chars(digits, 4)}",
+            lambda: f"0{chars(digits, 3)}/{chars(digits, 4)}{chars(digits, 2)}", closed, bare,
+        ])()
+
+    def closed():
+        return f"({chars(digits, 3)}){chars(digits, 3)}-{chars(digits, 4)}"
+
+    def bare():
+        return pick(["0", pick(digits[1:])]) + chars(digits, int(rng.integers(8, 12)))
+
+    def name():  # of something in code: words joined by case or marks
+        parts = [word() for _ in range(int(rng.integers(4, 8)))]
+        return pick([lambda: parts[0] + "".join(x.title() for x in parts[1:]), lambda: "_".join(parts), lambda: "".join(x.title() for x in parts), lambda: "".join(parts)])().ljust(16, "a")
 
     def secret():
-        return pick([lambda: chars(hexes, int(pick([32, 40, 64]))), lambda: chars(hexes, 40).upper(), lambda: chars(b64, int(rng.integers(20, 60))), lambda: "sk_live_" + chars(b64, 24), lambda: "AKIA" + chars(upper + digits, 16), lambda: "ghp_" + chars(b64, 36)])()
+        return pick([lambda: chars(hexes, int(pick([32, 40, 64]))), lambda: chars(hexes, 40).upper(), lambda: chars(b64, int(rng.integers(20, 60))), lambda: "sk_live_" + chars(b64, 24), lambda: "AKIA" + chars(upper + digits, 16), lambda: "ghp_" + chars(b64, 36), lambda: chars(letters + upper, int(rng.integers(20, 48))), lambda: chars(letters, int(rng.integers(20, 40)))])()
 
     def positive():
         kind = pick(["email", "phone", "iban", "secret", "secret", "ssn"])
@@ -107,7 +122,7 @@ def training_set(seed: int = 4, n: int = 6000) -> tuple[list[tuple[str, str, str
             return kind, f"{word()}.{word()}{a}{word()}{b}{pick(['com', 'org', 'net', 'de'])}", prose() + cue
         if kind == "phone":
             p = phone()
-            return kind, p, prose() + (pick(["phone ", "tel. ", "Tel: ", "call ", "mobile: ", "fax "]) if p[0] != "(" or rng.random() < 0.5 else "")
+            return kind, p, prose() + (pick(["phone ", "tel. ", "Tel: ", "call ", "mobile: ", "fax ", "tel "]) if p[:1] != "(" or ")" in p and " " not in p or rng.random() < 0.5 else "")
         if kind == "iban":
             body = chars(digits, int(rng.integers(14, 24)))
             body = " ".join([body[i : i + 4] for i in range(0, len(body), 4)]) if rng.random() < 0.4 else body
@@ -121,11 +136,18 @@ def training_set(seed: int = 4, n: int = 6000) -> tuple[list[tuple[str, str, str
         if kind == "email":  # "look at page dot com" is prose
             return kind, f"{word()} at {word()} dot {word()[:6]}", prose()
         if kind == "phone":
-            return kind, pick([lambda: f"{chars('12', 1)}{chars(digits, 3)}-{chars(digits, 2)}-{chars(digits, 2)}", lambda: f"{chars(digits, 2)}.{chars(digits, 2)}.{chars(digits, 4)}", lambda: f"{chars(digits, 3)} {chars(digits, 3)} {chars(digits, 3)}", lambda: f"{chars(digits, 4)} {chars(digits, 4)}", phone])(), prose() + pick(["", "on ", "order ", "version ", "ISBN ", "invoice ", "part "] if rng.random() < 0.7 else ["order ", "invoice ", "part ", "model "])
+            return kind, pick([lambda: f"{chars('12', 1)}{chars(digits, 3)}-{chars(digits, 2)}-{chars(digits, 2)}", lambda: f"{chars(digits, 2)}.{chars(digits, 2)}.{chars(digits, 4)}", lambda: f"{chars(digits, 3)} {chars(digits, 3)} {chars(digits, 3)}", lambda: f"{chars(digits, 4)} {chars(digits, 4)}", phone, bare, closed])(), prose() + pick(["", "on ", "order ", "version ", "ISBN ", "invoice ", "part "] if rng.random() < 0.7 else ["order ", "invoice ", "part ", "model "])
         if kind == "iban":
             return kind, f"{chars(upper, 2)}{chars(digits, 2)}{chars(upper, int(rng.integers(8, 16)))}", prose() + pick(["", "model ", "part "])
+        if kind == "secret" and rng.random() < 0.3:  # a name in code, where a secret might be
+            return kind, name(), prose() + pick(["token = ", "secret: ", "password = ", "auth ", "api_key = "])
         if kind == "secret":
-            return kind, pick([lambda: "".join(word() for _ in range(8))[:40].ljust(16, "a"), lambda: "-".join(word() for _ in range(6)).ljust(16, "a"), lambda: "_".join(word() for _ in range(6)).ljust(16, "a"), lambda: "/".join(word() for _ in range(6)).ljust(16, "a"), lambda: "".join(word() for _ in range(8)).upper().ljust(16, "A"), lambda: pick("-=_") * int(rng.integers(16, 60)), lambda: chars(digits, int(rng.integers(20, 40))), lambda: chars(hexes, 40)])(), prose() + pick(["", "commit ", "sha ", "https://", "md5 ", "see "])
+            joined = lambda sep, k=6: sep.join(word() for _ in range(k)).ljust(16, "a")
+            match = pick([
+                lambda: joined("", 8)[:40], lambda: joined("-"), lambda: joined("_"), lambda: joined("/"), lambda: joined("", 8).upper(),
+                lambda: pick("-=_") * int(rng.integers(16, 60)), lambda: chars(digits, int(rng.integers(20, 40))), lambda: chars(hexes, 40), name,
+            ])()
+            return kind, match, prose() + pick(["", "commit ", "sha ", "https://", "md5 ", "see "])
         return kind, f"{chars(digits, 3)} {chars(digits, 2)} {chars(digits, 4)}", prose() + pick(["", "part ", "order ", "page "])
 
     rows, y = [], []
@@ -215,7 +237,7 @@ def with_spans(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         base.append(_found(t, kind, pattern, F.contains(t, F.lit(needs)) if needs else digit, _base_keep(kind)))
     proposed = []
     for kind, pattern in GENERATORS.items():
-        when = t.rlike(r"(?i)\bat\b.{1,80}\bdot\b|[\[({]at[\])}]") if kind == "email" else digit
+        when = {"email": t.rlike(r"(?i)\bat\b.{1,80}\bdot\b|[\[({]at[\])}]"), "secret": F.lit(True)}.get(kind, digit)
         proposed.append(_found(t, kind, pattern, when, lambda _: F.lit(True)))
 
     def accepted(c: Column) -> Column:
