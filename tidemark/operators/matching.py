@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..config import Cursor, Matching
+from ..config import Cursor, Matching, ScreenText
 from ..functions.geometry import area, center, display_window, distance, distance_to_box, visible_share
 from ..functions.text import identifying_tokens, key_score, match_key, normalize, translate_terms
 from .temporal import KEY, overlap_join, range_or_asof
@@ -99,3 +99,24 @@ def match_counts(verdicts: DataFrame, decisions: DataFrame, keys=KEY) -> DataFra
     """Accepted, named, total."""
     total = decisions.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("ui_reference.kind") == "named_control").alias("named"))
     return total.join(verdicts.groupBy(*keys).agg(F.count_if(F.col("verdict") == "accepted").alias("accepted")), list(keys), "left").fillna(0, ["accepted"])
+
+
+def review_rows(verdicts: DataFrame, decisions: DataFrame, positions: DataFrame, width: int, height: int, c: ScreenText = ScreenText(), keys=KEY) -> DataFrame:
+    """(keys, segment_id, frame, x0, y0, x1, y1, points, caption): what a reviewer sees of each accepted match with
+    a box: the sampled frame nearest to the segment's middle, the box in pixels and four around, the pointer's places
+    where they decided, else none, and a caption (K11). positions(keys, id, positions)."""
+    middle = (F.col("source_start") + F.col("source_end")) / 2
+    shown = decisions.select(*keys, F.col("id").alias("segment_id"), middle.alias("_middle"))
+    seen = positions.select(*keys, F.col("id").alias("segment_id"), "positions")
+    met = verdicts.where("verdict = 'accepted' AND box IS NOT NULL").join(shown, [*keys, "segment_id"]).join(seen, [*keys, "segment_id"], "left")
+    pixel = lambda share, size: (share * size).cast("int")
+    b = F.col("box")
+    point = lambda p: F.struct(pixel(p["x"], width).alias("x"), pixel(p["y"], height).alias("y"))
+    points = F.when(F.array_contains("evidence", "cursor"), F.transform("positions", point))
+    caption = F.format_string("%s  \"%s\" -> \"%s\"  score %.2f  visible %.0f%%  [%s]", "segment_id", "label", "text", "score", F.col("visible") * 100, F.array_join("evidence", "+"))
+    return met.select(
+        *keys, "segment_id", F.format_string("sample_%05d.jpg", F.rint(F.col("_middle") * c.fps).cast("int") + 1).alias("frame"),
+        (pixel(b["x"], width) - 4).alias("x0"), (pixel(b["y"], height) - 4).alias("y0"),
+        (pixel(b["x"] + b["width"], width) + 4).alias("x1"), (pixel(b["y"] + b["height"], height) + 4).alias("y1"),
+        F.coalesce(points, F.array().cast("array<struct<x:int,y:int>>")).alias("points"), caption.alias("caption"),
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..config import Config, Layout, Overlays, Retiming
+from ..config import Cards, Config, Layout, Overlays, Retiming
 from ..functions.geometry import resolve_window
 from .temporal import KEY, exclusive_sum
 
@@ -62,7 +62,7 @@ def pieces(decisions: DataFrame, timeline: DataFrame, source_duration: DataFrame
     tail = source_duration.join(ends, list(keys), "left").withColumn("cursor", F.coalesce("cursor", F.lit(0.0))).where("duration > cursor")
     tail = tail.select(*keys, F.lit("gap").alias("kind"), F.col("cursor").alias("start"), F.col("duration").alias("end"), F.lit(0.0).alias("extension"), none.alias("id"))
     every = gaps.unionByName(shots).unionByName(tail)
-    return every.withColumn("ord", F.row_number().over(W.partitionBy(*keys).orderBy("start", "kind", "end"))).withColumn("at", exclusive_sum(F.col("end") - F.col("start") + F.col("extension"), keys, "ord"))
+    return every.withColumn("ord", F.row_number().over(W.partitionBy(*keys).orderBy("start", "kind", "end", "extension", "id"))).withColumn("at", exclusive_sum(F.col("end") - F.col("start") + F.col("extension"), keys, "ord"))
 
 
 def total_duration(plan: DataFrame, keys=KEY) -> DataFrame:
@@ -144,3 +144,39 @@ def cards(c: Config, generated_title: Column) -> Column:
     """Titles of the intro and outro cards; null: no card."""
     intro = F.coalesce(F.nullif(F.lit(c.cards.intro_title).cast("string"), F.lit("")), F.nullif(generated_title, F.lit("")))
     return F.struct(intro.alias("intro"), F.coalesce(F.nullif(F.lit(c.cards.outro_title).cast("string"), F.lit("")), intro).alias("outro"))
+
+
+def excerpt(rows: DataFrame, text: str, order: str, most_rows: int = 8, most_chars: int = 1500, keys=KEY) -> DataFrame:
+    """(keys, excerpt): the first rows' texts with spaces between, cut after so many characters; a null text is
+    empty (T05). Rows beyond, and what is beyond of a row, are dropped before texts are gathered."""
+    w = W.partitionBy(*keys).orderBy(order)
+    first = rows.withColumn("_no", F.row_number().over(w)).where(F.col("_no") <= most_rows).withColumn("_t", F.coalesce(F.substring(text, 1, most_chars), F.lit("")))
+    room = F.lit(most_chars) - exclusive_sum(F.char_length("_t") + 1, keys, "_no")
+    first = first.withColumn("_room", room.cast("int")).where("_room > 0 OR _no = 1").withColumn("_t", F.expr("left(_t, _room)"))
+    return join_fragments(first, "_t", "_no", keys, " ").select(*keys, F.substring("script", 1, most_chars).alias("excerpt"))
+
+
+def title_digest(slices: DataFrame, text: str, order: str, most_chars: int = 160, keys=KEY) -> DataFrame:
+    """(keys, digest): what titles are made from: each slice's number and the beginning of its texts, a line each;
+    a null text is an empty line (T05)."""
+    line = slices.select(*keys, "slice", F.col(order).alias("_o"), F.coalesce(F.substring(text, 1, most_chars), F.lit("")).alias("_t"))
+    part = join_fragments(line, "_t", "_o", [*keys, "slice"], "\n").select(*keys, "slice", F.concat(F.format_string("Part %d:\n", F.col("slice") + 1), "script").alias("_p"))
+    return join_fragments(part, "_p", "slice", keys, "\n\n").withColumnRenamed("script", "digest")
+
+
+def with_cards(plan: DataFrame, titles: DataFrame, c: Cards = Cards(), keys=KEY) -> DataFrame:
+    """The pieces with a card before and one after, of kind `intro` and `outro` and with a `title`, where
+    titles(keys, card<intro, outro>) has one; everything after the first is later by its length (E05). Pieces are
+    numbered anew; a video without pieces has no cards."""
+    head = F.when(F.col("_card.intro").isNotNull(), c.intro_seconds).otherwise(0.0)
+    met = plan.join(titles.select(*keys, F.col("card").alias("_card")), list(keys), "left").withColumn("at", F.col("at") + head)
+    none = F.lit(None).cast("string")
+    body = met.select(*keys, "kind", "start", "end", "extension", "id", (F.col("ord") + F.col("_card.intro").isNotNull().cast("int")).alias("ord"), "at", none.alias("title"))
+    last = met.groupBy(*keys).agg(F.max(F.col("at") + F.col("end") - F.col("start") + F.col("extension")).alias("_end"), F.max("ord").alias("_last"), F.first("_card").alias("_card"))
+
+    def card(kind: str, seconds: float, no: Column, at: Column) -> DataFrame:
+        title = F.col(f"_card.{kind}")
+        return last.where(title.isNotNull()).select(*keys, F.lit(kind).alias("kind"), F.lit(0.0).alias("start"), F.lit(seconds).alias("end"), F.lit(0.0).alias("extension"), none.alias("id"), no.alias("ord"), at.alias("at"), title.alias("title"))
+
+    after = F.col("_last") + 1 + F.col("_card.intro").isNotNull().cast("int")
+    return body.unionByName(card("intro", c.intro_seconds, F.lit(1), F.lit(0.0))).unionByName(card("outro", c.outro_seconds, after, F.col("_end")))

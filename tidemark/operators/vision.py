@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import Crop, Cursor, ScreenText
+from ..storage import kept
 from .temporal import KEY, first_run
 
 
@@ -83,31 +84,53 @@ def crop_height(videos: DataFrame, anchor: DataFrame, variation: DataFrame, c: C
     return met.select(*keys, F.when(over, 0).otherwise(found).alias("height"), reason.alias("reason"))
 
 
+def _touching(runs: DataFrame, own: list[str], cell: int = 64) -> DataFrame:
+    """(own, u, v): pairs of runs of adjacent rows that touch, corners included. Columns are cut into cells, so a
+    run meets what lies near it; a pair counts in the cell of its first common column."""
+    cells = lambda a, z: F.explode(F.sequence(F.floor(a / cell).cast("int"), F.floor(z / cell).cast("int")))
+    upper = runs.select(*own, (F.col("row") + 1).alias("row"), F.col("node").alias("v"), (F.col("a") - 1).alias("_a"), (F.col("z") + 1).alias("_z"))
+    upper = upper.withColumn("_c", cells(F.col("_a"), F.col("_z")))
+    lower = runs.select(*own, "row", F.col("node").alias("u"), "a", "z").withColumn("_c", cells(F.col("a"), F.col("z")))
+    here = F.floor(F.greatest("a", "_a") / cell) == F.col("_c")
+    return lower.join(upper, [*own, "row", "_c"]).where((F.col("a") <= F.col("_z")) & (F.col("_a") <= F.col("z")) & here).select(*own, "u", "v")
+
+
+def components(edges: DataFrame, own: list[str]) -> DataFrame:
+    """(own, u, v): each node u of edges(own, u, v) that isn't the least of its component, with that one. Nodes are
+    hung on the least neighbour of all and of the lesser ones in turn, which takes few rounds however long a
+    component is; a round is one table in the shared folder."""
+
+    def least(e: DataFrame) -> Column:
+        return F.min("v").over(W.partitionBy(*own, "u"))
+
+    e, before = kept(edges.where("u <> v").distinct()), None
+    while True:
+        both = e.unionByName(e.select(*own, F.col("v").alias("u"), F.col("u").alias("v")))
+        large = both.withColumn("m", F.least("u", least(both))).where("v > u").select(*own, F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = large.withColumn("m", least(large))
+        hung = small.select(*own, "u", F.col("m").alias("v")).unionByName(small.select(*own, F.col("v").alias("u"), F.col("m").alias("v")))
+        e = kept(hung.where("u <> v").distinct())
+        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*own, "u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            return e
+        before = now
+
+
 def blobs(changes: DataFrame, width: int, height: int, c: Cursor = Cursor(), keys=KEY) -> DataFrame:
     """(keys, step, x, y): centres, normalised, of the 8-connected areas of changed pixels
-    (keys, step, row, col) that are as large as a pointer (A09). A step's pixels are one group."""
+    (keys, step, row, col) that are as large as a pointer (A09). A row's neighbouring pixels are one run, and
+    runs of adjacent rows that touch are linked; repeated pixels count once."""
     least = max(1, int(c.min_area * width * height))
     most = max(least + 1, int(c.max_area * width * height))
-    kinds = {f.name: f.dataType.simpleString() for f in changes.schema}
-    schema = ", ".join(f"{k} {kinds[k]}" for k in (*keys, "step")) + ", x double, y double"
-
-    def one(g: pd.DataFrame) -> pd.DataFrame:
-        left, out = set(zip(g.row, g.col)), []
-        while left:
-            todo, area = [left.pop()], []
-            while todo:
-                r, q = todo.pop()
-                area.append((r, q))
-                for p in [(r + i, q + j) for i in (-1, 0, 1) for j in (-1, 0, 1)]:
-                    if p in left:
-                        left.remove(p)
-                        todo.append(p)
-            if least <= len(area) <= most:
-                out.append({"x": sum(q for _, q in area) / len(area) / width, "y": sum(r for r, _ in area) / len(area) / height})
-        own = {k: g[k].iloc[0] for k in (*keys, "step")}
-        return pd.DataFrame([own | o for o in out], columns=[*keys, "step", "x", "y"])
-
-    return changes.groupBy(*keys, "step").applyInPandas(one, schema)
+    own = [*keys, "step"]
+    gap = F.col("col") - F.dense_rank().over(W.partitionBy(*own, "row").orderBy("col"))
+    runs = changes.withColumn("_g", gap).groupBy(*own, "row", "_g").agg(F.min("col").alias("a"), F.max("col").alias("z"))
+    runs = kept(runs.select(*own, "row", "a", "z", (F.shiftleft(F.col("row").cast("long"), 32) + F.col("a")).alias("node")))
+    root = components(_touching(runs, own), own).select(*own, F.col("u").alias("node"), F.col("v").alias("root"))
+    n = F.col("z") - F.col("a") + 1
+    sums = [F.sum(n).alias("n"), F.sum((F.col("a") + F.col("z")) * n).alias("sx"), F.sum(F.col("row") * n).alias("sy")]
+    met = runs.join(root, [*own, "node"], "left").groupBy(*own, F.coalesce("root", "node").alias("root")).agg(*sums)
+    return met.where(F.col("n").between(least, most)).select(*own, (F.col("sx") / 2 / F.col("n") / width).alias("x"), (F.col("sy") / F.col("n") / height).alias("y"))
 
 
 def select_frames(frames: DataFrame, c: ScreenText = ScreenText(), keys=KEY) -> DataFrame:

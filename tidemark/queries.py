@@ -684,3 +684,62 @@ def band_marks(spark, d):
     c = Layout(progress=4, subtitle_size=40)
     p = _t(spark, d, "part").select("p_partkey", F.struct(top.alias("top"), bottom.alias("bottom")).alias("l"))
     return p.select("p_partkey", progress_y(F.col("l"), c).alias("progress"), subtitle_font_size(F.col("l"), 2, c).alias("font"))
+
+
+@query(r"""WITH n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS no FROM conversations)
+SELECT conv_id, left(string_agg(coalesce(text, ''), ' ' ORDER BY turn), 1500) AS excerpt FROM n WHERE no <= 8 GROUP BY 1""")
+def intro_excerpts(spark, d):
+    return timeline.excerpt(_t(spark, d, "conversations"), "text", "turn", keys=["conv_id"])
+
+
+@query(f"""WITH sl AS ({ORACLE["duration_slices"]}), p AS (SELECT conv_id, slice, 'Part ' || (slice + 1) || ':' || chr(10) || string_agg(left(coalesce(text, ''), 160), chr(10) ORDER BY turn) AS part
+ FROM sl JOIN conversations USING (conv_id, turn) GROUP BY 1, 2) SELECT conv_id, string_agg(part, chr(10) || chr(10) ORDER BY slice) AS digest FROM p GROUP BY 1""")
+def title_digests(spark, d):
+    s = _segments(spark, d)
+    return timeline.title_digest(timeline.duration_slices(s, F.col("d"), ["turn"], keys=["conv_id"]), "text", "turn", keys=["conv_id"])
+
+
+@query(f"""WITH p AS ({ORACLE["gap_fill_pieces"]}), c AS (SELECT o_custkey, CASE WHEN o_custkey % 3 > 0 THEN 'shots of ' || o_custkey END AS intro, CASE WHEN o_custkey % 4 > 0 THEN 'end' END AS outro FROM p GROUP BY 1),
+w AS (SELECT *, row_number() OVER q AS ord, coalesce(sum(end_day - start_day + extension) OVER (q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece_at FROM p JOIN c USING (o_custkey) WINDOW q AS (PARTITION BY o_custkey ORDER BY start_day, kind, end_day, extension)),
+m AS (SELECT o_custkey, kind, ord + CASE WHEN intro IS NULL THEN 0 ELSE 1 END AS ord, piece_at + CASE WHEN intro IS NULL THEN 0 ELSE 5 END AS piece_at, end_day - start_day + extension AS length, intro, outro FROM w)
+SELECT o_custkey, kind, ord, piece_at, length, NULL AS title FROM m UNION ALL SELECT o_custkey, 'intro', 1, 0.0, 5.0, intro FROM c WHERE intro IS NOT NULL
+UNION ALL SELECT o_custkey, 'outro', max(ord) + 1, max(piece_at + length), 4.0, max(outro) FROM m WHERE outro IS NOT NULL GROUP BY 1""")
+def card_pieces(spark, d):
+    p, v = _pieces(spark, d), F.col("video_id")
+    card = F.struct(F.when(v % 3 > 0, F.concat(F.lit("shots of "), v.cast("string"))).alias("intro"), F.when(v % 4 > 0, F.lit("end")).alias("outro"))
+    out = timeline.with_cards(p, p.select("video_id").distinct().select("video_id", card.alias("card")))
+    return out.select(v.alias("o_custkey"), "kind", "ord", F.col("at").alias("piece_at"), (F.col("end") - F.col("start") + F.col("extension")).alias("length"), "title")
+
+
+@query(r"""WITH q AS (SELECT l_partkey, list({'x': CAST(trunc(l_quantity / 64 * 1920) AS INT), 'y': CAST(trunc(l_linenumber / 8 * 1080) AS INT)} ORDER BY l_orderkey, l_linenumber) AS ps FROM lineitem GROUP BY 1)
+SELECT CAST(p_partkey AS VARCHAR) AS segment_id, printf('sample_%05d.jpg', CAST(round_even((p_partkey % 16 * 2.0 + 5) * 2, 0) AS INT) + 1) AS frame,
+ CAST(trunc(p_size / 64 * 1920) AS INT) - 4 AS x0, 270 - 4 AS y0, CAST(trunc((p_size / 64 + 0.125) * 1920) AS INT) + 4 AS x1, 270 + 135 + 4 AS y1,
+ CASE WHEN p_partkey % 2 = 0 AND ps IS NOT NULL THEN list_aggregate(list_transform(ps, lambda p: p.x || ',' || p.y), 'string_agg', ' ') ELSE '' END AS points,
+ p_partkey || '  "' || p_name || '" -> "' || upper(p_name) || '"  score ' || printf('%.2f', p_size / 64) || '  visible ' || (25 * (p_size % 5)) || '%  [' || CASE WHEN p_partkey % 2 = 0 THEN 'ocr+cursor' ELSE 'ocr' END || ']' AS caption
+FROM part LEFT JOIN q ON l_partkey = p_partkey WHERE p_size % 3 > 0""".replace("printf('%.2f', p_size / 64)", "printf('%.2f', p_size // 8 / 8 + 0.001)"))
+def review_sheet(spark, d):
+    from .operators import matching
+
+    p = _t(spark, d, "part").withColumns({"segment_id": F.col("p_partkey").cast("string"), "video_id": F.lit("v")})
+    evidence = F.when(F.col("p_partkey") % 2 == 0, F.array(F.lit("ocr"), F.lit("cursor"))).otherwise(F.array(F.lit("ocr")))
+    box = G.make_box(F.col("p_size") / 64, F.lit(0.25), F.lit(0.125), F.lit(0.125))
+    verdict = F.when(F.col("p_size") % 3 > 0, "accepted").otherwise("refused")
+    score, visible = F.floor(F.col("p_size") / 8) / 8 + 0.001, F.col("p_size") % 5 / 4
+    verdicts = p.select("video_id", "segment_id", F.col("p_name").alias("label"), F.upper("p_name").alias("text"), verdict.alias("verdict"), score.alias("score"), visible.alias("visible"), evidence.alias("evidence"), box.alias("box"))
+    decisions = p.select("video_id", F.col("segment_id").alias("id"), (F.col("p_partkey") % 16 * 2.0).alias("source_start"), (F.col("p_partkey") % 16 * 2.0 + 10).alias("source_end"))
+    at = F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", (F.col("l_quantity") / 64).cast("double").alias("x"), (F.col("l_linenumber") / 8).alias("y"))))
+    positions = _t(spark, d, "lineitem").groupBy(F.lit("v").alias("video_id"), F.col("l_partkey").cast("string").alias("id")).agg(at.alias("positions"))
+    points = F.array_join(F.transform("points", lambda q: F.concat_ws(",", q["x"].cast("string"), q["y"].cast("string"))), " ")
+    return matching.review_rows(verdicts, decisions, positions, 1920, 1080).select("segment_id", "frame", "x0", "y0", "x1", "y1", points.alias("points"), "caption")
+
+
+@query("""WITH RECURSIVE px AS (SELECT DISTINCT l_orderkey // 300 AS step, l_partkey * 7 % 64 AS r, (l_suppkey * 5 + l_orderkey) % 64 AS c FROM lineitem),
+reach AS (SELECT step, r, c, r AS r2, c AS c2 FROM px UNION SELECT a.step, a.r, a.c, b.r, b.c FROM reach a JOIN px b ON a.step = b.step AND b.r BETWEEN a.r2 - 1 AND a.r2 + 1 AND b.c BETWEEN a.c2 - 1 AND a.c2 + 1),
+own AS (SELECT step, r, c, min(r2 * 64 + c2) AS root FROM reach GROUP BY 1, 2, 3), areas AS (SELECT step, root, avg(c) / 64 AS x, avg(r) / 64 AS y, count(*) AS n FROM own GROUP BY 1, 2)
+SELECT step, round(x, 6) AS x, round(y, 6) AS y FROM areas WHERE n BETWEEN 2 AND 8""")
+def changed_areas(spark, d):
+    from .config import Cursor
+
+    step, row, col = F.floor(F.col("l_orderkey") / 300), F.col("l_partkey") * 7 % 64, (F.col("l_suppkey") * 5 + F.col("l_orderkey")) % 64
+    px = _t(spark, d, "lineitem").select(F.lit("v").alias("video_id"), step.alias("step"), row.cast("int").alias("row"), col.cast("int").alias("col"))
+    return vision.blobs(px, 64, 64, Cursor(min_area=2 / 4096, max_area=8 / 4096)).select("step", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
