@@ -6,9 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.functions import AnalyzeArgument, AnalyzeResult, udtf
+from pyspark.sql.types import StructType
 
 from ..config import Segmentation
 from .temporal import KEY
@@ -144,3 +146,59 @@ def split_transcript(transcript: DataFrame, c: Segmentation = Segmentation(), ke
     whole = met.where("_lacks = 1").groupBy(*keys).agg(merge_into_sentences(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["p"]), c.max_seconds).alias("ps"))
     whole = whole.select(*keys, F.posexplode("ps").alias("_i", "p")).select(*keys, F.col("_i").cast("long").alias("ord"), F.format_string("seg-%03d", F.col("_i") + 1).alias("id"), "p.start", "p.end", "p.text")
     return segments(word_table(met.where("_lacks = 0"), keys), c, keys).unionByName(whole)
+
+
+def register_udtfs(spark: SparkSession, c: Segmentation = Segmentation()) -> None:
+    """cut_sentences for SQL, as SELECT * FROM cut_sentences(TABLE(words) PARTITION BY video_id ORDER BY pos): the rows
+    of `segments`, a partition at a time. All columns beside pos, text, start and end are keys. No more than a
+    sentence and two parts are held (Q08, Q11; §2.16)."""
+
+    class CutSentences:
+        @staticmethod
+        def analyze(words: AnalyzeArgument) -> AnalyzeResult:
+            lacking = {"pos", "text", "start", "end"} - set(words.dataType.fieldNames()) if words.isTable else {"a table"}
+            if lacking:
+                raise ValueError(f"cut_sentences lacks {sorted(lacking)}")
+            own = [f for f in words.dataType.fields if f.name not in ("pos", "text", "start", "end")]
+            out = StructType(own).add("ord", "long").add("id", "string").add("start", "double").add("end", "double").add("text", "string")
+            return AnalyzeResult(out)
+
+        def __init__(self):
+            self.sentence, self.own, self.done, self.run, self.n = [], (), None, None, 0
+
+        def numbered(self, part):
+            text, start, end = part
+            self.n += 1
+            return (*self.own, self.n - 1, f"seg-{self.n:03d}", start, max(end, start + 0.05), text)
+
+        def cut(self):
+            ws, self.sentence = self.sentence, []
+            start, end = np.array([w["start"] for w in ws], float), np.array([w["end"] for w in ws], float)
+            soft = np.array([w["text"].endswith(SOFT) for w in ws])
+            for lo, hi in packed(fit(start, end, soft, c), start, end, c):
+                part, run = (" ".join(w["text"] for w in ws[lo:hi]), float(start[lo]), float(end[hi - 1])), self.run
+                if run and run[2] - run[1] < c.min_seconds and part[2] - run[1] <= c.max_seconds:
+                    self.run = (f"{run[0]} {part[0]}", run[1], part[2])
+                    continue
+                if self.done:
+                    yield self.numbered(self.done)
+                self.done, self.run = run, part
+
+        def eval(self, words: Row):
+            if not self.own:
+                self.own = tuple(v for k, v in words.asDict(False).items() if k not in ("pos", "text", "start", "end"))
+            self.sentence.append(words)
+            if words["text"].endswith(STRONG):
+                yield from self.cut()
+
+        def terminate(self):
+            if self.sentence:
+                yield from self.cut()
+            a, b = self.done, self.run
+            if a and b[2] - b[1] < c.min_seconds and b[2] - a[1] <= c.max_seconds:
+                a, b = None, (f"{a[0]} {b[0]}", a[1], b[2])
+            for part in (a, b):
+                if part:
+                    yield self.numbered(part)
+
+    spark.udtf.register("cut_sentences", udtf(CutSentences))
