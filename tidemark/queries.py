@@ -711,7 +711,7 @@ def card_pieces(spark, d):
     return out.select(v.alias("o_custkey"), "kind", "ord", F.col("at").alias("piece_at"), (F.col("end") - F.col("start") + F.col("extension")).alias("length"), "title")
 
 
-@query(r"""WITH q AS (SELECT l_partkey, list({'x': CAST(trunc(l_quantity / 64 * 1920) AS INT), 'y': CAST(trunc(l_linenumber / 8 * 1080) AS INT)} ORDER BY l_orderkey, l_linenumber) AS ps FROM lineitem GROUP BY 1)
+@query(r"""WITH q AS (SELECT l_partkey, list({'x': CAST(trunc(l_quantity / 64 * 1920) AS INT), 'y': CAST(trunc(l_linenumber / 8 * 1080) AS INT)} ORDER BY l_orderkey, l_linenumber, l_quantity) AS ps FROM lineitem GROUP BY 1)
 SELECT CAST(p_partkey AS VARCHAR) AS segment_id, printf('sample_%05d.jpg', CAST(round_even((p_partkey % 16 * 2.0 + 5) * 2, 0) AS INT) + 1) AS frame,
  CAST(trunc(p_size / 64 * 1920) AS INT) - 4 AS x0, 270 - 4 AS y0, CAST(trunc((p_size / 64 + 0.125) * 1920) AS INT) + 4 AS x1, 270 + 135 + 4 AS y1,
  CASE WHEN p_partkey % 2 = 0 AND ps IS NOT NULL THEN list_aggregate(list_transform(ps, lambda p: p.x || ',' || p.y), 'string_agg', ' ') ELSE '' END AS points,
