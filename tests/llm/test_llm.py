@@ -3,6 +3,7 @@
 import hashlib
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import boosting, bpe, lexicon, mixing, neardup, pages, pii, quality, rules, search, sharding, urls
+from tidemark.llm.common import BATCH_ROWS
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -493,6 +495,44 @@ def test_wand_reads_fewer_postings_and_loses_none(spark):
     assert sum(s.scored for s in shards) < 0.6 * sum(s.postings for s in shards)
 
 
+def test_shards_are_made_and_read_in_little_memory(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "10000")
+    search.build_index(docs)
+    assert int(spark.conf.get(key)) <= BATCH_ROWS
+    rng = np.random.default_rng(3)
+    texts = [search.mix64((rng.random(500) ** 6 * 200_000).astype(np.uint64)) for _ in range(4_000)]
+    tracemalloc.start()
+    b = search._shard(list(range(len(texts))), texts)
+    made = tracemalloc.get_traced_memory()[1]
+    row = {c: b.column(c)[0].values.to_numpy(zero_copy_only=False) for c in ("ids", "lengths", "terms", "offsets", "docs", "tfs")}
+    row |= {"terms": row["terms"].view(np.uint64), "no_id": np.zeros(len(texts), dtype=bool)}
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    search.Shard(row, 500.0)
+    read = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert made < 54 * 500 * len(texts) and read < 47 * len(row["docs"]), (made / 500 / len(texts), read / len(row["docs"]))
+
+
+def test_shards_are_read_one_by_one(spark, docs, monkeypatch):
+    key, build, cut, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", search.build_index, search.Scratch.cut, []
+
+    def watched(self, df, **options):
+        out = cut(self, df, **options)
+        seen.append((df.columns, out.count(), len(out.inputFiles()), spark.conf.get(key)))
+        return out
+
+    own = docs.select(F.col("doc_id").alias("query_id"), "text")
+    found = lambda: sorted((r.query_id or -1, r["rank"], round(r.score, 6)) for r in search.search(docs, own, 3).collect())
+    want = found()
+    monkeypatch.setattr(search, "build_index", lambda d: build(d.coalesce(1), shard_docs=4))
+    monkeypatch.setattr(search.Scratch, "cut", watched)
+    assert found() == want
+    index, blocks = seen[0], [x for x in seen if x[0] == ["query_id", "doc_id", "score"]]
+    assert index[1] == index[2] == 8 and [x[3] for x in blocks] == ["1"] and spark.conf.get(key) != "1"
+
+
 # near-duplicates
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -44,10 +45,10 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.at, self.n = spark, f"{shared_dir(spark)}/tidemark-{uuid.uuid4().hex}", 0
 
-    def cut(self, df: DataFrame) -> DataFrame:
+    def cut(self, df: DataFrame, **options) -> DataFrame:
         self.n += 1
         path = f"{self.at}/{self.n}"
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch = path
         return out
@@ -131,6 +132,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """What runs meanwhile goes to Python in batches of so many rows: for rows of some MB each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 _held: dict[str, object] = {}
 
 

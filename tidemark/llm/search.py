@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, use_worker
+from .common import Scratch, batches_of, small_batches, use_worker
 from .neardup import mix64
 
 K1, B, TOP = 1.2, 0.75, 10
@@ -76,11 +76,12 @@ def terms_of(text: bytes) -> np.ndarray:
 _INDEX = "n_docs long, ids array<long>, lengths array<int>, terms array<long>, offsets array<int>, docs array<short>, tfs array<int>"
 
 
-def _kinds(terms: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+def _kinds(terms: np.ndarray, tf: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """A cluster of each document, by how often its terms fall into KIND_TERMS classes of hashes: some
     rounds of means, from documents far apart."""
-    at = doc * KIND_TERMS + (terms & np.uint64(KIND_TERMS - 1)).astype(np.int64)
-    x = np.log1p(np.bincount(at, minlength=n * KIND_TERMS).reshape(n, KIND_TERMS)).astype(np.float32)
+    at = (terms & np.uint64(KIND_TERMS - 1)).astype(np.int32)
+    at += doc * np.int32(KIND_TERMS)
+    x = np.log1p(np.bincount(at, tf, n * KIND_TERMS).reshape(n, KIND_TERMS)).astype(np.float32)
     x /= np.maximum(np.sqrt((x**2).sum(axis=1, keepdims=True)), 1e-9)
     means, near = [x.mean(axis=0)], x @ x.mean(axis=0)
     for _ in range(KINDS):
@@ -95,23 +96,46 @@ def _kinds(terms: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return (x @ means.T).argmax(axis=1)
 
 
+def _counted(terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of a text, and how often it has each."""
+    terms, n = np.unique(terms, return_counts=True)
+    return terms, n.astype(np.int32)
+
+
 def _shard(ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
-    lengths = np.array([len(t) for t in texts], dtype=np.int32)
-    n, every, doc = len(texts), np.concatenate(texts), np.repeat(np.arange(len(texts)), lengths)
-    rows = np.lexsort((lengths, _kinds(every, doc, n)))
+    return _packed(ids, [_counted(t) for t in texts])
+
+
+def _packed(ids: list, texts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A shard of texts as _counted() gives them, which are taken out of their list. An executor's
+    workers are here at once, so what isn't needed any more goes before the next step."""
+    n, lengths = len(texts), np.array([tf.sum() for _, tf in texts], dtype=np.int32)
+    doc = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in texts])
+    every, tf = np.concatenate([t for t, _ in texts]), np.concatenate([x for _, x in texts])
+    texts.clear()
+    rows = np.lexsort((lengths, _kinds(every, tf, doc, n)))
     lengths, ids = lengths[rows], [ids[i] for i in rows]
+    doc = np.argsort(rows).astype(np.int32)[doc]
     terms, at = np.unique(every, return_inverse=True)
-    pair, tf = np.unique(at * n + np.argsort(rows)[doc], return_counts=True)
-    at, doc = pair // n, pair % n
-    start = np.searchsorted(at, np.arange(len(terms)))
+    del every
+    at *= n  # now term and document in one
+    at += doc
+    del doc
+    order = np.argsort(at)
+    at, tf = at[order], tf[order]
+    del order
+    doc = (at % n).astype(np.int16)
+    at //= n
+    offsets = np.searchsorted(at, np.arange(len(terms) + 1)).astype(np.int32)
+    del at
     row = [
-        pa.array([len(ids)], pa.int64()),
+        pa.array([n], pa.int64()),
         pa.array([ids], pa.list_(pa.int64())),
         pa.array([lengths], pa.list_(pa.int32())),
         pa.array([terms.view(np.int64)], pa.list_(pa.int64())),
-        pa.array([np.append(start, len(at)).astype(np.int32)], pa.list_(pa.int32())),
-        pa.array([doc.astype(np.int16)], pa.list_(pa.int16())),
-        pa.array([tf.astype(np.int32)], pa.list_(pa.int32())),
+        pa.array([offsets], pa.list_(pa.int32())),
+        pa.array([doc], pa.list_(pa.int16())),
+        pa.array([tf], pa.list_(pa.int32())),
     ]
     return pa.RecordBatch.from_arrays(row, names=["n_docs", "ids", "lengths", "terms", "offsets", "docs", "tfs"])
 
@@ -119,6 +143,7 @@ def _shard(ids: list, texts: list[np.ndarray]) -> pa.RecordBatch:
 def build_index(docs: DataFrame, shard_docs: int = SHARD_DOCS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """A row for each shard of docs(doc_id, text)."""
     assert shard_docs <= 32_767
+    small_batches(docs.sparkSession)
 
     def run(batches):
         use_worker("search")
@@ -127,28 +152,27 @@ def build_index(docs: DataFrame, shard_docs: int = SHARD_DOCS, shard_bytes: int
             for i, t in zip(b.column(0), b.column(1)):
                 raw = t.as_buffer().to_pybytes() if t.is_valid else b""
                 ids.append(i.as_py())
-                texts.append(terms_of(raw))
+                texts.append(_counted(terms_of(raw)))
                 held += len(raw)
                 if len(ids) >= shard_docs or held >= shard_bytes:
-                    yield _shard(ids, texts)
+                    yield _packed(ids, texts)
                     ids, texts, held = [], [], 0
         if ids:
-            yield _shard(ids, texts)
+            yield _packed(ids, texts)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, _INDEX)
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, term, qtf) of queries(query_id, text)."""
+    small_batches(queries.sparkSession)
 
     def run(batches):
         use_worker("search")
         for b in batches:
-            out = []
             for q, t in zip(b.column(0), b.column(1)):
                 term, n = np.unique(terms_of(t.as_buffer().to_pybytes()), return_counts=True)
-                out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(term), q.as_py()), pa.int64()), pa.array(term.view(np.int64)), pa.array(n, pa.int64())], names=["query_id", "term", "qtf"]))
-            yield from out
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(term), q.as_py()), pa.int64()), pa.array(term.view(np.int64)), pa.array(n, pa.int64())], names=["query_id", "term", "qtf"])
 
     one = queries.where("text IS NOT NULL").groupBy(F.col("query_id").cast("long").alias("query_id")).agg(F.min("text").alias("text"))
     return one.select("query_id", F.col("text").cast("binary")).mapInArrow(run, "query_id long, term long, qtf long")
@@ -165,15 +189,19 @@ class Shard:
 
     def __init__(self, row: dict, mean_length: float):
         self.ids, self.no_id, self.terms, self.offsets = row["ids"], row["no_id"], row["terms"], row["offsets"].astype(np.int64)
-        self.docs, tf = row["docs"].astype(np.int64), row["tfs"].astype(float)
-        norm = K1 * (1 - B + B * row["lengths"] / mean_length)
-        self.weights = tf * (K1 + 1) / (tf + norm[self.docs])
+        self.docs, self.weights = row["docs"].astype(np.int64), row["tfs"].astype(float)
+        norm = (K1 * (1 - B + B * row["lengths"] / mean_length))[self.docs]
+        norm += self.weights
+        self.weights *= K1 + 1
+        self.weights /= norm
+        del norm
         self.n, self.df = len(row["lengths"]), np.diff(self.offsets)
         n_blocks = -(-self.n // BLOCK)
         # by document: the terms and weights of each
-        by_doc = np.argsort(self.docs, kind="stable")
-        self.doc_terms = np.repeat(np.arange(len(self.terms)), self.df)[by_doc]
+        by_doc = np.argsort(row["docs"], kind="stable")
+        self.doc_terms = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.df)[by_doc]
         self.doc_weights = self.weights[by_doc]
+        del by_doc
         self.doc_at = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=self.n))))
         # by block, of the longer lists: maxima, and where the block's postings start; others are read whole
         common = np.flatnonzero(self.df > self.n // SHORT)
@@ -260,7 +288,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """(query_id, rank, doc_id, score): for each of queries(query_id, text) the best k of
     docs(doc_id, text). Null doc_ids come out as null."""
     scratch = Scratch(docs.sparkSession)
-    index = scratch.cut(build_index(docs))
+    index = scratch.cut(build_index(docs), maxRecordsPerFile=1)  # else a reader holds all shards of a file at once
     n, total = index.select(F.sum("n_docs"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()
     n, total = n or 0, total or 0
     dfs = F.transform("terms", lambda t, i: F.struct(t.alias("term"), (F.col("offsets")[i + 1] - F.col("offsets")[i]).cast("long").alias("df")))
@@ -275,7 +303,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     for i in range(n_blocks):  # a pass over the index for each block; what it was sent is given back
         block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).select("query_id", "tw.term", "tw.w").toArrow()
         part, sent = _against(index, block, mean, k)
-        found.append(scratch.cut(part))
+        with batches_of(docs.sparkSession, 1):
+            found.append(scratch.cut(part))
         sent.destroy()
     order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
@@ -297,6 +326,7 @@ def _against(index: DataFrame, block: pa.Table, mean: float, k: int):
                 row = {c: b.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("lengths", "terms", "offsets", "docs", "tfs")}
                 ids = b.column("ids")[i].values
                 row |= {"terms": row["terms"].view(np.uint64), "ids": ids.fill_null(0).to_numpy(), "no_id": ids.is_null().to_numpy(zero_copy_only=False)}
+                shard = None  # the one before goes first
                 shard = Shard(row, mean)
                 if not len(shard.terms):
                     continue
