@@ -424,6 +424,31 @@ def test_bpe_equals_the_library(docs, nothing):
     assert (100, 0) in got and (101, 0) in got and got[101, 0].decoded_sha256 == hashlib.sha256(b"").hexdigest() and bpe.tokenize(nothing, path).count() == 0
 
 
+def test_bpe_looks_up_words_of_many_texts_at_once(docs, monkeypatch):
+    P = pytest.importorskip("public_tokenizers")
+    path = P.path("word_bpe_49k.json")
+    own, rng = bpe.load(open(path, encoding="utf-8").read()), np.random.default_rng(8)
+    new = lambda most: bpe._Cache(own, lexicon.Lexicon(bpe.build_lexicon(own, ["the", "cat", "it's"])), most)
+    texts = ["", " \n", "<|ENDOFTEXT|> x<|endoftext|>'s", "ΑΣ Σ É́ e\u0301 \ua7da \U00010d50", "b" * 3000, "a\x1cb don't'll!!! 日本, cat,"]
+    texts += ["".join(rng.choice([*"aZ'éÉΣσ.,;9² \x85\u0301\u2000\x1cﬁ한Å", "the", "<|endoftext|>", " cat, "], 40)) for _ in range(300)]
+    texts += [r.text or "" for r in docs.collect()]
+    want, tiny = [bpe.encode_text(t, new(50)) for t in texts], new(8)
+    for cache in (new(500), tiny, tiny):
+        assert [*zip(*(x.to_pylist() for x in bpe.encode_texts(texts, cache)))] == want
+    words = ["".join(rng.choice([*"aeinrstlé"], n)).encode() for n in range(1, 40) for _ in range(50)]
+    assert [x.tolist() for x in own.merge_all(words)] == [own.merge(w) for w in words] and own.merge_all([]) == []
+
+    def one(*_):
+        raise AssertionError("one by one")
+
+    monkeypatch.setattr(bpe.WordBPE, "merge", one)
+    monkeypatch.setattr(bpe, "composed", one)
+    raw, _ = bpe.encode_texts(["thé cät, unseenwordzzq", "日本 naïve zzqunseen"], new_cache := bpe._Cache(own, tiny.lexicon, 500))
+    assert all(len(x) for x in raw.to_pylist()) and len(new_cache.words) == 6
+    r = {(x.doc_id, x.n_tokens): x for x in bpe.tokenize(docs.where("doc_id IN (100, 101)"), path).collect()}
+    assert r[100, 0].ids == [] and r[101, 0].decoded == ""
+
+
 # URLs
 
 

@@ -16,6 +16,7 @@ tokens' own columns, which raise an error.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -23,15 +24,17 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_names, small_batches, use_worker
-from .lexicon import Lexicon, compile_lexicon
+from .lexicon import _SHIFT, _SPREAD, Lexicon, _slots, compile_lexicon
 
 #: Words of the lexicon, and the longest of them in bytes; the driver holds so many and no more.
 LEXICON_WORDS, LONGEST_WORD = 100_000, 40
@@ -39,8 +42,8 @@ LEXICON_WORDS, LONGEST_WORD = 100_000, 40
 _MARKS = ".,;:!?"
 #: Words and pieces that a worker's caches hold.
 CACHE_WORDS, CACHE_PIECES = 500_000, 150_000
-#: Rows that a worker encodes before it hands them on.
-ROWS = 128
+#: Characters of text, one text more at most, that a worker encodes before it hands them on.
+CHARS = 4_000_000
 #: White space of the Replace and Split patterns. str.split() takes four controls more.
 _BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD = re.compile("[\x1c-\x1f]")
@@ -72,6 +75,8 @@ _NEW_LOWER = str.maketrans(
     | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
     | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 )
+#: What needs more than NFC and lower(), beyond Latin-1; for speed, with all that is beyond U+FFFF.
+_RARE = re.compile("[\u03a3" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in _STARTERS if b < 0x10000) + "".join(chr(c) for c in _NEW_LOWER if c < 0x10000) + "\U00010000-\U0010ffff]")
 
 
 def composed(text: str) -> str:
@@ -124,6 +129,13 @@ class WordBPE:
         for rank, (a, b) in enumerate(model["merges"]):
             self.merges[vocab[a] << 32 | vocab[b]] = rank << 32 | vocab[a + b]
         self.no_merge = len(model["merges"]) << 32
+        # the same for numpy: keys (left * number of names + right) and merges in a hash table
+        pairs = np.fromiter(self.merges, np.int64, len(self.merges))
+        pairs = (pairs >> 32) * len(self.names) + (pairs & 0xFFFFFFFF)
+        at, size = _slots(pairs)
+        self.pair_keys, self.pair_merges = np.full(size, -1), np.full(size, self.no_merge)
+        self.pair_keys[at], self.pair_merges[at] = pairs, np.fromiter(self.merges.values(), np.int64, len(pairs))
+        self.inner_ids, self.last_ids = np.array(self.inner), np.array(self.last)
         letter, number = _class("L", more=_NEW_LETTERS), _class("N", more=_NEW_NUMBERS)
         self.pieces = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{_BLANK}{letter}{number}]+")
 
@@ -145,6 +157,62 @@ class WordBPE:
                 pairs[at - 1] = get(ids[at - 1] << 32 | new, none)
         return ids
 
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The merge of each pair, or no_merge."""
+        keys, last = left * len(self.names) + right, len(self.pair_keys) - 1
+        slot = (keys * _SPREAD >> _SHIFT) & last
+        met = self.pair_keys[slot]
+        out = self.pair_merges[slot]
+        out[met != keys] = self.no_merge
+        left = np.flatnonzero((met != keys) & (met >= 0))
+        slot = slot[left]
+        while len(left):
+            slot = slot + 1 & last
+            met, want = self.pair_keys[slot], keys[left]
+            hit = met == want
+            out[left[hit]] = self.pair_merges[slot[hit]]
+            rest = ~hit & (met >= 0)
+            left, slot = left[rest], slot[rest]
+        return out
+
+    def merge_all(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """merge() of many pieces, those of one length together: each round merges one pair of each."""
+        out, of_length = [None] * len(pieces), defaultdict(list)
+        for i, p in enumerate(pieces):
+            of_length[len(p)].append(i)
+        for n, at in of_length.items():
+            if n > 24:
+                for i in at:
+                    out[i] = np.array(self.merge(pieces[i]), "<u4")
+                continue
+            raw = np.frombuffer(b"".join([pieces[i] for i in at]), np.uint8).reshape(-1, n)
+            ids, at = self.inner_ids[raw], np.array(at)
+            ids[:, -1] = self.last_ids[raw[:, -1]]
+            merges = self._pairs(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(at), n - 1)
+            while len(at):
+                row, width = np.arange(len(at)), merges.shape[1]
+                best = merges.argmin(axis=1) if width else row
+                going = merges[row, best] != self.no_merge if width else np.zeros(len(at), bool)
+                for i, x in zip(at[~going].tolist(), ids[~going].astype("<u4")):
+                    out[i] = x
+                at, ids, merges, best = at[going], ids[going], merges[going], best[going]
+                if not len(at):
+                    break
+                row = row[: len(at)]
+                new = merges[row, best] & 0xFFFFFFFF
+                keep = np.ones(ids.shape, bool)
+                keep[row, best + 1] = False
+                ids = ids[keep].reshape(len(at), width)
+                ids[row, best] = new
+                keep = np.ones(merges.shape, bool)
+                keep[row, best] = False
+                merges = merges[keep].reshape(len(at), width - 1)
+                i = np.flatnonzero(best > 0)
+                merges[i, best[i] - 1] = self._pairs(ids[i, best[i] - 1], new[i])
+                i = np.flatnonzero(best < width - 1)
+                merges[i, best[i]] = self._pairs(new[i], ids[i, best[i] + 1])
+        return out
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap, so a piece of n bytes takes n log n steps."""
         n, get = len(ids), self.merges.get
@@ -167,10 +235,19 @@ class WordBPE:
 
     def normal(self, text: str) -> str:
         """The normal form of a text without special tokens."""
-        if not text.isascii():
-            # letter by letter, so without a final sigma
-            text = composed(text).replace("Σ", "σ").translate(_NEW_LOWER)
-        return text.lower()
+        if text.isascii():
+            return text.lower()
+        try:
+            text.encode("latin-1")
+            return text.lower()  # it is composed, and has nothing rare
+        except UnicodeEncodeError:
+            pass
+        if not _RARE.search(text):
+            text = unicodedata.normalize("NFC", text)
+            if not _RARE.search(text):
+                return text.lower()
+        # letter by letter, so without a final sigma
+        return composed(text).replace("Σ", "σ").translate(_NEW_LOWER).lower()
 
     def pieces_of(self, word: str) -> list[str]:
         """Of a word in normal form. Most are letters, or letters and one ASCII mark: these need no
@@ -202,12 +279,15 @@ class _Recent(dict):
         out = self.older.get(key)
         if out is None:
             out = self.make(key)
+        self.keep(key, out)
+        return out
+
+    def keep(self, key: str, out) -> None:
         if len(key) <= LONGEST_WORD:
             if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = out
-        return out
 
 
 class _Cache:
@@ -219,6 +299,41 @@ class _Cache:
         self.words = _Recent(self._word, most)
         self.known = _Recent(self._piece, CACHE_PIECES)
 
+    def look_up(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Of distinct words; the pieces that neither caches nor the lexicon have are merged together."""
+        out = [*map(self.words.get, words)]  # without what makes it
+        new: list[tuple[int, list[str]]] = []
+        fresh: dict[str, tuple[bytes, str]] = {}
+        todo: dict[str, bytes] = {}
+        older, known, older_known = self.words.older, self.known, self.known.older
+        for i, word in enumerate(words):
+            if out[i] is not None:
+                continue
+            if word in older or word[0] == " ":
+                out[i] = self.words[word]
+                continue
+            pieces = self.bpe.pieces_of(word)
+            for p in pieces:
+                if p in known or p in older_known or p in fresh or p in todo:
+                    continue
+                raw = p.encode()
+                ids = self.lexicon.get(raw) if len(raw) <= LONGEST_WORD else None
+                if ids is None:
+                    todo[p] = raw
+                else:
+                    fresh[p] = _bytes(ids), self.bpe.decode(ids)
+            new.append((i, pieces))
+        names = self.bpe.names
+        for p, ids in zip(todo, self.bpe.merge_all([*todo.values()])):
+            fresh[p] = ids.tobytes(), " ".join([names[x] for x in ids.tolist()])
+        for p, got in fresh.items():
+            known.keep(p, got)
+        for i, pieces in new:
+            got = [fresh.get(p) or known[p] for p in pieces]
+            out[i] = got[0] if len(got) == 1 else (b"".join([x for x, _ in got]), " ".join([y for _, y in got]))
+            self.words.keep(words[i], out[i])
+        return out
+
     def _piece(self, piece: str) -> tuple[bytes, str]:
         raw = piece.encode()
         ids = self.lexicon.get(raw) if len(raw) <= LONGEST_WORD else None
@@ -226,6 +341,8 @@ class _Cache:
         return _bytes(ids), self.bpe.decode(ids)
 
     def _word(self, word: str) -> tuple[bytes, str]:
+        if word[0] == " ":  # a special token, see encode_texts()
+            return _bytes([self.bpe.special[word[1:]]]), word[1:]
         pieces = self.bpe.pieces_of(word)
         if len(pieces) == 1:
             return self.known[pieces[0]]
@@ -272,6 +389,39 @@ def encode_text(text: str, cache: _Cache) -> tuple[bytes, str]:
     return b"".join([x for x, _ in got]), " ".join([y for _, y in got])
 
 
+def encode_texts(texts: list[str], cache: _Cache) -> tuple[pa.BinaryArray, pa.StringArray]:
+    """The same of many texts, with each distinct word looked up once. A special token goes as a
+    word behind a space, which no word has."""
+    bpe, words, ends = cache.bpe, [], [0]
+    for text in texts:
+        for part in bpe.special_split.split(text) if "<|" in text else (text,):
+            if part in bpe.special:
+                words.append(" " + part)
+            else:
+                words += words_of(bpe.normal(part))
+        ends.append(len(words))
+    coded = pa.array(words, pa.string()).dictionary_encode()
+    del words
+    got, ends = cache.look_up(coded.dictionary.to_pylist()), pa.array(ends, pa.int32())
+
+    def joined(values, kind, mark):
+        return pc.binary_join(pa.ListArray.from_arrays(ends, pa.array(values, kind).take(coded.indices)), pa.scalar(mark, kind))
+
+    return joined([x for x, _ in got], pa.binary(), b""), joined([y for _, y in got], pa.string(), " ")
+
+
+def _groups(batches, column: int):
+    """The batches' rows in runs of CHARS characters, with their texts."""
+    for b in batches:
+        texts = [t or "" for t in b.column(column).to_pylist()]
+        start = held = 0
+        for i, t in enumerate(texts):
+            held += len(t)
+            if held >= CHARS or i == len(texts) - 1:
+                yield b.slice(start, i + 1 - start), texts[start : i + 1]
+                start, held = i + 1, 0
+
+
 def frequent_words(docs: DataFrame, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
     """(word): the `most` words of the highest counts, two or more, in all texts, lower-case and
     without marks at their ends; words of one count by a hash."""
@@ -322,15 +472,17 @@ def tokenize(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep:
 
     def run(batches):
         cache = _cache(spec_b, lexicon_b, CACHE_WORDS)
-        for b in (x.slice(i, ROWS) for x in batches for i in range(0, len(x), ROWS)):
-            n, ids, decoded = [], [], []
-            for t in b.column(n_kept):
-                raw, back = encode_text(t.as_py() or "", cache)
-                n.append(len(raw) // 4)
-                ids.append(hashlib.sha256(raw).hexdigest() if digests else np.frombuffer(raw, "<u4").astype(np.int32))
-                decoded.append(hashlib.sha256(back.encode()).hexdigest() if digests else back)
+        for b, texts in _groups(batches, n_kept):
+            gc.disable()  # it makes no cycles, but goes through the caches again and again
+            raw, back = encode_texts(texts, cache)
+            gc.enable()
+            n = pc.divide(pc.binary_length(raw), 4).cast(pa.int64())
+            if digests:
+                ids, decoded = ([hashlib.sha256(x.as_buffer()).hexdigest() for x in column] for column in (raw, back))
+            else:
+                ids, decoded = [np.frombuffer(x, "<u4").astype(np.int32) for x in raw.to_pylist()], back
             kind = pa.string() if digests else pa.list_(pa.int32())
-            out = [pa.array(n, pa.int64()), pa.array(ids, kind), pa.array(decoded, pa.string())]
+            out = [n, pa.array(ids, kind), pa.array(decoded, pa.string()) if digests else decoded]
             yield pa.RecordBatch.from_arrays([*b.columns[:n_kept], *out], names=[*(f.name for f in kept), "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))])
 
     from pyspark.sql.types import StructType
