@@ -289,6 +289,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     docs(doc_id, text). Null doc_ids come out as null."""
     scratch = Scratch(docs.sparkSession)
     index = scratch.cut(build_index(docs), maxRecordsPerFile=1)  # else a reader holds all shards of a file at once
+    made = len({f.rsplit("/", 1)[-1].split("-")[1] for f in index.inputFiles()})  # tasks that made it: a task's shards stay together
+    index = index.coalesce(max(1, made))
     n, total = index.select(F.sum("n_docs"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()
     n, total = n or 0, total or 0
     dfs = F.transform("terms", lambda t, i: F.struct(t.alias("term"), (F.col("offsets")[i + 1] - F.col("offsets")[i]).cast("long").alias("df")))
