@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -449,6 +450,22 @@ def test_bpe_looks_up_words_of_many_texts_at_once(docs, monkeypatch):
     assert r[100, 0].ids == [] and r[101, 0].decoded == ""
 
 
+def test_bpe_workers_hold_little():
+    """A worker's caches and a run of texts, of which an executor has several at once."""
+    P = pytest.importorskip("public_tokenizers")
+    own, rng = bpe.load(open(P.path("word_bpe_49k.json"), encoding="utf-8").read()), np.random.default_rng(8)
+    cache = bpe._Cache(own, lexicon.Lexicon(bpe.build_lexicon(own, ["the"])), bpe.CACHE_WORDS)
+    words = ["".join(x) for x in rng.choice([*"aeinrstl"], (20_000, 9)).tolist()]
+    tracemalloc.start()
+    raw, back = bpe.encode_texts([" ".join(words), "", "the"], cache)
+    held = tracemalloc.get_traced_memory()[0] / len(cache.words)
+    tracemalloc.stop()
+    assert held < 250, held  # bytes a word, of which a dict's place and the word are 120
+    assert bpe.ids_of(raw).to_pylist() == [np.frombuffer(x, "<u4").tolist() for x in raw.to_pylist()] and back.to_pylist()[1:] == ["", "the</w>"]
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * 100_000] * 100})
+    assert max(sum(map(len, texts)) for _, texts in bpe._groups([batch], 0)) <= 1_100_000
+
+
 # URLs
 
 

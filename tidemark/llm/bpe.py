@@ -41,9 +41,9 @@ LEXICON_WORDS, LONGEST_WORD = 100_000, 40
 #: Marks that a word is counted without where they end it.
 _MARKS = ".,;:!?"
 #: Words and pieces that a worker's caches hold.
-CACHE_WORDS, CACHE_PIECES = 500_000, 150_000
+CACHE_WORDS, CACHE_PIECES = 300_000, 100_000
 #: Characters of text, one text more at most, that a worker encodes before it hands them on.
-CHARS = 4_000_000
+CHARS = 1_000_000
 #: White space of the Replace and Split patterns. str.split() takes four controls more.
 _BLANK = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _ODD = re.compile("[\x1c-\x1f]")
@@ -121,6 +121,7 @@ class WordBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = dict(map(reversed, (vocab | self.special).items()))
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
+        self.names_column = pa.array(self.names, pa.string())
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         letters = _byte_letters()
         self.inner = [vocab[x] for x in letters]
@@ -291,19 +292,19 @@ class _Recent(dict):
 
 
 class _Cache:
-    """A tokenizer, a lexicon, and what was met last of words and pieces: their ids as bytes, and
-    their tokens' names joined by spaces."""
+    """A tokenizer, a lexicon, and the ids of what was met last of words and pieces, as bytes: names
+    would take more memory than all the rest, and are soon joined for a whole text."""
 
     def __init__(self, bpe: WordBPE, lexicon: Lexicon, most: int):
         self.bpe, self.lexicon = bpe, lexicon
         self.words = _Recent(self._word, most)
         self.known = _Recent(self._piece, CACHE_PIECES)
 
-    def look_up(self, words: list[str]) -> list[tuple[bytes, str]]:
+    def look_up(self, words: list[str]) -> list[bytes]:
         """Of distinct words; the pieces that neither caches nor the lexicon have are merged together."""
         out = [*map(self.words.get, words)]  # without what makes it
         new: list[tuple[int, list[str]]] = []
-        fresh: dict[str, tuple[bytes, str]] = {}
+        fresh: dict[str, bytes] = {}
         todo: dict[str, bytes] = {}
         older, known, older_known = self.words.older, self.known, self.known.older
         for i, word in enumerate(words):
@@ -321,33 +322,28 @@ class _Cache:
                 if ids is None:
                     todo[p] = raw
                 else:
-                    fresh[p] = _bytes(ids), self.bpe.decode(ids)
+                    fresh[p] = _bytes(ids)
             new.append((i, pieces))
-        names = self.bpe.names
         for p, ids in zip(todo, self.bpe.merge_all([*todo.values()])):
-            fresh[p] = ids.tobytes(), " ".join([names[x] for x in ids.tolist()])
+            fresh[p] = ids.tobytes()
         for p, got in fresh.items():
             known.keep(p, got)
         for i, pieces in new:
             got = [fresh.get(p) or known[p] for p in pieces]
-            out[i] = got[0] if len(got) == 1 else (b"".join([x for x, _ in got]), " ".join([y for _, y in got]))
+            out[i] = got[0] if len(got) == 1 else b"".join(got)
             self.words.keep(words[i], out[i])
         return out
 
-    def _piece(self, piece: str) -> tuple[bytes, str]:
+    def _piece(self, piece: str) -> bytes:
         raw = piece.encode()
         ids = self.lexicon.get(raw) if len(raw) <= LONGEST_WORD else None
-        ids = self.bpe.merge(raw) if ids is None else ids.tolist()
-        return _bytes(ids), self.bpe.decode(ids)
+        return _bytes(self.bpe.merge(raw) if ids is None else ids)
 
-    def _word(self, word: str) -> tuple[bytes, str]:
+    def _word(self, word: str) -> bytes:
         if word[0] == " ":  # a special token, see encode_texts()
-            return _bytes([self.bpe.special[word[1:]]]), word[1:]
+            return _bytes([self.bpe.special[word[1:]]])
         pieces = self.bpe.pieces_of(word)
-        if len(pieces) == 1:
-            return self.known[pieces[0]]
-        got = [self.known[p] for p in pieces]
-        return b"".join([x for x, _ in got]), " ".join([y for _, y in got])
+        return self.known[pieces[0]] if len(pieces) == 1 else b"".join([self.known[p] for p in pieces])
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -383,10 +379,11 @@ def encode_text(text: str, cache: _Cache) -> tuple[bytes, str]:
     bpe, word, got = cache.bpe, cache.words.__getitem__, []
     for part in bpe.special_split.split(text) if "<|" in text else (text,):
         if part in bpe.special:
-            got.append((_bytes([bpe.special[part]]), part))
+            got.append(_bytes([bpe.special[part]]))
         else:
             got += map(word, words_of(bpe.normal(part)))
-    return b"".join([x for x, _ in got]), " ".join([y for _, y in got])
+    raw = b"".join(got)
+    return raw, bpe.decode(np.frombuffer(raw, "<u4").tolist())
 
 
 def encode_texts(texts: list[str], cache: _Cache) -> tuple[pa.BinaryArray, pa.StringArray]:
@@ -402,12 +399,18 @@ def encode_texts(texts: list[str], cache: _Cache) -> tuple[pa.BinaryArray, pa.St
         ends.append(len(words))
     coded = pa.array(words, pa.string()).dictionary_encode()
     del words
-    got, ends = cache.look_up(coded.dictionary.to_pylist()), pa.array(ends, pa.int32())
+    got = pa.array(cache.look_up(coded.dictionary.to_pylist()), pa.binary())
+    raw = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), got.take(coded.indices)), pa.scalar(b"", pa.binary()))
+    ids = ids_of(raw)
+    names = bpe.names_column.take(ids.values)
+    return raw, pc.binary_join(pa.ListArray.from_arrays(ids.offsets, names), pa.scalar(" ", pa.string()))
 
-    def joined(values, kind, mark):
-        return pc.binary_join(pa.ListArray.from_arrays(ends, pa.array(values, kind).take(coded.indices)), pa.scalar(mark, kind))
 
-    return joined([x for x, _ in got], pa.binary(), b""), joined([y for _, y in got], pa.string(), " ")
+def ids_of(raw: pa.BinaryArray) -> pa.ListArray:
+    """The ids of each text as numbers."""
+    ends = np.frombuffer(raw.buffers()[1], np.int32, len(raw) + 1)
+    ids = np.frombuffer(raw.buffers()[2] or b"", "<u4", ends[-1] // 4).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends // 4), pa.array(ids))
 
 
 def _groups(batches, column: int):
@@ -478,11 +481,9 @@ def tokenize(docs: DataFrame, tokenizer_path: str, *, text: str = "text", keep:
             gc.enable()
             n = pc.divide(pc.binary_length(raw), 4).cast(pa.int64())
             if digests:
-                ids, decoded = ([hashlib.sha256(x.as_buffer()).hexdigest() for x in column] for column in (raw, back))
+                out = [n, *(pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string()) for column in (raw, back))]
             else:
-                ids, decoded = [np.frombuffer(x, "<u4").astype(np.int32) for x in raw.to_pylist()], back
-            kind = pa.string() if digests else pa.list_(pa.int32())
-            out = [n, pa.array(ids, kind), pa.array(decoded, pa.string()) if digests else decoded]
+                out = [n, ids_of(raw), back]
             yield pa.RecordBatch.from_arrays([*b.columns[:n_kept], *out], names=[*(f.name for f in kept), "n_tokens", *(("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded"))])
 
     from pyspark.sql.types import StructType
