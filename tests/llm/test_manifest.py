@@ -9,6 +9,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import collocations, fingerprints, manifest, queries
@@ -218,6 +219,17 @@ def plain_fingerprints(rows):
     return sorted(out, key=str)
 
 
+def test_fingerprints_are_shuffled_once_and_packed(spark, docs):
+    out = fingerprints.fingerprints(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hash") + plan.count("BroadcastExchange") <= 2, plan  # a class's one row, and what its neighbour needs of it
+    v = fingerprints.vectors(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).distinct(), ["doc_id"])
+    v = v.select(F.col("v").alias("a"), fingerprints.minus(F.lag("v", 1).over(Window.orderBy("doc_id")), F.col("v")).alias("b")).where("b IS NOT NULL")
+    p = v.select("a", "b", fingerprints.packed(F.col("a")).alias("p"), fingerprints.packed(F.col("b")).alias("q"))
+    rows = p.select(fingerprints.as_text(F.col("b")), fingerprints.packed_text(F.col("q")), fingerprints.likeness(F.col("a"), F.col("b")), fingerprints.packed_likeness(F.col("p"), F.col("q"))).collect()
+    assert rows and all(r[0] == r[1] and r[2] == r[3] for r in rows)
+
+
 def test_fingerprints(spark, docs, nothing):
     more = [(7, "A\nB\n\nC d e f"), (7, "B\nA\nC d e f\n"), (8, "\n"), (9, "one"), (9, "one"), (9, "one"), (10, "日本 \U0001f600 text\nof lines\nand more of it here")]
     df = docs.select("doc_id", "text", F.col("key").alias("v")).unionByName(spark.createDataFrame([(*r, "x") for r in more], "doc_id long, text string, v string"))

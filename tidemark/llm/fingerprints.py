@@ -81,10 +81,34 @@ def as_text(v: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1, of two vectors."""
-    signed = lambda v: F.transform(F.slice(v, DIGEST_LANES + 1, LIKENESS_LANES), lambda x: F.when(x >= MODULUS // 2, x - MODULUS).otherwise(x).cast("double"))
-    dot = lambda x, y: F.aggregate(F.zip_with(signed(x), signed(y), lambda p, q: p * q), F.lit(0.0), lambda s, z: s + z)
+    return _likeness(a == b, _signed(a), _signed(b))
+
+
+def _signed(v: Column) -> Column:
+    """The likeness lanes as signed numbers."""
+    return F.transform(F.slice(v, DIGEST_LANES + 1, LIKENESS_LANES), lambda x: F.when(x >= MODULUS // 2, x - MODULUS).otherwise(x).cast("int"))
+
+
+def _likeness(same: Column, a: Column, b: Column) -> Column:
+    double = lambda v: F.transform(v, lambda x: x.cast("double"))
+    dot = lambda x, y: F.aggregate(F.zip_with(double(x), double(y), lambda p, q: p * q), F.lit(0.0), lambda s, z: s + z)
     cosine = F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
-    return F.when(a == b, F.lit(1.0)).otherwise(F.round(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0)), 6))
+    return F.when(same, F.lit(1.0)).otherwise(F.round(F.least(F.greatest(cosine, F.lit(0.0)), F.lit(1.0)), 6))
+
+
+def packed(v: Column) -> Column:
+    """A vector in less room: the digest lanes as bytes, the likeness lanes as signed numbers."""
+    return F.struct(F.unhex(as_text(F.slice(v, 1, DIGEST_LANES))).alias("digests"), _signed(v).alias("signs"))
+
+
+def packed_text(p: Column) -> Column:
+    """as_text() of a packed vector."""
+    return F.concat(F.lower(F.hex(p["digests"])), as_text(F.transform(p["signs"], lambda x: F.pmod(x.cast("long"), F.lit(MODULUS)))))
+
+
+def packed_likeness(p: Column, q: Column) -> Column:
+    """likeness() of two packed vectors."""
+    return _likeness((p["digests"] == q["digests"]) & (p["signs"] == q["signs"]), p["signs"], q["signs"])
 
 
 def edited(text: Column, beginning: Column) -> Column:
@@ -99,10 +123,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Equal rows are one class until the end: all but the last are followed by themselves. Order and
     neighbours are found on narrow rows; texts are shuffled once, and of a text's neighbour only as
-    much as replaces a quarter."""
+    much as replaces a quarter. A class's vectors are made where its texts meet, put in one row and
+    written once, packed; what goes to the class before is the likeness lanes."""
     scratch = Scratch(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), text))
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), text)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text.alias("text"))
     counted = rows.select("doc_id", "key", F.char_length("text").cast("long").alias("n_chars")).groupBy("doc_id", "key", "n_chars").agg(F.count(F.lit(1)).alias("times"))
     order = scratch.cut(numbered(scratch, counted, [], ["doc_id", "key"]))
@@ -120,24 +145,28 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rest = lambda t: F.substring(t, F.col("shared") + 1, F.char_length(t))
     whole = F.when(F.col("shared") > 0, F.substring(F.col("text"), F.lit(1), F.col("shared") - 1))
     made = met.select("key", "times", "shared", "text", whole.alias("whole"), edited(F.col("text"), F.col("given")).alias("last"), edited(F.col("text"), F.col("text")).alias("self"))
-    side = lambda name, t, of=None: F.struct(F.lit(name).alias("side"), t.alias("text"), (F.lit("") if of is None else F.sha2(of, 256)).alias("sha"))
+    side = lambda name, t, of=None: F.struct(F.lit(name).alias("side"), t.alias("text"), F.unhex(F.lit("") if of is None else F.sha2(of, 256)).alias("sha"))
     sides = [
         F.when(F.col("whole").isNotNull(), side("both", F.col("whole"))), side("text", rest(F.col("text"))), side("last", rest(F.col("last")), F.col("last")),
         F.when(F.col("times") > 1, side("self", rest(F.col("self")), F.col("self"))),
     ]
     sides = made.select("key", F.explode(F.array_compact(F.array(*sides))).alias("s")).select("key", "s.*")
-    found = scratch.cut(vectors(sides, ["key", "side", "sha"]))
-    both = found.where("side = 'both'").select(F.col("key").alias("of_both"), F.col("v").alias("both"))
-    found = found.where("side != 'both'").join(both, F.col("key") == F.col("of_both"), "left").withColumn("v", F.when(F.col("both").isNull(), F.col("v")).otherwise(plus(F.col("v"), F.col("both"))))
-    mine = found.where("side = 'text'").select(F.col("key").alias("of"), F.col("v").alias("mine"))
-    theirs = mine.select(F.col("of").alias("next_of"), F.col("mine").alias("theirs"))
-    other = found.where("side != 'text'").select("key", "side", F.col("sha").alias("edited_sha256"), F.col("v").alias("changed"))
-    out = other.join(classes, "key").join(mine, F.col("key") == F.col("of")).join(theirs, F.col("next_key") == F.col("next_of"))
-    inner = F.col("side") == "self"
-    out = out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(inner, F.col("times") - 1).otherwise(F.lit(1)))))
+    # all sides of a class are where its texts met: no shuffle
+    of = lambda name: F.col("side") == name
+    picked = [F.max(F.when(of(x), F.col("v"))).alias(x) for x in ("both", "text", "last", "self")]
+    found = vectors(sides, ["key", "side", "sha"]).groupBy("key").agg(*picked, *[F.max(F.when(of(x), F.col("sha"))).alias(f"sha_{x}") for x in ("last", "self")])
+    full = lambda x: F.when(F.col("both").isNull(), F.col(x)).otherwise(plus(F.col(x), F.col("both")))
+    found = found.select("key", "sha_last", "sha_self", *[F.when(F.col(x).isNotNull(), packed(full(x))).alias(x) for x in ("text", "last", "self")])
+    found = scratch.cut(classes.join(found, "key"), compression="zstd")
+    theirs = found.select(F.col("key").alias("next_of"), F.col("text").alias("theirs"))
+    out = found.join(theirs, F.col("next_key") == F.col("next_of"))
+    nears = [packed_likeness(F.col("text"), F.col(x)).alias(f"near_{x}") for x in ("theirs", "last", "self")]
+    out = out.select("*", *nears).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    either = lambda last, own: F.when(F.col("copy") == 1, last).otherwise(own)
     return out.select(
-        "doc_id", "n_chars", "edited_sha256", as_text(F.col("mine")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("mine"), F.col("changed")).alias("near_edited"), F.when(inner, 1.0).otherwise(likeness(F.col("mine"), F.col("theirs"))).alias("near_next"),
+        "doc_id", "n_chars", F.lower(F.hex(either(F.col("sha_last"), F.col("sha_self")))).alias("edited_sha256"), packed_text(F.col("text")).alias("fingerprint"),
+        packed_text(either(F.col("last"), F.col("self"))).alias("edited_fingerprint"), either(F.col("near_last"), F.col("near_self")).alias("near_edited"),
+        either(F.col("near_theirs"), F.lit(1.0)).alias("near_next"),
     )
 
 
