@@ -575,6 +575,26 @@ def test_shards_are_read_one_by_one(spark, docs, monkeypatch):
     assert index[1] == index[2] == 8 and [x[3] for x in blocks] == ["1"] and spark.conf.get(key) != "1"
 
 
+def test_first_shards_give_thresholds_to_the_others(spark, docs, monkeypatch):
+    build, cut, seen = search.build_index, search.Scratch.cut, []
+
+    def watched(self, df, **options):
+        out = cut(self, df, **options)
+        seen.append((df.columns, out.count()))
+        return out
+
+    many = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000)).unionByName(docs.withColumn("doc_id", F.col("doc_id") + 2000))
+    own = docs.select(F.col("doc_id").alias("query_id"), "text")
+    found = lambda: sorted((r.query_id or -1, r["rank"], round(r.score, 6)) for r in search.search(many, own, 2).collect())
+    monkeypatch.setattr(search, "build_index", lambda d: build(d.coalesce(1)))
+    want = found()
+    monkeypatch.setattr(search, "build_index", lambda d: build(d.repartition(7)))
+    monkeypatch.setattr(search.Scratch, "cut", watched)
+    assert found() == want
+    blocks = [n for columns, n in seen if columns == ["query_id", "doc_id", "score"]]
+    assert len(blocks) == 2, blocks  # two tasks' shards, then five's
+
+
 # near-duplicates
 
 

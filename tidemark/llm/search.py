@@ -10,7 +10,7 @@ the shards' best k is exact.
 A query reads a shard's lists from the rarest term on, some at a time and for all documents at
 once. A document is a pivot while its score in the lists read so far and its block's maxima in
 those unread may reach the k-th best score; blocks without a pivot are skipped from then on. That
-threshold starts at what earlier shards gave, or the whole scores of the best documents by the
+threshold starts at what earlier shards gave (some are asked before all others), or the whole scores of the best documents by the
 rarest terms, and rises with the scores.
 
 Queries go in blocks of bounded size, each against all shards. Nothing is capped: every document
@@ -47,6 +47,8 @@ LISTS, GROWTH = 16, 2
 #: Lists of a shard's documents / SHORT postings are read whole. A threshold starts from the best of
 #: SEEDS * k documents by these lists and HOPE of what their blocks may add.
 SHORT, SEEDS, HOPE = 8, 2, 0.2
+#: Each block of queries meets one in FIRST of the tasks' shards first; the others begin with its thresholds.
+FIRST = 6
 #: Queries, and terms of all of them, of a query block: what is sent to every shard at once.
 QUERY_BLOCK, QUERY_TERMS = 4_096, 1_000_000
 _FOLD = np.zeros(256, dtype=np.uint8)  # 0: between terms
@@ -203,28 +205,44 @@ class Shard:
         self.doc_weights = self.weights[by_doc]
         del by_doc
         self.doc_at = np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=self.n))))
-        # by block, of the longer lists: maxima, and where the block's postings start; others are read whole
-        common = np.flatnonzero(self.df > self.n // SHORT)
+        # the longer lists have a place for each document, by block, and block maxima; others are read whole
+        long = self.df > max(self.n // SHORT, BLOCK)
+        common = np.flatnonzero(long)
         self.row_of = np.full(len(self.terms), -1)
         self.row_of[common] = np.arange(len(common))
-        self.most = np.zeros((len(common), n_blocks), dtype=np.float32)
-        sizes = np.zeros((len(common), n_blocks), dtype=np.int64)
-        if len(common):
-            places, which = _spread(self.offsets[common], self.offsets[common + 1])
-            run = which * n_blocks + self.docs[places] // BLOCK
-            first = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
-            self.most.ravel()[run[first]] = np.maximum.reduceat(self.weights[places], first)
-            sizes.ravel()[run[first]] = np.diff(np.append(first, len(run)))
-        self.starts = self.offsets[common][:, None] + np.concatenate((np.zeros((len(common), 1), np.int64), sizes.cumsum(axis=1)), axis=1)
+        self.dense = np.zeros((len(common), n_blocks, BLOCK), dtype=np.float32)
+        for places, t in zip(self.dense.reshape(len(common), n_blocks * BLOCK), common):
+            postings = slice(self.offsets[t], self.offsets[t + 1])
+            places[self.docs[postings]] = self.weights[postings]
+        self.most = self.dense.max(axis=2)
+        self.sizes = np.count_nonzero(self.dense, axis=2).astype(np.uint8)  # postings of each block
+        short = np.repeat(~long, self.df)
+        self.docs, self.weights = row["docs"][short], self.weights[short].astype(np.float32)
+        self.offsets = np.concatenate(([0], np.cumsum(np.where(long, 0, self.df))))
         self.asked = np.zeros(len(self.terms))
         self.postings = self.scored = 0  # of all queries' terms; read or scored
 
-    def _read(self, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """What these runs of postings give to each document, with the last block filled up."""
-        n = ends - starts
-        places = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
-        self.scored += len(places)
-        return np.bincount(self.docs[places], self.weights[places] * np.repeat(weights, n), self.most.shape[1] * BLOCK).astype(float)
+    def _read(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What these short lists give to each document, with the last block filled up."""
+        n_docs, starts, ends = self.most.shape[1] * BLOCK, self.offsets[terms], self.offsets[terms + 1]
+        if not len(terms):
+            return np.zeros(n_docs)
+        lists = [slice(*x) for x in zip(starts.tolist(), ends.tolist())]  # runs are copied faster than single postings
+        docs, given = np.concatenate([self.docs[x] for x in lists]), np.concatenate([self.weights[x] for x in lists])
+        given *= np.repeat(weights.astype(np.float32), ends - starts)
+        self.scored += len(docs)
+        return np.bincount(docs, given, n_docs)
+
+    def _read_blocks(self, rows: np.ndarray, weights: np.ndarray, live: np.ndarray) -> np.ndarray:
+        """What these long lists give to the documents of the live blocks."""
+        self.scored += int(self.sizes[rows][:, live].sum(dtype=np.int64))
+        return np.tensordot(weights.astype(np.float32), self.dense[rows[:, None], live], 1)
+
+    def _of_docs(self, rows: np.ndarray, weights: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """What these long lists give to some documents."""
+        given = self.dense[rows[:, None], docs // BLOCK, docs % BLOCK]
+        self.scored += int(np.count_nonzero(given))
+        return weights @ given
 
     def _full(self, docs: np.ndarray) -> np.ndarray:
         """Whole scores; a document's terms are always added in the same order."""
@@ -246,7 +264,7 @@ class Shard:
         order = np.argsort(self.df[at], kind="stable")
         at, weights = at[order], weights[order]
         rare = self.row_of[at] < 0
-        score = self._read(self.offsets[at[rare]], self.offsets[at[rare] + 1], weights[rare])
+        score = self._read(at[rare], weights[rare])
         rows, weights = self.row_of[at[~rare]], weights[~rare]
         parts = [0]  # of the lists, in the order in which they are read: LISTS, then half as many more as are read
         while parts[-1] < len(rows):
@@ -255,11 +273,11 @@ class Shard:
         for i, (start, end) in enumerate(zip(parts, parts[1:])):
             own[i, start:end] = weights[start:end]
         rest = np.cumsum((own @ self.most[rows])[::-1], axis=0)[::-1]  # the block maxima of the lists from each part on
-        least, first, firsts = floor, np.zeros(0, np.int64), np.zeros(0)
+        least = floor
         if not floor:
             hope = (score.reshape(-1, BLOCK) + rest[0][:, None] * HOPE).ravel()[: self.n]
-            first = np.sort(np.argpartition(hope, max(self.n - SEEDS * k, 0))[-SEEDS * k :])
-            firsts = self._full(first)
+            first = np.argpartition(hope, max(self.n - SEEDS * k, 0))[-SEEDS * k :]
+            firsts = score[first] + self._of_docs(rows, weights, first)
             least = np.partition(firsts, len(firsts) - k)[len(firsts) - k] if len(firsts) >= k else 0.0
         for i, (start, end) in enumerate(zip(parts, [*parts[1:], None])):
             bound = score.reshape(-1, BLOCK) + rest[i][:, None]
@@ -267,16 +285,13 @@ class Shard:
             live = pivot.any(axis=1)
             if end is None or not live.any():
                 break
-            edge = np.flatnonzero(live[1:] != live[:-1]) + 1  # live blocks side by side are one run
-            edge = np.concatenate(([0] if live[0] else [], edge, [len(live)] if live[-1] else [])).astype(np.int64)
-            runs = self.starts[rows[start:end]][:, edge]
-            score += self._read(runs[:, ::2].ravel(), runs[:, 1::2].ravel(), np.repeat(weights[start:end], len(edge) // 2))
+            live = np.flatnonzero(live)
+            score.reshape(-1, BLOCK)[live] += self._read_blocks(rows[start:end], weights[start:end], live)
             reached = score.reshape(-1, BLOCK)[pivot]
             if len(reached) > k:
                 least = max(least, np.partition(reached, len(reached) - k)[len(reached) - k])
-        pivot.ravel()[first] = False  # these are known
-        other = np.flatnonzero(pivot)
-        pivots, full = np.append(first, other), np.append(firsts, self._full(other))
+        pivots = np.flatnonzero(pivot)
+        full = self._full(pivots)
         self.asked[asked] = 0
         good = (full > 0) & (full >= floor)
         hit, full = pivots[good], full[good]
@@ -289,8 +304,12 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     docs(doc_id, text). Null doc_ids come out as null."""
     scratch = Scratch(docs.sparkSession)
     index = scratch.cut(build_index(docs), maxRecordsPerFile=1)  # else a reader holds all shards of a file at once
-    made = len({f.rsplit("/", 1)[-1].split("-")[1] for f in index.inputFiles()})  # tasks that made it: a task's shards stay together
-    index = index.coalesce(max(1, made))
+    made = sorted({int(f.rsplit("/", 1)[-1].split("-")[1]) for f in index.inputFiles()})  # tasks that made it: a task's shards stay together
+    n_first = -(-len(made) // FIRST)
+    of_task = F.split("_metadata.file_name", "-")[1].cast("int")  # other files aren't opened
+    parts = [(index.where(of_task < made[n_first]), n_first), (index.where(of_task >= made[n_first]), len(made) - n_first)] if n_first < len(made) else [(index, len(made))]
+    parts = [x.coalesce(max(1, tasks)) for x, tasks in parts]
+    index = index.coalesce(max(1, len(made)))
     n, total = index.select(F.sum("n_docs"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda s, x: s + x))).first()
     n, total = n or 0, total or 0
     dfs = F.transform("terms", lambda t, i: F.struct(t.alias("term"), (F.col("offsets")[i + 1] - F.col("offsets")[i]).cast("long").alias("df")))
@@ -304,21 +323,34 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     found = []
     for i in range(n_blocks):  # a pass over the index for each block; what it was sent is given back
         block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i).select("query_id", "tw.term", "tw.w").toArrow()
-        part, sent = _against(index, block, mean, k)
-        with batches_of(docs.sparkSession, 1):
-            found.append(scratch.cut(part))
+        sent, floors = _sent(docs.sparkSession, block), {}
+        for j, part in enumerate(parts):
+            with batches_of(docs.sparkSession, 1):
+                found.append(scratch.cut(_against(part, sent, mean, k, floors)))
+            if j < len(parts) - 1:
+                floors = _kth(found[-1], k)
         sent.destroy()
     order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
-def _against(index: DataFrame, block: pa.Table, mean: float, k: int):
-    """(query_id, doc_id, score): the best k of each task's shards for each query; and the broadcast."""
+def _sent(spark, block: pa.Table):
+    """A block of queries, broadcast: QUERY_BLOCK queries, QUERY_TERMS terms."""
     lists = lambda name: (x.values.to_numpy() for x in block[name])
     qs = [(q, t.view(np.uint64), w) for q, t, w in zip(block["query_id"].to_pylist(), lists("term"), lists("w"))]
-    qs = [(q, t[o], w[o]) for q, t, w in qs for o in [np.argsort(t)]]
-    shared = index.sparkSession.sparkContext.broadcast(qs)  # QUERY_BLOCK queries, QUERY_TERMS terms
+    return spark.sparkContext.broadcast([(q, t[o], w[o]) for q, t, w in qs for o in [np.argsort(t)]])
+
+
+def _kth(found: DataFrame, k: int) -> dict[int, float]:
+    """The k-th best score of each query of a block that has so many."""
+    kth = found.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).where(F.size("s") >= k)
+    return {r[0]: r[1] for r in kth.select("query_id", F.col("s")[k - 1]).collect()}
+
+
+def _against(index: DataFrame, shared, mean: float, k: int, floors: dict[int, float]) -> DataFrame:
+    """(query_id, doc_id, score): the best k of each task's shards for each query of the broadcast
+    block, of those that reach the query's floor."""
 
     def run(batches):
         use_worker("search")
@@ -332,8 +364,8 @@ def _against(index: DataFrame, block: pa.Table, mean: float, k: int):
                 shard = Shard(row, mean)
                 if not len(shard.terms):
                     continue
-                for n, (_, t, w) in enumerate(shared.value):
-                    found = shard.top(t, w, k, -best[n][-1][0] if len(best[n]) == k else 0.0)
+                for n, (q, t, w) in enumerate(shared.value):
+                    found = shard.top(t, w, k, max(floors.get(q, 0.0), -best[n][-1][0] if len(best[n]) == k else 0.0))
                     if found:
                         best[n] = heapq.nsmallest(k, best[n] + found)
         for (q, _, _), found in zip(shared.value, best):
@@ -341,4 +373,4 @@ def _against(index: DataFrame, block: pa.Table, mean: float, k: int):
                 yield pa.RecordBatch.from_arrays([pa.array([q] * len(found), pa.int64()), pa.array([None if no else i for _, no, i in found], pa.int64()), pa.array([-s for s, _, _ in found], pa.float64())], names=["query_id", "doc_id", "score"])
 
     columns = index.select("ids", "lengths", "terms", "offsets", "docs", "tfs")
-    return columns.mapInArrow(run, "query_id long, doc_id long, score double"), shared
+    return columns.mapInArrow(run, "query_id long, doc_id long, score double")
