@@ -16,6 +16,13 @@ def test_excerpt(spark):
     assert timeline.excerpt(df.limit(0), "text_fr", "ord").isEmpty()
 
 
+def test_excerpt_ends_with_the_space_before_a_row_without_room(spark):
+    for n in (1497, 1498, 1499, 1500, 1501):
+        texts = ["a" * (n - 200), "b" * 199, "c", "d"]
+        df = spark.createDataFrame([("v", i, t) for i, t in enumerate(texts)], "video_id string, ord int, text_fr string")
+        assert timeline.excerpt(df, "text_fr", "ord").first().excerpt == " ".join(texts)[:1500]
+
+
 def test_title_digest(spark):
     df = spark.createDataFrame([("v", 0, 1, "b" * 200), ("v", 0, 0, "a"), ("v", 1, 2, None), ("v", 1, 3, "c")], "video_id string, slice int, ord int, text_en string")
     assert timeline.title_digest(df, "text_en", "ord").first().digest == "Part 1:\na\n" + "b" * 160 + "\n\nPart 2:\n\nc"

@@ -148,11 +148,12 @@ def cards(c: Config, generated_title: Column) -> Column:
 
 def excerpt(rows: DataFrame, text: str, order: str, most_rows: int = 8, most_chars: int = 1500, keys=KEY) -> DataFrame:
     """(keys, excerpt): the first rows' texts with spaces between, cut after so many characters; a null text is
-    empty (T05). Rows beyond, and what is beyond of a row, are dropped before texts are gathered."""
+    empty (T05). Rows beyond, and what is beyond of a row, are dropped before texts are gathered; a row with no room
+    left may still give its space."""
     w = W.partitionBy(*keys).orderBy(order)
     first = rows.withColumn("_no", F.row_number().over(w)).where(F.col("_no") <= most_rows).withColumn("_t", F.coalesce(F.substring(text, 1, most_chars), F.lit("")))
     room = F.lit(most_chars) - exclusive_sum(F.char_length("_t") + 1, keys, "_no")
-    first = first.withColumn("_room", room.cast("int")).where("_room > 0 OR _no = 1").withColumn("_t", F.expr("left(_t, _room)"))
+    first = first.withColumn("_room", room.cast("int")).where("_room >= 0 OR _no = 1").withColumn("_t", F.expr("left(_t, _room)"))
     return join_fragments(first, "_t", "_no", keys, " ").select(*keys, F.substring("script", 1, most_chars).alias("excerpt"))
 
 
