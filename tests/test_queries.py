@@ -76,3 +76,14 @@ def test_joins_have_no_nested_loop(spark, capsys):
     for name in ("interval_overlap_join", "point_in_interval", "nearest_in_radius", "asof_hold"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+def test_retimed_at_the_limits(spark, tmp_path):
+    """Shots that lie on a limit: 200 words make t / d = 1.08, 5 words d - t = 0.8 or near it, whatever comes before."""
+    n = [200, 7, 200, 13, 5, 200, 40, 200]
+    told = pd.DataFrame([(c, t, "user", " ".join(["w"] * n[(c + t) % 8])) for c in range(40) for t in range(8)], columns=["conv_id", "turn", "role", "text"])
+    told.to_parquet(f"{tmp_path}/conversations.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet'")
+    want, columns = c.execute(ORACLE["retime_segments"]).df(), ["conv_id", "turn", "new_start", "planned", "outcome"]
+    assert rows(QUERIES["retime_segments"](spark, str(tmp_path)).toPandas(), columns) == rows(want, columns)

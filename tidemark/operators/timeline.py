@@ -26,11 +26,13 @@ def plan_shot(d: Column, t: Column, c: Retiming = Retiming()) -> Column:
     )
 
 
-def retime(decisions: DataFrame, narration: DataFrame, c: Retiming = Retiming(), keys=KEY) -> DataFrame:
-    """The timeline: each decision with narration, moved by all changes before it."""
+def retime(decisions: DataFrame, narration: DataFrame, c: Retiming = Retiming(), keys=KEY, length: Column | None = None) -> DataFrame:
+    """The timeline: each decision with narration, moved by all changes before it (J07, W02). A shot is as
+    long as its ends are apart; length gives it where ends were made by adding lengths up, whose rounding may
+    move a shot across a limit."""
     said = narration.select(*keys, F.col("segment_id").alias("id"), F.col("duration").alias("narration_duration"))
     pause = (F.col("narration.pause_before_ms") + F.col("narration.pause_after_ms")) / 1000.0
-    met = decisions.join(said, [*keys, "id"]).withColumn("d", F.col("source_end") - F.col("source_start"))
+    met = decisions.join(said, [*keys, "id"]).withColumn("d", F.col("source_end") - F.col("source_start") if length is None else length)
     met = met.withColumn("plan", plan_shot(F.col("d"), F.col("narration_duration") + pause, c))
     shift = exclusive_sum(F.col("plan.planned") - F.col("d"), keys, "source_start", "ord")
     start = F.col("source_start") + shift

@@ -41,7 +41,8 @@ def _segments(spark: SparkSession, d: str) -> DataFrame:
     """conversations as decisions: 0.4 s a word, and the narration's length."""
     n = F.size(T.tokens(F.col("text"))).cast("double")
     c = _t(spark, d, "conversations").select("conv_id", "turn", "role", "text", F.greatest(n, F.lit(1.0)).alias("n"))
-    return c.withColumns({"d": F.col("n") * 0.4, "t": F.col("n") * (F.lit(0.28) + F.lit(0.03) * ((7 * F.col("conv_id") + 3 * F.col("turn")) % 8)) + 0.4})
+    said = F.col("n") * ((28 + 3 * ((7 * F.col("conv_id") + 3 * F.col("turn")) % 8)) / 100.0)  # the SQL's decimals, exact until they meet n
+    return c.withColumns({"d": F.col("n") * 0.4, "said": said, "t": said + 0.4})
 
 
 _SEG = r"""seg AS (SELECT *, n * 0.4 AS d, n * (0.28 + 0.03 * ((7 * conv_id + 3 * turn) % 8)) + 0.4 AS t FROM (
@@ -57,10 +58,10 @@ def retime_segments(spark, d):
     s = _segments(spark, d)
     start = temporal.exclusive_sum(F.col("d"), ["conv_id"], "turn")
     zero = F.struct(F.lit("v").alias("voice"), F.lit(150).alias("pause_before_ms"), F.lit(250).alias("pause_after_ms"))
-    decisions = s.select(F.col("conv_id").alias("video_id"), F.col("turn").alias("ord"), F.col("turn").cast("string").alias("id"), start.alias("source_start"), F.col("d"), zero.alias("narration"))
-    decisions = decisions.withColumn("source_end", F.col("source_start") + F.col("d")).drop("d")
-    said = s.select(F.col("conv_id").alias("video_id"), F.col("turn").cast("string").alias("segment_id"), (F.col("t") - 0.4).alias("duration"))
-    out = timeline.retime(decisions, said)
+    decisions = s.select(F.col("conv_id").alias("video_id"), F.col("turn").alias("ord"), F.col("turn").cast("string").alias("id"), start.alias("source_start"), F.col("d").alias("length"), zero.alias("narration"))
+    decisions = decisions.withColumn("source_end", F.col("source_start") + F.col("length"))
+    said = s.select(F.col("conv_id").alias("video_id"), F.col("turn").cast("string").alias("segment_id"), F.col("said").alias("duration"))
+    out = timeline.retime(decisions, said, length=F.col("length"))
     return out.select(F.col("video_id").alias("conv_id"), F.col("ord").alias("turn"), F.round("new_start", 6).alias("new_start"), F.round(F.col("new_end") - F.col("new_start"), 6).alias("planned"), "outcome")
 
 
