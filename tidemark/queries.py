@@ -403,9 +403,9 @@ _TERMS = [("les", "the"), ("la tion", "the tion"), ("mentoi", "mention")]
 @query(r"""WITH n AS (SELECT doc_id, regexp_replace(lower(strip_accents(trim(text))), '\s+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, regexp_matches(t, '\bles[sx]?\b') AS has_les, regexp_matches(t, '\bmentoi[sx]?\b') AS has_mentoi FROM n""")
 def glossary_terms(spark, d):
-    terms = T.relevant_terms(F.col("text"), _TERMS)
-    has = lambda fr: F.exists(terms, lambda t: t["fr"] == fr)
-    return _t(spark, d, "documents").select("doc_id", has("les").alias("has_les"), has("mentoi").alias("has_mentoi"))
+    has = lambda fr: F.exists("terms", lambda t: t["fr"] == fr)
+    found = _t(spark, d, "documents").select("doc_id", T.relevant_terms(F.col("text"), _TERMS).alias("terms"))
+    return found.select("doc_id", has("les").alias("has_les"), has("mentoi").alias("has_mentoi"))
 
 
 @query(r"""WITH n AS (SELECT doc_id, regexp_replace(lower(strip_accents(trim(text))), '\s+', ' ', 'g') AS t FROM documents),
