@@ -100,3 +100,22 @@ def test_long_areas_are_one(spark):
     chain = spark.range(1, 3000).select(F.lit("v").alias("k"), F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
     got = vision.components(chain, ["k"])
     assert got.count() == 2999 and got.where("v <> 0").isEmpty()
+
+
+def test_areas_by_frame_and_by_joins_agree(spark, monkeypatch):
+    """Small and large frames; a null key, and one frame over many batches, are frames too."""
+    rng = np.random.default_rng(8)
+    px = [(k, s, int(r), int(q)) for k in ("v", None) for s in range(4) for r, q in rng.integers(0, 30, (300, 2))] + [("w", 0, r, q) for r, q in spiral(30)]
+    df = spark.createDataFrame(px, "video_id string, step int, row int, col int").repartition(3)
+    run = lambda d: sorted((str(r.video_id), r.step, round(r.x, 9), round(r.y, 9)) for r in vision.blobs(d, 30, 30, Cursor(min_area=1 / 900, max_area=1.0)).collect())
+    plan = vision.blobs(df, 30, 30)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan  # no table of edges, no rounds
+    with monkeypatch.context() as m:
+        m.setattr(vision, "HELD", 50)
+        got = run(df)
+    assert got and len([x for x in got if x[0] == "w"]) == len(flooded(spiral(30)))
+    want = sorted((str(k), s, round(sum(q for _, q in a) / len(a) / 30, 9), round(sum(r for r, _ in a) / len(a) / 30, 9)) for k, s in {x[:2] for x in px} for a in flooded([x[2:] for x in px if x[:2] == (k, s)]))
+    assert got == want
+    monkeypatch.setattr(vision, "LARGE", 0)
+    known = df.where("video_id IS NOT NULL")
+    assert run(known) == [x for x in want if x[0] != "None"]

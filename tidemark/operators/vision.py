@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -116,13 +119,108 @@ def components(edges: DataFrame, own: list[str]) -> DataFrame:
         before = now
 
 
+#: Areas of frames of so many pixels at most are found in one task a frame; tasks hold so many changed pixels, or one frame's.
+LARGE, HELD = 2**23, 2**20
+
+
+def _areas(starts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(frame, n, sx, sy) of each area: its frame, pixels, and the sums of their columns, twice, and rows. The
+    pixels (row << 32 + col) are in order by frame, which begin at starts; repeated ones count once."""
+    frame = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(codes))))
+    new = np.ones(len(codes), dtype=bool)
+    new[1:] = (codes[1:] != codes[:-1]) | (frame[1:] != frame[:-1])
+    frame, codes = frame[new], codes[new]
+    new = np.ones(len(codes), dtype=bool)  # a run of neighbouring pixels of a row begins
+    new[1:] = (codes[1:] != codes[:-1] + 1) | (frame[1:] != frame[:-1])
+    first = np.flatnonzero(new)
+    frame, a = frame[first], codes[first].astype(np.int32).astype(np.int64)
+    row, n = (codes[first] - a) >> 32, np.diff(np.append(first, len(codes)))
+    z = a + n - 1
+    # rows are numbered; the runs of the row above that touch a run are neighbours in order
+    new = np.ones(len(a), dtype=bool)
+    new[1:] = (row[1:] != row[:-1]) | (frame[1:] != frame[:-1])
+    no, at = np.cumsum(new) - 1, np.flatnonzero(new)
+    above = np.zeros(len(at), dtype=bool)
+    above[1:] = (row[at[1:]] == row[at[:-1]] + 1) & (frame[at[1:]] == frame[at[:-1]])
+    least = a.min()
+    span = z.max() - least + 4
+    low = np.flatnonzero(above[no])
+    begin = np.searchsorted(no * span + z - least, (no[low] - 1) * span + a[low] - 1 - least, "left")
+    end = np.searchsorted(no * span + a - least, (no[low] - 1) * span + z[low] + 1 - least, "right")
+    k = np.maximum(end - begin, 0)
+    u, v = np.repeat(low, k), np.repeat(begin - np.cumsum(k) + k, k) + np.arange(k.sum())
+    # roots are hung on the least neighbour, or the greatest, in turn
+    root, least = np.arange(len(a)), True
+    while len(u):
+        u, v = root[u], root[v]
+        apart = u != v
+        u, v = u[apart], v[apart]
+        lesser, greater = np.minimum(u, v), np.maximum(u, v)
+        np.minimum.at(root, greater, lesser) if least else np.maximum.at(root, lesser, greater)
+        least = not least
+        while not np.array_equal(up := root[root], root):
+            root = up
+    total = lambda x: np.bincount(root, x, len(root)).astype(np.int64)  # noqa: E731 (below 2**53)
+    size, roots = total(n), np.unique(root)
+    return frame[roots], size[roots], total((a + z) * n)[roots], total(row * n)[roots]
+
+
+def _framewise(changes: DataFrame, own: list[str], least: int, most: int, width: int, height: int) -> DataFrame:
+    """(own, x, y), by frame: a task reads its pixels in order and finds the areas of some frames at once."""
+    code = F.shiftleft(F.col("row").cast("long"), 32) + F.col("col")
+    dealt = changes.where("row IS NOT NULL AND col IS NOT NULL").select(*own, code.alias("_code")).repartition(*own).sortWithinPartitions(*own, "_code")
+
+    def found(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        frame, n, sx, sy = _areas(starts, t["_code"].to_numpy())
+        good = (n >= least) & (n <= most)
+        frame, n, sx, sy = frame[good], n[good], sx[good], sy[good]
+        keys = [t[c].take(pa.array(starts[frame])).combine_chunks() for c in own]
+        return pa.RecordBatch.from_arrays([*keys, pa.array(sx / 2 / n / width), pa.array(sy / n / height)], names=[*own, "x", "y"])
+
+    def starts_of(t: pa.Table) -> np.ndarray:
+        new = np.zeros(len(t), dtype=bool)
+        new[0] = True
+        for c in own:
+            x = t[c].combine_chunks()
+            before, now = x.slice(0, len(x) - 1), x.slice(1)
+            differs = pc.fill_null(pc.not_equal(before, now), pc.not_equal(pc.is_null(before), pc.is_null(now)))
+            new[1:] |= differs.to_numpy(zero_copy_only=False)
+        return np.flatnonzero(new)
+
+    def run(batches):
+        held, rows, wait = [], 0, HELD
+        for b in batches:
+            if not len(b):
+                continue
+            held.append(b)
+            rows += len(b)
+            if rows < wait:
+                continue
+            t = pa.Table.from_batches(held)
+            starts = starts_of(t)
+            if len(starts) > 1:  # the last frame may go on
+                yield found(t.slice(0, starts[-1]), starts[:-1])
+            held = t.slice(starts[-1]).to_batches()
+            rows = len(t) - int(starts[-1])
+            wait = max(HELD, 2 * rows)
+        if held:
+            t = pa.Table.from_batches(held)
+            yield found(t, starts_of(t))
+
+    kinds = dealt.select(*own).schema.add("x", "double").add("y", "double")
+    return dealt.mapInArrow(run, kinds)
+
+
 def blobs(changes: DataFrame, width: int, height: int, c: Cursor = Cursor(), keys=KEY) -> DataFrame:
     """(keys, step, x, y): centres, normalised, of the 8-connected areas of changed pixels
     (keys, step, row, col) that are as large as a pointer (A09). A row's neighbouring pixels are one run, and
-    runs of adjacent rows that touch are linked; repeated pixels count once."""
+    runs of adjacent rows that touch are linked; repeated pixels count once. A frame is a group of one task,
+    unless frames are LARGE: then its runs are linked by joins."""
     least = max(1, int(c.min_area * width * height))
     most = max(least + 1, int(c.max_area * width * height))
     own = [*keys, "step"]
+    if width * height <= LARGE:
+        return _framewise(changes, own, least, most, width, height)
     gap = F.col("col") - F.dense_rank().over(W.partitionBy(*own, "row").orderBy("col"))
     runs = changes.withColumn("_g", gap).groupBy(*own, "row", "_g").agg(F.min("col").alias("a"), F.max("col").alias("z"))
     runs = kept(runs.select(*own, "row", "a", "z", (F.shiftleft(F.col("row").cast("long"), 32) + F.col("a")).alias("node")))
