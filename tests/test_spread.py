@@ -134,3 +134,28 @@ def test_sessions_of_a_hot_label_track_as_one_group(spark, spread):
         assert [got[r[2]] for r in mine] == plain_tracks([(r[1], r[4:8], r[8]) for r in mine], c)
     sessions = temporal.islands(d.where("text = 'menu'"), "text", "ts", c.max_gap, ["video_id", "text"], ["det_ord"])
     assert sessions.select("island").distinct().count() > 50
+
+
+def test_sessions_followed_together_as_one_by_one(spark, monkeypatch):
+    """Keys and sessions that go on from one batch to the next, many open tracks, sightings of one time; no group of Python a session."""
+    rng, c = random.Random(9), ScreenText(max_gap=1.0, merge_iou=0.3)
+    rows, t = [], 0.0
+    for i in range(3_000):
+        t += rng.choice([0.0, 0.0, 0.25, 0.5, 0.5, 1.5])
+        rows.append((rng.choice(["v", "w", None]), t, i, rng.choice(["menu", "file", "edit"]), rng.randrange(12) / 10, rng.randrange(3) / 10, 0.12, 0.1, rng.random()))
+    d = spark.createDataFrame(rows, "video_id string, ts double, det_ord int, text string, x double, y double, width double, height double, confidence double").repartition(3)
+    assert "FlatMapGroups" not in tracking.track(d, c)._jdf.queryExecution().executedPlan().toString()
+    whole = {r.det_ord: r.track for r in tracking.track(d, c).collect()}
+    run = tracking._in_order(["video_id", "text"], c)  # as a task runs it, with little held at a time
+    monkeypatch.setattr(tracking, "HELD", 40)
+    monkeypatch.setattr(tracking, "LONG", 0)
+    import pyarrow as pa
+
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[3], r[1], r[2]))
+    table = pa.Table.from_pylist([dict(zip(d.columns, r)) for r in ordered])
+    parts = {x["det_ord"]: x["track"] for b in run(iter(table.to_batches(max_chunksize=7))) for x in b.to_pylist()}
+    want = {}
+    for key in {(r[0], r[3]) for r in rows}:
+        mine = [r for r in rows if (r[0], r[3]) == key]
+        want |= {r[2]: k for r, k in zip(mine, plain_tracks([(r[1], r[4:8], r[8]) for r in mine], c))}
+    assert whole == want and parts == want

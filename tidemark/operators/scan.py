@@ -7,6 +7,9 @@ block is a running value over these rows; it is added to the running value insid
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,3 +51,15 @@ def scan(df: DataFrame, keys, order, *, sums: dict[str, Column] | None = None, l
     out |= {n: F.coalesce(F.last(value(n), ignorenulls=True).over(so_far), F.col(f"_before_{n}")["v"]) for n in lasts}
     out |= {n: F.coalesce(F.lag(F.struct(value(n).alias("v"))).over(inside), F.col(f"_before_{n}"))["v"] for n in lags}
     return met.select(*df.columns, *[v.alias(n) for n, v in out.items()])
+
+
+def group_begins(t: pa.Table, keys) -> np.ndarray:
+    """Whether each row of a table in order of its keys is the first of its group; nulls are one group."""
+    new = np.zeros(len(t), dtype=bool)
+    new[:1] = True
+    for c in keys:
+        x = t[c].combine_chunks()
+        before, now = x.slice(0, len(x) - 1), x.slice(1)
+        differs = pc.fill_null(pc.not_equal(before, now), pc.not_equal(pc.is_null(before), pc.is_null(now)))
+        new[1:] |= differs.to_numpy(zero_copy_only=False)
+    return new

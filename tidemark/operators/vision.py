@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import Crop, Cursor, ScreenText
 from ..storage import kept
+from .scan import group_begins
 from .temporal import KEY, first_run
 
 
@@ -177,16 +177,6 @@ def _framewise(changes: DataFrame, own: list[str], least: int, most: int, width:
         keys = [t[c].take(pa.array(starts[frame])).combine_chunks() for c in own]
         return pa.RecordBatch.from_arrays([*keys, pa.array(sx / 2 / n / width), pa.array(sy / n / height)], names=[*own, "x", "y"])
 
-    def starts_of(t: pa.Table) -> np.ndarray:
-        new = np.zeros(len(t), dtype=bool)
-        new[0] = True
-        for c in own:
-            x = t[c].combine_chunks()
-            before, now = x.slice(0, len(x) - 1), x.slice(1)
-            differs = pc.fill_null(pc.not_equal(before, now), pc.not_equal(pc.is_null(before), pc.is_null(now)))
-            new[1:] |= differs.to_numpy(zero_copy_only=False)
-        return np.flatnonzero(new)
-
     def run(batches):
         held, rows, wait = [], 0, HELD
         for b in batches:
@@ -197,7 +187,7 @@ def _framewise(changes: DataFrame, own: list[str], least: int, most: int, width:
             if rows < wait:
                 continue
             t = pa.Table.from_batches(held)
-            starts = starts_of(t)
+            starts = np.flatnonzero(group_begins(t, own))
             if len(starts) > 1:  # the last frame may go on
                 yield found(t.slice(0, starts[-1]), starts[:-1])
             held = t.slice(starts[-1]).to_batches()
@@ -205,7 +195,7 @@ def _framewise(changes: DataFrame, own: list[str], least: int, most: int, width:
             wait = max(HELD, 2 * rows)
         if held:
             t = pa.Table.from_batches(held)
-            yield found(t, starts_of(t))
+            yield found(t, np.flatnonzero(group_begins(t, own)))
 
     kinds = dealt.select(*own).schema.add("x", "double").add("y", "double")
     return dealt.mapInArrow(run, kinds)
