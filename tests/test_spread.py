@@ -159,3 +159,34 @@ def test_sessions_followed_together_as_one_by_one(spark, monkeypatch):
         mine = [r for r in rows if (r[0], r[3]) == key]
         want |= {r[2]: k for r, k in zip(mine, plain_tracks([(r[1], r[4:8], r[8]) for r in mine], c))}
     assert whole == want and parts == want
+
+
+def test_the_nearest_point_of_each_box_without_a_table_of_pairs(spark, monkeypatch):
+    """Against all pairs: ties go to the least id; a box with nothing near has none; cells over many batches."""
+    rng = random.Random(12)
+    points = [(rng.randrange(3), i, rng.randrange(-5, 40) / 20, rng.randrange(20) / 20) for i in range(300)]
+    boxes = [(rng.randrange(4), i, rng.randrange(-40, 80) / 20, rng.randrange(20) / 20, rng.choice([0.0, 0.05, 0.5]), rng.choice([0.0, 0.1])) for i in range(300)]
+    p = spark.createDataFrame(points, "k int, p int, x double, y double").repartition(3)
+    b = spark.createDataFrame(boxes, "k int, e int, bx double, by double, w double, h double").select("k", "e", make_box(F.col("bx"), F.col("by"), F.col("w"), F.col("h")).alias("box"))
+    far = lambda x, y, bx, by, w, h: (max(bx - x, 0.0, x - bx - w) ** 2 + max(by - y, 0.0, y - by - h) ** 2) ** 0.5
+    want = {}
+    for k, e, *box in boxes:
+        near = min(((far(x, y, *box), i) for q, i, x, y in points if q == k), default=(9.0, 0))
+        if near[0] <= 0.1:
+            want[e] = (near[1], round(near[0], 9))
+    monkeypatch.setattr(space, "PAIRS", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for cell in (None, 0.35):
+            out = space.nearest_points(p, b, 0.1, ["e"], "p", ["k"], cell)
+            assert {r.e: (r.p, round(r.dist, 9)) for r in out.collect()} == want and 50 < len(want) < 300
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert space.nearest_points(p.limit(0), b, 0.1, ["e"], "p", ["k"]).isEmpty()
+
+
+def test_nearest_in_radius_makes_no_pairs(spark):
+    from tidemark.queries import QUERIES
+
+    plan = QUERIES["nearest_in_radius"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "s_suppkey" in plan

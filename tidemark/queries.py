@@ -245,8 +245,8 @@ SELECT c_custkey, s_suppkey, round(sqrt(dx * dx), 6) AS dist FROM p WHERE sqrt(d
 def nearest_in_radius(spark, d):
     c = _t(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("n"), G.make_box(F.col("c_acctbal") / 10000, F.lit(0.0), F.lit(0.05), F.lit(1.0)).alias("box"))
     s = _t(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n"), (F.col("s_acctbal") / 10000).alias("x"), F.lit(0.5).alias("y"))
-    pairs = space.near_boxes(s, c, 0.2, ["n"])
-    return temporal.nearest(pairs, "dist", 0.2, ["c_custkey"], ["s_suppkey"]).select("c_custkey", "s_suppkey", F.round("dist", 6).alias("dist"))
+    met = space.nearest_points(s, c, 0.2, ["c_custkey"], "s_suppkey", ["n"])
+    return met.select("c_custkey", "s_suppkey", F.round("dist", 6).alias("dist"))
 
 
 @query("""WITH b AS (SELECT user_id, event_id, value / 1000 AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM events), g AS (SELECT user_id, (no - 1) // 3 AS f, x FROM b)
