@@ -287,3 +287,10 @@ def test_plain_form_takes_few_passes(spark):
     got = df.select("i", F.size(T.relevant_terms(F.col("t"), T_)).alias("n"), F.md5(T.normalize(F.col("t")).cast("binary")).alias("h")).collect()
     assert time.time() - began < 60 and {r.n for r in got} == {1}
     assert {r.i: r.h for r in got} == {i: hashlib.md5(T._normalize(text + str(i)).encode()).hexdigest() for i in range(10)}
+
+
+def test_confidence_rounds_halves_up_as_sql_does(spark):
+    """Their mean is 0.96125 but for the last bit of a sum."""
+    sure = [0.95, 1.0, 0.94, 0.97, 0.99, 0.93, 0.92, 0.99]
+    one = tracking.elements(tracking.track(detections(spark, [(i * 0.5, "Save", 0.1, x) for i, x in enumerate(sure)])), 0.5).first()
+    assert one.occurrences == 8 and one.confidence == 0.9613
